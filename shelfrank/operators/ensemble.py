@@ -13,6 +13,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.functions import pandas_udf
 
 from shelfrank.schemas import TREE_NODES
@@ -104,7 +105,7 @@ def _batch_column(model: Model, features: Column) -> Column:
     flat = _flat(model)
     rounds = max(len(nodes) for nodes in _by_tree(model))
 
-    @pandas_udf("double")
+    @pandas_udf(T.DoubleType())
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         feature, threshold, left, right, output, weight = flat
         rows_of_trees = np.arange(len(weight))

@@ -8,7 +8,7 @@ order as numbering the rows would, so the list operators never number a session.
 from __future__ import annotations
 
 import datetime
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -162,7 +162,7 @@ def search_hits(hits: DataFrame) -> DataFrame:
 # -- lists -------------------------------------------------------------------
 
 
-def rolled_docs(hits: DataFrame) -> DataFrame:
+def rolled_docs(hits: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """One row per (session, search, document): first place, click, purchase.
 
     One scan serves both the search pages and the purchases, which count from
@@ -174,6 +174,7 @@ def rolled_docs(hits: DataFrame) -> DataFrame:
         hits.filter(text.valid_sku(F.col("sku")))
         .filter(F.coalesce(on_search, F.lit(False)) | F.coalesce(bought, F.lit(False)))
         .select(
+            *by,
             "session_id",
             "fv",
             "channel",
@@ -184,7 +185,7 @@ def rolled_docs(hits: DataFrame) -> DataFrame:
             F.struct("hit_pos", "product_pos").alias("seen"),
         )
     )
-    rolled = rows.groupBy("session_id", "doc", "query").agg(
+    rolled = rows.groupBy(*by, "session_id", "doc", "query").agg(
         F.max("fv").alias("fv"),
         F.max("channel").alias("channel"),
         F.max("click").alias("click"),
@@ -192,7 +193,7 @@ def rolled_docs(hits: DataFrame) -> DataFrame:
         F.min("seen").alias("seen"),
     )
     # at most one row per search of the session that showed the document
-    anywhere = Window.partitionBy("session_id", "doc")
+    anywhere = Window.partitionBy(*by, "session_id", "doc")
     purchase = F.max("bought").over(anywhere)
     return (
         rolled.withColumn("purchase", purchase)
@@ -271,18 +272,24 @@ def nested_lists(lists: DataFrame) -> DataFrame:
 # -- visitors and contexts ---------------------------------------------------
 
 
-def visitor_context(hits: DataFrame) -> DataFrame:
-    """Per visitor: channel of the first session, average of session averages."""
-    per_session = hits.groupBy("fv", "session_id").agg(
+def visitor_context(hits: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Per visitor: channel of the first session, average of session averages.
+
+    ``by`` keeps visitors of several labelled date windows apart.
+    """
+    per_session = hits.groupBy(*by, "fv", "session_id").agg(
         F.avg(numbers.micros_to_units(F.col("price_micros"))).alias("ticket"),
         F.max("channel").alias("channel"),
     )
-    return per_session.groupBy("fv").agg(
-        F.coalesce(
-            text.channel_group(F.min_by(F.struct("channel"), "session_id")["channel"]), F.lit("")
-        ).alias("channel_group"),
-        numbers.stable(F.coalesce(F.avg("ticket"), F.lit(0.0))).alias("raw_ticket"),
-    ).withColumn("avg_ticket", numbers.round_to_int(F.col("raw_ticket")))
+    first = F.min_by(F.struct("channel"), "session_id")["channel"]
+    return (
+        per_session.groupBy(*by, "fv")
+        .agg(
+            F.coalesce(text.channel_group(first), F.lit("")).alias("channel_group"),
+            numbers.stable(F.coalesce(F.avg("ticket"), F.lit(0.0))).alias("raw_ticket"),
+        )
+        .withColumn("avg_ticket", numbers.round_to_int(F.col("raw_ticket")))
+    )
 
 
 def train_sets(lists: DataFrame, visitors: DataFrame) -> DataFrame:
@@ -312,18 +319,22 @@ def train_contexts(sets: DataFrame) -> DataFrame:
     )
 
 
-def validation_sets(hits: DataFrame, visitors: DataFrame) -> DataFrame:
+def validation_sets(
+    hits: DataFrame, visitors: DataFrame, by: Sequence[str] = ()
+) -> DataFrame:
     """Purchased documents per search and session, under the session's context.
 
     The channel is the session's own and the ticket that groups rows is not
-    rounded, so two groups may show the same ``customer_avg_ticket``.
+    rounded, so two groups may show the same ``customer_avg_ticket``. With
+    ``by``, ``visitors`` must be grouped by the same labels.
     """
-    who = visitors.select("fv", "raw_ticket", "avg_ticket")
+    who = visitors.select(*by, "fv", "raw_ticket", "avg_ticket")
     return (
-        rolled_docs(hits)
+        rolled_docs(hits, by)
         .filter(F.col("purchase") == 1)
-        .join(who, "fv", "left")
+        .join(who, [*by, "fv"], "left")
         .select(
+            *by,
             F.col("query").alias("search_term"),
             F.coalesce(text.channel_group(F.col("channel")), F.lit("")).alias("channel_group"),
             F.coalesce("avg_ticket", F.lit(0)).cast("bigint").alias("customer_avg_ticket"),

@@ -22,6 +22,7 @@ from pyspark.ml.regression import (
 )
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.functions import pandas_udf
 
 from shelfrank.operators.ensemble import LinearModel, Model, Node, tree_column
@@ -103,8 +104,7 @@ def _read_tree(tree_model, tree: int, weight: float) -> list[Node]:
 # -- LambdaMART --------------------------------------------------------------
 
 
-@pandas_udf("array<double>")
-def _swap_factors(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+def _swap_factors(gains: Column) -> Column:
     """What a swap in a list's head does to ERR, per unit of gain difference.
 
     Input: gains of the first k documents. Output: a (k, k+1) table as one array;
@@ -113,22 +113,29 @@ def _swap_factors(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
     the chance to get to a, M the value between the places, Q the chance to pass
     between them; beyond k only S_a (R_b - R_a)(1/a - M) is left.
     """
-    for batch in batches:
-        answers = []
-        for gains in batch:
-            gains = np.asarray(gains, dtype=float)
-            table = np.zeros((DEPTH, DEPTH + 1))
-            reach = np.concatenate(([1.0], np.cumprod(1 - gains)))
-            for a in range(len(gains)):
-                passed = np.concatenate(([1.0], np.cumprod(1 - gains[a + 1 :])))
-                ranks = np.arange(a + 2, len(gains) + 1)
-                between = np.concatenate(([0.0], np.cumsum(gains[a + 1 :] * passed[:-1] / ranks)))
-                own = 1.0 / (a + 1)
-                inside = own - between[:-1] - passed[:-1] / ranks
-                table[a, a + 1 : len(gains)] = reach[a] * np.abs(inside)
-                table[a, DEPTH] = reach[a] * abs(own - between[-1])
-            answers.append(table.ravel())
-        yield pd.Series(answers)
+    depth = DEPTH
+
+    @pandas_udf(T.ArrayType(T.DoubleType()))
+    def factors(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for batch in batches:
+            answers = []
+            for row in batch:
+                row = np.asarray(row, dtype=float)
+                table = np.zeros((depth, depth + 1))
+                reach = np.concatenate(([1.0], np.cumprod(1 - row)))
+                for a in range(len(row)):
+                    below = row[a + 1 :]
+                    ranks = np.arange(a + 2, len(row) + 1)
+                    passed = np.concatenate(([1.0], np.cumprod(1 - below)))
+                    between = np.concatenate(([0.0], np.cumsum(below * passed[:-1] / ranks)))
+                    own = 1.0 / (a + 1)
+                    inside = own - between[:-1] - passed[:-1] / ranks
+                    table[a, a + 1 : len(row)] = reach[a] * np.abs(inside)
+                    table[a, depth] = reach[a] * abs(own - between[-1])
+                answers.append(table.ravel())
+            yield pd.Series(answers)
+
+    return factors(gains)
 
 
 def _lambdas(scored: DataFrame) -> DataFrame:

@@ -99,7 +99,8 @@ def tune(
 
     done: list[Trial] = []
     failures: list[Exception] = []
-    target = inheritable_thread_target(run)
+    # trials run under the caller's job group and local properties
+    target = inheritable_thread_target(SparkSession.active())(run)
     with ThreadPoolExecutor(max_workers=parallel) as pool:
         for future in [pool.submit(target, number) for number in range(trials)]:
             try:
