@@ -13,12 +13,13 @@ with a weight.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shelfrank.functions.text import format_context_key
 from shelfrank.session import cut_lineage
 
 # rows of one (search, document) pair that go into one task of the parameter join
@@ -112,31 +113,29 @@ def _examined(alphas: Column, sigma: Column, bought: Column, has_head: Column, g
     return seen, satisfied
 
 
-def _expected_counts(tails_long: DataFrame, parameters: DataFrame, gamma: float) -> DataFrame:
-    """One E-step: expected numerators per pair, and gamma's on the NULL pair."""
-    joined = tails_long.join(parameters, ["pair", "salt"])
-    grouped = joined.groupBy("tail").agg(
-        F.max("weight").alias("weight"),
-        F.max("bought").alias("bought"),
-        F.array_sort(F.collect_list(F.struct("place", "pair", "alpha", "sigma"))).alias("docs"),
-    )
-    has_head = F.get("docs", F.lit(0))["place"] == 0
-    split = grouped.select(
+def _expectation() -> Callable[[DataFrame, DataFrame], DataFrame]:
+    """The E-step: expected numerators per pair, and gamma's on the NULL pair.
+
+    The expressions are the same in every round, so they are built once; gamma
+    comes in as a column next to alpha and sigma.
+    """
+    first_doc = F.get("docs", F.lit(0))
+    has_head = first_doc["place"] == 0
+    split = [
         "weight",
         "bought",
+        first_doc["gamma"].alias("gamma"),
         has_head.alias("has_head"),
-        F.when(has_head, F.get("docs", F.lit(0))).alias("head"),
+        F.when(has_head, first_doc).alias("head"),
         F.filter("docs", lambda doc: doc["place"] > 0).alias("rest"),
-    )
+    ]
     seen, satisfied = _examined(
         F.transform("rest", lambda doc: doc["alpha"]),
         F.col("head.sigma"),
         F.col("bought"),
         F.col("has_head"),
-        F.lit(gamma),
+        F.col("gamma"),
     )
-    solved = split.withColumn("seen", seen).withColumn("satisfied", satisfied)
-    no_pair = F.lit(None).cast("bigint")
     nothing = F.lit(0.0)
 
     def entry(pair, alpha_part, sigma_part, gamma_part, gamma_total):
@@ -170,19 +169,33 @@ def _expected_counts(tails_long: DataFrame, parameters: DataFrame, gamma: float)
     could = total - last + F.when(
         F.col("has_head") & (F.size("rest") > 0), 1 - F.col("satisfied")
     ).otherwise(nothing)
+    no_pair = F.lit(None).cast("bigint")
     shared = F.array(entry(no_pair, nothing, nothing, weight * went_on, weight * could))
     none = F.filter(shared, lambda unused: F.lit(False))
-    return (
-        solved.select(F.explode(F.concat(below, F.coalesce(head, none), shared)).alias("part"))
-        .select("part.*")
-        .groupBy("pair")
-        .agg(
-            F.sum("alpha_part").alias("alpha_part"),
-            F.sum("sigma_part").alias("sigma_part"),
-            F.sum("gamma_part").alias("gamma_part"),
-            F.sum("gamma_total").alias("gamma_total"),
+    parts = F.explode(F.concat(below, F.coalesce(head, none), shared)).alias("part")
+    documents = F.array_sort(
+        F.collect_list(F.struct("place", "pair", "alpha", "sigma", "gamma"))
+    ).alias("docs")
+    sums = [
+        F.sum(name).alias(name)
+        for name in ("alpha_part", "sigma_part", "gamma_part", "gamma_total")
+    ]
+    solved = {"seen": seen, "satisfied": satisfied}
+
+    def step(tails_long: DataFrame, parameters: DataFrame) -> DataFrame:
+        return (
+            tails_long.join(parameters, ["pair", "salt"])
+            .groupBy("tail", "weight", "bought")
+            .agg(documents)
+            .select(*split)
+            .withColumns(solved)
+            .select(parts)
+            .select("part.*")
+            .groupBy("pair")
+            .agg(*sums)
         )
-    )
+
+    return step
 
 
 def dbn_em(
@@ -243,38 +256,30 @@ def dbn_em(
         top, bottom = part + spare, total + 2 * spare
         return F.when(bottom > 0, top / bottom).otherwise(F.lit(0.0))
 
-    current = pairs.select("pair", "salts", F.lit(alpha).alias("alpha"), F.lit(sigma).alias("sigma"))
-    fitted = None
+    update = {
+        "alpha": ratio(
+            F.col("alpha_fixed") + F.coalesce("alpha_part", F.lit(0.0)), F.col("alpha_total")
+        ),
+        "sigma": ratio(
+            F.col("sigma_fixed") + F.coalesce("sigma_part", F.lit(0.0)), F.col("sigma_total")
+        ),
+    }
+    expect = _expectation()
+    each_salt = F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt")
+    fitted = pairs.withColumns({"alpha": F.lit(float(alpha)), "sigma": F.lit(float(sigma))})
     for _ in range(iterations):
-        salted = current.select(
-            "pair",
-            "alpha",
-            "sigma",
-            F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"),
-        )
-        counts = cut_lineage(_expected_counts(tails_long, salted, gamma))
+        salted = fitted.select("pair", "alpha", "sigma", F.lit(gamma).alias("gamma"), each_salt)
+        # one small row per pair; the next round starts from this table
+        counts = cut_lineage(expect(tails_long, salted))
         shared = counts.filter(F.col("pair").isNull()).select("gamma_part", "gamma_total").first()
         went_on, could = shared or (0.0, 0.0)
         bonus = 1.0 if smoothing else 0.0
         bottom = gamma_fixed + could + 2 * bonus
         gamma = (gamma_fixed + went_on + bonus) / bottom if bottom > 0 else gamma
         part = counts.filter(F.col("pair").isNotNull()).select("pair", "alpha_part", "sigma_part")
-        fitted = pairs.join(part, "pair", "left").withColumns(
-            {
-                "alpha": ratio(
-                    F.col("alpha_fixed") + F.coalesce("alpha_part", F.lit(0.0)),
-                    F.col("alpha_total"),
-                ),
-                "sigma": ratio(
-                    F.col("sigma_fixed") + F.coalesce("sigma_part", F.lit(0.0)),
-                    F.col("sigma_total"),
-                ),
-            }
-        )
-        current = fitted.select("pair", "salts", "alpha", "sigma")
+        fitted = pairs.join(part, "pair", "left").withColumns(update)
     tails_long.unpersist()
-    source = fitted if fitted is not None else pairs.join(current.drop("salts"), "pair")
-    return source.select(
+    return fitted.select(
         *keys,
         "doc",
         "alpha",
@@ -286,6 +291,4 @@ def dbn_em(
 
 def export_judgments(judgments: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Long form with one text key per search, as the judgment files hold it."""
-    from shelfrank.functions.text import format_context_key
-
     return judgments.select(format_context_key(list(keys)).alias("key"), "doc", "judgment")

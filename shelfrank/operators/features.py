@@ -106,29 +106,20 @@ def training_lists(logged: DataFrame, keys: Sequence[str], min_docs: int = 2) ->
     return logged.join(dense_ids(kept, keys, "qid"), list(keys))
 
 
-def normalise(rows: DataFrame, key: str = "qid", size: int | None = None) -> DataFrame:
+def normalise(
+    rows: DataFrame, keys: Sequence[str] = ("qid",), size: int = len(DEFAULT.features)
+) -> DataFrame:
     """Divide each feature by its list's sum of absolute values; 0 where that is 0.
 
     The sums are an aggregate joined back, so a long list is not gathered.
     """
-    size = size or len(DEFAULT.features)
-    sums = rows.groupBy(key).agg(
-        F.array(
-            *[F.sum(F.abs(F.get("features", F.lit(i)))) for i in range(size)]
-        ).alias("_sums")
+    sums = rows.groupBy(*keys).agg(
+        F.array(*[F.sum(F.abs(F.get("features", F.lit(i)))) for i in range(size)]).alias("_sums")
     )
-    return (
-        rows.join(sums, key)
-        .withColumn(
-            "features",
-            F.zip_with(
-                "features",
-                "_sums",
-                lambda x, s: F.when(s > 0, x / s).otherwise(F.lit(0.0)),
-            ),
-        )
-        .drop("_sums")
+    scaled = F.zip_with(
+        "features", "_sums", lambda x, s: F.when(s > 0, x / s).otherwise(F.lit(0.0))
     )
+    return rows.join(sums, list(keys)).withColumn("features", scaled).drop("_sums")
 
 
 def letor_lines(rows: DataFrame) -> DataFrame:

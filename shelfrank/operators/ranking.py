@@ -15,7 +15,13 @@ from pyspark.sql import functions as F
 from shelfrank.functions.numbers import ctr_boost
 from shelfrank.operators import textmatch
 from shelfrank.operators.ensemble import LinearModel, Model, score_ensemble
-from shelfrank.operators.features import DEFAULT, TEXT_FIELDS, FeatureSet, attach_features
+from shelfrank.operators.features import (
+    DEFAULT,
+    TEXT_FIELDS,
+    FeatureSet,
+    attach_features,
+    normalise,
+)
 
 # fixed values: how the two scores are weighed, and the windows of the two uses
 QUERY_WEIGHT = 0.1
@@ -69,17 +75,22 @@ def rescore(
     features: FeatureSet = DEFAULT,
     query_weight: float = QUERY_WEIGHT,
     model_weight: float = MODEL_WEIGHT,
+    normalised: bool = False,
 ) -> DataFrame:
     """Rescore the first ``window`` results of each context with the model.
 
     Results beyond the window keep their order below it. ``contexts`` may hold
-    columns besides the context (a set name); they are kept.
+    columns besides the context (a set name); they are kept. ``normalised``
+    scales the features of a window by their sums, as training lists may be.
     """
     keys = contexts.columns
     lists = contexts.distinct().join(top, "search_term")
     inside = lists.filter(F.col("pos") < window)
     outside = lists.filter(F.col("pos") >= window)
-    modelled = score_ensemble(attach_features(inside, catalog, features), model)
+    described = attach_features(inside, catalog, features)
+    if normalised:
+        described = normalise(described, keys, len(features.features))
+    modelled = score_ensemble(described, model)
     new = modelled.select(
         *keys,
         "sku",
@@ -105,11 +116,14 @@ def search(
     window: int = BATCH_WINDOW,
     features: FeatureSet = DEFAULT,
     use_ltr: bool = True,
+    normalised: bool = False,
 ) -> DataFrame:
     """Result lists ``(context, sku, score, pos)``, at most ``size`` per context."""
     terms = contexts.select("search_term").distinct()
     top = first_pass_topk(terms, catalog, max(size, window) if use_ltr else size)
     if not use_ltr or model is None:
         return contexts.distinct().join(top, "search_term")
-    found = rescore(top, contexts, catalog, model, window, features)
+    found = rescore(
+        top, contexts, catalog, model, window, features, normalised=normalised
+    )
     return found.filter(F.col("pos") < size)

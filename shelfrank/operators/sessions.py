@@ -1,8 +1,9 @@
 """From session logs to click lists, visitor contexts and evaluation sets.
 
-A *hit* row is one product on one page of one session. ``(hit_pos,
-product_pos)`` orders the hits of a session; comparing that pair gives the same
-order as numbering the rows would, so the list operators never number a session.
+A *hit* row is one product on one page of one session. ``place`` is unique in a
+session and rises with ``(hit_pos, product_pos)``; comparing places gives the
+same order as numbering the rows would, so the list operators never number a
+session.
 """
 
 from __future__ import annotations
@@ -45,6 +46,11 @@ def explode_sessions(sessions: DataFrame, outer: bool = True) -> DataFrame:
         "channel",
         F.col("hit_pos").cast("bigint").alias("hit_pos"),
         F.col("product_pos").cast("bigint").alias("product_pos"),
+        # two array indexes, so each fits in half a bigint
+        (
+            F.shiftleft(F.col("hit_pos").cast("bigint"), 32)
+            + F.coalesce("product_pos", F.lit(0))
+        ).alias("place"),
         F.col("hit.pagepath").alias("pagepath"),
         F.col("hit.action_type").alias("action_type"),
         "product.*",
@@ -144,7 +150,7 @@ def search_rows(hits: DataFrame) -> DataFrame:
         F.col("sku").alias("doc"),
         numbers.flag(F.col("is_click")).alias("click"),
         "hit_pos",
-        "product_pos",
+        "place",
     )
 
 
@@ -153,10 +159,10 @@ def search_hits(hits: DataFrame) -> DataFrame:
     return numbered_within(
         search_rows(hits),
         keys=["session_id"],
-        order=["hit_pos", "product_pos"],
+        order=["place"],
         chunk=F.floor(F.col("hit_pos") / HITS_PER_CHUNK),
         name="position",
-    ).drop("hit_pos", "product_pos")
+    ).drop("hit_pos", "place")
 
 
 # -- lists -------------------------------------------------------------------
@@ -182,12 +188,12 @@ def rolled_docs(hits: DataFrame, by: Sequence[str] = ()) -> DataFrame:
             F.when(on_search, text.normalize_query(F.col("pagepath"))).alias("query"),
             numbers.flag(F.col("is_click")).alias("click"),
             numbers.flag(bought).alias("bought"),
-            F.struct("hit_pos", "product_pos").alias("seen"),
+            F.col("place").alias("seen"),
         )
     )
-    rolled = rows.groupBy(*by, "session_id", "doc", "query").agg(
-        F.max("fv").alias("fv"),
-        F.max("channel").alias("channel"),
+    # visitor and channel belong to the session: as keys they keep the aggregate
+    # on fixed-width buffers, and so hashed rather than sorted
+    rolled = rows.groupBy(*by, "session_id", "fv", "channel", "doc", "query").agg(
         F.max("click").alias("click"),
         F.max("bought").alias("bought"),
         F.min("seen").alias("seen"),
@@ -263,9 +269,8 @@ def session_lists(
 def nested_lists(lists: DataFrame) -> DataFrame:
     """Lists as one row with an ordered array; a list is bounded by ``max_docs``."""
     entry = F.struct("list_pos", "doc", "click", "purchase")
-    return lists.groupBy("session_id", "query").agg(
-        F.max("fv").alias("fv"),
-        F.array_sort(F.collect_list(entry)).alias("docs"),
+    return lists.groupBy("session_id", "query", "fv").agg(
+        F.array_sort(F.collect_list(entry)).alias("docs")
     )
 
 
@@ -277,9 +282,8 @@ def visitor_context(hits: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 
     ``by`` keeps visitors of several labelled date windows apart.
     """
-    per_session = hits.groupBy(*by, "fv", "session_id").agg(
-        F.avg(numbers.micros_to_units(F.col("price_micros"))).alias("ticket"),
-        F.max("channel").alias("channel"),
+    per_session = hits.groupBy(*by, "fv", "session_id", "channel").agg(
+        F.avg(numbers.micros_to_units(F.col("price_micros"))).alias("ticket")
     )
     first = F.min_by(F.struct("channel"), "session_id")["channel"]
     return (

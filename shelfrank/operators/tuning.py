@@ -54,6 +54,7 @@ def evaluate(
     size: int = ranking.RESULT_SIZE,
     window: int = ranking.BATCH_WINDOW,
     features: FeatureSet = DEFAULT,
+    normalised: bool = False,
 ) -> DataFrame:
     """Mean percentile rank per ``set_name``, all sets in one job.
 
@@ -62,7 +63,14 @@ def evaluate(
     keys = ["set_name", *CONTEXT]
     contexts = sets.select(*keys).distinct()
     found = ranking.search(
-        contexts, catalog, model, size, window, features, use_ltr=model is not None
+        contexts,
+        catalog,
+        model,
+        size,
+        window,
+        features,
+        use_ltr=model is not None,
+        normalised=normalised,
     )
     return mean_percentile_rank(found, sets, keys, by=["set_name"])
 

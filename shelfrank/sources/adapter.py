@@ -57,6 +57,7 @@ def event_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
         _channel((F.col("user_id") + window) % 8).alias("channel"),
         F.col("event_id").alias("hit_pos"),
         F.lit(0).cast("bigint").alias("product_pos"),
+        F.col("event_id").alias("place"),
         page.alias("pagepath"),
         F.when(F.col("event_type") == "purchase", F.lit("6"))
         .otherwise(F.lit("0"))
@@ -89,6 +90,10 @@ def order_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
         _channel(F.col("o_custkey") % 8).alias("channel"),
         F.col("l_linenumber").cast("bigint").alias("hit_pos"),
         F.col("l_partkey").alias("product_pos"),
+        # keys stay below 2^48 and line numbers below 2^15
+        (F.shiftleft(F.col("l_linenumber").cast("bigint"), 48) + F.col("l_partkey")).alias(
+            "place"
+        ),
         F.concat(F.lit(_SHOP), term).alias("pagepath"),
         F.when(F.col("l_returnflag") == "R", F.lit("6")).otherwise(F.lit("0")).alias("action_type"),
         F.col("l_partkey").cast("string").alias("sku"),
