@@ -56,13 +56,18 @@ def nest_entries(
     takes to keep the arrays around half of ``max_entries``, so no row or task
     grows with the hottest key.
     """
-    rows_per_key = F.ceil(F.col("_n") * 2 / F.lit(max_entries))
-    sizes = df.groupBy(*keys).agg(F.count("*").alias("_n"))
-    split = F.when(F.col("_n") <= max_entries, F.lit(1)).otherwise(rows_per_key)
-    matches = [df[key].eqNullSafe(sizes[key]) for key in keys]
-    joined = df.join(sizes, matches).select(*[df[column] for column in df.columns], "_n")
+    rows_per_key = F.when(F.col("_n") <= max_entries, F.lit(1)).otherwise(
+        F.ceil(F.col("_n") * 2 / F.lit(max_entries))
+    )
+    sizes = (
+        df.groupBy(*keys)
+        .agg(F.count("*").alias("_n"))
+        .select(*[F.col(key).alias(f"_key_{key}") for key in keys], rows_per_key.alias("_rows"))
+    )
+    same = [F.col(key).eqNullSafe(F.col(f"_key_{key}")) for key in keys]
     return (
-        joined.withColumn("_row", F.pmod(F.xxhash64(*unique), split))
+        df.join(sizes, same)
+        .withColumn("_row", F.pmod(F.xxhash64(*unique), F.col("_rows")))
         .groupBy(*keys, "_row")
         .agg(F.array_sort(F.collect_list(entry)).alias(name))
         .drop("_row")
