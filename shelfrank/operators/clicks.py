@@ -7,8 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfrank.operators.numbering import group_percentiles
-from shelfrank.session import cut_lineage
+from shelfrank.operators.numbering import percentiles_of, placed_in_groups
 
 # fixed values: grades are the fifths of a search's judgments
 GRADE_POINTS = (0.2, 0.4, 0.6, 0.8, 1.0)
@@ -43,26 +42,23 @@ def sdbn(lists: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
 
 
-def informative(judgments: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Drop searches whose judgments are all equal."""
-    spread = (
-        judgments.groupBy(*keys)
-        .agg(F.min("judgment").alias("_low"), F.max("judgment").alias("_high"))
-        .filter(F.col("_high") > F.col("_low"))
-        .select(*keys)
-    )
-    return judgments.join(spread, list(keys), "left_semi")
-
-
 def grade(judgments: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Grade 0 to 4: the first fifth of its search that a judgment fits in."""
-    kept = cut_lineage(informative(judgments, keys))
-    edges = group_percentiles(kept, keys, "judgment", "doc", GRADE_POINTS, "_edges")
+    """Grade 0 to 4: the first fifth of its search that a judgment fits in.
+
+    Searches whose judgments are all equal are dropped.
+    """
+    placed, spans = placed_in_groups(judgments, keys, "judgment", "doc")
+    informative = spans.filter(F.col("_high") > F.col("_low"))
+    edges = percentiles_of(placed, informative, keys, "judgment", GRADE_POINTS, "_edges")
     value = F.lit(len(GRADE_POINTS) - 1)
     for number in reversed(range(len(GRADE_POINTS) - 1)):
         fits = F.col("judgment") <= F.get("_edges", F.lit(number)) + F.lit(EDGE)
         value = F.when(fits, F.lit(number)).otherwise(value)
-    return kept.join(edges, list(keys)).withColumn("grade", value.cast("int")).drop("_edges")
+    return (
+        placed.join(edges, list(keys))
+        .withColumn("grade", value.cast("int"))
+        .select(*judgments.columns, "grade")
+    )
 
 
 def lists_with_last_click(

@@ -80,12 +80,12 @@ def attach_features(
     customer_avg_ticket, sku``; rows whose document is not in the catalog go.
     """
     docs = textmatch.with_tokens(catalog, TEXT_FIELDS)
+    used = ["price", *[column for column in catalog.columns if column.startswith("ctr_")]]
+    # a pair is scored once, however many contexts share it
     pairs = rows.select("search_term", "sku").distinct()
-    scored = textmatch.bm25(pairs, docs, TEXT_FIELDS)
-    known = catalog.select("sku", "price", *[c for c in catalog.columns if c.startswith("ctr_")])
+    scored = textmatch.bm25(pairs, docs, TEXT_FIELDS, carry=used)
     return (
         rows.join(scored, ["search_term", "sku"])
-        .join(known, "sku")
         .withColumn("features", features.as_array())
         .select(*rows.columns, "features")
     )

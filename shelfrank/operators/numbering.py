@@ -71,23 +71,35 @@ def dense_ids(df: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
     return sorted_index(df.select(*keys).distinct(), keys, name)
 
 
-def group_percentiles(
-    df: DataFrame,
+def placed_in_groups(
+    df: DataFrame, keys: Sequence[str], value: str, unique: str
+) -> tuple[DataFrame, DataFrame]:
+    """All rows with their place in the order of (keys, value, unique), and per
+    group its first place, size, lowest and highest value.
+    """
+    placed = sorted_index(df, [*keys, value, unique], "_at")
+    spans = placed.groupBy(*keys).agg(
+        F.min("_at").alias("_first"),
+        F.count("*").alias("_n"),
+        F.min(value).alias("_low"),
+        F.max(value).alias("_high"),
+    )
+    return placed, spans
+
+
+def percentiles_of(
+    placed: DataFrame,
+    spans: DataFrame,
     keys: Sequence[str],
     value: str,
-    unique: str,
     points: Sequence[float],
     name: str = "percentiles",
 ) -> DataFrame:
-    """Exact percentiles per group with linear interpolation, for groups of any size.
+    """Exact percentiles per group of ``spans``, linearly interpolated.
 
-    All rows are sorted once over the cluster; a percentile is then the value at
-    one or two known places, picked by an ordinary partial aggregate.
+    A percentile is the value at one or two known places, so an ordinary partial
+    aggregate finds it in groups of any size.
     """
-    placed = sorted_index(df.select(*keys, value, unique), [*keys, value, unique], "_at")
-    spans = placed.groupBy(*keys).agg(
-        F.min("_at").alias("_first"), F.count("*").alias("_n")
-    )
     at = F.col("_at") - F.col("_first")
     picks, results = [], []
     for number, point in enumerate(points):
@@ -95,13 +107,25 @@ def group_percentiles(
         low, high = F.floor(place), F.ceil(place)
         picks.append(F.max(F.when(at == low, F.col(value))).alias(f"_low{number}"))
         picks.append(F.max(F.when(at == high, F.col(value))).alias(f"_high{number}"))
-        share = place - low
-        results.append(
-            F.col(f"_low{number}") + (F.col(f"_high{number}") - F.col(f"_low{number}")) * share
-        )
+        low_value, high_value = F.col(f"_low{number}"), F.col(f"_high{number}")
+        results.append(low_value + (high_value - low_value) * (place - low))
     return (
-        placed.join(spans, list(keys))
+        placed.select(*keys, value, "_at")
+        .join(spans.select(*keys, "_first", "_n"), list(keys))
         .groupBy(*keys)
-        .agg(F.first("_n").alias("_n"), *picks)
+        .agg(F.max("_n").alias("_n"), *picks)
         .select(*keys, F.array(*results).alias(name))
     )
+
+
+def group_percentiles(
+    df: DataFrame,
+    keys: Sequence[str],
+    value: str,
+    unique: str,
+    points: Sequence[float],
+    name: str = "percentiles",
+) -> DataFrame:
+    """Exact percentiles per group, for groups of any size."""
+    placed, spans = placed_in_groups(df.select(*keys, value, unique), keys, value, unique)
+    return percentiles_of(placed, spans, keys, value, points, name)

@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfrank.functions.numbers import ctr_boost
+from shelfrank.functions.numbers import ctr_boost, stable
 from shelfrank.operators import textmatch
 from shelfrank.operators.ensemble import LinearModel, Model, score_ensemble
 from shelfrank.operators.features import (
@@ -50,15 +50,15 @@ def first_pass(queries: DataFrame, catalog: DataFrame) -> DataFrame:
     """``search_term, sku, score`` of all matches: match score plus CTR boost."""
     docs = textmatch.with_tokens(catalog, TEXT_FIELDS)
     matched = textmatch.match_cross_fields(queries, docs, TEXT_FIELDS)
-    scored = textmatch.bm25(matched, docs, TEXT_FIELDS, blended=True)
+    scored = textmatch.bm25(matched, docs, TEXT_FIELDS, blended=True, carry=["ctr"])
     # a key is a field of its own without lengths: one document of n holds it
     total = docs.select(F.count("*").cast("double")).scalar()
     key_score = textmatch.idf(total, F.lit(1.0))
     match_score = F.greatest(
         F.col("match_score"), F.when(F.col("exact"), key_score).otherwise(F.lit(0.0))
     )
-    return scored.join(catalog.select("sku", "ctr"), "sku").select(
-        "search_term", "sku", (match_score + ctr_boost(F.col("ctr"))).alias("score")
+    return scored.select(
+        "search_term", "sku", stable(match_score + ctr_boost(F.col("ctr"))).alias("score")
     )
 
 
@@ -85,27 +85,41 @@ def rescore(
     """
     keys = contexts.columns
     lists = contexts.distinct().join(top, "search_term")
-    inside = lists.filter(F.col("pos") < window)
-    outside = lists.filter(F.col("pos") >= window)
+    inside = rescored_window(
+        lists.filter(F.col("pos") < window),
+        keys,
+        catalog,
+        model,
+        features,
+        query_weight,
+        model_weight,
+        normalised,
+    )
+    outside = lists.filter(F.col("pos") >= window).select(*keys, "sku", "score", "pos")
+    return inside.unionByName(outside)
+
+
+def rescored_window(
+    inside: DataFrame,
+    keys: Sequence[str],
+    catalog: DataFrame,
+    model: Model | LinearModel,
+    features: FeatureSet = DEFAULT,
+    query_weight: float = QUERY_WEIGHT,
+    model_weight: float = MODEL_WEIGHT,
+    normalised: bool = False,
+) -> DataFrame:
+    """The first results of each search in the order of both scores.
+
+    They only change places among themselves, so results below the window need
+    no new place.
+    """
     described = attach_features(inside, catalog, features)
     if normalised:
         described = normalise(described, keys, len(features.features))
-    modelled = score_ensemble(described, model)
-    new = modelled.select(
-        *keys,
-        "sku",
-        F.lit(1).alias("_inside"),
-        (F.col("score") * query_weight + F.col("model_score") * model_weight).alias("score"),
-    )
-    old = outside.select(*keys, "sku", F.lit(0).alias("_inside"), "score")
-    order = Window.partitionBy(*keys).orderBy(
-        F.desc("_inside"), F.desc("score"), F.asc("sku")
-    )
-    return (
-        new.unionByName(old)
-        .withColumn("pos", F.row_number().over(order).cast("bigint") - 1)
-        .drop("_inside")
-    )
+    both = stable(F.col("score") * query_weight + F.col("model_score") * model_weight)
+    scored = score_ensemble(described, model).select(*keys, "sku", both.alias("score"))
+    return ranked(scored, keys, "score")
 
 
 def search(

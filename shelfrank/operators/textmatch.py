@@ -60,16 +60,19 @@ def tf_part(tf: Column, length: Column, average: Column) -> Column:
     return tf * (K1 + 1) / (tf + K1 * (1 - B + B * length / average))
 
 
-def field_totals(docs: DataFrame, fields: Sequence[str]) -> dict[str, Column]:
-    """Number of documents and average lengths, as scalar subqueries."""
-    totals = {}
+def field_totals(docs: DataFrame, fields: Sequence[str]) -> Column:
+    """Document counts and average lengths: one scalar subquery, one pass.
+
+    A struct of ``n`` and, per field, ``n_<field>`` and ``avg_<field>`` over the
+    documents in which the field is not empty.
+    """
+    parts = [F.count("*").cast("double").alias("n")]
     for field in fields:
         length = F.size(token_column(field))
-        filled = docs.filter(length > 0)
-        totals[f"n_{field}"] = filled.select(F.count("*").cast("double")).scalar()
-        totals[f"avg_{field}"] = filled.select(F.avg(length)).scalar()
-    totals["n"] = docs.select(F.count("*").cast("double")).scalar()
-    return totals
+        filled = F.when(length > 0, length)
+        parts.append(F.count(filled).cast("double").alias(f"n_{field}"))
+        parts.append(F.avg(filled).alias(f"avg_{field}"))
+    return docs.agg(F.struct(*parts).alias("totals")).scalar()
 
 
 def query_terms(queries: DataFrame, query: str) -> DataFrame:
@@ -134,19 +137,25 @@ def match_cross_fields(
     return matched.unionAll(equal).groupBy(query, key).agg(F.max("exact").alias("exact"))
 
 
-def _weighted_terms(pairs: DataFrame, docs: DataFrame, fields, query: str) -> DataFrame:
+def _weighted_terms(
+    pairs: DataFrame, docs: DataFrame, fields: Sequence[str], query: str
+) -> DataFrame:
     """Per search text its terms with the inverse document frequency per field."""
-    totals = field_totals(docs, fields)
     frequency = document_frequencies(docs, fields)
-    weights = [
-        idf(totals[f"n_{f}"], F.coalesce(f"df_{f}", F.lit(0))).alias(f"w_{f}") for f in fields
-    ]
-    blended = idf(totals["n"], F.coalesce("df_any", F.lit(0))).alias("w_any")
-    averages = [totals[f"avg_{f}"].alias(f"avg_{f}") for f in fields]
+    known = [F.coalesce(f"df_{f}", F.lit(0)) for f in fields]
+    total = F.col("_totals")
+    entry = F.struct(
+        "term",
+        "times",
+        *[idf(total[f"n_{f}"], df).alias(f"w_{f}") for f, df in zip(fields, known)],
+        idf(total["n"], F.coalesce("df_any", F.lit(0))).alias("w_any"),
+        *[F.coalesce(total[f"avg_{f}"], F.lit(1.0)).alias(f"avg_{f}") for f in fields],
+    )
     return (
         query_terms(pairs, query)
         .join(frequency, "term", "left")
-        .select(query, F.struct("term", "times", *weights, blended, *averages).alias("entry"))
+        .withColumn("_totals", field_totals(docs, fields))
+        .select(query, entry.alias("entry"))
         .groupBy(query)
         .agg(F.array_sort(F.collect_list("entry")).alias("_terms"))
     )
@@ -163,19 +172,21 @@ def bm25(
     query: str = "search_term",
     key: str = "sku",
     blended: bool = False,
+    carry: Sequence[str] = (),
 ) -> DataFrame:
     """BM25 of each field for given (search, document) pairs.
 
     Adds ``bm25_<field>`` (0 where no term occurs). With ``blended`` it adds
     ``match_score`` instead: per term the better field, weighted by the document
     frequency of its fullest field, as a search over several fields scores.
+    ``carry`` names document columns to add in the same join.
     """
     weighted = _weighted_terms(pairs, docs, fields, query)
     lengths = {f: F.size(token_column(f)).cast("double") for f in fields}
 
     def part(field: str, entry: Column) -> Column:
         tf = _frequency(F.col(token_column(field)), entry["term"])
-        return tf_part(tf, lengths[field], F.coalesce(entry[f"avg_{field}"], F.lit(1.0)))
+        return tf_part(tf, lengths[field], entry[f"avg_{field}"])
 
     def total(score) -> Column:
         return F.aggregate(
@@ -194,7 +205,7 @@ def bm25(
             f"bm25_{f}": total(lambda entry, f=f: entry[f"w_{f}"] * part(f, entry))
             for f in fields
         }
-    tokens = docs.select(key, *[token_column(f) for f in fields])
+    tokens = docs.select(key, *carry, *[token_column(f) for f in fields])
     empty = F.array().cast(weighted.schema["_terms"].dataType)
     return (
         pairs.join(weighted, query, "left")

@@ -16,9 +16,9 @@ from pyspark.sql import functions as F
 from shelfrank.operators import ranking
 from shelfrank.operators.ensemble import LinearModel, Model
 from shelfrank.operators.features import DEFAULT, FeatureSet
-from shelfrank.operators.metrics import mean_percentile_rank
 from shelfrank.operators.sessions import CONTEXT
 from shelfrank.schemas import TRIALS
+from shelfrank.session import cut_lineage
 
 # fixed values: trials in all, at a time, and how many may fail
 MAX_TRIALS = 6
@@ -55,24 +55,55 @@ def evaluate(
     window: int = ranking.BATCH_WINDOW,
     features: FeatureSet = DEFAULT,
     normalised: bool = False,
+    top: DataFrame | None = None,
 ) -> DataFrame:
     """Mean percentile rank per ``set_name``, all sets in one job.
 
-    ``sets`` holds the purchased ``sku`` per context and set.
+    ``sets`` holds the purchased ``sku`` per context and set. The result equals
+    ``metrics.mean_percentile_rank`` over the full result lists, without building
+    them per context: below the window a document keeps the place of the first
+    pass, which the search text alone decides, and the window is only rescored
+    for contexts that bought something in it. ``top`` may pass in the first
+    pass, which does not depend on the model.
     """
     keys = ["set_name", *CONTEXT]
-    contexts = sets.select(*keys).distinct()
-    found = ranking.search(
-        contexts,
-        catalog,
-        model,
-        size,
-        window,
-        features,
-        use_ltr=model is not None,
-        normalised=normalised,
+    if top is None:
+        top = first_pass_lists(sets, catalog, size, window)
+    lengths = top.groupBy("search_term").agg((F.max("pos") + 1).alias("n"))
+    kept = top.join(lengths.withColumn("n", F.least("n", F.lit(size))), "search_term").filter(
+        F.col("n") >= 2
     )
-    return mean_percentile_rank(found, sets, keys, by=["set_name"])
+    bought = sets.select(*keys, "sku").distinct()
+    found = bought.join(kept, ["search_term", "sku"])
+    if model is not None:
+        hit = found.filter(F.col("pos") < window)
+        lists = (
+            hit.select(*keys).distinct().join(kept.filter(F.col("pos") < window), "search_term")
+        )
+        moved = ranking.rescored_window(
+            lists, keys, catalog, model, features, normalised=normalised
+        ).select(*keys, "sku", "pos")
+        rescored = hit.drop("pos").join(moved, [*keys, "sku"])
+        found = found.filter(F.col("pos") >= window).unionByName(rescored)
+    ranks = (
+        found.filter(F.col("pos") < size)
+        .groupBy("set_name")
+        .agg((F.sum(F.col("pos") / (F.col("n") - 1)) / F.count("*")).alias("_rank"))
+    )
+    return (
+        sets.select("set_name")
+        .distinct()
+        .join(ranks, "set_name", "left")
+        .select("set_name", F.coalesce("_rank", F.lit(0.5)).alias("rank"))
+    )
+
+
+def first_pass_lists(
+    sets: DataFrame, catalog: DataFrame, size: int = ranking.RESULT_SIZE, window: int = 0
+) -> DataFrame:
+    """First-pass results of every search text in ``sets``, as a table of its own."""
+    terms = sets.select("search_term").distinct()
+    return cut_lineage(ranking.first_pass_topk(terms, catalog, max(size, window)))
 
 
 def best_trial(trials: DataFrame) -> DataFrame:

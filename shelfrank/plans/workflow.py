@@ -104,6 +104,8 @@ def run_workflow(spark: SparkSession, hits: DataFrame, settings: Settings) -> di
     sets = build_evaluation_sets(spark, hits, settings)
     rows = build_training_set(spark, hits, catalog, settings)
 
+    top = tuning.first_pass_lists(sets, catalog, settings.size, settings.window)
+
     def ranks(model: Model | LinearModel, *names: str) -> dict[str, float]:
         wanted = sets.filter(F.col("set_name").isin(*names))
         measured = tuning.evaluate(
@@ -113,6 +115,7 @@ def run_workflow(spark: SparkSession, hits: DataFrame, settings: Settings) -> di
             settings.size,
             settings.window,
             normalised=settings.normalised,
+            top=top,
         )
         # one row per window
         found = {row["set_name"]: row["rank"] for row in measured.collect()}

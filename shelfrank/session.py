@@ -16,6 +16,8 @@ RECOMMENDED = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.scheduler.mode": "FAIR",
+    # drop checkpoint files nothing refers to any more
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     # no call-site lookup for every Column expression the driver builds
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
