@@ -5,12 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# fixed values: the patterns that turn a page path into a search term
-LAST_SEGMENT = r"([^\/]+)$"
-PLUS_RUN = r"(\+)+"
+# fixed values: what is replaced, in this order, in the last segment of a page path
+PLUS_RUN = r"\++"
 T_SPACE = "t "
 LONE_S = " s ?"
-AXD_SUFFIX = r"\.axd"
+AXD_SUFFIX = ".axd"
 
 # fixed values: which pages count as search result pages
 NOT_SEARCH = r"\.html|home"
@@ -25,10 +24,12 @@ WORD = r"[\p{L}\p{N}_]+(?:['’.][\p{L}\p{N}_]+)*"
 
 def normalize_query(pagepath: Column) -> Column:
     """Search term of a page path; ``''`` where the path has no last segment."""
-    term = F.regexp_extract(pagepath, LAST_SEGMENT, 1)
-    for pattern, put in ((PLUS_RUN, " "), (T_SPACE, "t"), (LONE_S, " "), (AXD_SUFFIX, "")):
-        term = F.regexp_replace(term, pattern, put)
-    return term
+    # plain string functions where no pattern is needed: this runs on every hit
+    term = F.substring_index(pagepath, "/", -1)
+    term = F.regexp_replace(term, PLUS_RUN, " ")
+    term = F.replace(term, F.lit(T_SPACE), F.lit("t"))
+    term = F.regexp_replace(term, LONE_S, " ")
+    return F.replace(term, F.lit(AXD_SUFFIX), F.lit(""))
 
 
 def is_search_page(
@@ -43,11 +44,11 @@ def valid_sku(sku: Column) -> Column:
 
 
 def channel_group(channel: Column) -> Column:
-    return F.regexp_replace(F.lower(channel), " ", "_")
+    return F.translate(F.lower(channel), " ", "_")
 
 
 def clean_category(category: Column) -> Column:
-    return F.regexp_replace(category, "/", " ")
+    return F.translate(category, "/", " ")
 
 
 def tokenize(text: Column) -> Column:

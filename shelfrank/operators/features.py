@@ -79,6 +79,9 @@ def attach_features(
     """Add ``features`` to rows of ``search_term, channel_group,
     customer_avg_ticket, sku``; rows whose document is not in the catalog go.
     """
+    missing = [param for param in features.params if param not in rows.columns]
+    if missing:
+        raise ValueError(f"feature set {features.name!r} needs columns {missing}")
     docs = textmatch.with_tokens(catalog, TEXT_FIELDS)
     used = ["price", *[column for column in catalog.columns if column.startswith("ctr_")]]
     # a pair is scored once, however many contexts share it

@@ -70,6 +70,14 @@ def _depth(leaf: int) -> int:
     return max(1, math.ceil(math.log2(leaf)))
 
 
+def with_document_ids(rows: DataFrame) -> DataFrame:
+    """Rows of a training text file have no documents: number them to break ties.
+
+    The numbers are written down, so every stage sees the same ones.
+    """
+    return cut_lineage(rows.withColumn("doc", F.monotonically_increasing_id().cast("string")))
+
+
 # -- trees of Spark ML as node tables ----------------------------------------
 
 

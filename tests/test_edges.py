@@ -6,7 +6,15 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from shelfrank.operators import ensemble, features, sessions, tuning
+from shelfrank.operators import (
+    ensemble,
+    features,
+    metrics,
+    ranking,
+    sessions,
+    training,
+    tuning,
+)
 from shelfrank.plans import queries, workflow
 from shelfrank.schemas import CLICKSTREAM, VALIDATION
 from shelfrank.sources import adapter, readers, writers
@@ -179,6 +187,55 @@ def test_tune_allows_one_failure(spark):
         tuning.tune(broken, lambda m: ranks, {"x": ("double", 0, 1)}, trials=3, parallel=1)
 
 
+def test_training_from_text(spark, sf_dir, tmp_path):
+    """Training text -> model, without documents in the rows."""
+    rows = queries.training_rows(spark, sf_dir)
+    path = str(tmp_path / "letor")
+    writers.write_letor(rows, path)
+    read = training.with_document_ids(readers.read_letor(spark, path))
+    assert read.count() == rows.count()
+    model = training.train_lambdamart(read, trees=1, leaf=4)
+    assert sum(node.is_leaf for node in model) >= 2
+
+
+def test_evaluation_equals_full_lists(spark, sf_dir):
+    """The shortcut gives the metric of complete result lists."""
+    sets = queries.evaluation_sets(spark, sf_dir)
+    docs = queries.event_catalog(spark, sf_dir)
+    keys = ["set_name", *sessions.CONTEXT]
+    for model, size, window in ((None, 1000, 50), (queries.SMALL_MODEL, 6, 4)):
+        short = tuning.evaluate(model, sets, docs, size, window)
+        lists = ranking.search(
+            sets.select(*keys).distinct(), docs, model, size, window, use_ltr=model is not None
+        )
+        full = metrics.mean_percentile_rank(lists, sets, keys, by=["set_name"])
+        expected = {r["set_name"]: r["rank"] for r in full.collect()}
+        found = {r["set_name"]: r["rank"] for r in short.collect()}
+        assert found == pytest.approx(expected, abs=1e-12)
+
+
+def test_renaming_documents_keeps_metrics(spark):
+    rows = spark.createDataFrame(
+        [("q", i, f"d{i}", g) for i, g in enumerate([2, 0, 4, 1])],
+        "query string, pos bigint, sku string, grade int",
+    )
+    renamed = rows.withColumn("sku", F.concat(F.lit("x"), F.col("sku")))
+    bought = [frame.filter("grade = 4").select("query", "sku") for frame in (rows, renamed)]
+    errs = [metrics.err_at_k(f, ["query"], [F.asc("pos")]).first()["err"] for f in (rows, renamed)]
+    ranks = [
+        metrics.mean_percentile_rank(f, b, ["query"]).first()["rank"]
+        for f, b in zip((rows, renamed), bought)
+    ]
+    assert errs[0] == errs[1] and ranks[0] == ranks[1] == pytest.approx(2 / 3)
+
+
+def test_feature_parameters_are_checked(spark, sf_dir):
+    docs = queries.event_catalog(spark, sf_dir)
+    rows = spark.createDataFrame([("pen", "1")], "search_term string, sku string")
+    with pytest.raises(ValueError, match="channel_group"):
+        features.attach_features(rows, docs)
+
+
 def test_workflow(spark, sf_dir, tmp_path):
     settings = workflow.Settings(
         root=str(tmp_path / "run"),
