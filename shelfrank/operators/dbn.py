@@ -103,13 +103,18 @@ def _examined(alphas: Column, sigma: Column, bought: Column, has_head: Column, g
         .when(size == 0, F.lit(1.0))
         .otherwise(sigma + (1 - sigma) * (1 - gamma + gamma * quiet[0]))
     )
-    start = F.when(bought, F.lit(0.0)).otherwise(go_on / evidence)
+    # the evidence of an observed list is positive but may underflow
+    start = F.when(bought, F.lit(0.0)).otherwise(
+        F.coalesce(F.try_divide(go_on, evidence), F.lit(0.0))
+    )
     seen = F.zip_with(
         F.slice(reach, F.lit(1), size),
         F.slice(quiet, F.lit(1), size),
         lambda reached, silent: reached * silent * start,
     )
-    satisfied = F.when(bought, F.lit(1.0)).otherwise(sigma / evidence)
+    satisfied = F.when(bought, F.lit(1.0)).otherwise(
+        F.coalesce(F.try_divide(sigma, evidence), F.lit(0.0))
+    )
     return seen, satisfied
 
 

@@ -146,8 +146,8 @@ def _swap_factors(gains: Column) -> Column:
     return factors(gains)
 
 
-def _lambdas(scored: DataFrame) -> DataFrame:
-    """Gradient and curvature of ERR per row.
+def lambda_gradients(scored: DataFrame) -> DataFrame:
+    """Add gradient ``lam`` and curvature ``w`` of ERR to rows of ``qid, doc, grade, F``.
 
     ERR only sees the first k places, so a swap matters only when one of the two
     documents is among them: every row is compared with its list's k first
@@ -221,12 +221,7 @@ def _lambdas(scored: DataFrame) -> DataFrame:
     returned = F.when(in_head, F.get("back_lam", F.col("place")))
     curved = F.when(in_head, F.get("back_w", F.col("place")))
     return parts.join(back, "qid", "left").select(
-        "qid",
-        "doc",
-        "grade",
-        "features",
-        "vector",
-        "F",
+        *scored.columns,
         (F.col("lam") - F.coalesce(returned, F.lit(0.0))).alias("lam"),
         (F.col("w") + F.coalesce(curved, F.lit(0.0))).alias("w"),
     )
@@ -263,7 +258,7 @@ def train_lambdamart(
     model: list[Node] = []
     current = base
     for tree in range(1, trees + 1):
-        step = cut_lineage(_lambdas(current))
+        step = cut_lineage(lambda_gradients(current))
         grown = _read_tree(grower.fit(step.select("vector", "lam")), tree, shrinkage)
         shape = {node.node: node for node in grown}
         leaves = step.withColumn("leaf", tree_column(shape, F.col("features"), leaf_id=True))

@@ -459,13 +459,117 @@ FROM (SELECT query, doc,
       FROM probs GROUP BY query, doc) p CROSS JOIN gamma"""
 
 
-def _with_lists(text: str) -> str:
-    """Prefix a query that has a WITH of its own."""
-    return _query("SELECT 1 FROM event_lists").rsplit("\nSELECT 1", 1)[0] + ",\n" + (
+def _em(rounds: int, lists: str) -> str:
+    """The EM rounds one after the other; a list's tail is walked with list_reduce."""
+    parts = [
+        f"""em_rows AS MATERIALIZED (
+  SELECT query, doc, session_id, click, purchase, list_pos, last_click, n_docs,
+         n_docs - last_click AS tail, max(CASE WHEN list_pos = last_click THEN purchase ELSE 0 END)
+           OVER (PARTITION BY session_id, query) AS bought
+  FROM {lists})""",
+        """em0 AS MATERIALIZED (
+  SELECT DISTINCT query, doc, CAST(0.5 AS DOUBLE) AS alpha, CAST(0.5 AS DOUBLE) AS sigma,
+         CAST(0.9 AS DOUBLE) AS gamma FROM em_rows)""",
+    ]
+    for number in range(1, rounds + 1):
+        parts.append(
+            f"""lists{number} AS MATERIALIZED (
+  SELECT r.session_id, r.query, any_value(p.gamma) AS g,
+         coalesce(list(p.alpha ORDER BY list_pos) FILTER (list_pos > last_click), []) AS alphas,
+         max(CASE WHEN list_pos = last_click THEN p.sigma END) AS s
+  FROM em_rows r JOIN em{number - 1} p ON p.query = r.query AND p.doc = r.doc
+  GROUP BY r.session_id, r.query),
+probs{number} AS MATERIALIZED (
+  SELECT r.*, p.alpha AS old_alpha,
+         CASE WHEN l.s IS NULL THEN quiet_first WHEN tail = 0 THEN 1.0
+              ELSE l.s + (1 - l.s) * (1 - l.g + l.g * quiet_first) END AS z,
+         CASE WHEN list_pos > last_click AND bought = 0 THEN
+           CASE WHEN l.s IS NULL THEN 1.0 ELSE (1 - l.s) * l.g END
+           * list_reduce([1.0::DOUBLE] || l.alphas[1:list_pos - last_click - 1],
+                         lambda acc, a: acc * l.g * (1 - a))
+           * list_reduce([1.0::DOUBLE] || list_reverse(l.alphas[list_pos - last_click:]),
+                         lambda acc, a: (1 - a) * (1 - l.g + l.g * acc))
+           ELSE 0.0 END AS reached, l.s
+  FROM em_rows r
+  JOIN (SELECT *, list_reduce([1.0::DOUBLE] || list_reverse(alphas),
+                              lambda acc, a: (1 - a) * (1 - g + g * acc)) AS quiet_first
+        FROM lists{number}) l ON l.session_id = r.session_id AND l.query = r.query
+  JOIN em{number - 1} p ON p.query = r.query AND p.doc = r.doc),
+seen{number} AS MATERIALIZED (
+  SELECT *, reached / z AS seen, CASE WHEN bought = 1 THEN 1.0 ELSE s / z END AS satisfied
+  FROM probs{number}),
+em{number} AS MATERIALIZED (
+  SELECT query, doc,
+         sum(CASE WHEN list_pos <= last_click THEN click ELSE old_alpha * (1 - seen) END)
+           / count(*) AS alpha,
+         coalesce(sum(CASE WHEN list_pos = last_click THEN satisfied ELSE 0.0 END)
+                  / nullif(sum(click), 0), 0.0) AS sigma,
+         (SELECT sum(CASE WHEN list_pos < last_click THEN 1.0
+                          WHEN list_pos = 1 THEN 0.0 ELSE seen END)
+                 / sum(CASE WHEN list_pos < last_click THEN 1.0
+                            WHEN list_pos = last_click AND tail > 0 THEN 1 - satisfied
+                            WHEN list_pos > last_click AND list_pos < n_docs THEN seen
+                            ELSE 0.0 END) FROM seen{number}) AS gamma
+  FROM seen{number} GROUP BY query, doc)"""
+        )
+    return (
+        ",\n".join(parts)
+        + f"""
+SELECT query, doc, round(alpha, 6) AS alpha, round(sigma, 6) AS sigma,
+       round(gamma, 6) AS gamma, round(alpha * sigma, 6) AS judgment FROM em{rounds}"""
+    )
+
+
+def _after(name: str, text: str) -> str:
+    """Prefix CTEs of a query's own with those of a named one."""
+    return _query(f"SELECT 1 FROM {name}").rsplit("\nSELECT 1", 1)[0] + ",\n" + (
         text.strip().removeprefix("WITH ")
     )
 
 
+# every pair with a place among the first ten: ERR before and after its swap
+_GRADIENTS = """
+WITH placed AS MATERIALIZED (
+  SELECT qid, sku, (pow(2, grade) - 1) / 16 AS gain, round(f1, 6) AS score,
+         row_number() OVER (PARTITION BY qid ORDER BY round(f1, 6) DESC, sku) AS place
+  FROM numbered_features),
+pairs AS (
+  SELECT a.qid, a.place AS first_place, b.place AS second_place, a.sku AS first_sku,
+         b.sku AS second_sku, a.gain AS first_gain, b.gain AS second_gain,
+         a.score AS first_score, b.score AS second_score
+  FROM placed a JOIN placed b ON b.qid = a.qid AND b.place > a.place
+  WHERE a.place <= 10 AND a.gain <> b.gain),
+swapped AS (
+  SELECT p.qid, p.first_place, p.second_place, r.place,
+         CASE r.place WHEN p.first_place THEN p.second_gain WHEN p.second_place THEN p.first_gain
+                      ELSE r.gain END AS gain
+  FROM pairs p JOIN placed r ON r.qid = p.qid AND r.place <= 10),
+after AS (
+  SELECT qid, first_place, second_place, sum(gain * passed / place) AS err
+  FROM (SELECT *, exp(coalesce(sum(ln(1 - gain)) OVER (
+                 PARTITION BY qid, first_place, second_place ORDER BY place
+                 ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)) AS passed FROM swapped) s
+  GROUP BY qid, first_place, second_place),
+base AS (
+  SELECT qid, sum(gain * passed / place) AS err
+  FROM (SELECT *, exp(coalesce(sum(ln(1 - gain)) OVER (PARTITION BY qid ORDER BY place
+                 ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)) AS passed
+        FROM placed WHERE place <= 10) s GROUP BY qid),
+weighed AS (
+  SELECT p.*, abs(a.err - b.err) AS change,
+         1 / (1 + exp(CASE WHEN first_gain > second_gain THEN first_score - second_score
+                           ELSE second_score - first_score END)) AS rho,
+         CASE WHEN first_gain > second_gain THEN 1 ELSE -1 END AS sign
+  FROM pairs p JOIN after a USING (qid, first_place, second_place) JOIN base b ON b.qid = p.qid),
+sides AS (
+  SELECT qid, first_sku AS sku, sign * change * rho AS lam, change * rho * (1 - rho) AS w
+  FROM weighed
+  UNION ALL SELECT qid, second_sku, -sign * change * rho, change * rho * (1 - rho) FROM weighed)
+SELECT CAST(p.qid AS BIGINT) AS qid, p.sku AS doc, round(round(coalesce(sum(s.lam), 0.0), 9), 6) AS lam,
+       round(round(coalesce(sum(s.w), 0.0), 9), 6) AS w
+FROM placed p LEFT JOIN sides s ON s.qid = p.qid AND s.sku = p.sku GROUP BY p.qid, p.sku"""
+
+
 def _list_columns() -> str:
     return "session_id, query, doc, " + _big("click", "purchase", "list_pos", "last_click")
 
@@ -549,7 +653,9 @@ def oracles() -> dict[str, str]:
         f"""SELECT DISTINCT concat('search_term:', search_term, '|channel_group:', channel_group,
                '|customer_avg_ticket:', customer_avg_ticket) AS key, {_CONTEXT} FROM event_sets"""
     )
-    out["dbn_one_step"] = _with_lists(_one_step())
+    out["dbn_one_step"] = _after("event_lists", _one_step())
+    out["dbn_judgments"] = _after("event_lists", _em(10, "event_lists"))
+    out["order_dbn_judgments"] = _after("order_lists", _em(3, "order_lists"))
     out["product_channel"] = _query(
         f"SELECT session_id, channel, sku, category, name, impressions, clicks, {_round('price')}"
         " FROM per_session"
@@ -631,6 +737,7 @@ JOIN part ON CAST(p_partkey AS VARCHAR) = search_term"""
         f"SELECT {_CONTEXT}, sku AS doc, round(CAST(30 * {_SMALL_MODEL} AS DOUBLE), 6) AS score "
         "FROM features"
     )
+    out["lambda_gradients"] = _after("numbered_features", _GRADIENTS)
     out["err_documents"] = """
 SELECT source, round(sum(gain * passed / place), 6) AS err FROM (
   SELECT *, exp(coalesce(sum(ln(1 - gain)) OVER (PARTITION BY source ORDER BY place

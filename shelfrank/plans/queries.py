@@ -346,6 +346,12 @@ def q_dbn_judgments(spark, sf_dir):
     return flat(fitted, "query", "doc", "alpha", "sigma", "gamma", "judgment")
 
 
+def q_order_dbn_judgments(spark, sf_dir):
+    """Five very hot searches."""
+    fitted = dbn.dbn_em(order_lists(spark, sf_dir), ["query"], iterations=3)
+    return flat(fitted, "query", "doc", "alpha", "sigma", "gamma", "judgment")
+
+
 def q_context_keys(spark, sf_dir):
     sets = event_sets(spark, sf_dir).select(*CONTEXT).distinct()
     keyed = sets.select(text.format_context_key(CONTEXT).alias("key"))
@@ -503,6 +509,21 @@ def _scored(rows: DataFrame, model) -> DataFrame:
     return flat(ensemble.score_ensemble(rows, model, name="score"), *CONTEXT, "doc", "score")
 
 
+def q_lambda_gradients(spark, sf_dir):
+    """Gradients of ERR with the price distance as the current score."""
+    lists = features.training_lists(feature_log(spark, sf_dir), CONTEXT)
+    scored = lists.select(
+        "qid",
+        "doc",
+        F.col("grade").cast("double").alias("grade"),
+        F.round(F.get("features", F.lit(0)), 6).alias("F"),
+    )
+    found = training.lambda_gradients(scored)
+    # gains are sixteenths, so many values lie on an edge of the sixth decimal
+    exact = {name: numbers.stable(F.col(name)) for name in ("lam", "w")}
+    return flat(found.withColumns(exact), "qid", "doc", "lam", "w")
+
+
 def q_lambdamart_scores(spark, sf_dir):
     rows = training_rows(spark, sf_dir)
     return _scored(rows, training.train_lambdamart(rows, trees=5, leaf=8))

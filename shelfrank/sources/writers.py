@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,19 +21,23 @@ def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> N
     df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    """True when ``path`` holds a finished output, on any file system Spark reads."""
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    system = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return system.exists(hadoop)
+def existing_table(spark: SparkSession, path: str) -> DataFrame | None:
+    """The table at ``path``, or None where nothing has been written."""
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException:
+        return None
 
 
 def rebuild(
     spark: SparkSession, path: str, build: Callable[[], DataFrame], force_restart: bool = False
 ) -> DataFrame:
     """Build and write only when forced or when nothing is there yet."""
-    if force_restart or not path_exists(spark, path):
-        write_table(build(), path)
+    if not force_restart:
+        found = existing_table(spark, path)
+        if found is not None:
+            return found
+    write_table(build(), path)
     return spark.read.parquet(path)
 
 
@@ -158,9 +163,9 @@ __all__ = [
     "MAX_ENTRIES",
     "append_results",
     "clickstream_rows",
+    "existing_table",
     "judgment_rows",
     "nest_entries",
-    "path_exists",
     "rebuild",
     "save_model",
     "validation_rows",
