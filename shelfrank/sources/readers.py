@@ -15,6 +15,7 @@ from shelfrank.functions.text import parse_context_key
 from shelfrank.operators.ensemble import Node
 from shelfrank.operators.features import REGISTRY, FeatureSet
 from shelfrank.schemas import GRADED, TREE_NODES, TRIALS
+from shelfrank.session import cut_lineage
 
 
 def read_sessions(spark: SparkSession, path: str, first: str, last: str) -> DataFrame:
@@ -43,6 +44,46 @@ def read_ndjson_gz(spark: SparkSession, path: str, schema: T.StructType) -> Data
     return rows.repartition(spark.sparkContext.defaultParallelism)
 
 
+def long_clickstream(clickstream: DataFrame) -> DataFrame:
+    """Nested training sets as click lists, one row per document.
+
+    Lists in files carry no session, so they are numbered, and written down for
+    every later stage to see the same numbers. The last click is found in the row.
+    """
+    lists = clickstream.select("search_keys.*", F.explode("judgment_keys").alias("list"))
+    numbered = cut_lineage(
+        lists.select("*", F.col("list.session").alias("docs"))
+        .drop("list")
+        .withColumn("session_id", F.monotonically_increasing_id())
+    )
+    clicked = F.transform("docs", lambda doc, i: F.when(doc["click"] == 1, i + 1).otherwise(0))
+    keys = [name for name in numbered.columns if name not in ("docs", "session_id")]
+    return numbered.select(
+        *keys,
+        "session_id",
+        F.col("search_term").alias("query"),
+        F.array_max(clicked).cast("bigint").alias("last_click"),
+        F.posexplode("docs").alias("_at", "_doc"),
+    ).select(
+        *keys,
+        "session_id",
+        "query",
+        "_doc.*",
+        (F.col("_at") + 1).cast("bigint").alias("list_pos"),
+        "last_click",
+    )
+
+
+def long_validation(validation: DataFrame) -> DataFrame:
+    """Nested validation sets as one row per purchased document."""
+    return validation.select("search_keys.*", F.explode("docs").alias("_session")).select(
+        "search_term",
+        "channel_group",
+        "customer_avg_ticket",
+        F.explode("_session.purchased").alias("sku"),
+    )
+
+
 def read_raw_judgments(spark: SparkSession, path: str) -> DataFrame:
     """``{"search_term:q|k:v": {doc: judgment}}`` lines in long form."""
     entries = F.explode(F.from_json("value", "map<string,map<string,double>>"))

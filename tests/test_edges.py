@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from shelfrank.operators import (
+    dbn,
     ensemble,
     features,
     metrics,
@@ -73,23 +74,27 @@ def test_clickstream_and_validation_files(spark, sf_dir, tmp_path):
     path = str(tmp_path / "clickstream")
     writers.write_ndjson_gz(writers.clickstream_rows(sets), path)
     back = readers.read_ndjson_gz(spark, path, CLICKSTREAM)
-    docs = back.select(
-        "search_keys.*", F.explode("judgment_keys").alias("list")
-    ).select(*sessions.CONTEXT, F.explode("list.session").alias("d")).select(
-        *sessions.CONTEXT, "d.*"
-    )
-    columns = [*sessions.CONTEXT, "doc", "click", "purchase"]
-    assert sorted(docs.select(columns).collect()) == sorted(sets.select(columns).collect())
+    lists = readers.long_clickstream(back)
+    columns = [*sessions.CONTEXT, "doc", "click", "purchase", "list_pos", "last_click"]
+    assert sorted(lists.select(columns).collect()) == sorted(sets.select(columns).collect())
+    # the click model gives the same judgments from files as from the log
+    judged = [
+        sorted(dbn.dbn_em(frame, sessions.CONTEXT, iterations=2).drop("gamma").collect())
+        for frame in (lists, sets)
+    ]
+    assert len(judged[0]) == len(judged[1]) > 0
+    for from_file, from_log in zip(*judged):
+        assert from_file[:4] == from_log[:4]
+        assert from_file[4:] == pytest.approx(from_log[4:], abs=1e-9)
 
     bought = sessions.validation_sets(hits, visitors)
     path = str(tmp_path / "validation")
     writers.write_ndjson_gz(writers.validation_rows(bought), path)
     back = readers.read_ndjson_gz(spark, path, VALIDATION)
-    skus = back.select("search_keys.*", F.explode("docs").alias("d")).select(
-        *sessions.CONTEXT, F.explode("d.purchased").alias("sku")
-    )
     columns = [*sessions.CONTEXT, "sku"]
-    assert sorted(skus.select(columns).collect()) == sorted(bought.select(columns).collect())
+    assert sorted(readers.long_validation(back).select(columns).collect()) == sorted(
+        bought.select(columns).collect()
+    )
 
 
 def test_a_hot_key_takes_several_rows(spark):
