@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from shelfrank.llm import secret_scan
+from shelfrank.llm import byte_bpe, secret_scan
 from shelfrank.llm.shared import table
 
 
@@ -14,6 +15,16 @@ def op5_token_efficiency(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.find_secrets(table(spark, sf_dir, "documents"))
 
 
+def op6_overlapping_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    encoded = byte_bpe.encode(table(spark, sf_dir, "documents"))
+    return byte_bpe.decode(encoded).select(
+        "doc_id",
+        "n_tokens",
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op")}
 
