@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfrank.llm import byte_bpe, pii, secret_scan
+from shelfrank.llm import byte_bpe, importance, pii, secret_scan
 from shelfrank.llm.shared import table
 
 
@@ -29,6 +29,12 @@ def op6_overlapping_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    drawn = importance.sample(documents, labels, keep_rows=False)
+    return drawn.select(F.col("row.doc_id"), "log_weight", "kept")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op")}
 
