@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfrank.llm import byte_bpe, importance, pii, secret_scan
+from shelfrank.llm import byte_bpe, importance, line_frequency, pii, secret_scan
 from shelfrank.llm.shared import table
 
 
@@ -15,6 +15,16 @@ def op1_candidate_boosting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find_personal_data(table(spark, sf_dir, "documents"))
 
 
+def op3_site_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = line_frequency.drop_lines(table(spark, sf_dir, "documents"))
+    return done.select(
+        F.col("row.doc_id"),
+        "n_lines",
+        "n_dropped",
+        F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"),
+    )
+
+
 def op5_token_efficiency(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.find_secrets(table(spark, sf_dir, "documents"))
 
@@ -39,5 +49,35 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op")}
 
 
+OP3_SQL = """
+WITH lines AS (
+    SELECT doc_id, source, text, row_number() OVER () AS page FROM documents
+), found AS (
+    SELECT DISTINCT page, source, unnest(string_split(text, chr(10))) AS line
+    FROM lines WHERE source IS NOT NULL
+), totals AS (
+    SELECT source, count(*) AS pages FROM documents GROUP BY source
+), bad AS (
+    SELECT source, line
+    FROM found JOIN totals USING (source)
+    WHERE trim(line) <> ''
+    GROUP BY source, line
+    HAVING count(*) >= 5 AND count(*) > any_value(pages) * 0.08
+), listed AS (
+    SELECT source, list(line) AS bad FROM bad GROUP BY source
+), done AS (
+    SELECT doc_id, string_split(text, chr(10)) AS all_lines,
+           list_filter(string_split(text, chr(10)),
+                       lambda x: NOT list_contains(coalesce(bad, []), x)) AS kept
+    FROM documents LEFT JOIN listed USING (source)
+)
+SELECT doc_id,
+       coalesce(len(all_lines), 0)::BIGINT AS n_lines,
+       coalesce(len(all_lines) - len(kept), 0)::BIGINT AS n_dropped,
+       sha256(coalesce(array_to_string(kept, chr(10)), '')) AS kept_sha256
+FROM done
+"""
+
+
 def oracles() -> dict[str, str]:
-    return {}
+    return {"op3_site_frequency": OP3_SQL}
