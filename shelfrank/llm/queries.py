@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfrank.llm import byte_bpe, importance, line_frequency, pii, secret_scan
+from shelfrank.llm import byte_bpe, importance, line_frequency, pii, secret_scan, warc
 from shelfrank.llm.shared import table
 
 
@@ -25,6 +25,12 @@ def op3_site_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_gzip_normaliser(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    archives, folder = warc.archive(pages)
+    return warc.read_archives(spark, archives, folder, dict(pages.dtypes)["page_id"])
+
+
 def op5_token_efficiency(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.find_secrets(table(spark, sf_dir, "documents"))
 
@@ -79,5 +85,25 @@ FROM done
 """
 
 
+OP4_SQL = """
+WITH payloads AS (
+    SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes,
+           sha1(coalesce(html, '')) AS hex
+    FROM pages
+), originals AS (
+    SELECT hex, max(page_id) AS original FROM payloads GROUP BY hex
+)
+SELECT page_id, payload_bytes::BIGINT AS payload_bytes,
+       array_to_string(list_transform(range(32), lambda i: substr(
+           'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+           (1 + (((instr('0123456789abcdef', substr(hex, (5 * i // 4 + 1)::BIGINT, 1)) - 1) * 16
+            + instr('0123456789abcdef', substr(hex, (5 * i // 4 + 2)::BIGINT, 1)) - 1)
+            // (1 << (3 - (5 * i) % 4)::INT)) % 32)::BIGINT, 1)), '') AS payload_digest,
+       CASE WHEN page_id = original THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> original THEN original END AS refers_to
+FROM payloads JOIN originals USING (hex)
+"""
+
+
 def oracles() -> dict[str, str]:
-    return {"op3_site_frequency": OP3_SQL}
+    return {"op3_site_frequency": OP3_SQL, "op4_gzip_normaliser": OP4_SQL}
