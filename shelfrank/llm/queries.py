@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfrank.llm import byte_bpe, importance, line_frequency, pii, secret_scan, warc
+from shelfrank.llm import byte_bpe, importance, line_frequency, merkle, pii, secret_scan, warc
 from shelfrank.llm.shared import table
 
 
@@ -15,6 +15,10 @@ def op1_candidate_boosting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find_personal_data(table(spark, sf_dir, "documents"))
 
 
+def op2_merkle_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.edited_fingerprints(table(spark, sf_dir, "documents"))
+
+
 def op3_site_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = line_frequency.drop_lines(table(spark, sf_dir, "documents"))
     return done.select(
@@ -55,6 +59,55 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op")}
 
 
+# a text's tree as a macro-free expression, for the columns named in OP2_TEXTS
+OP2_TREE = """
+{name}_leaves AS (
+    SELECT *, list_transform(string_split({name}, chr(10)), lambda p:
+        list_transform(string_split(p, '. '), lambda s: sha256(s))) AS {name}_l FROM {source}
+), {name}_paragraphs AS (
+    SELECT *, list_transform({name}_l, lambda x: sha256(array_to_string(x, ','))) AS {name}_p
+    FROM {name}_leaves
+), {name}_sections AS (
+    SELECT *, list_transform(string_split(regexp_replace(array_to_string(list_transform({name}_p,
+        lambda x: x || CASE WHEN x[1] IN ('0', '1', '2', '3') THEN ';' ELSE ',' END), ''),
+        '[,;]$', ''), ';'), lambda s: sha256(s)) AS {name}_s
+    FROM {name}_paragraphs
+), {name}_tree AS (
+    SELECT *, sha256(array_to_string({name}_s, ',')) AS {name}_root,
+        list_distinct(list_transform(flatten([{name}_s, {name}_p, flatten({name}_l)]),
+            lambda x: x[1:12])) AS {name}_b,
+        sha256(array_to_string({name}_s, ',')) || '|'
+        || array_to_string(list_transform({name}_s, lambda x: x[1:12]), ',') || '|'
+        || array_to_string(list_transform(list_zip({name}_p, {name}_l), lambda z: z[1][1:12] || ':'
+            || array_to_string(list_transform(z[2], lambda x: x[1:12]), ',')), ';') AS {name}_print
+    FROM {name}_sections
+)"""
+OP2_LIKE = """CASE WHEN own_root = {other}_root THEN 1.0::DOUBLE ELSE
+    2.0::DOUBLE * len(list_intersect(own_b, {other}_b)) / (len(own_b) + len({other}_b)) END"""
+OP2_SQL = (
+    """
+WITH texts AS (
+    SELECT doc_id, coalesce(text, '') AS own FROM documents
+), ordered AS (
+    SELECT *, coalesce(lead(own) OVER (ORDER BY doc_id DESC),
+                       first_value(own) OVER (ORDER BY doc_id DESC)) AS following,
+           length(own) AS n, length(own) // 2 AS half
+    FROM texts
+), edits AS (
+    SELECT *, own[1:n - half] || following[1:half] AS changed FROM ordered
+), """
+    + ", ".join(
+        OP2_TREE.format(name=name, source=source)
+        for name, source in (("own", "edits"), ("changed", "own_tree"), ("following", "changed_tree"))
+    )
+    + f"""
+SELECT doc_id, n::BIGINT AS n_chars, sha256(changed) AS edited_sha256, own_print AS fingerprint,
+       changed_print AS edited_fingerprint, {OP2_LIKE.format(other="changed")} AS near_edited,
+       {OP2_LIKE.format(other="following")} AS near_next
+FROM following_tree
+"""
+)
+
 OP3_SQL = """
 WITH lines AS (
     SELECT doc_id, source, text, row_number() OVER () AS page FROM documents
@@ -106,4 +159,8 @@ FROM payloads JOIN originals USING (hex)
 
 
 def oracles() -> dict[str, str]:
-    return {"op3_site_frequency": OP3_SQL, "op4_gzip_normaliser": OP4_SQL}
+    return {
+        "op2_merkle_tree": OP2_SQL,
+        "op3_site_frequency": OP3_SQL,
+        "op4_gzip_normaliser": OP4_SQL,
+    }
