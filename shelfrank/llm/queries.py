@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfrank.llm import byte_bpe, importance, line_frequency, merkle, pii, secret_scan, warc
+from shelfrank.llm import byte_bpe, importance, line_frequency, merkle, near_dup, pii, secret_scan, warc
 from shelfrank.llm.shared import table
 
 
@@ -55,6 +55,10 @@ def op8_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drawn.select(F.col("row.doc_id"), "log_weight", "kept")
 
 
+def op9_bayesian_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup.find_near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op")}
 
