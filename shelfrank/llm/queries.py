@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfrank.llm import byte_bpe, importance, line_frequency, merkle, near_dup, pii, secret_scan, warc
+from shelfrank.llm import byte_bpe, decontaminate, importance, line_frequency, merkle, near_dup, pii, secret_scan, warc
 from shelfrank.llm.shared import table
 
 
@@ -49,6 +49,18 @@ def op6_overlapping_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_positional_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    return decontaminate.contamination(documents, items).select(
+        F.col("document.id").alias("doc_id"),
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        "contaminated",
+    )
+
+
 def op8_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     drawn = importance.sample(documents, labels, keep_rows=False)
@@ -161,10 +173,46 @@ SELECT page_id, payload_bytes::BIGINT AS payload_bytes,
 FROM payloads JOIN originals USING (hex)
 """
 
+OP7_SQL = r"""
+WITH docs AS (
+    SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '') AS w FROM documents
+), items AS (
+    SELECT item_id, list_filter(string_split_regex(translate(coalesce(text, ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '') AS w FROM benchmark
+), item_windows AS (
+    SELECT item_id, least(len(w), 13) AS size,
+           unnest(list_transform(range(greatest(len(w) - 12, 1)),
+               lambda i: array_to_string(w[i + 1:i + 13], ' '))) AS win
+    FROM items WHERE len(w) > 0
+), sizes AS (
+    SELECT DISTINCT size FROM item_windows
+), doc_windows AS (
+    SELECT doc_id, size, s AS start, array_to_string(w[s + 1:s + size], ' ') AS win
+    FROM (SELECT doc_id, w, size, unnest(range(len(w) - size + 1)) AS s
+          FROM docs, sizes WHERE len(w) >= size)
+), hits AS (
+    SELECT doc_id, start, size, item_id FROM doc_windows JOIN item_windows USING (size, win)
+), hit_words AS (
+    SELECT doc_id, count(DISTINCT place) AS n_hit
+    FROM (SELECT doc_id, unnest(range(start, start + size)) AS place FROM hits) GROUP BY doc_id
+), hit_items AS (
+    SELECT doc_id, list_sort(list(DISTINCT item_id::VARCHAR)) AS ids FROM hits GROUP BY doc_id
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
+       coalesce(len(ids), 0)::BIGINT AS n_items,
+       sha256(coalesce(array_to_string(ids, ','), '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM docs LEFT JOIN hit_words USING (doc_id) LEFT JOIN hit_items USING (doc_id)
+"""
+
 
 def oracles() -> dict[str, str]:
     return {
         "op2_merkle_tree": OP2_SQL,
         "op3_site_frequency": OP3_SQL,
         "op4_gzip_normaliser": OP4_SQL,
+        "op7_positional_index": OP7_SQL,
     }
