@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfrank.llm import byte_bpe, decontaminate, importance, line_frequency, merkle, near_dup, pii, secret_scan, warc
+from shelfrank.llm import byte_bpe, decontaminate, importance, line_frequency, merkle, near_dup, pii, secret_scan, suffix, warc
 from shelfrank.llm.shared import table
 
 
@@ -71,6 +71,16 @@ def op9_bayesian_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.find_near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op10_column_bwt(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix.remove_repeated(table(spark, sf_dir, "documents")).select(
+        "doc_id",
+        "n_bytes",
+        "n_removed",
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op")}
 
