@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfrank.llm import byte_bpe, importance, line_frequency
+from shelfrank.llm import byte_bpe, decontaminate, importance, line_frequency, near_dup
 from shelfrank.llm.shared import table, written
 
 
@@ -24,6 +24,16 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return line_frequency.drop_boilerplate(docs)
 
 
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group linked by 0.8 of its five-word shingles or more."""
+    return near_dup.keep_first(docs, size=5)
+
+
+def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents of which less than a twentieth are words of ``benchmark`` passages."""
+    return decontaminate.keep_clean(docs, table(spark, sf_dir, "benchmark"))
+
+
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids by document, and the digest of what they decode to."""
     encoded = byte_bpe.decode(byte_bpe.encode(docs))
@@ -32,7 +42,13 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     )
 
 
-STAGES = [("quality", quality), ("lines", lines), ("tokens", tokens)]
+STAGES = [
+    ("quality", quality),
+    ("lines", lines),
+    ("near_duplicates", near_duplicates),
+    ("benchmark", benchmark),
+    ("tokens", tokens),
+]
 
 # the quality stage's trained weights and the token ids have no SQL form
 ORACLE_SQL = None
