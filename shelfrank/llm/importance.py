@@ -37,9 +37,12 @@ SHAPE_BITS = 14
 MIN_DEVIANCE = 9.0
 MIN_FACTOR = 3.0
 SHARPNESS = 20.0
+# the target model and the threshold are fitted on so many labelled documents at most; the
+# raw model counts all documents
+MAX_LABELLED = 50_000
 SEED = 8
 PSEUDO_COUNT = 0.5
-CACHED_TOKENS = 300_000
+CACHED_TOKENS = 500_000
 # log weights are binned so finely to find the threshold
 BIN = 0.25
 LOWEST = -50.0
@@ -53,16 +56,19 @@ class Tokens(dict):
     def __missing__(self, token: str) -> int:
         if len(self) >= CACHED_TOKENS:
             self.clear()
-        word = token.strip(PUNCTUATION).lower()
-        bare = word or token
-        shape = [
-            "0" if c.isdigit() else "A" if c.isupper() else "a" if c.isalpha() else c
-            for c in token[:2] + token[-3:]
-        ]
-        form = "".join(c for i, c in enumerate(shape) if i == 0 or c != shape[i - 1])
-        form += "U" if len(bare) > 2 and token.isupper() else ""
-        value = zlib.crc32(bare.encode()) & ((1 << WORD_BITS) - 1)
-        value |= (zlib.crc32(form.encode()) & 0x3FFFFFFF) << WORD_BITS
+        body = token.rstrip(PUNCTUATION)
+        tail = token[len(body) :]
+        word = body.lstrip(PUNCTUATION)
+        head = body[: len(body) - len(word)]
+        if word.islower():
+            case = "a"
+        elif word.isupper() and len(word) > 1:
+            case = "A"
+        else:
+            case = "0" if word.isdigit() else "Aa" if word else ""
+        form = zlib.crc32(f"{head[:2]} {case} {tail[:3]}".encode())
+        value = zlib.crc32((word.lower() or token).encode()) & ((1 << WORD_BITS) - 1)
+        value |= (form & 0x3FFFFFFF) << WORD_BITS
         self[token] = value
         return value
 
@@ -128,11 +134,18 @@ def speaking(model: DataFrame) -> pd.DataFrame:
     )
 
 
-def good_documents(labels: DataFrame) -> DataFrame:
-    """``id, good`` by labelled document: good quality and not toxic in all of its rows."""
+def good_documents(labels: DataFrame, most: int = MAX_LABELLED) -> DataFrame:
+    """``id, good`` by labelled document: good quality and not toxic in all of its rows.
+
+    Of more than ``most`` documents, those with the least hashes: about ``most``.
+    """
     known = labels.where("doc_id IS NOT NULL AND quality IS NOT NULL AND toxic IS NOT NULL")
     good = (F.col("quality") == 1) & (F.col("toxic") == 0)
-    return known.groupBy(F.col("doc_id").alias("id")).agg(F.min(good).alias("good"))
+    each = known.groupBy(F.col("doc_id").alias("id")).agg(F.min(good).alias("good"))
+    each = written(each)
+    parts = 1 << 20
+    share = min(1.0, most / max(each.count(), 1))
+    return each.where(F.pmod(F.xxhash64("id"), F.lit(parts)) < int(share * parts))
 
 
 def weigh(documents: DataFrame, labels: DataFrame) -> DataFrame:
@@ -141,7 +154,7 @@ def weigh(documents: DataFrame, labels: DataFrame) -> DataFrame:
         F.struct("*").alias("row"),
         F.col("doc_id").alias("id"),
         F.coalesce("text", F.lit("")).alias("text"),
-    ).join(good_documents(labels), "id", "left")
+    ).join(F.broadcast(good_documents(labels)), "id", "left")
     model = written(counts(rows.select("text", F.coalesce("good", F.lit(False)).alias("good"))))
     chosen = speaking(model)
     bucket, ratio = chosen["bucket"].to_numpy(), chosen["ratio"].to_numpy()
