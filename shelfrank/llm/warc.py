@@ -214,7 +214,7 @@ def normalise(files: DataFrame, folder: str) -> DataFrame:
 
 def read_index(spark: SparkSession, archives: DataFrame, folder: str) -> DataFrame:
     """Index entries of the archives that finished tasks reported, from all sidecar files."""
-    entries = spark.read.schema(INDEX).json(f"{folder}/*.jsonl")
+    entries = spark.read.schema(INDEX).option("pathGlobFilter", "*.jsonl").json(folder)
     return entries.join(archives.select("file"), "file", "left_semi")
 
 
