@@ -43,13 +43,18 @@ class Node:
 Model = Sequence[Node]
 
 
-def model_frame(spark: SparkSession, model: Model) -> DataFrame:
+def model_frame(spark: SparkSession, model: Model | LinearModel) -> DataFrame:
+    """A model as rows; a linear one has a row per feature, without leaf or children."""
+    if isinstance(model, LinearModel):
+        model = [Node(i, 0, weight, feature=i) for i, weight in enumerate(model.weights, 1)]
     return spark.createDataFrame([asdict(node) for node in model], TREE_NODES)
 
 
-def model_from_frame(nodes: DataFrame) -> list[Node]:
+def model_from_frame(nodes: DataFrame) -> list[Node] | LinearModel:
     """A model is a bounded table; its nodes become part of the plan."""
     rows = nodes.select(*TREE_NODES.names).orderBy("tree", "node").collect()
+    if rows and all(row["output"] is None and row["left"] is None for row in rows):
+        return LinearModel(tuple(row["weight"] for row in rows))
     return [Node(**row.asDict()) for row in rows]
 
 
@@ -60,8 +65,12 @@ def _by_tree(model: Model) -> list[dict[int, Node]]:
     return [trees[tree] for tree in sorted(trees)]
 
 
-def _value(features: Column, node: Node) -> Column:
-    return F.coalesce(F.get(features, F.lit(node.feature - 1)), F.lit(0.0))
+def _value(features: Column, position: int) -> Column:
+    """A feature that is NULL, or beyond the array, or of a NULL array counts as 0.
+
+    NaN stays NaN: it is above every threshold, so it goes right.
+    """
+    return F.coalesce(F.get(features, F.lit(position)), F.lit(0.0))
 
 
 def tree_column(nodes: dict[int, Node], features: Column, leaf_id: bool = False) -> Column:
@@ -71,7 +80,7 @@ def tree_column(nodes: dict[int, Node], features: Column, leaf_id: bool = False)
         node = nodes[number]
         if node.is_leaf:
             return F.lit(node.node) if leaf_id else F.lit(float(node.output))
-        return F.when(_value(features, node) <= F.lit(node.threshold), walk(node.left)).otherwise(
+        return F.when(_value(features, node.feature - 1) <= F.lit(node.threshold), walk(node.left)).otherwise(
             walk(node.right)
         )
 
@@ -110,7 +119,7 @@ def _batch_column(model: Model, features: Column) -> Column:
         feature, threshold, left, right, output, weight = flat
         rows_of_trees = np.arange(len(weight))
         for batch in batches:
-            values = np.nan_to_num(np.array(batch.tolist(), dtype=float))
+            values = np.array(batch.tolist(), dtype=float)
             at = np.zeros((len(values), len(weight)), dtype=np.int64)
             for _ in range(rounds):
                 x = np.take_along_axis(values, feature[rows_of_trees, at], axis=1)
@@ -124,7 +133,9 @@ def _batch_column(model: Model, features: Column) -> Column:
                 at = step
             yield pd.Series(output[rows_of_trees, at] @ weight)
 
-    return score(features)
+    # whole arrays without NULL, by the same rule as in the expression
+    used = max((node.feature for node in model if not node.is_leaf), default=1)
+    return score(F.array(*[_value(features, position) for position in range(used)]))
 
 
 def ensemble_column(model: Model, features: Column) -> Column:
@@ -149,8 +160,7 @@ class LinearModel:
     def column(self, features: Column) -> Column:
         total = F.lit(0.0)
         for position, weight in enumerate(self.weights):
-            value = F.coalesce(F.get(features, F.lit(position)), F.lit(0.0))
-            total = total + F.lit(float(weight)) * value
+            total = total + F.lit(float(weight)) * _value(features, position)
         return total
 
 

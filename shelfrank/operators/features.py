@@ -11,17 +11,24 @@ from pyspark.sql import functions as F
 from shelfrank.functions import numbers
 from shelfrank.operators import textmatch
 from shelfrank.operators.numbering import dense_ids
+from shelfrank.schemas import CHANNELS
 
 TEXT_FIELDS = ["name", "category"]
 
 
 @dataclass(frozen=True)
 class Feature:
-    """A named value of a (context, document) row; ``params`` are context columns."""
+    """A named value of a (context, document) row.
+
+    ``params`` are columns of the context, ``doc_columns`` of the catalog. For each of
+    ``text_fields`` the builder finds the field's text score as ``bm25_<field>``.
+    """
 
     name: str
     params: tuple[str, ...]
     build: Callable[[], Column]
+    doc_columns: tuple[str, ...] = ()
+    text_fields: tuple[str, ...] = ()
 
 
 @dataclass(frozen=True)
@@ -31,9 +38,20 @@ class FeatureSet:
     name: str
     features: tuple[Feature, ...]
 
+    def _used(self, kind: str) -> list[str]:
+        return sorted({name for feature in self.features for name in getattr(feature, kind)})
+
     @property
     def params(self) -> list[str]:
-        return sorted({param for feature in self.features for param in feature.params})
+        return self._used("params")
+
+    @property
+    def doc_columns(self) -> list[str]:
+        return self._used("doc_columns")
+
+    @property
+    def text_fields(self) -> list[str]:
+        return self._used("text_fields")
 
     def as_array(self) -> Column:
         return F.array(
@@ -49,18 +67,33 @@ REGISTRY: dict[str, Feature] = {
             "customer_avg_ticket",
             ("customer_avg_ticket",),
             lambda: numbers.log_price_distance(F.col("price"), F.col("customer_avg_ticket")),
+            doc_columns=("price",),
+        ),
+        Feature(
+            "BM25 category",
+            ("search_term",),
+            lambda: F.col("bm25_category"),
+            text_fields=("category",),
         ),
-        Feature("BM25 category", ("search_term",), lambda: F.col("bm25_category")),
         Feature(
             "channel_group",
             ("channel_group",),
             lambda: numbers.channel_ctr_feature(F.col("channel_group")),
+            doc_columns=tuple(f"ctr_{field}" for field in CHANNELS.values()),
+        ),
+        Feature(
+            "BM25 name", ("search_term",), lambda: F.col("bm25_name"), text_fields=("name",)
         ),
-        Feature("BM25 name", ("search_term",), lambda: F.col("bm25_name")),
     )
 }
 
 
+def register(feature: Feature) -> Feature:
+    """Make a feature known to definition files and ``feature_set``; replaces its name's."""
+    REGISTRY[feature.name] = feature
+    return feature
+
+
 def feature_set(name: str, features: Sequence[str] | None = None) -> FeatureSet:
     """A set of registered features; by default all, in the order of their files."""
     chosen = list(REGISTRY) if features is None else list(features)
@@ -82,13 +115,17 @@ def attach_features(
     missing = [param for param in features.params if param not in rows.columns]
     if missing:
         raise ValueError(f"feature set {features.name!r} needs columns {missing}")
-    docs = textmatch.with_tokens(catalog, TEXT_FIELDS)
-    used = ["price", *[column for column in catalog.columns if column.startswith("ctr_")]]
-    # a pair is scored once, however many contexts share it
-    pairs = rows.select("search_term", "sku").distinct()
-    scored = textmatch.bm25(pairs, docs, TEXT_FIELDS, carry=used)
+    used, fields = features.doc_columns, features.text_fields
+    if fields:
+        docs = textmatch.with_tokens(catalog, fields)
+        # a pair is scored once, however many contexts share it
+        pairs = rows.select("search_term", "sku").distinct()
+        scored = textmatch.bm25(pairs, docs, fields, carry=used)
+        joined = rows.join(scored, ["search_term", "sku"])
+    else:
+        joined = rows.join(catalog.select("sku", *used), "sku")
     return (
-        rows.join(scored, ["search_term", "sku"])
+        joined
         .withColumn("features", features.as_array())
         .select(*rows.columns, "features")
     )
@@ -109,13 +146,15 @@ def training_lists(logged: DataFrame, keys: Sequence[str], min_docs: int = 2) ->
     return logged.join(dense_ids(kept, keys, "qid"), list(keys))
 
 
-def normalise(
-    rows: DataFrame, keys: Sequence[str] = ("qid",), size: int = len(DEFAULT.features)
-) -> DataFrame:
+def normalise(rows: DataFrame, size: int, keys: Sequence[str] = ("qid",)) -> DataFrame:
     """Divide each feature by its list's sum of absolute values; 0 where that is 0.
 
-    The sums are an aggregate joined back, so a long list is not gathered.
+    ``size`` is the number of features; a row with another number is an error. The sums are
+    an aggregate joined back, so a long list is not gathered.
     """
+    right = F.size("features") == size
+    wrong = F.raise_error(F.lit(f"normalise: a row does not have {size} features"))
+    rows = rows.withColumn("features", F.when(right, F.col("features")).otherwise(wrong))
     sums = rows.groupBy(*keys).agg(
         F.array(*[F.sum(F.abs(F.get("features", F.lit(i)))) for i in range(size)]).alias("_sums")
     )

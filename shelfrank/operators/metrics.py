@@ -12,13 +12,16 @@ MAX_GRADE = 4
 DEPTH = 10
 
 
-def gain(grade: Column) -> Column:
-    """Chance that a document of this grade satisfies."""
-    return (F.pow(F.lit(2.0), grade) - 1) / F.lit(float(2**MAX_GRADE))
+def gain(grade: Column, highest: int = MAX_GRADE) -> Column:
+    """Chance that a document of this grade satisfies; a grade above ``highest`` is an error."""
+    valid = F.when(grade > highest, F.raise_error(F.lit(f"a grade is above {highest}"))).otherwise(
+        grade
+    )
+    return (F.pow(F.lit(2.0), valid) - 1) / F.lit(float(2**highest))
 
 
 def err_at_k(
-    df: DataFrame, keys: Sequence[str], order: Sequence[Column], grade: str = "grade", k: int = DEPTH
+    df: DataFrame, keys: Sequence[str], order: Sequence[Column], grade: str = "grade", k: int = DEPTH, highest: int = MAX_GRADE
 ) -> DataFrame:
     """Expected reciprocal rank per list.
 
@@ -30,11 +33,11 @@ def err_at_k(
         F.col("_rank") <= k
     )
     above = in_list.orderBy("_rank").rowsBetween(Window.unboundedPreceding, -1)
-    passed = F.exp(F.coalesce(F.sum(F.log1p(-gain(F.col(grade)))).over(above), F.lit(0.0)))
+    passed = F.exp(F.coalesce(F.sum(F.log1p(-gain(F.col(grade), highest))).over(above), F.lit(0.0)))
     return (
         top.withColumn("_passed", passed)
         .groupBy(*keys)
-        .agg(F.sum(gain(F.col(grade)) * F.col("_passed") / F.col("_rank")).alias("err"))
+        .agg(F.sum(gain(F.col(grade), highest) * F.col("_passed") / F.col("_rank")).alias("err"))
     )
 
 
@@ -44,14 +47,16 @@ def mean_percentile_rank(
     keys: Sequence[str],
     key: str = "sku",
     by: Sequence[str] = (),
+    each: Sequence[str] = (),
 ) -> DataFrame:
     """Mean place of purchased documents, 0 at the top to 1 at the end; lower is better.
 
     ``retrieved`` has 0-based ``pos`` per search; searches with one result are
     left out; 0.5 where no purchase was retrieved. One row, or one per ``by``.
+    Equal purchases of a search count once, unless ``each`` tells them apart.
     """
     lengths = retrieved.groupBy(*keys).agg((F.max("pos") + 1).alias("n"))
-    bought = purchases.select(*keys, key).distinct()
+    bought = purchases.select(*keys, *each, key).distinct()
     places = (
         retrieved.join(bought, [*keys, key])
         .join(lengths.filter(F.col("n") >= 2), list(keys))

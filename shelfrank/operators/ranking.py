@@ -116,7 +116,7 @@ def rescored_window(
     """
     described = attach_features(inside, catalog, features)
     if normalised:
-        described = normalise(described, keys, len(features.features))
+        described = normalise(described, len(features.features), keys)
     both = stable(F.col("score") * query_weight + F.col("model_score") * model_weight)
     scored = score_ensemble(described, model).select(*keys, "sku", both.alias("score"))
     return ranked(scored, keys, "score")

@@ -7,9 +7,10 @@ distributed decision trees, whose size is bounded by depth: ``leaf`` leaves need
 
 from __future__ import annotations
 
+import inspect
 import math
 import random
-from collections.abc import Iterator
+from collections.abc import Iterator, Mapping
 
 import numpy as np
 import pandas as pd
@@ -29,39 +30,25 @@ from shelfrank.operators.ensemble import LinearModel, Model, Node, tree_column
 from shelfrank.operators.metrics import DEPTH, MAX_GRADE, err_at_k, gain
 from shelfrank.session import cut_lineage
 
-# fixed values: names and numbers of the rankers
-RANKERS = {
-    "mart": 0,
-    "ranknet": 1,
-    "rankboost": 2,
-    "adarank": 3,
-    "coordinate ascent": 4,
-    "lambdamart": 6,
-    "listnet": 7,
-    "random forest": 8,
+# fixed values: ranges that trials draw from, (type, lowest, highest)
+_TREES = {
+    "trees": ("int", 1, 500),
+    "leaf": ("int", 2, 40),
+    "tc": ("int", -1, 300),
+    "mls": ("int", 1, 10),
 }
-
-# fixed values: LambdaMART's search space, (type, lowest, highest)
+_BOOSTED = {**_TREES, "shrinkage": ("double", 0.01, 0.2)}
 SEARCH_SPACE = {
-    "lambdamart": {
-        "tree": ("int", 1, 500),
-        "leaf": ("int", 2, 40),
-        "shrinkage": ("double", 0.01, 0.2),
-        "tc": ("int", -1, 300),
-        "mls": ("int", 1, 10),
-    }
+    "lambdamart": _BOOSTED,
+    "mart": _BOOSTED,
+    "random forest": _TREES,
+    "coordinate ascent": {"rounds": ("int", 1, 5), "seed": ("int", 1, 1000)},
 }
 
 # bins that stand for "every distinct value is a candidate" (tc = -1)
 ALL_VALUES = 1024
 
 
-def ranker_number(name: str) -> int:
-    if name not in RANKERS:
-        raise ValueError(f'Invalid value for ranker: "{name}"')
-    return RANKERS[name]
-
-
 def _bins(tc: int) -> int:
     return ALL_VALUES if tc < 0 else max(tc, 2)
 
@@ -407,15 +394,27 @@ def train_coordinate_ascent(
     return LinearModel(tuple(weights))
 
 
-def train(name: str, rows: DataFrame, size: int = 4, **parameters) -> Model | LinearModel:
-    """Train the named ranker."""
-    ranker_number(name)
-    if name == "lambdamart":
-        return train_lambdamart(rows, **parameters)
-    if name == "mart":
-        return train_mart(rows, **parameters)
-    if name == "random forest":
-        return train_random_forest(rows, **parameters)
+TRAINERS = {
+    "lambdamart": train_lambdamart,
+    "mart": train_mart,
+    "random forest": train_random_forest,
+    "coordinate ascent": train_coordinate_ascent,
+}
+
+
+def check_space(name: str, space: Mapping[str, tuple]) -> None:
+    """An error for an unknown ranker, or a parameter that it does not take."""
+    if name not in TRAINERS:
+        raise ValueError(f"no ranker {name!r}; there are {sorted(TRAINERS)}")
+    taken = set(inspect.signature(TRAINERS[name]).parameters) - {"rows", "size"}
+    unknown = sorted(set(space) - taken)
+    if unknown:
+        raise ValueError(f"ranker {name!r} does not take {unknown}")
+
+
+def train(name: str, rows: DataFrame, size: int, **parameters) -> Model | LinearModel:
+    """Train the named ranker on rows of ``size`` features."""
+    check_space(name, parameters)
     if name == "coordinate ascent":
-        return train_coordinate_ascent(rows, size, **parameters)
-    raise NotImplementedError(f"ranker not built: {name}")
+        parameters["size"] = size
+    return TRAINERS[name](rows, **parameters)

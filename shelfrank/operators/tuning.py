@@ -59,7 +59,8 @@ def evaluate(
 ) -> DataFrame:
     """Mean percentile rank per ``set_name``, all sets in one job.
 
-    ``sets`` holds the purchased ``sku`` per context and set. The result equals
+    ``sets`` holds the purchased ``sku`` per context, set and ``raw_ticket``: visitors whose
+    tickets are equal only when rounded share a context but count each. The result equals
     ``metrics.mean_percentile_rank`` over the full result lists, without building
     them per context: below the window a document keeps the place of the first
     pass, which the search text alone decides, and the window is only rescored
@@ -73,7 +74,7 @@ def evaluate(
     kept = top.join(lengths.withColumn("n", F.least("n", F.lit(size))), "search_term").filter(
         F.col("n") >= 2
     )
-    bought = sets.select(*keys, "sku").distinct()
+    bought = sets.select(*keys, "raw_ticket", "sku").distinct()
     found = bought.join(kept, ["search_term", "sku"])
     if model is not None:
         hit = found.filter(F.col("pos") < window)

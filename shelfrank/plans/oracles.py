@@ -235,18 +235,20 @@ _OWN_COLUMNS = ", ".join(
     f"CASE WHEN channel = '{label}' THEN {_OWN} ELSE 0.0 END AS ctr_{field}"
     for label, field in CHANNELS.items()
 )
+CTES["sku_totals"] = """
+SELECT sku, avg(price) AS price, CAST(sum(impressions) AS BIGINT) AS impressions,
+       CAST(coalesce(sum(clicks), 0) AS BIGINT) AS clicks
+FROM per_session GROUP BY sku HAVING sum(impressions) > 0"""
+# equal (impressions, clicks) of a product in a channel count once
+CTES["channel_rates"] = f"""
+SELECT sku, channel, name, category, {_OWN_COLUMNS}
+FROM (SELECT sku, channel, name, replace(category, '/', ' ') AS category, impressions, clicks
+      FROM per_session GROUP BY ALL) once
+GROUP BY sku, channel, name, category"""
 CTES["catalog_rows"] = f"""
-SELECT sku, channel, name, category, coalesce(global_price, 0) AS price,
-       CAST(coalesce(global_impressions, 0) AS BIGINT) AS impressions,
-       CAST(coalesce(global_clicks, 0) AS BIGINT) AS clicks,
-       {_ctr("max(global_clicks)", "max(global_impressions)")} AS ctr, {_OWN_COLUMNS}
-FROM (SELECT DISTINCT sku, channel, name, replace(category, '/', ' ') AS category,
-             sum(impressions) OVER (PARTITION BY sku) AS global_impressions, impressions,
-             sum(clicks) OVER (PARTITION BY sku) AS global_clicks, clicks,
-             avg(price) OVER (PARTITION BY sku) AS global_price
-      FROM per_session) d
-WHERE global_impressions > 0
-GROUP BY sku, channel, name, category, global_impressions, global_clicks, global_price"""
+SELECT r.sku, r.channel, r.name, r.category, coalesce(t.price, 0) AS price, t.impressions,
+       t.clicks, {_ctr("t.clicks", "t.impressions")} AS ctr, {", ".join(f"r.ctr_{f}" for f in _FIELDS)}
+FROM channel_rates r JOIN sku_totals t ON t.sku = r.sku"""
 
 CTES["catalog_last"] = """
 SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY sku
@@ -388,7 +390,7 @@ FROM (SELECT DISTINCT set_name FROM validation_sets) s LEFT JOIN (
   SELECT set_name, sum(pos / (n - 1)) / count(*) AS rank
   FROM (SELECT set_name, {_CONTEXT}, sku, pos,
                count(*) OVER (PARTITION BY set_name, {_CONTEXT}) AS n FROM {retrieved}) l
-  JOIN (SELECT DISTINCT set_name, {_CONTEXT}, sku FROM validation_sets) b
+  JOIN (SELECT DISTINCT set_name, {_CONTEXT}, raw_ticket, sku FROM validation_sets) b
     USING (set_name, {_CONTEXT}, sku)
   WHERE n >= 2 GROUP BY set_name) r ON r.set_name = s.set_name"""
 
@@ -653,9 +655,16 @@ def oracles() -> dict[str, str]:
         f"""SELECT DISTINCT concat('search_term:', search_term, '|channel_group:', channel_group,
                '|customer_avg_ticket:', customer_avg_ticket) AS key, {_CONTEXT} FROM event_sets"""
     )
+    shown = "doc, " + _big("click", "purchase", "list_pos", "last_click")
+    out["clickstream_round_trip"] = _query(
+        f"SELECT {_CONTEXT}, {shown}, CAST(count(*) AS BIGINT) AS n FROM event_sets GROUP BY ALL"
+    )
+    out["validation_round_trip"] = out["validation_contexts"]
+    out["judgment_rows"] = _query(f"SELECT {_CONTEXT}, doc, {_big('grade')} FROM context_graded")
+    out["raw_judgments"] = _query(f"SELECT {_CONTEXT}, doc, {_round('judgment')} FROM context_sdbn")
     out["dbn_one_step"] = _after("event_lists", _one_step())
     out["dbn_judgments"] = _after("event_lists", _em(10, "event_lists"))
-    out["order_dbn_judgments"] = _after("order_lists", _em(3, "order_lists"))
+    out["order_dbn_judgments"] = _after("order_lists", _em(10, "order_lists"))
     out["product_channel"] = _query(
         f"SELECT session_id, channel, sku, category, name, impressions, clicks, {_round('price')}"
         " FROM per_session"
@@ -664,6 +673,10 @@ def oracles() -> dict[str, str]:
         [_round("price"), "impressions", "clicks", _round("ctr"), _round(*_rates())]
     )
     out["catalog_rows"] = _query(f"SELECT sku, channel, name, category, {rates} FROM catalog_rows")
+    out["documents_strict"] = _query(
+        """SELECT sku, name, category, round(CAST(CAST(price AS FLOAT) AS DOUBLE), 6) AS price,
+                  impressions, clicks FROM catalog"""
+    )
     out["catalog_last"] = _query(f"SELECT sku, name, category, {rates} FROM catalog_last")
     out["catalog_docs"] = _query(f"SELECT sku, name, category, {rates} FROM catalog")
     out["upsert_catalog"] = _query(
@@ -737,6 +750,29 @@ JOIN part ON CAST(p_partkey AS VARCHAR) = search_term"""
         f"SELECT {_CONTEXT}, sku AS doc, round(CAST(30 * {_SMALL_MODEL} AS DOUBLE), 6) AS score "
         "FROM features"
     )
+    # kinds of missing values by document, as in the query
+    odd = """(SELECT search_term, channel_group, customer_avg_ticket, sku,
+        CASE CAST(sku AS BIGINT) % 4 WHEN 0 THEN 0.0 WHEN 1 THEN 'nan'::DOUBLE ELSE f1 END AS f1,
+        CASE CAST(sku AS BIGINT) % 4 WHEN 0 THEN 0.0 ELSE f2 END AS f2,
+        CASE CAST(sku AS BIGINT) % 4 WHEN 0 THEN 0.0 WHEN 2 THEN 0.0 ELSE f3 END AS f3,
+        CASE CAST(sku AS BIGINT) % 4 WHEN 1 THEN f4 ELSE 0.0 END AS f4 FROM features)"""
+    out["ensemble_scores_missing"] = _query(
+        f"""SELECT {_CONTEXT}, sku AS doc, round(CAST({_SMALL_MODEL} AS DOUBLE), 6) AS few,
+                   round(CAST(30 * {_SMALL_MODEL} AS DOUBLE), 6) AS many FROM {odd} o"""
+    )
+    out["model_nodes"] = out["ensemble_scores"]
+    six = ["f1", "f2", "f3", "f4", "CAST(grade AS DOUBLE)", "(f3 - f1)"]
+    shares = ", ".join(
+        f"""round(CASE WHEN sum(abs({x})) OVER w > 0 THEN {x} / sum(abs({x})) OVER w
+                  ELSE 0.0 END, 6) AS f{i}"""
+        for i, x in enumerate(six, 1)
+    )
+    out["normalised_wide"] = _query(
+        f"""SELECT {_CONTEXT}, sku AS doc, {_big('qid')}, {shares}
+            FROM numbered_features WINDOW w AS (PARTITION BY qid)"""
+    )
+    cut = ", ".join(f"round(CAST(CAST(f{i} AS DECIMAL(18, 6)) AS DOUBLE), 6) AS f{i}" for i in (1, 2, 3, 4))
+    out["letor_parsed"] = _query(f"SELECT {_big('qid', 'grade')}, {cut} FROM numbered_features")
     out["lambda_gradients"] = _after("numbered_features", _GRADIENTS)
     out["err_documents"] = """
 SELECT source, round(sum(gain * passed / place), 6) AS err FROM (
@@ -756,6 +792,7 @@ SELECT source, round(sum(gain * passed / place), 6) AS err FROM (
   WHERE place <= 10) p GROUP BY query"""
     )
     out["mean_percentile_rank"] = _query(_rank("listed"))
+    out["percentile_rank_full_lists"] = out["mean_percentile_rank"]
     out["evaluated_model"] = _query(_rank("rescored"))
     out["temporal_split"] = _query(
         """SELECT CASE WHEN day(session_date) <= 10 THEN 'train'

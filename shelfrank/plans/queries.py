@@ -29,8 +29,9 @@ from shelfrank.operators import (
     tuning,
 )
 from shelfrank.operators.numbering import dense_ids, group_percentiles
+from shelfrank.schemas import CLICKSTREAM, GRADED, VALIDATION
 from shelfrank.session import cut_lineage
-from shelfrank.sources import adapter
+from shelfrank.sources import adapter, readers, writers
 
 CONTEXT = sessions.CONTEXT
 
@@ -127,7 +128,7 @@ def feature_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def training_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     lists = features.training_lists(feature_log(spark, sf_dir), CONTEXT)
-    return cut_lineage(features.normalise(lists))
+    return cut_lineage(features.normalise(lists, len(features.DEFAULT.features)))
 
 
 def searches(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -348,7 +349,7 @@ def q_dbn_judgments(spark, sf_dir):
 
 def q_order_dbn_judgments(spark, sf_dir):
     """Five very hot searches."""
-    fitted = dbn.dbn_em(order_lists(spark, sf_dir), ["query"], iterations=3)
+    fitted = dbn.dbn_em(order_lists(spark, sf_dir), ["query"], iterations=10)
     return flat(fitted, "query", "doc", "alpha", "sigma", "gamma", "judgment")
 
 
@@ -366,6 +367,56 @@ def q_context_keys(spark, sf_dir):
     )
 
 
+def as_json(rows: DataFrame, schema: T.StructType) -> DataFrame:
+    """Rows written as JSON lines and read with a schema."""
+    names = [field.name for field in schema.fields]
+    lines = rows.select(F.to_json(F.struct(*rows.columns)).alias("value"))
+    return lines.select(F.from_json("value", schema).alias("row")).select(
+        *[F.col("row")[name].alias(name) for name in names]
+    )
+
+
+def q_clickstream_round_trip(spark, sf_dir):
+    nested = writers.clickstream_rows(event_sets(spark, sf_dir))
+    lists = readers.long_clickstream(as_json(nested, CLICKSTREAM))
+    shown = [*CONTEXT, "doc", "click", "purchase", "list_pos", "last_click"]
+    return flat(lists.groupBy(*shown).agg(F.count("*").alias("n")))
+
+
+def q_validation_round_trip(spark, sf_dir):
+    hits = adapter.event_hits(spark, sf_dir)
+    sets = sessions.validation_sets(hits, sessions.visitor_context(hits))
+    rows = readers.long_validation(as_json(writers.validation_rows(sets), VALIDATION))
+    each = rows.groupBy(*CONTEXT, "raw_ticket", "sku").agg(F.count("*").alias("n"))
+    return flat(each.drop("raw_ticket"))
+
+
+def q_judgment_rows(spark, sf_dir):
+    nested = writers.judgment_rows(context_graded(spark, sf_dir), CONTEXT)
+    graded = readers.long_graded(readers.graded_arrays(as_json(nested, GRADED)), CONTEXT)
+    ticket = F.col("customer_avg_ticket").cast("bigint")
+    return flat(graded.withColumn("customer_avg_ticket", ticket))
+
+
+def q_raw_judgments(spark, sf_dir):
+    """Exported judgments as one-key JSON lines, parsed again."""
+    judged = clicks.sdbn(event_sets(spark, sf_dir), CONTEXT)
+    exported = dbn.export_judgments(judged, CONTEXT)
+    lines = exported.select(
+        F.to_json(F.create_map("key", F.create_map("doc", "judgment"))).alias("value")
+    )
+    rows = readers.parse_raw_judgments(lines)
+    return flat(
+        rows.select(
+            F.col("search_keys")["search_term"].alias("search_term"),
+            F.col("search_keys")["channel_group"].alias("channel_group"),
+            F.col("search_keys")["customer_avg_ticket"].cast("bigint").alias("customer_avg_ticket"),
+            "doc",
+            "judgment",
+        )
+    )
+
+
 # -- catalog -----------------------------------------------------------------
 
 
@@ -381,6 +432,13 @@ def q_catalog_docs(spark, sf_dir):
     return flat(catalog.catalog_docs(event_catalog_rows(spark, sf_dir)))
 
 
+def q_documents_strict(spark, sf_dir):
+    """Catalog documents in the strict nested schema and back."""
+    documents = catalog.to_documents(catalog.catalog_docs(event_catalog_rows(spark, sf_dir)))
+    rows = catalog.from_documents(documents)
+    return flat(rows.select("sku", "name", "category", F.col("price").cast("double").alias("price"), "impressions", "clicks"))
+
+
 def q_catalog_last(spark, sf_dir):
     return flat(catalog.catalog_docs(event_catalog_rows(spark, sf_dir), mode="last"))
 
@@ -477,7 +535,25 @@ def q_feature_log(spark, sf_dir):
 
 def q_feature_log_normalised(spark, sf_dir):
     lists = features.training_lists(feature_log(spark, sf_dir), CONTEXT)
-    return spread_features(features.normalise(lists), *CONTEXT, "doc", "grade", "qid")
+    return spread_features(features.normalise(lists, len(features.DEFAULT.features)), *CONTEXT, "doc", "grade", "qid")
+
+
+def q_normalised_wide(spark, sf_dir):
+    """Six features: the grade and a difference beside the four."""
+    lists = features.training_lists(feature_log(spark, sf_dir), CONTEXT)
+    own = F.col("features")
+    more = F.array(F.col("grade").cast("double"), F.get(own, F.lit(2)) - F.get(own, F.lit(0)))
+    wide = features.normalise(lists.withColumn("features", F.concat(own, more)), 6)
+    numbered = [F.get("features", F.lit(i)).alias(f"f{i + 1}") for i in range(6)]
+    return flat(wide.select(*CONTEXT, "doc", "qid", *numbered))
+
+
+def q_letor_parsed(spark, sf_dir):
+    """Training text written and parsed again."""
+    lists = features.training_lists(feature_log(spark, sf_dir), CONTEXT)
+    exact = lists.withColumn("features", F.col("features").cast("array<decimal(18,6)>"))
+    lines = features.letor_lines(exact).select(F.col("line").alias("value"))
+    return spread_features(readers.parse_letor(lines), "qid", "grade")
 
 
 def q_letor_rows(spark, sf_dir):
@@ -495,12 +571,59 @@ def q_ensemble_scores(spark, sf_dir):
     return flat(scored, *CONTEXT, "doc", "score")
 
 
+MANY_TREES = [
+    ensemble.Node(**{**vars(node), "tree": node.tree + 2 * copy})
+    for copy in range(30)
+    for node in SMALL_MODEL
+]
+
+
 def q_ensemble_scores_many_trees(spark, sf_dir):
-    model = [
-        ensemble.Node(**{**vars(node), "tree": node.tree + 2 * copy})
-        for copy in range(30)
-        for node in SMALL_MODEL
-    ]
+    scored = ensemble.score_ensemble(feature_log(spark, sf_dir), MANY_TREES, name="score")
+    return flat(scored, *CONTEXT, "doc", "score")
+
+
+def q_ensemble_scores_missing(spark, sf_dir):
+    """Arrays that are NULL, hold NaN or NULL, or end early, scored by both engines."""
+    own = F.col("features")
+    kind = F.pmod(F.col("doc").cast("bigint"), F.lit(4))
+    odd = (
+        F.when(kind == 0, F.lit(None))
+        .when(kind == 1, F.concat(F.array(F.lit(float("nan"))), F.slice(own, 2, 3)))
+        .when(kind == 2, F.slice(own, 1, 2))
+        .otherwise(F.concat(F.slice(own, 1, 3), F.array(F.lit(None).cast("double"))))
+    )
+    rows = feature_log(spark, sf_dir).withColumn("features", odd)
+    few = ensemble.score_ensemble(rows, SMALL_MODEL, name="few")
+    return flat(ensemble.score_ensemble(few, MANY_TREES, name="many"), *CONTEXT, "doc", "few", "many")
+
+
+def model_text(model: ensemble.Model) -> str:
+    """A model in the text form that ``readers.parse_ensemble`` takes."""
+    trees = {}
+    for node in model:
+        trees.setdefault(node.tree, {})[node.node] = node
+
+    def split(nodes, number, place=""):
+        node = nodes[number]
+        pos = f' pos="{place}"' if place else ""
+        if node.is_leaf:
+            return f"<split{pos}><output>{node.output}</output></split>"
+        inner = split(nodes, node.left, "left") + split(nodes, node.right, "right")
+        head = f"<feature>{node.feature}</feature><threshold>{node.threshold}</threshold>"
+        return f"<split{pos}>{head}{inner}</split>"
+
+    body = "".join(
+        f'<tree id="{tree}" weight="{nodes[0].weight}">{split(nodes, 0)}</tree>'
+        for tree, nodes in trees.items()
+    )
+    return f"## No. of trees = {len(trees)}\n<ensemble>{body}</ensemble>"
+
+
+def q_model_nodes(spark, sf_dir):
+    """Scores of a model that went through its text and its node table."""
+    nodes, _ = readers.parse_ensemble(model_text(SMALL_MODEL))
+    model = ensemble.model_from_frame(ensemble.model_frame(spark, nodes))
     scored = ensemble.score_ensemble(feature_log(spark, sf_dir), model, name="score")
     return flat(scored, *CONTEXT, "doc", "score")
 
@@ -567,6 +690,16 @@ def q_mean_percentile_rank(spark, sf_dir):
     )
 
 
+def q_percentile_rank_full_lists(spark, sf_dir):
+    """The metric over complete result lists, which ``evaluate`` does not build."""
+    sets, docs = evaluation_sets(spark, sf_dir), event_catalog(spark, sf_dir)
+    keys = ["set_name", *CONTEXT]
+    lists = ranking.search(sets.select(*keys).distinct(), docs, None, use_ltr=False)
+    return flat(
+        metrics.mean_percentile_rank(lists, sets, keys, by=["set_name"], each=["raw_ticket"])
+    )
+
+
 def q_evaluated_model(spark, sf_dir):
     return flat(
         tuning.evaluate(
@@ -595,9 +728,9 @@ def q_tuned_trials(spark, sf_dir):
         found = {row["set_name"]: row["rank"] for row in tuning.evaluate(model, sets, docs).collect()}
         return {"train": found["train"], "validation": found["validation"]}
 
-    space = {**training.SEARCH_SPACE["lambdamart"], "tree": ("int", 1, 3), "leaf": ("int", 2, 8)}
+    space = {**training.SEARCH_SPACE["lambdamart"], "trees": ("int", 1, 3), "leaf": ("int", 2, 8)}
     _, done = tuning.tune(
-        lambda tree, **rest: training.train_lambdamart(rows, trees=tree, **rest),
+        lambda **drawn: training.train_lambdamart(rows, **drawn),
         ranks,
         space,
         trials=2,

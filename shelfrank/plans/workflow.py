@@ -1,13 +1,17 @@
 """The whole run: catalog, evaluation sets, training set, trials, best model, test.
 
 Each step writes its result under ``root`` and reads it back, so a step that is
-done is not done again and a lost executor never reaches back past a step.
+done is not done again and a lost executor never reaches back past a step. A
+step's folder carries a digest of the settings its table depends on, so a run
+with other windows, rates or features makes tables of its own.
 """
 
 from __future__ import annotations
 
+import hashlib
+import json
 from collections.abc import Mapping
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,7 +26,11 @@ CONTEXT = sessions.CONTEXT
 
 @dataclass
 class Settings:
-    """What a run is told; windows are inclusive ISO dates."""
+    """What a run is told; windows are inclusive ISO dates.
+
+    ``source`` names the input: give another name for other hits. ``space`` is by
+    default the ranker's own (``training.SEARCH_SPACE``).
+    """
 
     root: str
     windows: Mapping[str, tuple[str, str]]
@@ -37,12 +45,30 @@ class Settings:
     normalised: bool = True
     force_restart: bool = False
     seed: int = 42
-    space: Mapping[str, tuple] = field(
-        default_factory=lambda: dict(training.SEARCH_SPACE["lambdamart"])
-    )
+    source: str = ""
+    space: Mapping[str, tuple] | None = None
+
+    def __post_init__(self) -> None:
+        if self.space is None and self.ranker in training.SEARCH_SPACE:
+            self.space = training.SEARCH_SPACE[self.ranker]
+        training.check_space(self.ranker, self.space or {})
 
     def path(self, name: str) -> str:
-        return f"{self.root}/{self.model_name}/{name}"
+        """Where a step's table is, by all that the table depends on."""
+        lists = [self.windows["train"], self.rate]
+        judged = [*lists, self.iterations]
+        parts = {
+            "evaluation": sorted(self.windows.items()),
+            "clickstream": lists,
+            "judgments": judged,
+            "train": [*judged, self.normalised, [f.name for f in features.DEFAULT.features]],
+            "train_letor": [*judged, self.normalised],
+        }
+        if name not in parts and not self.source:
+            return f"{self.root}/{self.model_name}/{name}"
+        text = json.dumps([self.source, parts.get(name, [])])
+        digest = hashlib.sha256(text.encode()).hexdigest()[:12]
+        return f"{self.root}/{self.model_name}/{name}-{digest}"
 
 
 def build_catalog(spark: SparkSession, hits: DataFrame, settings: Settings) -> DataFrame:
@@ -57,7 +83,7 @@ def build_catalog(spark: SparkSession, hits: DataFrame, settings: Settings) -> D
 
 
 def build_evaluation_sets(spark: SparkSession, hits: DataFrame, settings: Settings) -> DataFrame:
-    """Purchases of all windows in one table, one partition per window."""
+    """Purchases of all windows in one table."""
 
     def build() -> DataFrame:
         labelled = sessions.temporal_split(hits, settings.windows)
@@ -91,7 +117,8 @@ def build_training_set(
     def rows() -> DataFrame:
         logged = features.log_features(judged.select(*CONTEXT, "doc", "grade"), catalog)
         numbered = features.training_lists(logged, CONTEXT)
-        return features.normalise(numbered) if settings.normalised else numbered
+        size = len(features.DEFAULT.features)
+        return features.normalise(numbered, size) if settings.normalised else numbered
 
     training_rows = writers.rebuild(spark, settings.path("train"), rows, restart)
     writers.write_letor(training_rows, settings.path("train_letor"))
@@ -122,24 +149,32 @@ def run_workflow(spark: SparkSession, hits: DataFrame, settings: Settings) -> di
         return {name: found.get(name, 0.5) for name in names}
 
     def train(**parameters) -> Model | LinearModel:
-        if "tree" in parameters:
-            parameters["trees"] = parameters.pop("tree")
-        return training.train(settings.ranker, rows, **parameters)
+        return training.train(
+            settings.ranker, rows, len(features.DEFAULT.features), **parameters
+        )
+
+    leading: list[tuning.Trial] = []
+
+    def keep(trial: tuning.Trial) -> None:
+        """Results, and the best model so far, survive a run that breaks off."""
+        writers.append_results(tuning.trials_frame(spark, [trial]), settings.path("results"))
+        if not leading or trial.rank_val < leading[0].rank_val:
+            leading[:] = [trial]
+            writers.save_model(
+                spark, trial.model, settings.path("models"), settings.model_name
+            )
 
-    best, done = tuning.tune(
+    best, _ = tuning.tune(
         train,
         lambda model: ranks(model, "train", "validation"),
         settings.space,
         settings.trials,
         settings.parallel,
         seed=settings.seed,
+        on_trial=keep,
     )
-    writers.append_results(tuning.trials_frame(spark, done), settings.path("results"))
-    model = best.model
-    if not isinstance(model, LinearModel):
-        writers.save_model(spark, model, settings.path("models"), settings.model_name)
-        saved = readers.load_model(spark, settings.path("models"), settings.model_name)
-        model = model_from_frame(saved)
+    saved = readers.load_model(spark, settings.path("models"), settings.model_name)
+    model = model_from_frame(saved)
     return {
         "params": best.params,
         "rank_train": best.rank_train,

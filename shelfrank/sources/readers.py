@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import json
-import pathlib
+from collections import Counter
 from collections.abc import Sequence
 from xml.etree import ElementTree
 
@@ -41,7 +41,7 @@ def read_ndjson_gz(spark: SparkSession, path: str, schema: T.StructType) -> Data
     A gzip file is one task; rows are spread again before further work.
     """
     rows = spark.read.schema(schema).option("pathGlobFilter", "*.gz").json(path)
-    return rows.repartition(spark.sparkContext.defaultParallelism)
+    return rows.hint("rebalance")
 
 
 def long_clickstream(clickstream: DataFrame) -> DataFrame:
@@ -75,21 +75,32 @@ def long_clickstream(clickstream: DataFrame) -> DataFrame:
 
 
 def long_validation(validation: DataFrame) -> DataFrame:
-    """Nested validation sets as one row per purchased document."""
-    return validation.select("search_keys.*", F.explode("docs").alias("_session")).select(
+    """Nested validation sets as one row per purchased document.
+
+    Files carry only the rounded ticket, but one line per exact one (and part): the line's
+    number stands for it as ``raw_ticket``, written down for every later stage.
+    """
+    lines = cut_lineage(
+        validation.withColumn("raw_ticket", F.monotonically_increasing_id().cast("double"))
+    )
+    return lines.select("search_keys.*", "raw_ticket", F.explode("docs").alias("_session")).select(
         "search_term",
         "channel_group",
         "customer_avg_ticket",
+        "raw_ticket",
         F.explode("_session.purchased").alias("sku"),
     )
 
 
 def read_raw_judgments(spark: SparkSession, path: str) -> DataFrame:
-    """``{"search_term:q|k:v": {doc: judgment}}`` lines in long form."""
+    return parse_raw_judgments(spark.read.text(path))
+
+
+def parse_raw_judgments(lines: DataFrame) -> DataFrame:
+    """``{"search_term:q|k:v": {doc: judgment}}`` lines (``value``) in long form."""
     entries = F.explode(F.from_json("value", "map<string,map<string,double>>"))
     return (
-        spark.read.text(path)
-        .select(entries.alias("key", "docs"))
+        lines.select(entries.alias("key", "docs"))
         .select(
             "key", parse_context_key(F.col("key")).alias("search_keys"), F.explode("docs")
             .alias("doc", "judgment")
@@ -98,8 +109,15 @@ def read_raw_judgments(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_graded_judgments(spark: SparkSession, path: str) -> DataFrame:
-    """``search_keys, docs, grades`` with parallel arrays in file order."""
-    return spark.read.schema(GRADED).json(path).select(
+    return graded_arrays(spark.read.schema(GRADED).json(path))
+
+
+def graded_arrays(graded: DataFrame) -> DataFrame:
+    """``search_keys, docs, grades`` with parallel arrays in file order.
+
+    A search in several parts has several rows; ``long_graded`` takes them together.
+    """
+    return graded.select(
         "search_keys",
         F.transform("judgment_keys", lambda entry: entry["doc"]).alias("docs"),
         F.transform("judgment_keys", lambda entry: entry["judgment"]).alias("grades"),
@@ -115,9 +133,13 @@ def long_graded(graded: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def read_letor(spark: SparkSession, path: str) -> DataFrame:
-    """``grade<TAB>qid:N<TAB>1:v…`` lines as ``grade, qid, features``."""
+    return parse_letor(spark.read.text(path))
+
+
+def parse_letor(lines: DataFrame) -> DataFrame:
+    """``grade<TAB>qid:N<TAB>1:v…`` lines (``value``) as ``grade, qid, features``."""
     parts = F.split("value", "\t")
-    return spark.read.text(path).select(
+    return lines.select(
         F.get(parts, F.lit(0)).cast("int").alias("grade"),
         F.split_part(F.get(parts, F.lit(1)), F.lit(":"), F.lit(2)).cast("bigint").alias("qid"),
         F.transform(
@@ -127,15 +149,17 @@ def read_letor(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def read_features(directory: str, name: str) -> FeatureSet:
+def read_features(spark: SparkSession, directory: str, name: str) -> FeatureSet:
     """Feature definitions ``{name, params, query}`` in the order of their file names.
 
     The name picks the registered builder; the parameters must be the ones it
     takes. The query template belongs to a search server and is not run.
     """
     chosen = []
-    for file in sorted(pathlib.Path(directory).glob("*.json")):
-        definition = json.loads(file.read_text())
+    files = spark.read.option("pathGlobFilter", "*.json").text(directory, wholetext=True)
+    # a handful of small files
+    for row in files.select("value", "_metadata.file_name").orderBy("file_name").collect():
+        definition = json.loads(row["value"])
         feature = REGISTRY.get(definition["name"])
         if feature is None:
             raise ValueError(f"no builder for feature {definition['name']!r}")
@@ -156,9 +180,11 @@ def parse_ensemble(text: str) -> tuple[list[Node], dict[str, str]]:
         else:
             body.append(line)
     nodes: list[Node] = []
+    sizes: Counter[int] = Counter()
 
     def walk(split, tree: int, weight: float) -> int:
-        number = sum(1 for node in nodes if node.tree == tree)
+        number = sizes[tree]
+        sizes[tree] += 1
         output = split.find("output")
         if output is not None:
             nodes.append(Node(tree, number, weight, output=float(output.text)))

@@ -4,15 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfrank.operators.ensemble import Model, model_frame
+from shelfrank.operators.ensemble import LinearModel, Model, model_frame
 from shelfrank.operators.features import letor_lines
 from shelfrank.operators.sessions import CONTEXT
 
-# entries of one search in one output row; a larger search takes several rows
+# entries of one search in one output row at most; a larger search takes several rows
 MAX_ENTRIES = 10_000
 
 
@@ -22,17 +21,20 @@ def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> N
 
 
 def existing_table(spark: SparkSession, path: str) -> DataFrame | None:
-    """The table at ``path``, or None where nothing has been written."""
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException:
+    """The table at ``path``, or None where none was written to its end."""
+    mark = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    if not mark.getFileSystem(spark._jsc.hadoopConfiguration()).exists(mark):
         return None
+    return spark.read.parquet(path)
 
 
 def rebuild(
     spark: SparkSession, path: str, build: Callable[[], DataFrame], force_restart: bool = False
 ) -> DataFrame:
-    """Build and write only when forced or when nothing is there yet."""
+    """Build and write only when forced or when nothing is there yet.
+
+    The path has to name everything the table depends on (see ``Settings.path``).
+    """
     if not force_restart:
         found = existing_table(spark, path)
         if found is not None:
@@ -43,7 +45,8 @@ def rebuild(
 
 def write_ndjson_gz(df: DataFrame, path: str, single_file: bool = False) -> None:
     """Gzip JSON lines; ``single_file`` is for the catalog, which is small."""
-    rows = df.coalesce(1) if single_file else df
+    # a shuffle of its own, so that the work before it keeps its tasks
+    rows = df.repartition(1) if single_file else df
     rows.write.mode("overwrite").option("compression", "gzip").json(path)
 
 
@@ -55,15 +58,14 @@ def nest_entries(
     name: str,
     max_entries: int = MAX_ENTRIES,
 ) -> DataFrame:
-    """One row with an array of entries per key; several rows for a large key.
+    """Arrays of entries per key, in ``parts`` rows numbered ``part`` from 0.
 
-    Entries of a key are spread by the hash of ``unique`` over as many rows as it
-    takes to keep the arrays around half of ``max_entries``, so no row or task
-    grows with the hottest key.
+    Entries of a key are spread by the hash of ``unique`` over as many rows as it takes to
+    keep the arrays around half of ``max_entries``, so no row or task grows with the hottest
+    key. A key of at most half of ``max_entries`` entries has one part; readers of the long
+    forms take the parts together, as they explode them.
     """
-    rows_per_key = F.when(F.col("_n") <= max_entries, F.lit(1)).otherwise(
-        F.ceil(F.col("_n") * 2 / F.lit(max_entries))
-    )
+    rows_per_key = F.ceil(F.col("_n") * 2 / F.lit(max_entries))
     sizes = (
         df.groupBy(*keys)
         .agg(F.count("*").alias("_n"))
@@ -73,9 +75,12 @@ def nest_entries(
     return (
         df.join(sizes, same)
         .withColumn("_row", F.pmod(F.xxhash64(*unique), F.col("_rows")))
-        .groupBy(*keys, "_row")
+        .groupBy(
+            *keys,
+            F.col("_row").cast("int").alias("part"),
+            F.col("_rows").cast("int").alias("parts"),
+        )
         .agg(F.array_sort(F.collect_list(entry)).alias(name))
-        .drop("_row")
     )
 
 
@@ -92,7 +97,9 @@ def clickstream_rows(sets: DataFrame, max_sessions: int = MAX_ENTRIES) -> DataFr
     nested = nest_entries(
         plain, CONTEXT, F.struct("session"), ["session_id"], "judgment_keys", max_sessions
     )
-    return nested.select(F.struct(*CONTEXT).alias("search_keys"), "judgment_keys")
+    return nested.select(
+        F.struct(*CONTEXT).alias("search_keys"), "judgment_keys", "part", "parts"
+    )
 
 
 def validation_rows(sets: DataFrame, max_sessions: int = MAX_ENTRIES) -> DataFrame:
@@ -104,7 +111,7 @@ def validation_rows(sets: DataFrame, max_sessions: int = MAX_ENTRIES) -> DataFra
     nested = nest_entries(
         session, keys, F.struct("purchased"), ["session_id"], "docs", max_sessions
     )
-    return nested.select(F.struct(*CONTEXT).alias("search_keys"), "docs")
+    return nested.select(F.struct(*CONTEXT).alias("search_keys"), "docs", "part", "parts")
 
 
 def judgment_rows(
@@ -114,7 +121,9 @@ def judgment_rows(
     entry = F.struct("doc", F.col("grade").cast("int").alias("judgment"))
     nested = nest_entries(graded, keys, entry, ["doc"], "judgment_keys", max_docs)
     parts = [part for key in keys for part in (F.lit(key), F.col(key).cast("string"))]
-    return nested.select(F.create_map(*parts).alias("search_keys"), "judgment_keys")
+    return nested.select(
+        F.create_map(*parts).alias("search_keys"), "judgment_keys", "part", "parts"
+    )
 
 
 def write_judgments(graded: DataFrame, keys: Sequence[str], path: str) -> None:
@@ -146,7 +155,9 @@ def append_results(trials: DataFrame, path: str) -> None:
     trials.coalesce(1).write.mode("append").parquet(path)
 
 
-def save_model(spark: SparkSession, model: Model, root: str, name: str) -> None:
+def save_model(
+    spark: SparkSession, model: Model | LinearModel, root: str, name: str
+) -> None:
     """Write a model under its name; only a model of the same name is replaced."""
     (
         model_frame(spark, model)

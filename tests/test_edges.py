@@ -1,5 +1,6 @@
 """Files, model registry, trials and the whole workflow."""
 
+import dataclasses
 import datetime
 import json
 
@@ -53,18 +54,18 @@ def test_letor_golden(spark, tmp_path):
     ]
 
 
-def test_feature_files(tmp_path):
+def test_feature_files(spark, tmp_path):
     def write(file, name, params):
         (tmp_path / file).write_text(json.dumps({"name": name, "params": params, "query": {}}))
 
     write("b.json", "BM25 name", ["search_term"])
     write("a.json", "customer_avg_ticket", ["customer_avg_ticket"])
-    loaded = readers.read_features(str(tmp_path), "m")
+    loaded = readers.read_features(spark, str(tmp_path), "m")
     assert [f.name for f in loaded.features] == ["customer_avg_ticket", "BM25 name"]
     assert loaded.params == ["customer_avg_ticket", "search_term"]
     write("c.json", "other", [])
     with pytest.raises(ValueError, match="other"):
-        readers.read_features(str(tmp_path), "m")
+        readers.read_features(spark, str(tmp_path), "m")
 
 
 def test_clickstream_and_validation_files(spark, sf_dir, tmp_path):
@@ -110,6 +111,8 @@ def test_a_hot_key_takes_several_rows(spark):
         F.sum(F.size("docs")).alias("n"), F.max(F.size("docs")).alias("most")
     ).collect()}
     assert sizes["hot"][0] == 2000 and sizes["hot"][1] <= 100
+    numbered = nested.groupBy("key").agg(F.max("part").alias("last"), F.max("parts").alias("parts"))
+    assert numbered.filter("last >= parts").isEmpty()
     assert sum(n for n, _ in sizes.values()) == 4000
     assert nested.groupBy("key").count().filter("key <> 'hot' AND count > 1").count() == 0
 
@@ -213,7 +216,9 @@ def test_evaluation_equals_full_lists(spark, sf_dir):
         lists = ranking.search(
             sets.select(*keys).distinct(), docs, model, size, window, use_ltr=model is not None
         )
-        full = metrics.mean_percentile_rank(lists, sets, keys, by=["set_name"])
+        full = metrics.mean_percentile_rank(
+            lists, sets, keys, by=["set_name"], each=["raw_ticket"]
+        )
         expected = {r["set_name"]: r["rank"] for r in full.collect()}
         found = {r["set_name"]: r["rank"] for r in short.collect()}
         assert found == pytest.approx(expected, abs=1e-12)
@@ -248,13 +253,19 @@ def test_workflow(spark, sf_dir, tmp_path):
         rate=1.0,
         iterations=2,
         trials=2,
-        space={"tree": ("int", 2, 3), "leaf": ("int", 2, 4)},
+        space={"trees": ("int", 2, 3), "leaf": ("int", 2, 4)},
     )
     hits = adapter.event_hits(spark, sf_dir)
     result = workflow.run_workflow(spark, hits, settings)
     for name in ("rank_train", "rank_val", "rank_test"):
         assert 0.0 <= result[name] <= 1.0
     assert readers.read_trials(spark, settings.path("results")).count() == 2
+    # a run with other windows makes tables of its own
+    later = dataclasses.replace(settings, windows={**queries.WINDOWS, "train": queries.WINDOWS["test"]})
+    first = workflow.build_evaluation_sets(spark, hits, settings)
+    second = workflow.build_evaluation_sets(spark, hits, later)
+    train = "set_name = 'train'"
+    assert sorted(first.filter(train).collect()) != sorted(second.filter(train).collect())
     # a second run finds every table in place
     catalog = workflow.build_catalog(spark, hits.limit(0), settings)
     assert catalog.count() > 0

@@ -317,15 +317,16 @@ def learnable(spark):
     ],
 )
 def test_rankers_learn(learnable, name, parameters):
-    model = training.train(name, learnable, **parameters)
+    model = training.train(name, learnable, 4, **parameters)
     before = training.mean_err(learnable, F.lit(0.0))
     after = training.mean_err(learnable, ensemble.score_column(model, F.col("features")))
     assert after > before + 0.05
 
 
 def test_names(learnable):
-    assert training.ranker_number("lambdamart") == 6
-    with pytest.raises(ValueError, match='Invalid value for ranker: "other"'):
-        training.train("other", learnable)
-    with pytest.raises(NotImplementedError):
-        training.train("listnet", learnable)
+    with pytest.raises(ValueError, match="no ranker 'other'"):
+        training.train("other", learnable, 4)
+    with pytest.raises(ValueError, match="does not take"):
+        training.check_space("random forest", training.SEARCH_SPACE["lambdamart"])
+    for name, space in training.SEARCH_SPACE.items():
+        training.check_space(name, space)
