@@ -4,11 +4,11 @@
    its smallest id; only classes go on, so copies cost nothing more.
 2. ``BANDS`` bands of ``ROWS`` MinHash values make buckets. At a similarity of 0.8 a pair
    shares no bucket with probability (1 - 0.8 ** 5) ** 32 = 3e-6.
-3. Buckets are not expanded into pairs. Round by round, pivots of each bucket are compared
-   with its members of other components: first one pivot, later more at a time, taken from
-   the members outside the bucket's first component. A bucket is done when its members are
-   one component or every pair between components was compared. A bucket of close copies
-   needs one round of as many pairs as it has members.
+3. Buckets are not expanded into pairs. First each bucket's smallest id is compared with the
+   other members, which joins most of them into components. Where a bucket still has several
+   components, its members are dealt into blocks; a task compares two blocks, only pairs of
+   different components, each pair in the first band it shares, and gives out only links. So
+   every pair of a bucket that is not connected otherwise is compared, and none is expanded.
 4. Pairs are compared ``BATCH`` signature values at a time. With m of n values equal and a
    uniform prior, P(similarity >= threshold | m, n) = P(Bin(n + 1, threshold) <= m); a pair
    is dropped as soon as this falls under ``MISS``.
@@ -40,7 +40,7 @@ ROWS = 5
 BATCH = 32
 MISS = 1e-6
 PERCENT = 80
-MORE_PIVOTS = 32  # pivots a bucket in the second round, four times as many in each further one
+BLOCK_BYTES = 8 << 20  # sets of a block; a task holds two blocks
 
 
 @functools.cache
@@ -158,34 +158,96 @@ def links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both_sides(likely, sets, "shingles").where(confirmed("left", "right")).select("a", "b")
 
 
-def pivot_pairs(members: DataFrame, pivots: int | None) -> tuple[DataFrame, DataFrame]:
-    """Pairs to compare in this round, and the members without their used pivots.
+def star_pairs(members: DataFrame) -> DataFrame:
+    """``a, b``: the smallest id of every bucket with each of its other members."""
+    first = members.groupBy("bucket").agg(F.min("id").alias("a"))
+    pairs = members.select("bucket", F.col("id").alias("b")).join(first, "bucket")
+    return pairs.where("a < b").select("a", "b").distinct()
 
-    ``members`` has ``bucket, id, component``. ``pivots=None``: the smallest id of each
-    bucket; else so many of those outside the bucket's least component.
+
+def dealt_blocks(members: DataFrame, sets: DataFrame) -> DataFrame:
+    """``members`` dealt into pairs of blocks, with their signatures and sets.
+
+    A bucket's members, by id, fill blocks of ``BLOCK_BYTES``. Every pair of blocks of a bucket
+    (``low``, ``high``) is a group of rows, so a group is bounded however large its bucket.
     """
-    if pivots is None:
-        chosen = members.groupBy("bucket").agg(F.min("id").alias("pivot"))
-        chosen = chosen.withColumn("of", F.col("pivot"))
-    else:
-        first = members.groupBy("bucket").agg(F.min("component").alias("least"))
-        order = Window.partitionBy("bucket").orderBy("id")
-        chosen = (
-            members.join(first, "bucket")
-            .where(F.col("component") > F.col("least"))
-            .withColumn("place", F.row_number().over(order))
-            .where(F.col("place") <= pivots)
-            .select("bucket", F.col("id").alias("pivot"), F.col("component").alias("of"))
+    sizes = sets.groupBy("id").agg(F.sum(F.octet_length("shingles") + 1024).alias("bytes"))
+    so_far = Window.partitionBy("bucket").orderBy("id")
+    blocked = members.join(sizes, "id").withColumn(
+        "block", F.floor((F.sum("bytes").over(so_far) - F.col("bytes")) / BLOCK_BYTES).cast("int")
+    )
+    last = blocked.groupBy("bucket").agg(F.max("block").alias("last"))
+    other = F.explode(F.sequence(F.lit(0), F.col("last")))
+    return (
+        blocked.join(last, "bucket")
+        .select("bucket", "band", "id", "component", "block", other.alias("other"))
+        .withColumns({"low": F.least("block", "other"), "high": F.greatest("block", "other")})
+        .join(sets, "id")
+        .repartition("bucket", "low", "high")
+        .sortWithinPartitions("bucket", "low", "high", "block", "id")
+        .select(
+            "bucket", "low", "high", "block", "band", "id", "component", "signature", "shingles"
         )
-    chosen = written(chosen)
-    pairs = (
-        members.join(chosen, "bucket")
-        .where(F.col("component") != F.col("of"))
-        .select(F.least("id", "pivot").alias("a"), F.greatest("id", "pivot").alias("b"))
-        .distinct()
     )
-    used = chosen.select("bucket", F.col("pivot").alias("id"))
-    return written(pairs), members.drop("component").join(used, ["bucket", "id"], "left_anti")
+
+
+def groups(frames: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[pd.DataFrame]:
+    """Runs of rows with equal keys, also across batches."""
+    rest: pd.DataFrame | None = None
+    for frame in frames:
+        if rest is not None:
+            frame = pd.concat([rest, frame], ignore_index=True)
+        values = frame[keys].to_numpy()
+        edges = np.flatnonzero((values[1:] != values[:-1]).any(1)) + 1
+        for start, stop in zip([0, *edges], edges, strict=False):
+            yield frame.iloc[start:stop]
+        rest = frame.iloc[edges[-1] if len(edges) else 0 :]
+    if rest is not None and len(rest):
+        yield rest
+
+
+def linked_in_group(group: pd.DataFrame, percent: int) -> list[tuple[int, int]]:
+    """Links between members of different components in one group of blocks.
+
+    A pair that shares an earlier band is left to that band's bucket. Links that join what
+    others of the group have joined already are left out.
+    """
+    ids = group["id"].to_numpy()
+    label = group["component"].to_numpy().copy()
+    if (label == label[0]).all():
+        return []
+    block, band = group["block"].to_numpy(), int(group["band"].iloc[0])
+    signature = np.frombuffer(b"".join(group["signature"]), np.uint32).reshape(len(ids), -1)
+    keys = np.stack([shingles.band_keys(row, BANDS)[:band] for row in signature])
+    sets = [np.frombuffer(x, np.uint64) for x in group["shingles"]]
+    one_block = (group["low"] == group["high"]).iloc[0]
+    found = []
+    for i in range(len(ids) - 1):
+        later = np.arange(i + 1, len(ids))
+        if not one_block:
+            later = later[block[later] != block[i]]
+        later = later[label[later] != label[i]]
+        later = later[~(keys[later] == keys[i]).any(1)]
+        if not len(later):
+            continue
+        own = np.broadcast_to(signature[i], (len(later), signature.shape[1]))
+        for j in later[survives(own, signature[later], percent, BATCH, MISS)]:
+            if label[j] != label[i] and similar(sets[i], sets[j], percent):
+                found.append((min(ids[i], ids[j]), max(ids[i], ids[j])))
+                label[label == label[j]] = label[i]
+    return found
+
+
+def block_links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links ``a, b`` between members of a bucket that are in different components."""
+
+    def compare(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for group in groups(frames, ["bucket", "low", "high"]):
+            found = linked_in_group(group, percent)
+            if found:
+                yield pd.DataFrame(found, columns=["a", "b"])
+
+    return dealt_blocks(members, sets).mapInPandas(compare, "a long, b long").distinct()
 
 
 def merge(known: DataFrame, found: DataFrame) -> DataFrame:
@@ -215,22 +277,16 @@ def linked_components(
     """``id, component`` of all ids that share a bucket or a bridge with another."""
     ids = members.select("id").union(bridges.select("a")).union(bridges.select("b")).distinct()
     known = merge(written(ids.select("id", F.col("id").alias("component"))), bridges)
-    pivots = None
-    while True:
-        now = members.join(known, "id").select("bucket", "id", "component")
-        undecided = (
-            now.groupBy("bucket")
-            .agg(F.min("component").alias("low"), F.max("component").alias("high"))
-            .where("low < high")
-            .select("bucket")
-        )
-        now = written(now.join(undecided, "bucket", "left_semi"))
-        if now.isEmpty():
-            return known
-        pairs, members = pivot_pairs(now, pivots)
-        members = written(members)
-        known = merge(known, links(pairs, sets, percent))
-        pivots = MORE_PIVOTS if pivots is None else pivots * 4
+    known = merge(known, links(written(star_pairs(members)), sets, percent))
+    now = members.join(known, "id").select("bucket", "band", "id", "component")
+    several = (
+        now.groupBy("bucket")
+        .agg(F.min("component").alias("low"), F.max("component").alias("high"))
+        .where("low < high")
+        .select("bucket")
+    )
+    several = written(now.join(several, "bucket", "left_semi"))
+    return merge(known, written(block_links(several, sets, percent)))
 
 
 def find_near_duplicates(
@@ -257,7 +313,9 @@ def find_near_duplicates(
         .where("low < high")
     )
     bridges = copies.join(several, "id", "left_semi").select(F.col("id").alias("a"), F.col("first").alias("b"))
-    single = classes.select(F.col("first").alias("id"), F.explode("bands").alias("bucket"))
+    single = classes.select(
+        F.col("first").alias("id"), F.posexplode("bands").alias("band", "bucket")
+    )
     shared = single.groupBy("bucket").agg(F.min("id").alias("low"), F.max("id").alias("high"))
     members = written(
         single.join(shared.where("low < high").select("bucket"), "bucket", "left_semi").distinct()

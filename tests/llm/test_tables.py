@@ -291,21 +291,30 @@ def test_near_duplicates(spark):
     assert near_dup.find_near_duplicates(frame(spark, [])).collect() == []
 
 
-def test_a_bucket_of_loose_copies_is_compared_whole(spark):
-    """Members that are not linked with a bucket's first ones still meet each other."""
-    ids = list(range(12))
-    sets = spark.createDataFrame([(i,) for i in ids], "id long")
-    members = sets.select(F.lit(1).cast("long").alias("bucket"), "id")
-    near = {(4, 9), (9, 11), (2, 3)}
-    real = near_dup.links, near_dup.MORE_PIVOTS
-    try:
-        near_dup.links = lambda pairs, _, __: pairs.where(" OR ".join(f"(a = {a} AND b = {b})" for a, b in near))
-        near_dup.MORE_PIVOTS = 1
-        none = spark.createDataFrame([], "a long, b long")
-        found = near_dup.linked_components(sets, members, none, 80)
-    finally:
-        near_dup.links, near_dup.MORE_PIVOTS = real
-    assert {r.id: r.component for r in found.collect()} == {i: {9: 4, 11: 4, 3: 2}.get(i, i) for i in ids}
+@pytest.mark.parametrize("size", [1 << 30, 4000])
+def test_a_bucket_of_loose_copies_is_compared_whole(spark, size, monkeypatch):
+    """Members that are not linked with a bucket's first one still meet each other."""
+    monkeypatch.setattr(near_dup, "BLOCK_BYTES", size)
+    rng = np.random.default_rng(2)
+    hashing = shingles.MinHash(near_dup.BANDS * near_dup.ROWS)
+    base = rng.integers(0, 1 << 62, 100, np.uint64)
+    rows = []
+    for i in range(24):
+        changed = np.unique(np.append(base[: 100 - 3 * (i % 9)], rng.integers(0, 1 << 62, 3 * (i % 9), np.uint64)))
+        rows.append((i, bytearray(hashing.signature(changed).tobytes()), bytearray(changed.tobytes())))
+    sets = spark.createDataFrame(rows, "id long, signature binary, shingles binary")
+    members = sets.select(F.lit(1).cast("long").alias("bucket"), F.lit(0).alias("band"), "id")
+    none = spark.createDataFrame([], "a long, b long")
+    found = near_dup.linked_components(sets, members, none, 80)
+    values = {i: np.frombuffer(bytes(v), np.uint64) for i, _, v in rows}
+    label = {i: i for i in values}
+    for i in values:
+        for j in values:
+            if i != j and near_dup.similar(values[i], values[j], 80) and label[i] != label[j]:
+                low, high = sorted((label[i], label[j]))
+                label = {k: low if v == high else v for k, v in label.items()}
+    assert len(set(label.values())) > 3
+    assert {r.id: r.component for r in found.collect()} == label
 
 
 def test_bounds_keep_similar_signatures():
