@@ -97,21 +97,25 @@ def percentiles_of(
 ) -> DataFrame:
     """Exact percentiles per group of ``spans``, linearly interpolated.
 
-    A percentile is the value at one or two known places, so an ordinary partial
-    aggregate finds it in groups of any size.
+    A percentile is the value at one or two known places. Places are unique in the whole
+    table, so they are looked up by an ordinary join that no hot group can skew.
     """
-    at = F.col("_at") - F.col("_first")
-    picks, results = [], []
+    wanted, picks, results = [], [], []
     for number, point in enumerate(points):
         place = F.lit(float(point)) * (F.col("_n") - 1)
         low, high = F.floor(place), F.ceil(place)
-        picks.append(F.max(F.when(at == low, F.col(value))).alias(f"_low{number}"))
-        picks.append(F.max(F.when(at == high, F.col(value))).alias(f"_high{number}"))
-        low_value, high_value = F.col(f"_low{number}"), F.col(f"_high{number}")
+        for slot, at in enumerate((low, high), 2 * number):
+            wanted.append(
+                F.struct(F.lit(slot).alias("_slot"), (F.col("_first") + at).alias("_at"))
+            )
+            picks.append(F.max(F.when(F.col("_slot") == slot, F.col(value))).alias(f"_v{slot}"))
+        low_value, high_value = F.col(f"_v{2 * number}"), F.col(f"_v{2 * number + 1}")
         results.append(low_value + (high_value - low_value) * (place - low))
+    places = spans.select(*keys, "_n", F.explode(F.array(*wanted)).alias("_place")).select(
+        *keys, "_n", "_place.*"
+    )
     return (
-        placed.select(*keys, value, "_at")
-        .join(spans.select(*keys, "_first", "_n"), list(keys))
+        places.join(placed.select("_at", value), "_at")
         .groupBy(*keys)
         .agg(F.max("_n").alias("_n"), *picks)
         .select(*keys, F.array(*results).alias(name))

@@ -113,22 +113,22 @@ def _swap_factors(gains: Column) -> Column:
     @pandas_udf(T.ArrayType(T.DoubleType()))
     def factors(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for batch in batches:
-            answers = []
-            for row in batch:
-                row = np.asarray(row, dtype=float)
-                table = np.zeros((depth, depth + 1))
-                reach = np.concatenate(([1.0], np.cumprod(1 - row)))
-                for a in range(len(row)):
-                    below = row[a + 1 :]
-                    ranks = np.arange(a + 2, len(row) + 1)
-                    passed = np.concatenate(([1.0], np.cumprod(1 - below)))
-                    between = np.concatenate(([0.0], np.cumsum(below * passed[:-1] / ranks)))
-                    own = 1.0 / (a + 1)
-                    inside = own - between[:-1] - passed[:-1] / ranks
-                    table[a, a + 1 : len(row)] = reach[a] * np.abs(inside)
-                    table[a, depth] = reach[a] * abs(own - between[-1])
-                answers.append(table.ravel())
-            yield pd.Series(answers)
+            # missing places have gain 0, which changes nothing above them
+            rows = np.zeros((len(batch), depth))
+            for i, row in enumerate(batch):
+                rows[i, : len(row)] = row
+            ones = np.ones((len(rows), 1))
+            reach = np.hstack((ones, np.cumprod(1 - rows, axis=1)))
+            table = np.zeros((len(rows), depth, depth + 1))
+            for a in range(depth):
+                below, ranks = rows[:, a + 1 :], np.arange(a + 2, depth + 1)
+                passed = np.hstack((ones, np.cumprod(1 - below, axis=1)))[:, :-1]
+                between = np.hstack((0 * ones, np.cumsum(below * passed / ranks, axis=1)))
+                own = 1.0 / (a + 1)
+                inside = own - between[:, :-1] - passed / ranks
+                table[:, a, a + 1 : depth] = reach[:, a, None] * np.abs(inside)
+                table[:, a, depth] = reach[:, a] * np.abs(own - between[:, -1])
+            yield pd.Series(list(table.reshape(len(rows), -1)))
 
     return factors(gains)
 

@@ -649,22 +649,22 @@ def q_lambda_gradients(spark, sf_dir):
 
 def q_lambdamart_scores(spark, sf_dir):
     rows = training_rows(spark, sf_dir)
-    return _scored(rows, training.train_lambdamart(rows, trees=5, leaf=8))
+    return _scored(rows, training.train_lambdamart(rows))
 
 
 def q_mart_scores(spark, sf_dir):
     rows = training_rows(spark, sf_dir)
-    return _scored(rows, training.train_mart(rows, trees=5, leaf=8))
+    return _scored(rows, training.train_mart(rows))
 
 
 def q_random_forest_scores(spark, sf_dir):
     rows = training_rows(spark, sf_dir)
-    return _scored(rows, training.train_random_forest(rows, trees=5, leaf=8))
+    return _scored(rows, training.train_random_forest(rows))
 
 
 def q_coordinate_ascent_scores(spark, sf_dir):
     rows = training_rows(spark, sf_dir)
-    return _scored(rows, training.train_coordinate_ascent(rows, 4, rounds=1))
+    return _scored(rows, training.train_coordinate_ascent(rows, 4))
 
 
 # -- metrics -----------------------------------------------------------------
