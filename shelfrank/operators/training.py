@@ -1,8 +1,8 @@
 """Rankers: LambdaMART, MART, random forest and coordinate ascent.
 
-Rows are ``qid, doc, grade, features``. Trees are grown by Spark ML's
-distributed decision trees, whose size is bounded by depth: ``leaf`` leaves need
-``ceil(log2(leaf))`` levels.
+Rows are ``qid, doc, grade, features``. Boosted trees are grown best first to an exact number
+of leaves (``growing``). A random forest is Spark ML's, whose trees are bounded by depth:
+``leaf`` leaves need ``ceil(log2(leaf))`` levels.
 """
 
 from __future__ import annotations
@@ -10,23 +10,20 @@ from __future__ import annotations
 import inspect
 import math
 import random
-from collections.abc import Iterator, Mapping
+from collections.abc import Callable, Iterator, Mapping
 
 import numpy as np
 import pandas as pd
 from pyspark import StorageLevel
 from pyspark.ml.functions import array_to_vector
-from pyspark.ml.regression import (
-    DecisionTreeRegressor,
-    GBTRegressor,
-    RandomForestRegressor,
-)
+from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.functions import pandas_udf
 
 from shelfrank.operators.ensemble import LinearModel, Model, Node, tree_column
+from shelfrank.operators.growing import grow, with_bins
 from shelfrank.operators.metrics import DEPTH, MAX_GRADE, err_at_k, gain
 from shelfrank.session import cut_lineage
 
@@ -221,32 +218,39 @@ def train_lambdamart(
     shrinkage: float = 0.1,
     tc: int = 256,
     mls: int = 1,
-    seed: int = 42,
 ) -> list[Node]:
     """Boosted trees on the gradients of ERR@10 (Burges, 2010)."""
-    base = cut_lineage(
-        rows.select(
-            "qid",
-            "doc",
-            F.col("grade").cast("double").alias("grade"),
-            "features",
-            array_to_vector("features").alias("vector"),
-            F.lit(0.0).alias("F"),
-        )
-    )
-    grower = DecisionTreeRegressor(
-        featuresCol="vector",
-        labelCol="lam",
-        maxDepth=_depth(leaf),
-        maxBins=_bins(tc),
-        minInstancesPerNode=mls,
-        seed=seed,
-    )
+    return _boost(rows, lambda_gradients, trees, leaf, shrinkage, tc, mls)
+
+
+def residuals(scored: DataFrame) -> DataFrame:
+    """Gradients of the squared error: the grade is to be met."""
+    return scored.withColumns({"lam": F.col("grade") - F.col("F"), "w": F.lit(1.0)})
+
+
+def _boost(
+    rows: DataFrame,
+    gradients: Callable[[DataFrame], DataFrame],
+    trees: int,
+    leaf: int,
+    shrinkage: float,
+    tc: int,
+    mls: int,
+) -> list[Node]:
+    """Trees of exactly ``leaf`` leaves on the gradients; a leaf's output is a Newton step.
+
+    Bins are made once. A round writes only ``qid, doc`` and the score; the rest of the row
+    stays in the table with the bins.
+    """
+    plain = rows.select("qid", "doc", F.col("grade").cast("double").alias("grade"), "features")
+    size = plain.select(F.max(F.size("features"))).first()[0] or 0
+    fixed, thresholds = with_bins(plain, size, tc)
     model: list[Node] = []
-    current = base
+    scores = fixed.select("qid", "doc", F.lit(0.0).alias("F"))
     for tree in range(1, trees + 1):
-        step = cut_lineage(lambda_gradients(current))
-        grown = _read_tree(grower.fit(step.select("vector", "lam")), tree, shrinkage)
+        scored = fixed.join(scores, ["qid", "doc"])
+        step = cut_lineage(gradients(scored))
+        grown = grow(step, thresholds, leaf, mls, tree, shrinkage)
         shape = {node.node: node for node in grown}
         leaves = step.withColumn("leaf", tree_column(shape, F.col("features"), leaf_id=True))
         # one row per leaf
@@ -262,14 +266,7 @@ def train_lambdamart(
         ]
         model += finished
         value = tree_column({node.node: node for node in finished}, F.col("features"))
-        current = step.select(
-            "qid",
-            "doc",
-            "grade",
-            "features",
-            "vector",
-            (F.col("F") + F.lit(shrinkage) * value).alias("F"),
-        )
+        scores = step.select("qid", "doc", (F.col("F") + F.lit(shrinkage) * value).alias("F"))
     return model
 
 
@@ -289,24 +286,9 @@ def train_mart(
     shrinkage: float = 0.1,
     tc: int = 256,
     mls: int = 1,
-    seed: int = 42,
 ) -> list[Node]:
     """Boosted regression trees on the grade."""
-    fitted = GBTRegressor(
-        featuresCol="vector",
-        labelCol="label",
-        maxIter=trees,
-        maxDepth=_depth(leaf),
-        stepSize=shrinkage,
-        maxBins=_bins(tc),
-        minInstancesPerNode=mls,
-        seed=seed,
-    ).fit(_points(rows))
-    return [
-        node
-        for number, (tree, weight) in enumerate(zip(fitted.trees, fitted.treeWeights), 1)
-        for node in _read_tree(tree, number, float(weight))
-    ]
+    return _boost(rows, residuals, trees, leaf, shrinkage, tc, mls)
 
 
 def train_random_forest(

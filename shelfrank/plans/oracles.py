@@ -572,6 +572,36 @@ SELECT CAST(p.qid AS BIGINT) AS qid, p.sku AS doc, round(round(coalesce(sum(s.la
 FROM placed p LEFT JOIN sides s ON s.qid = p.qid AND s.sku = p.sku GROUP BY p.qid, p.sku"""
 
 
+# the best split of all documents by squared gradient sums, and a Newton step in each leaf
+_FIRST_TREE = (
+    _GRADIENTS.replace("round(f1, 6)", "0.0").split("\nSELECT CAST(p.qid")[0]
+    + """,
+steps AS MATERIALIZED (
+  SELECT f.qid, f.sku, round(f.f1, 6) AS f1, round(f.f2, 6) AS f2, round(f.f3, 6) AS f3,
+         round(f.f4, 6) AS f4, coalesce(g.lam, 0.0) AS lam, coalesce(g.w, 0.0) AS w
+  FROM numbered_features f
+  LEFT JOIN (SELECT qid, sku, sum(lam) AS lam, sum(w) AS w FROM sides GROUP BY qid, sku) g
+    ON g.qid = f.qid AND g.sku = f.sku),
+cells AS (SELECT qid, sku, lam, feature, x FROM steps UNPIVOT (x FOR feature IN (f1, f2, f3, f4))),
+sums AS (
+  SELECT DISTINCT feature, x,
+         sum(lam) OVER (PARTITION BY feature ORDER BY x RANGE UNBOUNDED PRECEDING) AS low,
+         count(*) OVER (PARTITION BY feature ORDER BY x RANGE UNBOUNDED PRECEDING) AS n_low,
+         sum(lam) OVER (PARTITION BY feature) AS total, count(*) OVER (PARTITION BY feature) AS n
+  FROM cells),
+split AS (
+  SELECT feature, x FROM sums WHERE n_low < n
+  ORDER BY round(low * low / n_low + (total - low) * (total - low) / (n - n_low), 9) DESC, feature, x
+  LIMIT 1),
+sides_of AS (
+  SELECT s.*, c.x <= split.x AS goes_left FROM steps s JOIN cells c ON c.qid = s.qid AND c.sku = s.sku
+  JOIN split ON split.feature = c.feature)
+SELECT CAST(qid AS BIGINT) AS qid, sku AS doc,
+       round(0.1 * coalesce(sum(lam) OVER side / nullif(sum(w) OVER side, 0), 0.0), 6) AS score
+FROM sides_of WINDOW side AS (PARTITION BY goes_left)"""
+)
+
+
 def _list_columns() -> str:
     return "session_id, query, doc, " + _big("click", "purchase", "list_pos", "last_click")
 
@@ -773,6 +803,7 @@ JOIN part ON CAST(p_partkey AS VARCHAR) = search_term"""
     )
     cut = ", ".join(f"round(CAST(CAST(f{i} AS DECIMAL(18, 6)) AS DOUBLE), 6) AS f{i}" for i in (1, 2, 3, 4))
     out["letor_parsed"] = _query(f"SELECT {_big('qid', 'grade')}, {cut} FROM numbered_features")
+    out["lambdamart_first_tree"] = _after("numbered_features", _FIRST_TREE)
     out["lambda_gradients"] = _after("numbered_features", _GRADIENTS)
     out["err_documents"] = """
 SELECT source, round(sum(gain * passed / place), 6) AS err FROM (

@@ -647,6 +647,15 @@ def q_lambda_gradients(spark, sf_dir):
     return flat(found.withColumns(exact), "qid", "doc", "lam", "w")
 
 
+def q_lambdamart_first_tree(spark, sf_dir):
+    """Scores of one tree of two leaves, every value a candidate threshold."""
+    lists = features.training_lists(feature_log(spark, sf_dir), CONTEXT)
+    exact = F.transform("features", lambda x: F.round(x, 6))
+    rows = cut_lineage(lists.select("qid", "doc", "grade", exact.alias("features")))
+    model = training.train_lambdamart(rows, trees=1, leaf=2, tc=-1)
+    return flat(ensemble.score_ensemble(rows, model, name="score"), "qid", "doc", "score")
+
+
 def q_lambdamart_scores(spark, sf_dir):
     rows = training_rows(spark, sf_dir)
     return _scored(rows, training.train_lambdamart(rows))

@@ -261,7 +261,7 @@ def test_workflow(spark, sf_dir, tmp_path):
         assert 0.0 <= result[name] <= 1.0
     assert readers.read_trials(spark, settings.path("results")).count() == 2
     # a run with other windows makes tables of its own
-    later = dataclasses.replace(settings, windows={**queries.WINDOWS, "train": queries.WINDOWS["test"]})
+    later = dataclasses.replace(settings, windows={**queries.WINDOWS, "train": ("2024-01-03", "2024-01-06")})
     first = workflow.build_evaluation_sets(spark, hits, settings)
     second = workflow.build_evaluation_sets(spark, hits, later)
     train = "set_name = 'train'"
