@@ -10,13 +10,16 @@ document of smaller id, or earlier in the same document. All strings are judged
 2. Occurrences are dealt out and sorted by anchor and piece. Equal pieces (two 64-bit hashes)
    are settled there: all but the first are covered whole. Only the first of each piece goes
    on, and only where an anchor has different pieces.
+   Pieces that agree with no other on half of a window's bytes before or behind the anchor
+   repeat nowhere and are left out.
 3. These pieces are one collection per task, whose Burrows-Wheeler transform is built column
    by column: each round inserts one symbol of every piece, the next to the left, at the place
-   that the symbols before it give. The transform, the suffixes in order and whether each
-   shares ``LENGTH`` bytes with the one before are files in the task's temporary folder, read
-   from the start and written anew by every round, ``BLOCK`` entries at a time, so memory does
-   not depend on the size of a collection.
-4. Suffixes that share ``LENGTH`` bytes are equal windows; all but the first are covered.
+   that the symbols before it give. The transform is a file in the task's temporary folder,
+   read from the start and written anew by every round, ``BLOCK`` entries at a time.
+4. The finished transform gives the suffixes in order, and one more sequential pass whether
+   each has ``LENGTH`` bytes in common with the one before; only that much of the common
+   prefixes is asked for, so they are not carried through the rounds. Suffixes that share
+   ``LENGTH`` bytes are equal windows; all but the first are covered.
 
 A document is told apart by id and content. Rows that repeat both are one document with equal
 results; rows of one id with different texts are ordered by a hash of the text. A null id
@@ -43,7 +46,7 @@ LENGTH = 100
 GRAM = 32
 SLICE = 1 << 20  # bytes of a text in which anchors are sought at a time
 BLOCK = 1 << 20  # entries of a collection's files handled at a time
-PIECES_PER_TASK = 20_000
+PIECES_PER_TASK = 10_000
 BROADCAST_DOCUMENTS = 200_000  # piece lists of so many documents may be broadcast, else joined
 LAST_ID = (1 << 63) - 1
 
@@ -74,7 +77,7 @@ def sliding(values: np.ndarray, width: int, pick: np.ufunc) -> np.ndarray:
 
 
 def anchors(raw: np.ndarray, length: int = LENGTH, gram: int = GRAM) -> tuple[np.ndarray, ...]:
-    """``hash, piece, start, end``: anchors of a text and the pieces around them."""
+    """``hash, piece, at, end``: anchors of a text, and their pieces, from ``begin(at)`` on."""
     width = length - gram + 1
     power, inverse = powers(SLICE + 3 * length + 1)
     found = []
@@ -91,17 +94,16 @@ def anchors(raw: np.ndarray, length: int = LENGTH, gram: int = GRAM) -> tuple[np
         edge = np.zeros(width - 1, np.uint32)
         best = sliding(np.concatenate([edge, least, edge]), width, np.maximum)
         at = np.flatnonzero(best == own) + (first - left)
-        start = np.maximum(at + gram - length, -left)
-        start = np.maximum(start, 0)
+        start = np.maximum(at + gram - length, 0)
         end = np.minimum(at + length, len(part))
         piece = (sums[end] - sums[start]) * inverse[start]
         piece = mixed(piece + ((at - start) * 4 * length + (end - at)).astype(np.uint64) * np.uint64(_FACTOR))
-        found.append(np.stack([grams[at].astype(np.int64), piece.astype(np.int64), start + left, end + left]))
+        found.append(np.stack([grams[at].astype(np.int64), piece.astype(np.int64), at + left, end + left]))
     if not found:
         return tuple(np.empty((4, 0), np.int64))
     all_found = np.concatenate(found, axis=1)
     if len(found) > 1:  # anchors of windows on both sides of a slice's edge
-        _, once = np.unique(all_found[2] * 4 * length + all_found[3], return_index=True)
+        _, once = np.unique(all_found[2], return_index=True)
         all_found = all_found[:, once]
     return tuple(all_found)
 
@@ -121,16 +123,17 @@ def identity(key: str, text: str) -> list[Column]:
 
 
 def occurrences(documents: DataFrame, length: int, gram: int) -> DataFrame:
-    """``anchor, piece, id, digest, start, end`` of every anchor of every document."""
+    """``anchor, piece, id, digest, at, end`` of every anchor of every document."""
 
     def find(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             rows, size = [], 0
             for key, digest, text in zip(frame["id"], frame["digest"], frame["text"], strict=True):
                 raw = np.frombuffer(utf8(text), np.uint8)
-                hashes, pieces, starts, ends = anchors(raw, length, gram)
-                rows.append((hashes, pieces, np.full(len(hashes), key), np.full(len(hashes), digest), starts, ends))
-                size += len(hashes)
+                hashes, pieces, at, ends = anchors(raw, length, gram)
+                many = len(hashes)
+                rows.append((hashes, pieces, np.full(many, key), np.full(many, digest), at, ends))
+                size += many
                 if size > 200_000:
                     yield together(rows)
                     rows, size = [], 0
@@ -138,16 +141,16 @@ def occurrences(documents: DataFrame, length: int, gram: int) -> DataFrame:
                 yield together(rows)
 
     def together(rows: list[tuple]) -> pd.DataFrame:
-        names = ("anchor", "piece", "id", "digest", "start", "end")
+        names = ("anchor", "piece", "id", "digest", "at", "end")
         columns = [np.concatenate(c) for c in zip(*rows, strict=True)]
         return pd.DataFrame(dict(zip(names, columns, strict=True)))
 
     return documents.mapInPandas(
-        find, "anchor long, piece long, id long, digest long, start int, end int"
+        find, "anchor long, piece long, id long, digest long, at int, end int"
     )
 
 
-ROW = ["anchor", "id", "digest", "start", "end"]
+ROW = ["anchor", "id", "digest", "at", "end"]
 
 
 def settle(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -217,26 +220,31 @@ class Sequence:
         return np.memmap(self.path, self.dtype, mode)
 
 
-def ranks(transform: Sequence, places: np.ndarray, symbols: int) -> np.ndarray:
-    """For sorted places: the place its own suffix, one symbol longer, has in the new order."""
-    seen = np.zeros(symbols, np.int64)
-    totals = np.zeros(symbols, np.int64)
-    for block in transform.blocks():
-        totals += np.bincount(block, minlength=symbols)
-    # suffixes in front: the ends of pieces (as many as there are pieces), then by symbol
-    first = np.cumsum(totals) - totals - totals[0]
+def next_places(block: np.ndarray, symbols: int) -> tuple[np.ndarray, np.ndarray]:
+    """For each entry the number of equal ones before it in the block, and all counts."""
+    order = np.argsort(block, kind="stable")
+    count = np.bincount(block, minlength=symbols)
+    begins = (np.cumsum(count) - count).astype(np.int32)
+    before = np.empty(len(block), np.int32)
+    before[order] = np.arange(len(block), dtype=np.int32) - np.repeat(begins, count)
+    return before, count
+
+
+def ranks(transform: Sequence, places: np.ndarray, totals: np.ndarray, pieces: int) -> np.ndarray:
+    """For sorted places: the place that the suffix one symbol longer has in the new order.
+
+    In front are the empty suffixes, one a piece, then all others by their first symbol;
+    ``totals`` counts the symbols of the transform, 0 where a piece has no more.
+    """
+    base = pieces + np.cumsum(totals) - totals - totals[0]
     out, done, start = np.empty(len(places), np.int64), 0, 0
     for block in transform.blocks():
         upto = int(np.searchsorted(places, start + len(block)))
         here = places[done:upto] - start
-        order = np.argsort(block, kind="stable")
-        sorted_place = np.empty(len(block), np.int64)
-        sorted_place[order] = np.arange(len(block))
-        count = np.bincount(block, minlength=symbols)
-        begins = np.cumsum(count) - count
+        before, count = next_places(block, len(totals))
         symbol = block[here]
-        out[done:upto] = first[symbol] + seen[symbol] + sorted_place[here] - begins[symbol]
-        seen += count
+        out[done:upto] = base[symbol] + before[here]
+        base += count
         done, start = upto, start + len(block)
     return out
 
@@ -253,54 +261,66 @@ def equal_windows(
     used = np.zeros(256, bool)
     used[raw] = True
     code = np.cumsum(used).astype(np.uint16 if used.all() else np.uint8)
-    symbols = int(used.sum()) + 1
     transform = Sequence(folder, "transform", code.dtype)
-    suffixes = Sequence(folder, "suffixes", np.int64)  # where each suffix starts in raw
-    shares = Sequence(folder, "shares", np.uint8)  # length bytes with the suffix before
-    many = len(lengths)
-    piece = places = np.arange(many)
+    totals = np.zeros(int(used.sum()) + 1, np.int64)
+    piece = places = np.arange(len(lengths))
     for column in range(int(lengths.max()) + 1):
         # suffixes of so many symbols; a piece with no more symbols has a 0 before them
-        at = ends[piece] - column
-        more = lengths[piece] > column
-        symbol = np.where(more, code[raw[np.maximum(at - 1, 0)]], 0).astype(code.dtype)
         if column:
-            places = ranks(transform, places, symbols) + many
+            places = ranks(transform, places, totals, len(lengths))
             order = np.argsort(places)
-            places, piece, at, more, symbol = (
-                x[order] for x in (places, piece, at, more, symbol)
-            )
+            places, piece = places[order], piece[order]
+        more = lengths[piece] > column
+        before = raw[np.maximum(ends[piece] - column - 1, 0)]
+        symbol = np.where(more, code[before], 0).astype(code.dtype)
         transform.insert(places, symbol)
-        suffixes.insert(places, at)
-        shares.insert(places, np.zeros(len(places), np.uint8))
-        if column >= length:
-            compare(raw, ends, suffixes, shares, places, length)
+        totals += np.bincount(symbol, minlength=len(totals))
         piece, places = piece[more], places[more]
         if not len(piece):
             break
-    return grouped(suffixes.mapped(), shares.mapped())
-
-
-def compare(
-    raw: np.ndarray,
-    ends: np.ndarray,
-    suffixes: Sequence,
-    shares: Sequence,
-    places: np.ndarray,
-    length: int,
-) -> None:
-    """Renews what inserted suffixes share with their neighbours."""
-    order, flags = suffixes.mapped(), shares.mapped("r+")
+    order = suffixes(transform, totals, ends, folder)
+    return grouped(order, shares(raw, ends, order, length, folder))
+
+
+def suffixes(transform: Sequence, totals: np.ndarray, ends: np.ndarray, folder: Path) -> np.ndarray:
+    """Where each suffix starts, in order: all pieces are followed through the transform at
+    once, a symbol a step, from their ends to their starts."""
+    step = Sequence(folder, "step", np.int64)
+    base = len(ends) + np.cumsum(totals) - totals - totals[0]
+    with step.path.open("wb") as out:
+        for block in transform.blocks():
+            before, count = next_places(block, len(totals))
+            (base[block] + before).tofile(out)
+            base += count
+    symbols, forward = transform.mapped(), step.mapped()
+    order = Sequence(folder, "order", np.int64)
+    with order.path.open("wb") as out:
+        out.truncate(8 * len(symbols))
+    found = order.mapped("r+")
+    place, at = np.arange(len(ends)), ends.copy()
+    while len(place):
+        found[place] = at
+        more = symbols[place] > 0
+        place, at = forward[place[more]], at[more] - 1
+    return found
+
+
+def shares(
+    raw: np.ndarray, ends: np.ndarray, order: np.ndarray, length: int, folder: Path
+) -> np.ndarray:
+    """Whether each suffix has its first ``length`` bytes in common with the one before."""
+    flags = Sequence(folder, "shares", np.uint8)
     windows = np.lib.stride_tricks.sliding_window_view(raw, length)
-    for some in np.array_split(places, len(places) // 50_000 + 1):
-        for lower in (some - 1, some):
-            lower = lower[(lower >= 0) & (lower + 1 < len(order))]
-            a, b = order[lower], order[lower + 1]
+    with flags.path.open("wb") as out:
+        for begin in range(0, len(order), BLOCK // 8):
+            at = np.asarray(order[max(begin - 1, 0) : begin + BLOCK // 8])
             # both must have enough bytes left in their own piece
-            whole = np.minimum(room(ends, a), room(ends, b)) >= length
-            a, b, lower = a[whole], b[whole], lower[whole]
-            flags[lower + 1] = (windows[a] == windows[b]).all(1)
-    flags.flush()
+            whole = room(ends, at) >= length
+            pairs = np.flatnonzero(whole[1:] & whole[:-1])
+            equal = np.zeros(len(at), np.uint8)
+            equal[pairs + 1] = (windows[at[pairs]] == windows[at[pairs + 1]]).all(1)
+            equal[1 if begin else 0 :].tofile(out)
+    return flags.mapped()
 
 
 def room(ends: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -386,62 +406,137 @@ def construct(length: int):
     return run
 
 
-def first_pieces(documents: DataFrame, firsts: DataFrame) -> DataFrame:
+def halves(raw: np.ndarray, at: np.ndarray, length: int, gram: int) -> np.ndarray:
+    """Two hashes per anchor: with half of a window's other bytes before it, and behind it.
+
+    0 where the text does not have so many. Windows around equal anchors are only equal if
+    one of the halves is, whatever the window's place.
+    """
+    half = (length - gram + 1) // 2
+    power, _ = powers(SLICE + 3 * length + 1)
+    out = np.zeros((2, len(at)), np.int64)
+    for side, first in enumerate((at - half, at)):
+        there = np.flatnonzero((first >= 0) & (first + half + gram <= len(raw)))
+        for some in np.array_split(there, len(there) // 5000 + 1):
+            parts = _BYTE[raw[first[some, None] + np.arange(half + gram)]]
+            sums = (parts * power[: half + gram]).sum(1, dtype=np.uint64)
+            out[side, some] = mixed(sums + np.uint64(side + 1)).astype(np.int64)
+    return out
+
+
+def with_wanted(documents: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``id, digest, text, wanted`` (an array) of the documents in ``wanted``.
+
+    ``wanted`` is written first; it is broadcast if it is for few documents, else joined.
+    """
+    lists = written(
+        wanted.groupBy("id", "digest").agg(
+            F.collect_set(F.struct("anchor", "at", "end")).alias("wanted")
+        )
+    )
+    side = F.broadcast(lists) if lists.count() <= BROADCAST_DOCUMENTS else lists
+    return documents.join(side, ["id", "digest"]).select("id", "digest", "text", "wanted")
+
+
+def shared_halves(documents: DataFrame, firsts: DataFrame, length: int, gram: int) -> DataFrame:
+    """The first pieces with a half that another first piece has too.
+
+    Others only have their anchor in common with anything and repeat nowhere else.
+    """
+
+    def find(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            for begin in range(0, len(frame), 200):
+                found = []
+                for key, digest, text, wanted in frame.iloc[begin : begin + 200].itertuples(index=False):
+                    raw = np.frombuffer(utf8(text), np.uint8)
+                    anchor, at, end = (np.array([w[n] for w in wanted]) for n in ("anchor", "at", "end"))
+                    for side in halves(raw, at, length, gram):
+                        rows = pd.DataFrame({"half": side, "anchor": anchor, "id": key, "digest": digest, "at": at, "end": end})
+                        found.append(rows[side != 0])
+                yield pd.concat(found, ignore_index=True)
+
+    def runs(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """Rows whose half the row before or behind has, too."""
+        rest: pd.DataFrame | None = None
+        rest_shared = False
+        for frame in frames:
+            if not len(frame):
+                continue
+            value = frame["half"].to_numpy()
+            same = value[1:] == value[:-1]
+            shared = np.append(same, False) | np.append(False, same)
+            if rest is not None:
+                follows = rest["half"].iloc[0] == value[0]
+                shared[0] |= follows
+                if rest_shared or follows:
+                    yield rest[ROW]
+            if shared[:-1].any():
+                yield frame[:-1][shared[:-1]][ROW]
+            rest, rest_shared = frame[-1:], bool(shared[-1])
+        if rest is not None and rest_shared:
+            yield rest[ROW]
+
+    columns = "anchor long, id long, digest long, at int, end int"
+    return (
+        with_wanted(documents, firsts)
+        .mapInPandas(find, f"half long, {columns}")
+        .repartition("half")
+        .sortWithinPartitions("half")
+        .mapInPandas(runs, columns)
+    )
+
+
+def first_pieces(documents: DataFrame, firsts: DataFrame, length: int, gram: int) -> DataFrame:
     """``anchor, id, digest, start, end, bytes`` of the pieces in ``firsts``."""
 
     def cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
+            rows = []
             for key, digest, text, wanted in frame.itertuples(index=False):
                 raw = utf8(text)
-                anchor, start, end = (np.array([w[n] for w in wanted]) for n in ("anchor", "start", "end"))
-                yield pd.DataFrame(
-                    {
-                        "anchor": anchor,
-                        "id": key,
-                        "digest": digest,
-                        "start": start,
-                        "end": end,
-                        "bytes": [raw[a:b] for a, b in zip(start, end, strict=True)],
-                    }
-                )
+                for piece in wanted:
+                    start, end = max(piece["at"] + gram - length, 0), piece["end"]
+                    rows.append((piece["anchor"], key, digest, start, end, raw[start:end]))
+                if len(rows) >= 10_000:
+                    yield pd.DataFrame(rows, columns=PIECE)
+                    rows = []
+            if rows:
+                yield pd.DataFrame(rows, columns=PIECE)
 
-    wanted = written(
-        firsts.groupBy("id", "digest").agg(
-            F.collect_list(F.struct("anchor", "start", "end")).alias("wanted")
-        )
-    )
-    side = F.broadcast(wanted) if wanted.count() <= BROADCAST_DOCUMENTS else wanted
-    once = documents.join(side, ["id", "digest"]).select("id", "digest", "text", "wanted")
-    return once.mapInPandas(
+    return with_wanted(documents, firsts).mapInPandas(
         cut, "anchor long, id long, digest long, start int, end int, bytes binary"
     )
 
 
+PIECE = ["anchor", "id", "digest", "start", "end", "bytes"]
+
+
 def covered(documents: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
     """``id, digest, start, end``: stretches of documents' bytes that are repeated.
 
     Takes ``id, digest, text``; stretches may overlap.
     """
     found = occurrences(documents, length, gram)
-    order = ["anchor", "piece", "id", "digest", "start"]
     settled = written(
         found.repartition("anchor")
-        .sortWithinPartitions(*order)
-        .mapInPandas(
-            settle, "anchor long, id long, digest long, start int, end int, first boolean"
-        )
+        .sortWithinPartitions("anchor", "piece", "id", "digest", "at")
+        .mapInPandas(settle, "anchor long, id long, digest long, at int, end int, first boolean")
     )
-    whole = settled.where("NOT first").select("id", "digest", "start", "end")
+    start = F.greatest(F.col("at") + (gram - length), F.lit(0)).alias("start")
+    whole = settled.where("NOT first").select("id", "digest", start, "end")
     firsts = settled.where("first").drop("first")
-    tasks = -(-firsts.count() // PIECES_PER_TASK)
+    if firsts.isEmpty():
+        return whole
+    close = written(shared_halves(documents, firsts, length, gram).distinct())
+    tasks = -(-close.count() // PIECES_PER_TASK)
     if not tasks:
         return whole
-    # rows of one id and content have the same pieces: one is enough
-    pieces = first_pieces(documents, firsts).repartition(tasks, "anchor")
+    pieces = first_pieces(documents, close, length, gram).repartition(tasks, "anchor")
     windows = pieces.mapInPandas(
         construct(length), "id long, digest long, start int, end int"
     )
-    return whole.unionByName(windows)
+    return whole.unionByName(written(windows))
 
 
 def remove_repeated(
