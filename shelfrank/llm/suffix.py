@@ -46,6 +46,7 @@ LENGTH = 100
 GRAM = 32
 SLICE = 1 << 20  # bytes of a text in which anchors are sought at a time
 BLOCK = 1 << 20  # entries of a collection's files handled at a time
+RUN = 256  # entries whose symbol counts are summed up together
 PIECES_PER_TASK = 10_000
 BROADCAST_DOCUMENTS = 200_000  # piece lists of so many documents may be broadcast, else joined
 LAST_ID = (1 << 63) - 1
@@ -192,6 +193,7 @@ class Sequence:
         self.path, self.spare = folder / name, folder / f"{name}.new"
         self.dtype = np.dtype(dtype)
         self.path.touch()
+        self.spare.touch()
 
     def blocks(self) -> Iterator[np.ndarray]:
         with self.path.open("rb") as file:
@@ -201,7 +203,8 @@ class Sequence:
     def insert(self, places: np.ndarray, values: np.ndarray) -> None:
         """Puts ``values`` at ``places`` (sorted, of the new file) among the old entries."""
         done = 0
-        with self.path.open("rb") as old, self.spare.open("wb") as new:
+        # a file only grows, so its spare is overwritten in place
+        with self.path.open("rb") as old, self.spare.open("r+b") as new:
             total = self.path.stat().st_size // self.dtype.itemsize + len(places)
             for start in range(0, total, BLOCK):
                 stop = min(start + BLOCK, total)
@@ -230,6 +233,35 @@ def next_places(block: np.ndarray, symbols: int) -> tuple[np.ndarray, np.ndarray
     return before, count
 
 
+def equal_before(
+    block: np.ndarray, here: np.ndarray, symbols: int
+) -> tuple[np.ndarray, np.ndarray]:
+    """For the entries at ``here`` the number of equal ones before them, and all counts.
+
+    Counts are kept per run of ``RUN`` entries; only the runs asked for are looked into.
+    """
+    runs = -(-len(block) // RUN)
+    padded = np.zeros(runs * RUN, block.dtype)
+    padded[: len(block)] = block
+    padded = padded.reshape(runs, RUN)
+    slots = padded + (np.arange(runs, dtype=np.int32) * symbols)[:, None]
+    table = np.bincount(slots.ravel(), minlength=runs * symbols).reshape(runs, symbols)
+    upto = table.cumsum(0)
+    count = upto[-1].copy()
+    count[0] -= runs * RUN - len(block)
+    upto -= table
+    out = np.empty(len(here), np.int64)
+    ahead = np.tri(RUN, k=-1, dtype=bool)  # row i: the places before i
+    for some in range(0, len(here), BLOCK // RUN * 8):
+        part = here[some : some + BLOCK // RUN * 8]
+        run, inside = np.divmod(part, RUN)
+        symbol = block[part]
+        equal = padded[run] == symbol[:, None]
+        equal &= ahead[inside]
+        out[some : some + len(part)] = upto[run, symbol] + np.count_nonzero(equal, axis=1)
+    return out, count
+
+
 def ranks(transform: Sequence, places: np.ndarray, totals: np.ndarray, pieces: int) -> np.ndarray:
     """For sorted places: the place that the suffix one symbol longer has in the new order.
 
@@ -241,9 +273,8 @@ def ranks(transform: Sequence, places: np.ndarray, totals: np.ndarray, pieces: i
     for block in transform.blocks():
         upto = int(np.searchsorted(places, start + len(block)))
         here = places[done:upto] - start
-        before, count = next_places(block, len(totals))
-        symbol = block[here]
-        out[done:upto] = base[symbol] + before[here]
+        before, count = equal_before(block, here, len(totals))
+        out[done:upto] = base[block[here]] + before
         base += count
         done, start = upto, start + len(block)
     return out
@@ -424,14 +455,14 @@ def halves(raw: np.ndarray, at: np.ndarray, length: int, gram: int) -> np.ndarra
     return out
 
 
-def with_wanted(documents: DataFrame, wanted: DataFrame) -> DataFrame:
-    """``id, digest, text, wanted`` (an array) of the documents in ``wanted``.
+def with_wanted(documents: DataFrame, wanted: DataFrame, *columns: str) -> DataFrame:
+    """``id, digest, text, wanted`` (an array of ``columns``) of the documents in ``wanted``.
 
     ``wanted`` is written first; it is broadcast if it is for few documents, else joined.
     """
     lists = written(
         wanted.groupBy("id", "digest").agg(
-            F.collect_set(F.struct("anchor", "at", "end")).alias("wanted")
+            F.collect_set(F.struct(*columns)).alias("wanted")
         )
     )
     side = F.broadcast(lists) if lists.count() <= BROADCAST_DOCUMENTS else lists
@@ -439,10 +470,12 @@ def with_wanted(documents: DataFrame, wanted: DataFrame) -> DataFrame:
 
 
 def shared_halves(documents: DataFrame, firsts: DataFrame, length: int, gram: int) -> DataFrame:
-    """The first pieces with a half that another first piece has too.
+    """The first pieces with a half that another first piece has too, as ``start, end``.
 
-    Others only have their anchor in common with anything and repeat nowhere else.
+    Others only have their anchor in common with anything and repeat nowhere else. Of a piece
+    with one such half, only what windows over this half cover is kept.
     """
+    half = (length - gram + 1) // 2
 
     def find(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
@@ -451,8 +484,10 @@ def shared_halves(documents: DataFrame, firsts: DataFrame, length: int, gram: in
                 for key, digest, text, wanted in frame.iloc[begin : begin + 200].itertuples(index=False):
                     raw = np.frombuffer(utf8(text), np.uint8)
                     anchor, at, end = (np.array([w[n] for w in wanted]) for n in ("anchor", "at", "end"))
-                    for side in halves(raw, at, length, gram):
-                        rows = pd.DataFrame({"half": side, "anchor": anchor, "id": key, "digest": digest, "at": at, "end": end})
+                    start = np.maximum(at + gram - length, 0)
+                    edges = ((start, np.minimum(end, at + gram + half)), (np.maximum(at - half, 0), end))
+                    for side, (a, b) in zip(halves(raw, at, length, gram), edges, strict=True):
+                        rows = pd.DataFrame({"half": side, "anchor": anchor, "id": key, "digest": digest, "at": at, "start": a, "end": b})
                         found.append(rows[side != 0])
                 yield pd.concat(found, ignore_index=True)
 
@@ -470,25 +505,30 @@ def shared_halves(documents: DataFrame, firsts: DataFrame, length: int, gram: in
                 follows = rest["half"].iloc[0] == value[0]
                 shared[0] |= follows
                 if rest_shared or follows:
-                    yield rest[ROW]
+                    yield rest[names]
             if shared[:-1].any():
-                yield frame[:-1][shared[:-1]][ROW]
+                yield frame[:-1][shared[:-1]][names]
             rest, rest_shared = frame[-1:], bool(shared[-1])
         if rest is not None and rest_shared:
-            yield rest[ROW]
+            yield rest[names]
 
-    columns = "anchor long, id long, digest long, at int, end int"
-    return (
-        with_wanted(documents, firsts)
+    names = ["anchor", "id", "digest", "at", "start", "end"]
+    columns = "anchor long, id long, digest long, at int, start int, end int"
+    found = (
+        with_wanted(documents, firsts, "anchor", "at", "end")
         .mapInPandas(find, f"half long, {columns}")
         .repartition("half")
         .sortWithinPartitions("half")
         .mapInPandas(runs, columns)
     )
+    both = found.groupBy("anchor", "id", "digest", "at").agg(
+        F.min("start").alias("start"), F.max("end").alias("end")
+    )
+    return both.where(F.col("end") - F.col("start") >= length)
 
 
-def first_pieces(documents: DataFrame, firsts: DataFrame, length: int, gram: int) -> DataFrame:
-    """``anchor, id, digest, start, end, bytes`` of the pieces in ``firsts``."""
+def first_pieces(documents: DataFrame, chosen: DataFrame) -> DataFrame:
+    """``anchor, id, digest, start, end, bytes`` of the chosen pieces."""
 
     def cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
@@ -496,7 +536,7 @@ def first_pieces(documents: DataFrame, firsts: DataFrame, length: int, gram: int
             for key, digest, text, wanted in frame.itertuples(index=False):
                 raw = utf8(text)
                 for piece in wanted:
-                    start, end = max(piece["at"] + gram - length, 0), piece["end"]
+                    start, end = piece["start"], piece["end"]
                     rows.append((piece["anchor"], key, digest, start, end, raw[start:end]))
                 if len(rows) >= 10_000:
                     yield pd.DataFrame(rows, columns=PIECE)
@@ -504,7 +544,7 @@ def first_pieces(documents: DataFrame, firsts: DataFrame, length: int, gram: int
             if rows:
                 yield pd.DataFrame(rows, columns=PIECE)
 
-    return with_wanted(documents, firsts).mapInPandas(
+    return with_wanted(documents, chosen, "anchor", "start", "end").mapInPandas(
         cut, "anchor long, id long, digest long, start int, end int, bytes binary"
     )
 
@@ -528,11 +568,11 @@ def covered(documents: DataFrame, length: int = LENGTH, gram: int = GRAM) -> Dat
     firsts = settled.where("first").drop("first")
     if firsts.isEmpty():
         return whole
-    close = written(shared_halves(documents, firsts, length, gram).distinct())
+    close = written(shared_halves(documents, firsts, length, gram))
     tasks = -(-close.count() // PIECES_PER_TASK)
     if not tasks:
         return whole
-    pieces = first_pieces(documents, close, length, gram).repartition(tasks, "anchor")
+    pieces = first_pieces(documents, close).repartition(tasks, "anchor")
     windows = pieces.mapInPandas(
         construct(length), "id long, digest long, start int, end int"
     )
