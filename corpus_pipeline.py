@@ -36,7 +36,7 @@ def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids by document, and the digest of what they decode to."""
-    encoded = byte_bpe.decode(byte_bpe.encode(docs))
+    encoded = byte_bpe.encode(docs, decoded=True)
     return encoded.select(
         "doc_id", "n_tokens", "ids", F.sha2("decoded", 256).alias("decoded_sha256")
     )

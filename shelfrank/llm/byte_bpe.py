@@ -34,7 +34,7 @@ CHUNK = 32768
 OVERLAP = 512
 # the pattern's lookahead and its contractions never see further than this
 LOOKAHEAD = 4
-BATCH_CHARS = 1 << 22  # texts of so many code points go back to Spark at a time
+BATCH_CHARS = 1 << 21  # texts of so many code points go back to Spark at a time
 
 
 @functools.cache
@@ -64,6 +64,10 @@ def ids_of(text: str, name: str) -> bytes:
     return encoding(name).encode_to_numpy(text, disallowed_special=()).astype("<u4").tobytes()
 
 
+def bytes_of(ids: bytes, name: str) -> bytes:
+    return b"".join(map(token_bytes(name).__getitem__, np.frombuffer(ids, "<u4").tolist()))
+
+
 def boundaries(text: str, start: int, stop: int) -> list[int]:
     """Where pre-tokens of ``text[start:stop]`` begin, if later text can't change it.
 
@@ -111,8 +115,13 @@ def encode(
     name: str = VOCABULARY,
     chunk: int = CHUNK,
     overlap: int = OVERLAP,
+    decoded: bool = False,
 ) -> DataFrame:
-    """``key``, ``n_tokens`` and the token ids of every row of ``df``."""
+    """``key``, ``n_tokens`` and the token ids of every row of ``df``.
+
+    With ``decoded`` also the bytes the ids decode to, made in the same pass, some rows at a
+    time: a column of ids is larger than the texts and need not go to Python again.
+    """
     rows = df.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     kind = dict(rows.dtypes)["key"]
     carried = F.col("key").cast("string").alias("key")  # pandas has no nullable long
@@ -120,22 +129,28 @@ def encode(
     def whole(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             for part in bounded(frame, "text"):
-                yield pd.DataFrame(
-                    {"key": part["key"], "ids": [ids_of(t, name) for t in part["text"]]}
-                )
+                ids = [ids_of(t, name) for t in part["text"]]
+                columns = {"key": part["key"], "ids": ids}
+                if decoded:
+                    columns["decoded"] = [bytes_of(x, name) for x in ids]
+                yield pd.DataFrame(columns)
 
     length = F.char_length("text")
     short = rows.where(length <= chunk).select(carried, "text")
-    encoded = short.mapInPandas(whole, "key string, ids binary")
+    more = ", decoded binary" if decoded else ""
+    encoded = short.mapInPandas(whole, f"key string, ids binary{more}")
     long = rows.where(length > chunk).select(
         carried, F.sha2(F.col("text").cast("binary"), 256).alias("digest"), "text"
     )
     pieces = long_ids(long.select("digest", "text"), name, chunk, overlap)
-    of_long = long.select("key", "digest").join(pieces, "digest").select("key", "ids")
+    if decoded:
+        pieces = decode(pieces, "ids", name)
+    of_long = long.select("key", "digest").join(pieces, "digest").drop("digest")
     return encoded.unionByName(of_long).select(
         F.col("key").cast(kind).alias(key),
         (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
         "ids",
+        *(["decoded"] if decoded else []),
     )
 
 
@@ -231,8 +246,7 @@ def decode(df: DataFrame, ids: str = "ids", name: str = VOCABULARY) -> DataFrame
     """``df`` with ``decoded``: the raw bytes of its tokens, joined."""
 
     @F.pandas_udf("binary")
-    def bytes_of(column: pd.Series) -> pd.Series:
-        table = token_bytes(name).__getitem__
-        return column.map(lambda x: b"".join(map(table, np.frombuffer(x, "<u4").tolist())))
+    def joined_bytes(column: pd.Series) -> pd.Series:
+        return column.map(lambda x: bytes_of(x, name))
 
-    return df.withColumn("decoded", bytes_of(ids))
+    return df.withColumn("decoded", joined_bytes(ids))

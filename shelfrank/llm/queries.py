@@ -40,8 +40,8 @@ def op5_token_efficiency(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_overlapping_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    encoded = byte_bpe.encode(table(spark, sf_dir, "documents"))
-    return byte_bpe.decode(encoded).select(
+    encoded = byte_bpe.encode(table(spark, sf_dir, "documents"), decoded=True)
+    return encoded.select(
         "doc_id",
         "n_tokens",
         F.sha2("ids", 256).alias("ids_sha256"),

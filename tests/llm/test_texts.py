@@ -135,7 +135,10 @@ def test_long_texts_encode_as_the_library_does(spark):
     texts += ["".join(rng.choice(bits) for _ in range(rng.randrange(200))) for _ in range(60)]
     rows = [(i or None, t, 7) for i, t in enumerate(texts)] + [(3, texts[3], 8)]
     df = spark.createDataFrame(rows, "doc_id long, text string, ids int")
-    found = byte_bpe.decode(byte_bpe.encode(df, chunk=24, overlap=10)).collect()
+    both = byte_bpe.encode(df, chunk=24, overlap=10, decoded=True)
+    again = byte_bpe.decode(both.drop("decoded")).select("n_tokens", "ids", "decoded")
+    assert sorted(map(tuple, again.collect())) == sorted(map(tuple, both.drop("doc_id").collect()))
+    found = both.collect()
     assert len(found) == len(rows) and sum(r.doc_id == 3 for r in found) == 2
     library = byte_bpe.encoding(byte_bpe.VOCABULARY)
     for row in found:
