@@ -4,9 +4,9 @@ A byte is repeated if a string of ``LENGTH`` bytes that covers it also starts ea
 document of smaller id, or earlier in the same document. All strings are judged on the input.
 
 1. Anchors. Of the ``GRAM``-byte strings in every window of ``LENGTH`` bytes, the one with the
-   least hash is an anchor. Equal windows have equal anchors at equal places, so windows can
-   only be equal around equal anchors. An anchor's piece is what all windows that contain it
-   cover: at most ``2 * LENGTH - GRAM`` bytes.
+   least hash is the window's anchor (of equal hashes the last). Equal windows have equal
+   anchors at equal places, so windows can only be equal around equal anchors. An anchor's
+   piece is what its windows cover: at most ``2 * LENGTH - GRAM`` bytes.
 2. Occurrences are dealt out and sorted by anchor and piece. Equal pieces (two 64-bit hashes)
    are settled there: all but the first are covered whole. Only the first of each piece goes
    on, and only where an anchor has different pieces.
@@ -78,7 +78,7 @@ def sliding(values: np.ndarray, width: int, pick: np.ufunc) -> np.ndarray:
 
 
 def anchors(raw: np.ndarray, length: int = LENGTH, gram: int = GRAM) -> tuple[np.ndarray, ...]:
-    """``hash, piece, at, end``: anchors of a text, and their pieces, from ``begin(at)`` on."""
+    """``hash, piece, at, start, end``: anchors of a text and their pieces."""
     width = length - gram + 1
     power, inverse = powers(SLICE + 3 * length + 1)
     found = []
@@ -90,23 +90,21 @@ def anchors(raw: np.ndarray, length: int = LENGTH, gram: int = GRAM) -> tuple[np
         grams = mixed((sums[gram:] - sums[:-gram]) * inverse[: len(part) - gram + 1])
         # windows that start in this slice
         stop = min(first + SLICE, len(raw) - length + 1)
-        own = (grams >> np.uint64(32)).astype(np.uint32)[first - left : stop - left + width - 1]
-        least = sliding(own, width, np.minimum)
-        edge = np.zeros(width - 1, np.uint32)
-        best = sliding(np.concatenate([edge, least, edge]), width, np.maximum)
-        at = np.flatnonzero(best == own) + (first - left)
-        start = np.maximum(at + gram - length, 0)
-        end = np.minimum(at + length, len(part))
+        own = grams[first - left : stop - left + width - 1]
+        # the least hash of each window, of equal ones the last
+        places = np.arange(len(own), dtype=np.uint64)
+        ranked = (own & ~np.uint64(0xFFFFFFFF)) | (np.uint64(0xFFFFFFFF) - places)
+        least = np.uint64(0xFFFFFFFF) - (sliding(ranked, width, np.minimum) & np.uint64(0xFFFFFFFF))
+        at = least.astype(np.int64)
+        start = np.flatnonzero(np.append(True, at[1:] != at[:-1]))
+        end = np.append(start[1:], len(at)) - 1 + length
+        at, start, end = (x + (first - left) for x in (at[start], start, end))
         piece = (sums[end] - sums[start]) * inverse[start]
         piece = mixed(piece + ((at - start) * 4 * length + (end - at)).astype(np.uint64) * np.uint64(_FACTOR))
-        found.append(np.stack([grams[at].astype(np.int64), piece.astype(np.int64), at + left, end + left]))
-    if not found:
-        return tuple(np.empty((4, 0), np.int64))
-    all_found = np.concatenate(found, axis=1)
-    if len(found) > 1:  # anchors of windows on both sides of a slice's edge
-        _, once = np.unique(all_found[2], return_index=True)
-        all_found = all_found[:, once]
-    return tuple(all_found)
+        found.append(
+            np.stack([grams[at].astype(np.int64), piece.astype(np.int64), at + left, start + left, end + left])
+        )
+    return tuple(np.concatenate(found, axis=1) if found else np.empty((5, 0), np.int64))
 
 
 def utf8(text: str | None) -> bytes:
@@ -124,16 +122,16 @@ def identity(key: str, text: str) -> list[Column]:
 
 
 def occurrences(documents: DataFrame, length: int, gram: int) -> DataFrame:
-    """``anchor, piece, id, digest, at, end`` of every anchor of every document."""
+    """``anchor, piece, id, digest, at, start, end`` of every anchor of every document."""
 
     def find(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             rows, size = [], 0
             for key, digest, text in zip(frame["id"], frame["digest"], frame["text"], strict=True):
                 raw = np.frombuffer(utf8(text), np.uint8)
-                hashes, pieces, at, ends = anchors(raw, length, gram)
+                hashes, pieces, at, starts, ends = anchors(raw, length, gram)
                 many = len(hashes)
-                rows.append((hashes, pieces, np.full(many, key), np.full(many, digest), at, ends))
+                rows.append((hashes, pieces, np.full(many, key), np.full(many, digest), at, starts, ends))
                 size += many
                 if size > 200_000:
                     yield together(rows)
@@ -142,16 +140,16 @@ def occurrences(documents: DataFrame, length: int, gram: int) -> DataFrame:
                 yield together(rows)
 
     def together(rows: list[tuple]) -> pd.DataFrame:
-        names = ("anchor", "piece", "id", "digest", "at", "end")
+        names = ("anchor", "piece", "id", "digest", "at", "start", "end")
         columns = [np.concatenate(c) for c in zip(*rows, strict=True)]
         return pd.DataFrame(dict(zip(names, columns, strict=True)))
 
     return documents.mapInPandas(
-        find, "anchor long, piece long, id long, digest long, at int, end int"
+        find, "anchor long, piece long, id long, digest long, at int, start int, end int"
     )
 
 
-ROW = ["anchor", "id", "digest", "at", "end"]
+ROW = ["anchor", "id", "digest", "at", "start", "end"]
 
 
 def settle(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -483,9 +481,13 @@ def shared_halves(documents: DataFrame, firsts: DataFrame, length: int, gram: in
                 found = []
                 for key, digest, text, wanted in frame.iloc[begin : begin + 200].itertuples(index=False):
                     raw = np.frombuffer(utf8(text), np.uint8)
-                    anchor, at, end = (np.array([w[n] for w in wanted]) for n in ("anchor", "at", "end"))
-                    start = np.maximum(at + gram - length, 0)
-                    edges = ((start, np.minimum(end, at + gram + half)), (np.maximum(at - half, 0), end))
+                    anchor, at, start, end = (
+                        np.array([w[n] for w in wanted]) for n in ("anchor", "at", "start", "end")
+                    )
+                    edges = (
+                        (start, np.minimum(end, at + gram + half)),
+                        (np.maximum(at - half, start), end),
+                    )
                     for side, (a, b) in zip(halves(raw, at, length, gram), edges, strict=True):
                         rows = pd.DataFrame({"half": side, "anchor": anchor, "id": key, "digest": digest, "at": at, "start": a, "end": b})
                         found.append(rows[side != 0])
@@ -512,10 +514,10 @@ def shared_halves(documents: DataFrame, firsts: DataFrame, length: int, gram: in
         if rest is not None and rest_shared:
             yield rest[names]
 
-    names = ["anchor", "id", "digest", "at", "start", "end"]
+    names = ROW
     columns = "anchor long, id long, digest long, at int, start int, end int"
     found = (
-        with_wanted(documents, firsts, "anchor", "at", "end")
+        with_wanted(documents, firsts, "anchor", "at", "start", "end")
         .mapInPandas(find, f"half long, {columns}")
         .repartition("half")
         .sortWithinPartitions("half")
@@ -561,10 +563,12 @@ def covered(documents: DataFrame, length: int = LENGTH, gram: int = GRAM) -> Dat
     settled = written(
         found.repartition("anchor")
         .sortWithinPartitions("anchor", "piece", "id", "digest", "at")
-        .mapInPandas(settle, "anchor long, id long, digest long, at int, end int, first boolean")
+        .mapInPandas(
+            settle,
+            "anchor long, id long, digest long, at int, start int, end int, first boolean",
+        )
     )
-    start = F.greatest(F.col("at") + (gram - length), F.lit(0)).alias("start")
-    whole = settled.where("NOT first").select("id", "digest", start, "end")
+    whole = settled.where("NOT first").select("id", "digest", "start", "end")
     firsts = settled.where("first").drop("first")
     if firsts.isEmpty():
         return whole

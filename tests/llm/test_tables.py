@@ -396,7 +396,10 @@ def test_anchors_follow_content():
     texts = [np.concatenate([rng.integers(97, 123, n).astype(np.uint8), shared]) for n in (50, 777)]
     sets = []
     for text in texts:
-        hashes, _, at, end = suffix.anchors(text, 100, 32)
-        inner = (at >= len(text) - 300 + 68) & (end <= len(text))
+        hashes, _, at, start, end = suffix.anchors(text, 100, 32)
+        # every window has one piece
+        assert start[0] == 0 and end[-1] == len(text)
+        assert (start[1:] == end[:-1] - 99).all() and (end - start <= 168).all()
+        inner = end >= len(text) - 200
         sets.append({(int(h), int(a) - len(text)) for h, a in zip(hashes[inner], at[inner], strict=True)})
     assert sets[0] == sets[1] and sets[0]
