@@ -42,7 +42,7 @@ SHARPNESS = 20.0
 MAX_LABELLED = 50_000
 SEED = 8
 PSEUDO_COUNT = 0.5
-CACHED_TOKENS = 500_000
+CACHED_TOKENS = 120_000
 # log weights are binned so finely to find the threshold
 BIN = 0.25
 LOWEST = -50.0
