@@ -121,6 +121,23 @@ def identity(key: str, text: str) -> list[Column]:
     ]
 
 
+def each_once(documents: DataFrame) -> DataFrame:
+    """``id, digest, text`` of every document, however many rows repeat it.
+
+    Only ids and digests are counted over all rows; just the texts of repeated rows are
+    grouped, each task's copies before they are dealt out.
+    """
+    names = ["id", "digest"]
+    repeated = written(
+        documents.groupBy(*names).agg(F.count("*").alias("rows")).where("rows > 1").select(*names)
+    )
+    if repeated.isEmpty():
+        return documents
+    single = documents.join(repeated, names, "left_anti")
+    several = documents.join(repeated, names, "left_semi").groupBy(*names).agg(F.min("text").alias("text"))
+    return written(single.unionByName(several))
+
+
 def occurrences(documents: DataFrame, length: int, gram: int) -> DataFrame:
     """``anchor, piece, id, digest, at, start, end`` of every anchor of every document."""
 
@@ -557,7 +574,7 @@ PIECE = ["anchor", "id", "digest", "start", "end", "bytes"]
 def covered(documents: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
     """``id, digest, start, end``: stretches of documents' bytes that are repeated.
 
-    Takes ``id, digest, text``; stretches may overlap.
+    Takes ``id, digest, text``, each document once; stretches may overlap.
     """
     found = occurrences(documents, length, gram)
     settled = written(
@@ -620,7 +637,7 @@ def remove_repeated(
         removed = sum(s["end"] - s["start"] for s in spans)
         return len(raw), removed, spans, b"".join(kept)
 
-    documents = df.select(*identity(key, text))
+    documents = each_once(df.select(*identity(key, text)))
     parts = (
         covered(documents, length, gram)
         .groupBy("id", "digest")

@@ -371,6 +371,19 @@ def test_repeated_bytes(spark, block, monkeypatch):
     assert suffix.remove_repeated(frame(spark, [])).collect() == []
 
 
+def test_repeated_rows_are_one_document(spark):
+    """Copies of a row take nothing from each other; what starts earlier elsewhere still goes."""
+    rng = random.Random(6)
+    own, late, shared = ("".join(rng.choice("abcdefgh") for _ in range(n)) for n in (300, 250, 130))
+    single = [(1, own), (2, own[:40] + shared), (3, late + shared), (None, late[::-1] + shared)]
+    for rows in ([(1, own)] * 2, [(None, own)] * 2, [(1, own)] * 30 + single[1:3] * 3 + single[3:] * 2):
+        found = suffix.remove_repeated(frame(spark, rows)).collect()
+        expected = repeats_brute(rows=list(dict.fromkeys(rows)), length=suffix.LENGTH)
+        assert len(found) == len(rows)
+        for r in found:
+            assert (r.n_bytes, r.n_removed, len(r.spans), bytes(r.kept)) == expected[r.doc_id]
+
+
 def test_windows_of_a_collection(tmp_path):
     rng = np.random.default_rng(3)
     pieces = [rng.integers(0, 3, n).astype(np.uint8) for n in (20, 30, 8, 25)]
