@@ -3,7 +3,8 @@
 A byte-pair vocabulary spells natural words with few tokens and random characters with
 many. A run of key-like characters is a secret when its characters per token stay at or
 under ``MAX_CHARS_PER_TOKEN``, unless it is a known digest (hex of a digest's length, the
-``sha256-…`` forms, a UUID) or an identifier (words joined by ``_``, ``-``, ``/`` or case).
+``sha256-…`` forms, a UUID) or an identifier (words joined by ``_``, ``-``, ``/`` or case,
+with a number only at the end of a word: base32 has digits amid its letters).
 
 Rows: one per input row, a null text counting as empty; repeated rows give repeated results.
 """
@@ -33,12 +34,14 @@ ASSIGN = re.compile(
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{24,}")  # leftmost and greedy, so whole runs of 24 or more
 
-RUN = re.compile(rf"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_-]{{{MIN_RANDOM_CHARS},}}={{0,2}}")
+# ``=`` is only padding behind a run; before one it assigns, as in KEY=… or ?sig=…
+RUN = re.compile(rf"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{{{MIN_RANDOM_CHARS},}}={{0,2}}")
 UUID = re.compile(r"[0-9A-Fa-f]{8}(?:-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}")
 DIGEST_CHARS = (32, 40, 56, 64, 96, 128)  # hex lengths of MD5, SHA-1 and the SHA-2 family
 NAMED_DIGEST = re.compile(r"(?:md5|sha1|sha256|sha384|sha512)-[A-Za-z0-9+/]+={0,2}")
-# words of one case, or numbers, between separators or at a change of case
-WORDS = re.compile(r"(?:[A-Z]?[a-z]{2,}|[A-Z]{2,}|[0-9]{1,4}|[+/_=-])+")
+# words of one case, or numbers, between separators or at a change of case; behind a number
+# only a separator or a capitalised word. Possessive, so a long run costs time in proportion
+WORDS = re.compile(r"(?:[A-Z]?[a-z]{2,}+|[A-Z]{2,}+|[0-9]++(?![a-z]|[A-Z](?![a-z]))|[+/_=-])+")
 # token counts are summed over pieces of this many characters, so that a run of any
 # length costs time in proportion
 PIECE = 256

@@ -120,6 +120,26 @@ def test_random_strings_and_their_exceptions():
         assert secret_scan.random_spans(f"see {harmless} here") == []
 
 
+def test_random_strings_after_an_equals_sign():
+    key = "wJalrXUtnFEMI/K7MDENG/bPxRfiCYEXAMPLEKEY9"
+    for before in ("access_key=", "https://a.example/b?sig=", "AWS_SECRET_ACCESS_KEY_OF_THE_SITE_2=", "x=="):
+        text = f"{before}{key}== end"
+        assert secret_scan.random_spans(text) == [("random", len(before), len(before) + len(key) + 2)]
+    for harmless in ("name=my_long_variable_name_2024_final", "md5=d41d8cd98f00b204e9800998ecf8427e"):
+        assert secret_scan.random_spans(harmless) == []
+
+
+def test_base32_keys_are_no_identifiers():
+    rng = random.Random(8)
+    for size, least in ((20, 0.95), (32, 0.99)):
+        keys = ["".join(rng.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567") for _ in range(size)) for _ in range(1000)]
+        assert sum(secret_scan.random_spans(f"use {key} here") != [] for key in keys) >= least * len(keys)
+    for harmless in ("SHA256_RSA2048_OAEP_KEY", "Base64EncoderForUtf8Strings", "libraries/2024/version12"):
+        assert secret_scan.known(harmless)
+    # of a lower-case run that is no identifier every split into words was tried
+    assert not secret_scan.known("a" * 100_000 + "B9c")
+
+
 def test_secret_rows(spark, odd):
     rows = secret_scan.find_secrets(odd).collect()
     by_id = {r.doc_id: r for r in rows}
