@@ -1,13 +1,20 @@
 """Boilerplate lines by site-relative frequency.
 
-Pages are grouped by host. A line is boilerplate on a host when the pages containing it,
-divided by all pages of the host, exceed ``MAX_RATIO``, and at least ``MIN_PAGES`` pages
-contain it (on a tiny host every line would be frequent). Such lines are dropped from all
-pages of the host; other lines keep their order and their line ends. No page is dropped.
+Pages are grouped by host. A line is boilerplate on a host when the different texts containing
+it, divided by all different texts of the host, exceed ``MAX_RATIO``, and at least
+``MIN_PAGES`` texts contain it (on a tiny host every line would be frequent). Such lines are
+dropped from all pages of the host; other lines keep their order and their line ends. No page
+is dropped.
+
+Copies of a page are one text in both counts, told apart by a 64-bit hash: however many rows
+repeat a page, its own lines are no more frequent for it. Of ``MAX_RATIO``: a host has a few
+templates (article, list, profile, by language), and what belongs to one is on all its pages
+only. At 0.08 a line of one of a dozen equal templates (1/12) still counts as boilerplate,
+while a line of content would have to recur in every twelfth different text.
 
 Lines end at ``\\n`` and are compared whole, by a 64-bit hash. Blank lines are never
-boilerplate. A line counts once per page; repeated rows count as pages of their own. A null
-text has no lines and stays null; rows of a null host are counted nowhere and left unchanged.
+boilerplate. A line counts once per text. A null text has no lines, counts as one text and
+stays null; rows of a null host are counted nowhere and left unchanged.
 """
 
 from __future__ import annotations
@@ -33,16 +40,21 @@ def boilerplate(
 ) -> DataFrame:
     """``host, lines``: hashes of the boilerplate lines of each host that has some.
 
-    Both counts are summed where the pages are read before anything is shuffled, so a host
-    with a third of all pages sends one row per task and line. A host has at most
-    ``mean lines a page / max_ratio`` such lines.
+    Texts are taken once where the pages are read, before their line hashes are shuffled, and
+    both counts are summed before the next shuffle: copies send one row per task, and a host
+    with a third of all pages one row per task and line. A host has at most
+    ``mean lines a text / max_ratio`` such lines.
     """
-    pages = df.select(F.col(host).alias("host"), F.col(text).alias("text")).where("host IS NOT NULL")
-    totals = pages.groupBy("host").agg(F.count("*").alias("pages"))
-    lines = F.filter(F.split("text", LINE_END, -1), lambda line: F.trim(line) != "")
+    lines = F.filter(F.split(F.col(text), LINE_END, -1), lambda line: F.trim(line) != "")
     hashes = F.array_distinct(F.transform(lines, lambda line: F.xxhash64(line)))
+    texts = (
+        df.select(F.col(host).alias("host"), F.xxhash64(text).alias("digest"), hashes.alias("hashes"))
+        .where("host IS NOT NULL")
+        .distinct()
+    )
+    totals = texts.groupBy("host").agg(F.count("*").alias("pages"))
     frequent = (
-        pages.select("host", F.explode(hashes).alias("line"))
+        texts.select("host", F.explode("hashes").alias("line"))
         .groupBy("host", "line")
         .agg(F.count("*").alias("found"))
         .where(F.col("found") >= min_pages)

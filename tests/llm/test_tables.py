@@ -54,6 +54,15 @@ def test_lines_of_a_hot_host(spark):
         assert found[i] == "\n".join(kept)
 
 
+def test_copies_of_a_page_keep_their_lines(spark):
+    """A third of a host's rows are one clean page; only the shared footer is boilerplate."""
+    clean = "a clean page\nof three lines\nand no others"
+    rows = [(i, f"own {i}\nmore {i}\nfooter", "a") for i in range(60)]
+    rows += [(100 + i, clean, "a") for i in range(30)]
+    found = {r.doc_id: r.text for r in line_frequency.drop_boilerplate(frame(spark, rows)).collect()}
+    assert found == {i: f"own {i}\nmore {i}" if i < 60 else text for i, text, _ in rows}
+
+
 # -- fingerprints ------------------------------------------------------------
 
 
