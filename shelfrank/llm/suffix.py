@@ -48,7 +48,8 @@ SLICE = 1 << 20  # bytes of a text in which anchors are sought at a time
 BLOCK = 1 << 20  # entries of a collection's files handled at a time
 RUN = 256  # entries whose symbol counts are summed up together
 PIECES_PER_TASK = 10_000
-BROADCAST_DOCUMENTS = 200_000  # piece lists of so many documents may be broadcast, else joined
+BROADCAST_BYTES = 64 << 20  # piece lists of so many bytes may be broadcast, else joined
+LIST_BYTES, PIECE_BYTES = 64, 48  # of a document's list, and each piece in it, as Spark's rows
 LAST_ID = (1 << 63) - 1
 
 _RANDOM = np.random.default_rng(1009)
@@ -473,14 +474,15 @@ def halves(raw: np.ndarray, at: np.ndarray, length: int, gram: int) -> np.ndarra
 def with_wanted(documents: DataFrame, wanted: DataFrame, *columns: str) -> DataFrame:
     """``id, digest, text, wanted`` (an array of ``columns``) of the documents in ``wanted``.
 
-    ``wanted`` is written first; it is broadcast if it is for few documents, else joined.
+    ``wanted`` is written first; it is broadcast if all its lists are small, else joined.
     """
     lists = written(
         wanted.groupBy("id", "digest").agg(
             F.collect_set(F.struct(*columns)).alias("wanted")
         )
     )
-    side = F.broadcast(lists) if lists.count() <= BROADCAST_DOCUMENTS else lists
+    count, pieces = lists.agg(F.count("*"), F.coalesce(F.sum(F.size("wanted")), F.lit(0))).first()
+    side = F.broadcast(lists) if count * LIST_BYTES + pieces * PIECE_BYTES <= BROADCAST_BYTES else lists
     return documents.join(side, ["id", "digest"]).select("id", "digest", "text", "wanted")
 
 

@@ -393,6 +393,18 @@ def test_repeated_rows_are_one_document(spark):
             assert (r.n_bytes, r.n_removed, len(r.spans), bytes(r.kept)) == expected[r.doc_id]
 
 
+def test_long_piece_lists_are_not_broadcast(spark, monkeypatch):
+    """A single document's list may be long, so bytes decide, not the count of documents."""
+    monkeypatch.setattr(suffix, "BROADCAST_BYTES", 10_000, raising=False)
+    documents = frame(spark, [(1, "a"), (2, "b")]).select(*suffix.identity("doc_id", "text"))
+    for many, forced in ((5, True), (1000, False)):
+        places = spark.range(many).select(F.col("id").cast("int").alias("at"))
+        wanted = documents.where("id = 1").select("id", "digest").crossJoin(places)
+        joined = suffix.with_wanted(documents, wanted, "at")
+        assert ("strategy=broadcast" in joined._jdf.queryExecution().analyzed().toString()) == forced
+        assert [(r.id, r.text, len(r.wanted)) for r in joined.collect()] == [(1, "a", many)]
+
+
 def test_windows_of_a_collection(tmp_path):
     rng = np.random.default_rng(3)
     pieces = [rng.integers(0, 3, n).astype(np.uint8) for n in (20, 30, 8, 25)]
