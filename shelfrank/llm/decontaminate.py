@@ -10,7 +10,9 @@
    where the window could be; those of the next ones, moved alike, are intersected.
 4. Starts that are left are compared with the document's words, all of the window at once.
 
-``proximity`` finds benchmark terms near each other in any order, from the same index.
+``proximity`` finds terms near each other in any order. It reads all documents again and builds
+an index of its own items' terms; no registered query calls it. ``contamination``'s postings
+hold only the benchmark's terms and serve one call.
 
 Everything is DataFrame functions. Small tables (vocabulary, windows, starts) are written
 before they are joined, so the planner broadcasts them only if their size allows.
