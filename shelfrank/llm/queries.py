@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfrank.llm import byte_bpe, decontaminate, importance, line_frequency, merkle, near_dup, pii, secret_scan, suffix, warc
+from shelfrank.llm import (
+    byte_bpe,
+    decontaminate,
+    importance,
+    line_frequency,
+    merkle,
+    near_dup,
+    packing,
+    pii,
+    prefix_trie,
+    ranked_search,
+    secret_scan,
+    suffix,
+    warc,
+)
 from shelfrank.llm.shared import table
 
 
@@ -81,6 +95,18 @@ def op10_column_bwt(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_hash_slot_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
+def op12_shared_accumulators(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_best_two_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op")}
 
@@ -218,6 +244,90 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
 FROM docs LEFT JOIN hit_words USING (doc_id) LEFT JOIN hit_items USING (doc_id)
 """
 
+OP11_SQL = """
+WITH turns AS (
+    SELECT conv_id AS c, octet_length(encode(coalesce(text, ''))) AS bytes,
+           sha256(octet_length(encode(coalesce(role, ''))) || ':' || coalesce(role, '')
+                  || coalesce(text, '')) AS turn_digest, turn
+    FROM conversations WHERE conv_id IS NOT NULL
+), placed AS (
+    SELECT *, row_number() OVER (PARTITION BY c ORDER BY turn NULLS FIRST, turn_digest) - 1 AS place
+    FROM turns
+), sizes AS (
+    SELECT c, count(*) AS n, c - c % 5 AS base, xor(4294967295, list_reduce(list_prepend(4294967295,
+        list_transform(string_split(c::VARCHAR, ''), lambda x: ascii(x)::BIGINT)),
+        lambda s, b: list_reduce(list_prepend(xor(s, b), range(8)),
+            lambda x, i: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END))) % 9 AS h
+    FROM turns GROUP BY c
+), convs AS (
+    SELECT s.c, s.n, s.base, s.h, least(s.h, coalesce(b.n, 0)) AS taken
+    FROM sizes s LEFT JOIN sizes b ON b.c = s.base
+), rebuilt AS (
+    SELECT c, place - h + taken + 1 AS depth, turn_digest, bytes
+    FROM placed JOIN convs USING (c) WHERE place >= h
+    UNION ALL
+    SELECT convs.c, place + 1, turn_digest, bytes
+    FROM convs JOIN placed ON placed.c = convs.base WHERE place < taken
+    UNION ALL
+    SELECT c, 0, '', 0 FROM convs
+), paths AS (
+    SELECT c, depth, bytes, string_agg(turn_digest, '') OVER (PARTITION BY c ORDER BY depth) AS prefix,
+           max(depth) OVER (PARTITION BY c) AS length
+    FROM rebuilt
+), nodes AS (
+    SELECT prefix, depth, min(c) AS conv_id, count(*) AS n_convs, any_value(bytes) AS bytes,
+           CASE WHEN depth > 0 THEN left(prefix, (64 * (depth - 1))::BIGINT) END AS parent
+    FROM paths GROUP BY prefix, depth
+), children AS (
+    SELECT parent AS prefix, count(*) AS n_children FROM nodes WHERE parent IS NOT NULL GROUP BY parent
+), below AS (
+    SELECT p.prefix, count(*) FILTER (n_children IS NULL) AS n_leaves,
+           sum((n_convs - 1) * nodes.bytes) AS saved_tokens
+    FROM nodes LEFT JOIN children USING (prefix)
+    JOIN paths p ON p.c = nodes.conv_id AND p.depth <= nodes.depth
+    GROUP BY p.prefix
+), ends AS (
+    SELECT prefix, sha256(string_agg(c::VARCHAR, ',' ORDER BY c)) AS ends_sha256
+    FROM paths WHERE depth = length GROUP BY prefix
+)
+SELECT n.conv_id, n.depth::BIGINT AS depth, up.conv_id AS parent_conv_id, n.n_convs,
+       coalesce(n_children, 0)::BIGINT AS n_children, n_leaves::BIGINT AS n_leaves,
+       saved_tokens::BIGINT AS saved_tokens, coalesce(ends_sha256, sha256('')) AS ends_sha256
+FROM nodes n LEFT JOIN nodes up ON up.prefix = n.parent LEFT JOIN children ON children.prefix = n.prefix
+JOIN below ON below.prefix = n.prefix LEFT JOIN ends ON ends.prefix = n.prefix
+"""
+
+OP12_SQL = r"""
+WITH words AS (
+    SELECT row, doc_id, unnest(string_split_regex(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+    FROM (SELECT *, row_number() OVER () AS row FROM documents)
+), counts AS (
+    SELECT row, doc_id, term, count(*) AS tf FROM words WHERE term <> '' GROUP BY ALL
+), docs AS (
+    SELECT row, sum(tf)::BIGINT AS n FROM counts GROUP BY row
+), whole AS (
+    SELECT count(*) AS documents, sum(n)::BIGINT AS terms FROM docs
+), weights AS (
+    SELECT term, floor(1000 * ln((2 * any_value(documents) + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w
+    FROM counts, whole GROUP BY term
+), asked AS (
+    SELECT item_id, term, count(*) AS times FROM (
+        SELECT item_id, unnest(string_split_regex(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+            'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+        FROM (SELECT DISTINCT item_id, text FROM benchmark)) WHERE term <> '' GROUP BY ALL
+), scored AS (
+    SELECT item_id, row, doc_id, sum(times * w * ((1000000000 * tf)
+        // (1000 * tf + 8 * (100 - 75 + ((75 * n * documents) // terms)))))::BIGINT AS score
+    FROM asked JOIN weights USING (term) JOIN counts USING (term) JOIN docs USING (row), whole
+    GROUP BY item_id, row, doc_id
+), ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank
+    FROM scored WHERE score > 0
+)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM ranked WHERE rank <= 10
+"""
+
 
 def oracles() -> dict[str, str]:
     return {
@@ -225,4 +335,6 @@ def oracles() -> dict[str, str]:
         "op3_site_frequency": OP3_SQL,
         "op4_gzip_normaliser": OP4_SQL,
         "op7_positional_index": OP7_SQL,
+        "op11_hash_slot_trie": OP11_SQL,
+        "op12_shared_accumulators": OP12_SQL,
     }
