@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -57,6 +59,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
 
 
+def scratch_folder(spark: SparkSession) -> str:
+    """A new folder in the shared checkpoint folder; it goes when the session ends."""
+    ensure_checkpoint_dir(spark)
+    folder = f"{spark.sparkContext.getCheckpointDir()}/{uuid.uuid4().hex}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.mkdirs(path)
+    files.deleteOnExit(path)
+    return folder
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared checkpoint folder and go on from there.
 
@@ -65,3 +78,13 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def release(spark: SparkSession) -> None:
+    """Let go of tables and shuffle files of finished steps.
+
+    Spark drops them when the driver's objects are collected, which a driver with little to do
+    may put off for half an hour; loops call this now and then.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
