@@ -12,6 +12,12 @@ from pyspark.sql import DataFrame, SparkSession
 from shelfrank.session import ensure_checkpoint_dir
 
 Span = tuple[str, int, int]
+UNORDERED = ("map<", "variant", "interval")  # types that Spark neither hashes nor compares
+
+
+def comparable(df: DataFrame) -> list[str]:
+    """Columns that can be hashed and ordered: extra columns may be of any type."""
+    return [f"`{name}`" for name, kind in df.dtypes if not any(x in kind for x in UNORDERED)]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

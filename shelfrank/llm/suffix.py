@@ -7,11 +7,14 @@ document of smaller id, or earlier in the same document. All strings are judged
    least hash is the window's anchor (of equal hashes the last). Equal windows have equal
    anchors at equal places, so windows can only be equal around equal anchors. An anchor's
    piece is what its windows cover: at most ``2 * LENGTH - GRAM`` bytes.
-2. Occurrences are dealt out and sorted by anchor and piece. Equal pieces (two 64-bit hashes)
-   are settled there: all but the first are covered whole. Only the first of each piece goes
-   on, and only where an anchor has different pieces.
-   Pieces that agree with no other on half of a window's bytes before or behind the anchor
-   repeat nowhere and are left out.
+2. Occurrences are dealt out by anchor and sorted by anchor and piece. Equal pieces (two 64-bit
+   hashes) are settled there: all but the first are covered whole. Equal pieces of one batch
+   are settled before they are dealt out: the later ones only pass through, spread evenly.
+   Only the first of each piece goes on, and only where an anchor has different pieces. Pieces
+   that agree with no other on half of a window's bytes before or behind the anchor repeat
+   nowhere and are left out, by hashes that each occurrence brings along.
+   An anchor of more than ``HOT`` different pieces is not gathered: its pieces are cut into
+   single windows, which are dealt out and settled as pieces of their own.
 3. These pieces are one collection per task, whose Burrows-Wheeler transform is built column
    by column: each round inserts one symbol of every piece, the next to the left, at the place
    that the symbols before it give. The transform is a file in the task's temporary folder,
@@ -21,6 +24,9 @@ document of smaller id, or earlier in the same document. All strings are judged
    prefixes is asked for, so they are not carried through the rounds. Suffixes that share
    ``LENGTH`` bytes are equal windows; all but the first are covered.
 
+Step 2 alone finds what whole equal pieces cover, most of the repeated bytes in tables with many
+copies; the rounds of step 3 find what pieces share in part.
+
 A document is told apart by id and content. Rows that repeat both are one document with equal
 results; rows of one id with different texts are ordered by a hash of the text. A null id
 comes after all others. A null text is empty, and a text of fewer bytes than ``LENGTH`` has
@@ -41,6 +47,7 @@ from pyspark.sql import functions as F
 
 from shelfrank.llm.shared import written
 from shelfrank.llm.shingles import mixed
+from shelfrank.session import release
 
 LENGTH = 100
 GRAM = 32
@@ -48,12 +55,14 @@ SLICE = 1 << 20  # bytes of a text in which anchors are sought at a time
 BLOCK = 1 << 20  # entries of a collection's files handled at a time
 RUN = 256  # entries whose symbol counts are summed up together
 PIECES_PER_TASK = 10_000
-BROADCAST_BYTES = 64 << 20  # piece lists of so many bytes may be broadcast, else joined
+HOT = 10_000  # different pieces of an anchor that are gathered
+BATCH = 200_000  # occurrences that a task hands on at a time
+BROADCAST_BYTES = 1 << 20  # piece lists of so many bytes may be broadcast, else joined
 LIST_BYTES, PIECE_BYTES = 64, 48  # of a document's list, and each piece in it, as Spark's rows
 LAST_ID = (1 << 63) - 1
 
 _RANDOM = np.random.default_rng(1009)
-_BYTE = _RANDOM.integers(1, 1 << 63, 256, np.uint64)
+_BYTE, _OTHER_BYTE = _RANDOM.integers(1, 1 << 63, (2, 256), np.uint64)
 _FACTOR = 0x9E3779B97F4A7C15
 
 
@@ -80,7 +89,18 @@ def sliding(values: np.ndarray, width: int, pick: np.ufunc) -> np.ndarray:
 
 def anchors(raw: np.ndarray, length: int = LENGTH, gram: int = GRAM) -> tuple[np.ndarray, ...]:
     """``hash, piece, at, start, end``: anchors of a text and their pieces."""
+    return anchors_and_halves(raw, length, gram)[:5]
+
+
+def anchors_and_halves(raw: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, ...]:
+    """``anchors``, and as one number two 32-bit hashes of each: of the anchor with half of a
+    window's other bytes before it, and behind it.
+
+    A hash is 0 where the text does not have so many bytes. Windows around equal anchors are
+    only equal if one of the halves is, whatever the window's place.
+    """
     width = length - gram + 1
+    half = width // 2
     power, inverse = powers(SLICE + 3 * length + 1)
     found = []
     for first in range(0, max(len(raw) - length + 1, 0), SLICE):
@@ -102,10 +122,16 @@ def anchors(raw: np.ndarray, length: int = LENGTH, gram: int = GRAM) -> tuple[np
         at, start, end = (x + (first - left) for x in (at[start], start, end))
         piece = (sums[end] - sums[start]) * inverse[start]
         piece = mixed(piece + ((at - start) * 4 * length + (end - at)).astype(np.uint64) * np.uint64(_FACTOR))
-        found.append(
-            np.stack([grams[at].astype(np.int64), piece.astype(np.int64), at + left, start + left, end + left])
-        )
-    return tuple(np.concatenate(found, axis=1) if found else np.empty((5, 0), np.int64))
+        sides = []
+        for begin, last in ((at - half, at + gram), (at, at + gram + half)):
+            there = (begin >= 0) & (last <= len(part))
+            begin, last = np.where(there, begin, 0), np.where(there, last, 0)
+            value = mixed((sums[last] - sums[begin]) * inverse[begin])
+            sides.append(np.where(there, (value >> np.uint64(32)) | np.uint64(1), np.uint64(0)))
+        halves = (sides[0] << np.uint64(32)) | sides[1]
+        columns = (grams[at], piece, at + left, start + left, end + left, halves)
+        found.append(np.stack([x.astype(np.int64) for x in columns]))
+    return tuple(np.concatenate(found, axis=1) if found else np.empty((6, 0), np.int64))
 
 
 def utf8(text: str | None) -> bytes:
@@ -122,84 +148,160 @@ def identity(key: str, text: str) -> list[Column]:
     ]
 
 
-def each_once(documents: DataFrame) -> DataFrame:
-    """``id, digest, text`` of every document, however many rows repeat it.
+def told_apart(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows of ``id, digest, text, …`` and every document of them once (``id, digest, text``).
 
     Only ids and digests are counted over all rows; just the texts of repeated rows are
-    grouped, each task's copies before they are dealt out.
+    grouped, each task's copies before they are dealt out. Where no id has two texts the digest
+    becomes 0: it tells nothing apart, and zeros need little room in what is dealt out.
     """
     names = ["id", "digest"]
-    repeated = written(
-        documents.groupBy(*names).agg(F.count("*").alias("rows")).where("rows > 1").select(*names)
-    )
-    if repeated.isEmpty():
-        return documents
+    counted = written(rows.groupBy(*names).agg(F.count("*").alias("rows")))
+    of_id = counted.groupBy("id").agg(F.count("*").alias("texts"), F.max("rows").alias("rows"))
+    most = of_id.agg(F.max("texts").alias("texts"), F.max("rows").alias("rows")).first()
+    if (most["texts"] or 0) <= 1:
+        rows = rows.withColumn("digest", F.lit(0).cast("long"))
+        counted = counted.withColumn("digest", F.lit(0).cast("long"))
+    documents = rows.select(*names, "text")
+    if (most["rows"] or 0) <= 1:
+        return rows, documents
+    repeated = written(counted.where("rows > 1").select(*names))
     single = documents.join(repeated, names, "left_anti")
     several = documents.join(repeated, names, "left_semi").groupBy(*names).agg(F.min("text").alias("text"))
-    return written(single.unionByName(several))
+    return rows, written(single.unionByName(several))
+
+
+def packed(at: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """An anchor's place and, relative to it, its piece's as one number that rises with the place."""
+    return (at << 20) | ((at - start) << 10) | (end - at)
+
+
+def unpacked(place: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    at = place >> 20
+    return at, at - ((place >> 10) & 1023), at + (place & 1023)
+
+
+OCCURRENCE = ["anchor", "piece", "id", "digest", "place", "halves"]
+OCCURRENCE_SCHEMA = ", ".join(f"{x} long" for x in OCCURRENCE) + ", later boolean"
+
+
+def handed_on(rows: list[tuple]) -> pd.DataFrame:
+    """Occurrences of some documents; ``later`` marks those that repeat a piece among them."""
+    columns = [np.concatenate(c) for c in zip(*rows, strict=True)]
+    anchor, piece, key, digest, place, _ = columns
+    order = np.lexsort((place, digest, key, piece, anchor))
+    same = (anchor[order][1:] == anchor[order][:-1]) & (piece[order][1:] == piece[order][:-1])
+    later = np.zeros(len(anchor), bool)
+    later[order[1:][same]] = True
+    return pd.DataFrame(dict(zip(OCCURRENCE, columns, strict=True))).assign(later=later)
 
 
 def occurrences(documents: DataFrame, length: int, gram: int) -> DataFrame:
-    """``anchor, piece, id, digest, at, start, end`` of every anchor of every document."""
+    """``OCCURRENCE`` and ``later`` of every anchor of every document."""
 
     def find(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rows, size = [], 0
         for frame in frames:
-            rows, size = [], 0
             for key, digest, text in zip(frame["id"], frame["digest"], frame["text"], strict=True):
                 raw = np.frombuffer(utf8(text), np.uint8)
-                hashes, pieces, at, starts, ends = anchors(raw, length, gram)
+                hashes, pieces, at, starts, ends, halves = anchors_and_halves(raw, length, gram)
                 many = len(hashes)
-                rows.append((hashes, pieces, np.full(many, key), np.full(many, digest), at, starts, ends))
+                place = packed(at, starts, ends)
+                rows.append((hashes, pieces, np.full(many, key), np.full(many, digest), place, halves))
                 size += many
-                if size > 200_000:
-                    yield together(rows)
+                if size > BATCH:
+                    yield handed_on(rows)
                     rows, size = [], 0
-            if rows:
-                yield together(rows)
+        if rows:
+            yield handed_on(rows)
 
-    def together(rows: list[tuple]) -> pd.DataFrame:
-        names = ("anchor", "piece", "id", "digest", "at", "start", "end")
-        columns = [np.concatenate(c) for c in zip(*rows, strict=True)]
-        return pd.DataFrame(dict(zip(names, columns, strict=True)))
+    return documents.mapInPandas(find, OCCURRENCE_SCHEMA)
 
-    return documents.mapInPandas(
-        find, "anchor long, piece long, id long, digest long, at int, start int, end int"
-    )
 
+SETTLED = "anchor long, id long, digest long, start int, end int, kind int"
+# what becomes of an occurrence: covered whole; a piece of a collection; one of a hot anchor
+COVERED, PIECE_KIND, HOT_KIND = 0, 1, 2
 
-ROW = ["anchor", "id", "digest", "at", "start", "end"]
 
+def settled(found: DataFrame, length: int, gram: int) -> DataFrame:
+    """What becomes of occurrences that matter (``SETTLED``): see the module's second step."""
+    half = (length - gram + 1) // 2
 
-def settle(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Sorted occurrences in; covered pieces and (``first``) first pieces out.
+    def out(rows: pd.DataFrame, kind: int) -> pd.DataFrame:
+        _, start, end = unpacked(rows["place"].to_numpy())
+        return pd.DataFrame(
+            {"anchor": rows["anchor"], "id": rows["id"], "digest": rows["digest"], "start": start, "end": end, "kind": kind}
+        )
 
-    A first piece is given out only when its anchor has another piece. Nothing but the last
-    row and one first piece is remembered between batches.
-    """
-    before: tuple[int, int] | None = None
-    waiting: pd.DataFrame | None = None  # the current anchor's first piece, while alone
-    for frame in frames:
-        anchor, piece = frame["anchor"].to_numpy(), frame["piece"].to_numpy()
-        if not len(anchor):
-            continue
-        new_anchor = np.append(True, anchor[1:] != anchor[:-1])
-        new_piece = new_anchor | np.append(True, piece[1:] != piece[:-1])
-        if before is not None:
-            new_anchor[0] = anchor[0] != before[0]
-            new_piece[0] = new_anchor[0] or piece[0] != before[1]
-        group = np.cumsum(new_anchor)  # 0: the anchor of the batch before
-        several = np.zeros(group[-1] + 1, bool)
-        several[group[new_piece & ~new_anchor]] = True
-        if several[0] and waiting is not None:
-            yield waiting
-            waiting = None
-        out = frame[~new_anchor | several[group]]
-        if len(out):
-            yield out[ROW].assign(first=new_piece[~new_anchor | several[group]])
-        if group[-1]:
-            at = int(np.flatnonzero(new_anchor)[-1])
-            waiting = None if several[-1] else frame.iloc[[at]][ROW].assign(first=True)
-        before = (int(anchor[-1]), int(piece[-1]))
+    def close(firsts: pd.DataFrame) -> pd.DataFrame:
+        """First pieces of whole anchors that share a half with another, as far as it reaches."""
+        if not len(firsts):
+            return out(firsts, PIECE_KIND)
+        at, start, end = unpacked(firsts["place"].to_numpy())
+        anchor, halves = firsts["anchor"].to_numpy(), firsts["halves"].to_numpy().astype(np.uint64)
+        begins, stops = np.full(len(at), np.iinfo(np.int64).max), np.full(len(at), -1)
+        edges = (
+            (halves >> np.uint64(32), start, np.minimum(end, at + gram + half)),
+            (halves & np.uint64(0xFFFFFFFF), np.maximum(at - half, start), end),
+        )
+        for side, first, last in edges:
+            order = np.lexsort((side, anchor))
+            a, h = anchor[order], side[order]
+            same = (a[1:] == a[:-1]) & (h[1:] == h[:-1]) & (h[1:] != 0)
+            shared = np.zeros(len(at), bool)
+            shared[order] = np.append(same, False) | np.append(False, same)
+            begins[shared] = np.minimum(begins[shared], first[shared])
+            stops[shared] = np.maximum(stops[shared], last[shared])
+        kept = stops - begins >= length
+        found = out(firsts[kept], PIECE_KIND)
+        return found.assign(start=begins[kept], end=stops[kept])
+
+    def settle(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """Sorted occurrences in. Only the first pieces of one anchor are remembered."""
+        before: tuple[int, int] | None = None
+        waiting: list[pd.DataFrame] = []  # first pieces of the last anchor
+        hot = False  # whether it has more than can wait
+        for frame in frames:
+            later = frame["later"].to_numpy()
+            if later.any():
+                yield out(frame[later], COVERED)
+                frame = frame[~later]
+            if not len(frame):
+                continue
+            anchor, piece = frame["anchor"].to_numpy(), frame["piece"].to_numpy()
+            new = np.append(True, (anchor[1:] != anchor[:-1]) | (piece[1:] != piece[:-1]))
+            if before is not None:
+                new[0] = (int(anchor[0]), int(piece[0])) != before
+            if not new.all():
+                yield out(frame[~new], COVERED)
+            if before is not None and before[0] != anchor[0]:
+                if not hot:
+                    yield close(pd.concat(waiting))
+                waiting, hot = [], False
+            before = (int(anchor[-1]), int(piece[-1]))
+            firsts = frame[new]
+            last = firsts["anchor"].to_numpy() == anchor[-1]
+            if anchor[0] != anchor[-1]:
+                whole = firsts[~last]
+                if hot:
+                    own = whole["anchor"].to_numpy() == anchor[0]
+                    yield out(whole[own], HOT_KIND)
+                    whole = whole[~own]
+                yield close(pd.concat([*waiting, whole]))
+                waiting, hot = [], False
+            waiting.append(firsts[last])
+            if hot or sum(map(len, waiting)) > HOT:
+                yield out(pd.concat(waiting), HOT_KIND)
+                waiting, hot = [], True
+        if waiting and not hot:
+            yield close(pd.concat(waiting))
+
+    spread = F.when(F.col("later"), F.xxhash64("id", "place")).otherwise(F.col("anchor"))
+    return (
+        found.repartition(spread)
+        .sortWithinPartitions("later", "anchor", "piece", "id", "digest", "place")
+        .mapInPandas(settle, SETTLED)
+    )
 
 
 class Sequence:
@@ -453,24 +555,6 @@ def construct(length: int):
     return run
 
 
-def halves(raw: np.ndarray, at: np.ndarray, length: int, gram: int) -> np.ndarray:
-    """Two hashes per anchor: with half of a window's other bytes before it, and behind it.
-
-    0 where the text does not have so many. Windows around equal anchors are only equal if
-    one of the halves is, whatever the window's place.
-    """
-    half = (length - gram + 1) // 2
-    power, _ = powers(SLICE + 3 * length + 1)
-    out = np.zeros((2, len(at)), np.int64)
-    for side, first in enumerate((at - half, at)):
-        there = np.flatnonzero((first >= 0) & (first + half + gram <= len(raw)))
-        for some in np.array_split(there, len(there) // 5000 + 1):
-            parts = _BYTE[raw[first[some, None] + np.arange(half + gram)]]
-            sums = (parts * power[: half + gram]).sum(1, dtype=np.uint64)
-            out[side, some] = mixed(sums + np.uint64(side + 1)).astype(np.int64)
-    return out
-
-
 def with_wanted(documents: DataFrame, wanted: DataFrame, *columns: str) -> DataFrame:
     """``id, digest, text, wanted`` (an array of ``columns``) of the documents in ``wanted``.
 
@@ -486,68 +570,6 @@ def with_wanted(documents: DataFrame, wanted: DataFrame, *columns: str) -> DataF
     return documents.join(side, ["id", "digest"]).select("id", "digest", "text", "wanted")
 
 
-def shared_halves(documents: DataFrame, firsts: DataFrame, length: int, gram: int) -> DataFrame:
-    """The first pieces with a half that another first piece has too, as ``start, end``.
-
-    Others only have their anchor in common with anything and repeat nowhere else. Of a piece
-    with one such half, only what windows over this half cover is kept.
-    """
-    half = (length - gram + 1) // 2
-
-    def find(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            for begin in range(0, len(frame), 200):
-                found = []
-                for key, digest, text, wanted in frame.iloc[begin : begin + 200].itertuples(index=False):
-                    raw = np.frombuffer(utf8(text), np.uint8)
-                    anchor, at, start, end = (
-                        np.array([w[n] for w in wanted]) for n in ("anchor", "at", "start", "end")
-                    )
-                    edges = (
-                        (start, np.minimum(end, at + gram + half)),
-                        (np.maximum(at - half, start), end),
-                    )
-                    for side, (a, b) in zip(halves(raw, at, length, gram), edges, strict=True):
-                        rows = pd.DataFrame({"half": side, "anchor": anchor, "id": key, "digest": digest, "at": at, "start": a, "end": b})
-                        found.append(rows[side != 0])
-                yield pd.concat(found, ignore_index=True)
-
-    def runs(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        """Rows whose half the row before or behind has, too."""
-        rest: pd.DataFrame | None = None
-        rest_shared = False
-        for frame in frames:
-            if not len(frame):
-                continue
-            value = frame["half"].to_numpy()
-            same = value[1:] == value[:-1]
-            shared = np.append(same, False) | np.append(False, same)
-            if rest is not None:
-                follows = rest["half"].iloc[0] == value[0]
-                shared[0] |= follows
-                if rest_shared or follows:
-                    yield rest[names]
-            if shared[:-1].any():
-                yield frame[:-1][shared[:-1]][names]
-            rest, rest_shared = frame[-1:], bool(shared[-1])
-        if rest is not None and rest_shared:
-            yield rest[names]
-
-    names = ROW
-    columns = "anchor long, id long, digest long, at int, start int, end int"
-    found = (
-        with_wanted(documents, firsts, "anchor", "at", "start", "end")
-        .mapInPandas(find, f"half long, {columns}")
-        .repartition("half")
-        .sortWithinPartitions("half")
-        .mapInPandas(runs, columns)
-    )
-    both = found.groupBy("anchor", "id", "digest", "at").agg(
-        F.min("start").alias("start"), F.max("end").alias("end")
-    )
-    return both.where(F.col("end") - F.col("start") >= length)
-
-
 def first_pieces(documents: DataFrame, chosen: DataFrame) -> DataFrame:
     """``anchor, id, digest, start, end, bytes`` of the chosen pieces."""
 
@@ -573,33 +595,60 @@ def first_pieces(documents: DataFrame, chosen: DataFrame) -> DataFrame:
 PIECE = ["anchor", "id", "digest", "start", "end", "bytes"]
 
 
+def windows_of(documents: DataFrame, chosen: DataFrame, length: int) -> DataFrame:
+    """The windows in the chosen pieces as occurrences: a window is its own anchor and piece."""
+    power_count = 4 * length
+
+    def cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        power, inverse = powers(power_count)
+        rows, size = [], 0
+        for frame in frames:
+            for key, digest, text, wanted in frame.itertuples(index=False):
+                raw = np.frombuffer(utf8(text), np.uint8)
+                for piece in wanted:
+                    part = raw[piece["start"] : piece["end"]]
+                    many = len(part) - length + 1
+                    hashes = []
+                    for table in (_BYTE, _OTHER_BYTE):
+                        sums = np.zeros(len(part) + 1, np.uint64)
+                        np.cumsum(table[part] * power[: len(part)], out=sums[1:])
+                        value = (sums[length:] - sums[:-length]) * inverse[:many]
+                        hashes.append(mixed(value).astype(np.int64))
+                    at = piece["start"] + np.arange(many, dtype=np.int64)
+                    zero = np.zeros(many, np.int64)
+                    rows.append((*hashes, zero + key, zero + digest, packed(at, at, at + length), zero))
+                    size += many
+                if size > BATCH:
+                    yield handed_on(rows)
+                    rows, size = [], 0
+        if rows:
+            yield handed_on(rows)
+
+    return with_wanted(documents, chosen, "start", "end").mapInPandas(cut, OCCURRENCE_SCHEMA)
+
+
 def covered(documents: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
     """``id, digest, start, end``: stretches of documents' bytes that are repeated.
 
     Takes ``id, digest, text``, each document once; stretches may overlap.
     """
-    found = occurrences(documents, length, gram)
-    settled = written(
-        found.repartition("anchor")
-        .sortWithinPartitions("anchor", "piece", "id", "digest", "at")
-        .mapInPandas(
-            settle,
-            "anchor long, id long, digest long, at int, start int, end int, first boolean",
-        )
-    )
-    whole = settled.where("NOT first").select("id", "digest", "start", "end")
-    firsts = settled.where("first").drop("first")
-    if firsts.isEmpty():
-        return whole
-    close = written(shared_halves(documents, firsts, length, gram))
-    tasks = -(-close.count() // PIECES_PER_TASK)
-    if not tasks:
-        return whole
-    pieces = first_pieces(documents, close).repartition(tasks, "anchor")
-    windows = pieces.mapInPandas(
-        construct(length), "id long, digest long, start int, end int"
-    )
-    return whole.unionByName(written(windows))
+    names = ["id", "digest", "start", "end"]
+    first = written(settled(occurrences(documents, length, gram), length, gram))
+    release(documents.sparkSession)
+    found = first.where(F.col("kind") == COVERED).select(*names)
+    kinds = {r["kind"]: r["n"] for r in first.groupBy("kind").agg(F.count("*").alias("n")).collect()}
+    if kinds.get(HOT_KIND):
+        hot = first.where(F.col("kind") == HOT_KIND)
+        single = settled(windows_of(documents, hot, length), length, gram)
+        found = found.unionByName(written(single.where(F.col("kind") == COVERED).select(*names)))
+    if kinds.get(PIECE_KIND):
+        close = first.where(F.col("kind") == PIECE_KIND)
+        tasks = -(-kinds[PIECE_KIND] // PIECES_PER_TASK)
+        pieces = first_pieces(documents, close).repartition(tasks, "anchor")
+        windows = pieces.mapInPandas(construct(length), "id long, digest long, start int, end int")
+        found = found.unionByName(written(windows))
+        release(documents.sparkSession)
+    return found
 
 
 def remove_repeated(
@@ -639,13 +688,14 @@ def remove_repeated(
         removed = sum(s["end"] - s["start"] for s in spans)
         return len(raw), removed, spans, b"".join(kept)
 
-    documents = each_once(df.select(*identity(key, text)))
+    rows, documents = told_apart(
+        df.select(*identity(key, text), F.col(key).cast("string").alias("key"))
+    )
     parts = (
         covered(documents, length, gram)
         .groupBy("id", "digest")
         .agg(F.collect_set(F.struct("start", "end")).alias("parts"))
     )
-    rows = df.select(*identity(key, text), F.col(key).cast("string").alias("key"))
     kind = dict(df.dtypes)[key]
     return (
         rows.join(parts, ["id", "digest"], "left")
