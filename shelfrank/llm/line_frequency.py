@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfrank.llm.shared import written
+from shelfrank.llm.shared import comparable, written
 
 MAX_RATIO = 0.08
 MIN_PAGES = 5
@@ -38,7 +38,9 @@ def boilerplate(
     max_ratio: float = MAX_RATIO,
     min_pages: int = MIN_PAGES,
 ) -> DataFrame:
-    """``host, lines``: hashes of the boilerplate lines of each host that has some.
+    """``host, lines``: hashes of the boilerplate lines of each host that has some, each with
+    ``page_ratio``, the share of the host's pages, copies counted each, that contain it. That
+    is reported only: the ratio of different texts decides.
 
     Texts are taken once where the pages are read, before their line hashes are shuffled, and
     both counts are summed before the next shuffle: copies send one row per task, and a host
@@ -50,20 +52,22 @@ def boilerplate(
     texts = (
         df.select(F.col(host).alias("host"), F.xxhash64(text).alias("digest"), hashes.alias("hashes"))
         .where("host IS NOT NULL")
-        .distinct()
+        .groupBy("host", "digest", "hashes")
+        .agg(F.count("*").alias("copies"))
     )
-    totals = texts.groupBy("host").agg(F.count("*").alias("pages"))
+    totals = texts.groupBy("host").agg(F.count("*").alias("texts"), F.sum("copies").alias("pages"))
     frequent = (
-        texts.select("host", F.explode("hashes").alias("line"))
+        texts.select("host", "copies", F.explode("hashes").alias("line"))
         .groupBy("host", "line")
-        .agg(F.count("*").alias("found"))
+        .agg(F.count("*").alias("found"), F.sum("copies").alias("on_pages"))
         .where(F.col("found") >= min_pages)
     )
+    entry = F.struct("line", (F.col("on_pages") / F.col("pages")).alias("page_ratio"))
     return (
         frequent.join(totals, "host")
-        .where(F.col("found") > F.col("pages") * max_ratio)
+        .where(F.col("found") > F.col("texts") * max_ratio)
         .groupBy("host")
-        .agg(F.collect_set("line").alias("lines"))
+        .agg(F.collect_set(entry).alias("lines"))
     )
 
 
@@ -74,20 +78,24 @@ def drop_lines(
     max_ratio: float = MAX_RATIO,
     min_pages: int = MIN_PAGES,
 ) -> DataFrame:
-    """``row`` (all columns of ``df``), ``text`` without boilerplate, ``n_lines``, ``n_dropped``.
+    """``row`` (all columns of ``df``), ``text`` without boilerplate, ``n_lines``, ``n_dropped``,
+    and ``page_ratio``, the highest of a dropped line (null without any).
 
     The lines per host are a written table: the planner broadcasts it if its size allows,
     else a host's pages are dealt to ``SALTS`` tasks that each get its lines.
     """
     found = written(boilerplate(df, host, text, max_ratio, min_pages))
     salted = found.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    salt = F.pmod(F.xxhash64(*comparable(df)), F.lit(SALTS)).cast("int")
     rows = df.select(
-        F.struct("*").alias("row"), F.col(host).alias("host"), F.col(text).alias("text")
-    ).withColumn("salt", F.pmod(F.xxhash64("row"), F.lit(SALTS)).cast("int"))
+        F.struct("*").alias("row"), F.col(host).alias("host"), F.col(text).alias("text"), salt.alias("salt")
+    )
     split = F.split("text", LINE_END, -1)
     kept = F.filter(
-        split, lambda x: (F.trim(x) == "") | ~F.array_contains(F.col("lines"), F.xxhash64(x))
+        split, lambda x: (F.trim(x) == "") | ~F.array_contains(F.col("lines.line"), F.xxhash64(x))
     )
+    own = F.transform(F.filter(split, lambda x: F.trim(x) != ""), lambda x: F.xxhash64(x))
+    dropped = F.filter("lines", lambda x: F.array_contains(own, x["line"]))
     return (
         rows.join(salted, ["host", "salt"], "left")
         .withColumn("kept", F.when(F.col("lines").isNull(), split).otherwise(kept))
@@ -96,6 +104,9 @@ def drop_lines(
             F.array_join("kept", LINE_END).alias("text"),
             F.coalesce(F.size(split), F.lit(0)).cast("long").alias("n_lines"),
             F.coalesce(F.size(split) - F.size("kept"), F.lit(0)).cast("long").alias("n_dropped"),
+            F.when(
+                F.size("kept") < F.size(split), F.array_max(F.transform(dropped, lambda x: x["page_ratio"]))
+            ).alias("page_ratio"),
         )
     )
 

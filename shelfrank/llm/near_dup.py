@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from shelfrank.llm import shingles
 from shelfrank.llm.components import components
-from shelfrank.llm.shared import written
+from shelfrank.llm.shared import comparable, written
 
 BANDS = 32
 ROWS = 5
@@ -350,6 +350,7 @@ def keep_first(df: DataFrame, key: str = "doc_id", text: str = "text", size: int
     left = rows.join(gone, F.col("_id") == F.col("_gone"), "left_anti")
     counts = df.where(F.col(key).isNotNull()).groupBy(key).count()
     if not counts.where("count > 1").isEmpty():
-        one = left.where("_id IS NOT NULL").groupBy("_id").agg(F.min("row").alias("row"))
+        place = F.struct(*(F.col("row").getField(name.strip("`")) for name in comparable(df)))
+        one = left.where("_id IS NOT NULL").groupBy("_id").agg(F.min_by("row", place).alias("row"))
         left = left.where("_id IS NULL").select("_id", "row").unionByName(one)
     return left.select("row.*")

@@ -47,8 +47,10 @@ INDEX = "file string, page_id string, record_type string, offset long, length lo
 def store(uri: str) -> tuple[fs.FileSystem, str]:
     """The file system of a folder's address and the path on it."""
     scheme, colon, rest = uri.partition(":")
-    if colon and not rest.startswith("//"):
-        uri = f"{scheme}://{rest}"
+    if colon:
+        # Hadoop's names of the same store, and its addresses without a host
+        scheme = "s3" if scheme in ("s3a", "s3n") else scheme
+        uri = f"{scheme}:{rest if rest.startswith('//') else f'//{rest}'}"
     return fs.FileSystem.from_uri(uri)
 
 
