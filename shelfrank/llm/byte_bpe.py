@@ -4,8 +4,8 @@ A text of more than ``CHUNK`` code points is cut into chunks that overlap by ``O
 Chunks are pre-tokenised in parallel; a chunk starts at an arbitrary place, so its first
 boundaries may be wrong, but the pattern looks at nothing before a match: from the first
 boundary two neighbours share, they agree for good. There they are stitched. Where two
-chunks share no boundary (one endless word), the text is pre-tokenised on from the last
-boundary that is certain until it meets a later chunk. The pieces between stitches are
+chunks share no boundary (one endless word), the text is pre-tokenised on in one go from the
+last boundary that is certain until it meets a later chunk. The pieces between stitches are
 encoded in parallel and their ids concatenated. Decoding concatenates the tokens' bytes.
 
 A null text counts as empty and gives no ids. Equal long texts are encoded once and their
@@ -92,22 +92,41 @@ def stitch(
     """Starts of pieces of ``text``; every one is a true pre-token boundary.
 
     ``heads`` and ``tails`` are the boundaries at the start and the end of each chunk,
-    counted from the chunk's start.
+    counted from the chunk's start. No part of the text is gone through more than twice.
     """
-    starts, sure, part = [0], {b for b in tails[0]}, 1
+    starts, sure, part = [0], set(tails[0]), 1
     while part < len(heads):
         here = part * chunk
-        met = next((b for b in heads[part] if b + here in sure), None)
-        if met is not None:
-            starts.append(met + here)
-            sure = {b + here for b in tails[part]}
-        elif part + 1 < len(heads):  # go on from the last certain boundary
-            stop = (part + 1) * chunk + overlap
-            sure = set(boundaries(text, starts[-1], min(stop, len(text))))
+        met = next((b + here for b in heads[part] if b + here in sure), None)
+        if met is None:
+            met = resumed(text, starts[-1], heads, part, chunk)
+            if met is None:  # the rest shares no boundary with any chunk
+                break
+            part = met // chunk
+        starts.append(met)
+        sure = {b + part * chunk for b in tails[part]}
         part += 1
     return starts
 
 
+def resumed(text: str, start: int, heads: list[list[int]], part: int, chunk: int) -> int | None:
+    """The first boundary behind the certain one ``start`` that chunk ``part`` or a later one has.
+
+    The text is pre-tokenised on until then, in one go: an endless word is one match.
+    """
+    known: dict[int, set[int]] = {}
+    for match in pattern().finditer(text, start):
+        at = match.start()
+        number, inside = divmod(at, chunk)
+        if number < part or at <= start or text[at - 1].isspace():
+            continue
+        if number not in known:
+            known = {number: set(heads[number]) if number < len(heads) else set()}
+        if inside in known[number]:
+            return at
+    return None
+
+
 def encode(
     df: DataFrame,
     key: str = "doc_id",

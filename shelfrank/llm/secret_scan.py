@@ -4,7 +4,9 @@ A byte-pair vocabulary spells natural words with few tokens and random character
 many. A run of key-like characters is a secret when its characters per token stay at or
 under ``MAX_CHARS_PER_TOKEN``, unless it is a known digest (hex of a digest's length, the
 ``sha256-…`` forms, a UUID) or an identifier (words joined by ``_``, ``-``, ``/`` or case,
-with a number only at the end of a word: base32 has digits amid its letters).
+with a number only at the end of a word: base32 has digits amid its letters). A word of an
+identifier has few letters, or more than ``WORD_CHARS_PER_TOKEN`` itself: a long run of letters
+alone is judged by its ratio like any other.
 
 Rows: one per input row, a null text counting as empty; repeated rows give repeated results.
 """
@@ -42,6 +44,8 @@ NAMED_DIGEST = re.compile(r"(?:md5|sha1|sha256|sha384|sha512)-[A-Za-z0-9+/]+={0,
 # words of one case, or numbers, between separators or at a change of case; behind a number
 # only a separator or a capitalised word. Possessive, so a long run costs time in proportion
 WORDS = re.compile(r"(?:[A-Z]?[a-z]{2,}+|[A-Z]{2,}+|[0-9]++(?![a-z]|[A-Z](?![a-z]))|[+/_=-])+")
+LONG_WORD = 16  # words of fewer letters pass as parts of an identifier
+WORD_CHARS_PER_TOKEN = 2.1  # words are spelled with fewer tokens than the run as a whole
 # token counts are summed over pieces of this many characters, so that a run of any
 # length costs time in proportion
 PIECE = 256
@@ -65,14 +69,17 @@ def base_spans(text: str) -> list[Span]:
     return found
 
 
-def known(run: str) -> bool:
+def known(run: str, name: str = VOCABULARY) -> bool:
     """Digests and identifiers, which look random or long but are no secrets."""
     bare = run.strip("=")
     if len(bare) in DIGEST_CHARS and re.fullmatch("[0-9a-f]+|[0-9A-F]+", bare):
         return True
     if UUID.fullmatch(run) or NAMED_DIGEST.fullmatch(run):
         return True
-    return WORDS.fullmatch(run) is not None
+    if WORDS.fullmatch(run) is None:
+        return False
+    long_words = re.findall(rf"[A-Za-z]{{{LONG_WORD},}}", run)
+    return all(chars_per_token(word, name) > WORD_CHARS_PER_TOKEN for word in long_words)
 
 
 def chars_per_token(run: str, name: str = VOCABULARY) -> float:
@@ -84,11 +91,7 @@ def chars_per_token(run: str, name: str = VOCABULARY) -> float:
 def random_spans(text: str, name: str = VOCABULARY) -> list[Span]:
     found = []
     for match in RUN.finditer(text):
-        run = match[0]
-        # a key draws from letters and digits alike; prose and rules of dashes do not
-        if not re.search("[0-9]", run) or not re.search("[A-Za-z]", run) or known(run):
-            continue
-        if chars_per_token(run, name) <= MAX_CHARS_PER_TOKEN:
+        if not known(match[0], name) and chars_per_token(match[0], name) <= MAX_CHARS_PER_TOKEN:
             found.append(("random", *match.span()))
     return found
 
