@@ -329,7 +329,6 @@ def prefix_trie(conversations: DataFrame, light: int | None = None) -> DataFrame
     """
     spark = conversations.sparkSession
     rows, convs = rebuilt(turns(conversations))
-    convs = written(convs)
     steps = written(paths(rows))
     nodes = written(nodes_of(steps, convs))
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -337,7 +336,9 @@ def prefix_trie(conversations: DataFrame, light: int | None = None) -> DataFrame
     light = light or max(MIN_LIGHT, int(sizes["rows"] or 0) // (HEAVY_SHARE * partitions))
     shards = max(partitions, nodes.count() // SHARD_NODES)
 
-    heavy = written(nodes.where(F.col("rows") > light))
+    # the root always is: conversations without turns have no row below it
+    above_light = (F.col("rows") > light) | (F.col("depth") == 0)
+    heavy = written(nodes.where(above_light))
     tops = (
         steps.join(heavy.select("node"), "node", "left_anti")
         .groupBy("conv")
@@ -346,7 +347,7 @@ def prefix_trie(conversations: DataFrame, light: int | None = None) -> DataFrame
     zero = [F.lit(0).cast("long").alias(x) for x in SUMS]
     fields = ["node", "parent", "depth", "conv_id", "n_convs", "bytes"]
     below = (
-        nodes.where(F.col("rows") <= light)
+        nodes.where(~above_light)
         .join(tops, F.col("conv_id") == F.col("conv"))
         .select(*fields, *zero, F.pmod(F.xxhash64("top"), F.lit(shards)).alias("shard"))
     )
