@@ -21,9 +21,14 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from shelfrank.functions.arrays import with_runs
+from shelfrank.llm.shared import written
+from shelfrank.operators.numbering import sorted_index
+
 BRANCH = 12
 SECTION_ENDS = ("0", "1", "2", "3")
 BUCKETS_PER_PARTITION = 4
+SAMPLES = 100  # orders drawn for each range of ids
 LEAST_ID = -(1 << 63)
 
 
@@ -101,12 +106,53 @@ def differing(a: str, b: str) -> Column:
     ).otherwise(F.array_compact(places))
 
 
+def with_changed(df: DataFrame, a: str, b: str, name: str) -> DataFrame:
+    """``df`` with ``differing(a, b)``, from one sorted array of both trees' paragraphs, so that
+    texts of many paragraphs take time in proportion."""
+
+    def marked(tree: str, own: int) -> Column:
+        return F.transform(
+            F.col(tree)["paragraphs"],
+            lambda x, i: F.struct(x.alias("hash"), F.lit(own).alias("own"), i.alias("place")),
+        )
+
+    both = df.withColumn("_both", F.sort_array(F.concat(marked(b, 0), marked(a, 1))))
+    runs = with_runs(both, "_both", lambda x, y: x["hash"] == y["hash"], "_runs")
+    # in a run the paragraphs of ``b`` come first
+    only = F.filter("_runs", lambda run: F.get(run, F.lit(0))["own"] == 1)
+    places = F.sort_array(F.transform(F.flatten(only), lambda x: x["place"]))
+    return runs.withColumn(name, places).drop("_both", "_runs")
+
+
+def ranges_of(rows: DataFrame, count: int) -> DataFrame:
+    """``range, low, top``: about ``count`` ranges of ``order`` with about as many rows each.
+
+    A range has the orders above ``low`` (null in the first) up to ``top``. The tops come from
+    a sample by hash of ``SAMPLES`` orders a range, sorted in parallel; the last is the highest
+    order of all. Rows of one order are in one range.
+    """
+    share = min(1.0, SAMPLES * count / max(rows.count(), 1))
+    parts = 1 << 30
+    drawn = rows.select("order").where(
+        F.pmod(F.xxhash64("order"), F.lit(parts)) <= int(share * parts)
+    )
+    placed = sorted_index(drawn.distinct(), ["order"], "at")
+    step = max(1, placed.count() // count)
+    inner = placed.where((F.col("at") + 1) % step == 0).select("order")
+    highest = rows.agg(F.max("order").alias("order")).where("order IS NOT NULL")
+    tops = sorted_index(inner.union(highest).distinct(), ["order"], "range")
+    below = tops.select((F.col("range") + 1).alias("range"), F.col("order").alias("low"))
+    return written(tops.join(below, "range", "left").select("range", "low", F.col("order").alias("top")))
+
+
 def with_next(df: DataFrame, key: str, text: str) -> DataFrame:
     """``key, text, next``: each row with the text that follows it by falling ``key``.
 
-    The last row is followed by the first. Ids are cut into ranges of about equal numbers by
-    their percentiles; a range's largest id also goes, as a ghost, to the end of the range
-    above it. So every range is ordered by itself and texts are shuffled once. Null ids come
+    The last row is followed by the first. Rows are dealt to ranges of ids; a range's largest
+    id also goes, as a ghost, to the end of the range above it. So every range is ordered by
+    itself and texts are shuffled once. A row's range is looked up in two steps: its block in
+    an array of about the square root of their number, then one of the block's ranges, which
+    are broadcast (``BUCKETS_PER_PARTITION`` for each partition, and one more). Null ids come
     last, equal ids are ordered by text.
     """
     rows = df.select(
@@ -115,30 +161,28 @@ def with_next(df: DataFrame, key: str, text: str) -> DataFrame:
         F.coalesce(F.col(key).cast("long"), F.lit(LEAST_ID)).alias("order"),
     )
     partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    count = BUCKETS_PER_PARTITION * partitions
-    shares = [i / count for i in range(1, count)] or [0.5]
-    found = rows.agg(
-        F.percentile_approx("order", shares, 100 * count).alias("inner"), F.max("order").alias("top")
-    ).first()
-    if found.top is None:
-        return rows.select("key", "text", F.lit("").alias("next"))
-    tops = sorted({*found.inner, found.top})
-    # two steps to an id's range: blocks of ranges, then the ranges of the block
-    block = math.isqrt(len(tops)) or 1
-    blocks = F.array(*[F.lit(x) for x in tops[block - 1 :: block]])
-    before = F.size(F.filter(blocks, lambda x: x < F.col("order"))) * block
-    all_tops = F.array(*[F.lit(x) for x in tops])
-    nearby = F.filter(F.slice(all_tops, before + 1, F.lit(block)), lambda x: x < F.col("order"))
-    ranged = rows.withColumn("range", before + F.size(nearby))
-    is_top = F.get(all_tops, F.col("range")) == F.col("order")
+    ranges = ranges_of(rows, BUCKETS_PER_PARTITION * partitions)
+    count = ranges.count()
+    block = math.isqrt(count) or 1
+    edges = [r["top"] for r in ranges.where((F.col("range") + 1) % block == 0).orderBy("top").collect()]
+    blocks = F.array(*[F.lit(x) for x in edges]).cast("array<bigint>")
+    known = ranges.select(F.floor(F.col("range") / block).cast("int").alias("block"), "range", "low", "top")
+    placed_rows = rows.withColumn("block", F.size(F.filter(blocks, lambda x: x < F.col("order")))).join(
+        F.broadcast(known),
+        on=[
+            F.col("block") == known["block"],
+            F.col("low").isNull() | (F.col("order") > F.col("low")),
+            F.col("order") <= F.col("top"),
+        ],
+    )
     homes = F.array(
         F.struct(F.col("range"), F.lit(False).alias("ghost")),
         F.when(
-            is_top,
-            F.struct(((F.col("range") + 1) % len(tops)).alias("range"), F.lit(True).alias("ghost")),
+            F.col("top") == F.col("order"),
+            F.struct(((F.col("range") + 1) % max(count, 1)).alias("range"), F.lit(True).alias("ghost")),
         ),
     )
-    placed = ranged.select(
+    placed = placed_rows.select(
         "key", "text", "order", F.explode(F.array_compact(homes)).alias("home")
     ).select("key", "text", "order", "home.*")
     inside = Window.partitionBy("range").orderBy("ghost", F.desc("order"), "text")
@@ -150,7 +194,8 @@ def with_next(df: DataFrame, key: str, text: str) -> DataFrame:
 
 
 def edited_fingerprints(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Fingerprints of every text and of its edited text, and how alike they are.
+    """Fingerprints of every text and of its edited text, how alike they are, and ``changed``:
+    the edited text's paragraphs (from 0, comma-joined) that the text does not have.
 
     The edited text ends in the beginning of the next text instead of its own second half.
     """
@@ -162,7 +207,7 @@ def edited_fingerprints(df: DataFrame, key: str = "doc_id", text: str = "text")
     rows = with_next(df, key, text).withColumn("edited", edited)
     for column, tree in (("text", "own"), ("edited", "changed"), ("next", "following")):
         rows = with_tree(rows, column, tree)
-    return rows.select(
+    return with_changed(rows, "changed", "own", "places").select(
         F.col("key").alias(key),
         length.cast("long").alias("n_chars"),
         sha(F.col("edited")).alias("edited_sha256"),
@@ -170,4 +215,5 @@ def edited_fingerprints(df: DataFrame, key: str = "doc_id", text: str = "text")
         fingerprint("changed").alias("edited_fingerprint"),
         likeness("own", "changed").alias("near_edited"),
         likeness("own", "following").alias("near_next"),
+        F.array_join(F.transform("places", lambda x: x.cast("string")), ",").alias("changed"),
     )

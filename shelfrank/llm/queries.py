@@ -40,6 +40,7 @@ def op3_site_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
         "n_lines",
         "n_dropped",
         F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"),
+        "page_ratio",
     )
 
 
@@ -72,6 +73,7 @@ def op7_positional_index(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.size("items").cast("long").alias("n_items"),
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
         "contaminated",
+        F.size("near_items").cast("long").alias("n_near"),
     )
 
 
@@ -155,29 +157,33 @@ WITH texts AS (
     + f"""
 SELECT doc_id, n::BIGINT AS n_chars, sha256(changed) AS edited_sha256, own_print AS fingerprint,
        changed_print AS edited_fingerprint, {OP2_LIKE.format(other="changed")} AS near_edited,
-       {OP2_LIKE.format(other="following")} AS near_next
+       {OP2_LIKE.format(other="following")} AS near_next,
+       array_to_string(list_filter(list_transform(range(1, len(changed_p) + 1), lambda i:
+           CASE WHEN NOT list_contains(list_transform(own_p, lambda x: x[1:12]), changed_p[i][1:12])
+                THEN (i - 1)::VARCHAR END), lambda x: x IS NOT NULL), ',') AS changed
 FROM following_tree
 """
 )
 
 OP3_SQL = """
-WITH lines AS (
-    SELECT doc_id, source, text, row_number() OVER () AS page FROM documents
+WITH texts AS (
+    SELECT source, text, count(*) AS copies, row_number() OVER () AS page
+    FROM documents WHERE source IS NOT NULL GROUP BY source, text
 ), found AS (
-    SELECT DISTINCT page, source, unnest(string_split(text, chr(10))) AS line
-    FROM lines WHERE source IS NOT NULL
+    SELECT DISTINCT page, source, copies, unnest(string_split(text, chr(10))) AS line FROM texts
 ), totals AS (
-    SELECT source, count(*) AS pages FROM documents GROUP BY source
+    SELECT source, count(*) AS texts, sum(copies) AS pages FROM texts GROUP BY source
 ), bad AS (
-    SELECT source, line
+    SELECT source, line, sum(copies)::DOUBLE / any_value(pages) AS page_ratio
     FROM found JOIN totals USING (source)
     WHERE trim(line) <> ''
     GROUP BY source, line
-    HAVING count(*) >= 5 AND count(*) > any_value(pages) * 0.08
+    HAVING count(*) >= 5 AND count(*) > any_value(totals.texts) * 0.08
 ), listed AS (
-    SELECT source, list(line) AS bad FROM bad GROUP BY source
+    SELECT source, list(line) AS bad, map(list(line), list(page_ratio)) AS ratios
+    FROM bad GROUP BY source
 ), done AS (
-    SELECT doc_id, string_split(text, chr(10)) AS all_lines,
+    SELECT doc_id, string_split(text, chr(10)) AS all_lines, coalesce(bad, []) AS bad, ratios,
            list_filter(string_split(text, chr(10)),
                        lambda x: NOT list_contains(coalesce(bad, []), x)) AS kept
     FROM documents LEFT JOIN listed USING (source)
@@ -185,7 +191,9 @@ WITH lines AS (
 SELECT doc_id,
        coalesce(len(all_lines), 0)::BIGINT AS n_lines,
        coalesce(len(all_lines) - len(kept), 0)::BIGINT AS n_dropped,
-       sha256(coalesce(array_to_string(kept, chr(10)), '')) AS kept_sha256
+       sha256(coalesce(array_to_string(kept, chr(10)), '')) AS kept_sha256,
+       list_max(list_transform(list_filter(all_lines, lambda x: list_contains(bad, x)),
+                               lambda x: ratios[x])) AS page_ratio
 FROM done
 """
 
@@ -236,12 +244,36 @@ WITH docs AS (
     FROM (SELECT doc_id, unnest(range(start, start + size)) AS place FROM hits) GROUP BY doc_id
 ), hit_items AS (
     SELECT doc_id, list_sort(list(DISTINCT item_id::VARCHAR)) AS ids FROM hits GROUP BY doc_id
+), wanted AS (
+    SELECT item_id, win, size, len(list_distinct(string_split(win, ' '))) AS n,
+           unnest(list_distinct(string_split(win, ' '))) AS word
+    FROM (SELECT DISTINCT item_id, size, win FROM item_windows)
+), placed AS (
+    SELECT doc_id, unnest(w) AS word, unnest(range(len(w))) AS place FROM docs
+), having_all AS (
+    SELECT doc_id, item_id, win FROM (SELECT DISTINCT doc_id, word FROM placed) JOIN wanted USING (word)
+    GROUP BY doc_id, item_id, win HAVING count(*) = any_value(n)
+), spots AS (
+    SELECT doc_id, item_id, win, n, 2 * size AS span, word, place, place // 26 AS block
+    FROM having_all JOIN wanted USING (item_id, win) JOIN placed USING (doc_id, word)
+), near AS (
+    SELECT DISTINCT doc_id, item_id FROM (
+        SELECT a.doc_id, a.item_id, a.win, a.place
+        FROM (SELECT *, unnest([block, block + 1]) AS b FROM spots) a
+        JOIN spots c ON c.doc_id = a.doc_id AND c.item_id = a.item_id AND c.win = a.win AND c.block = a.b
+            AND c.place >= a.place AND c.place < a.place + a.span
+        GROUP BY a.doc_id, a.item_id, a.win, a.place
+        HAVING count(DISTINCT c.word) = any_value(a.n))
+), near_items AS (
+    SELECT doc_id, count(*) AS n_near FROM near GROUP BY doc_id
 )
 SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
        coalesce(len(ids), 0)::BIGINT AS n_items,
        sha256(coalesce(array_to_string(ids, ','), '')) AS items_sha256,
-       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated,
+       coalesce(n_near, 0)::BIGINT AS n_near
 FROM docs LEFT JOIN hit_words USING (doc_id) LEFT JOIN hit_items USING (doc_id)
+LEFT JOIN near_items USING (doc_id)
 """
 
 OP11_SQL = """
