@@ -54,6 +54,22 @@ def test_lines_of_a_hot_host(spark):
         assert found[i] == "\n".join(kept)
 
 
+def test_extra_columns_of_any_type(spark):
+    """A column of maps can be neither hashed nor compared."""
+    text = "\n".join(["a line", "footer"])
+    df = spark.createDataFrame([(i % 9, f"own {i}\n{text}", "s") for i in range(20)], "doc_id long, text string, source string")
+    odd = df.withColumn("extra", F.create_map(F.lit("k"), F.col("doc_id")))
+    assert line_frequency.drop_boilerplate(odd).count() == 20
+    kept = near_dup.keep_first(odd)
+    assert kept.columns == odd.columns and kept.count() == kept.select("doc_id").distinct().count()
+
+
+def test_page_ratio_counts_copies(spark):
+    rows = [(i, f"own {i}\nfooter", "a") for i in range(9)] + [(50 + i, "own 0\nfooter", "a") for i in range(10)] + [(99, "x", "a")]
+    found = {r.row.doc_id: r.page_ratio for r in line_frequency.drop_lines(frame(spark, rows)).collect()}
+    assert found[99] is None and found[0] == found[55] == 19 / 20
+
+
 def test_copies_of_a_page_keep_their_lines(spark):
     """A third of a host's rows are one clean page; only the shared footer is boilerplate."""
     clean = "a clean page\nof three lines\nand no others"
@@ -101,6 +117,43 @@ def test_trees_locate_edits(spark):
     assert f":{leaf[:12]}," in row.print
 
 
+def test_ranges_of_many_partitions(spark):
+    """Thousands of ranges, hot ids and few rows: the plan holds the square root of them only."""
+    rows = [(i % 37 if i % 3 else 5, f"{i}. b\nc") for i in range(400)] + [(None, "n"), (-(2**63), "least")]
+    docs = frame(spark, rows).select("doc_id", "text")
+    ordered = sorted(rows, key=lambda r: (r[0] is not None, r[0] if r[0] is not None else 0, ), reverse=True)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "20000")
+        ids = spark.range(0, 50_000, 1, 4).selectExpr("id AS key", "'t' AS text", "id AS order")
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+        ranges = merkle.ranges_of(ids, 20_000)
+        assert 15_000 <= ranges.count() <= 25_001
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    found = merkle.with_next(docs, "doc_id", "text").collect()
+    assert len(found) == len(rows)
+    followed = sorted((r.text, r.next) for r in found)
+    texts = [t for _, t in sorted(rows, key=lambda r: (-(2**63) - 1 if r[0] is None else r[0], ), reverse=True)]
+    assert sorted(t for t, _ in followed) == sorted(texts)
+    # every text follows once, and the next one's id is not higher, but for the last
+    assert sorted(n for _, n in followed) == sorted(texts)
+    order = {t: -(2**63) if i is None else i for i, t in rows}
+    assert sum(order[n] > order[t] for t, n in followed) == 1
+    assert len(ordered) == len(rows)
+
+
+def test_changed_paragraphs(spark):
+    rng = random.Random(17)
+    rows = [tuple("\n".join(rng.choice("abcd") for _ in range(rng.randrange(1, 9))) for _ in "ab") for _ in range(60)]
+    df = spark.createDataFrame([(i, a, b) for i, (a, b) in enumerate(rows)], "i int, a string, b string")
+    trees = merkle.with_tree(merkle.with_tree(df, "a", "x"), "b", "y")
+    found = merkle.with_changed(trees, "x", "y", "at").select("i", "at", merkle.differing("x", "y").alias("same")).collect()
+    for r in found:
+        a, b = (t.split("\n") for t in rows[r.i])
+        assert r["at"] == [i for i, x in enumerate(a) if x not in b] == r["same"]
+
+
 # -- archives ----------------------------------------------------------------
 
 
@@ -139,6 +192,24 @@ def test_normalised_members_stand_alone(spark):
     assert warc.read_archives(spark, empty, place, "bigint").collect() == []
 
 
+def test_names_of_object_stores():
+    """Hadoop's schemes for the same store."""
+    seen = []
+
+    class Systems:
+        @staticmethod
+        def from_uri(uri):
+            seen.append(uri)
+
+    original, warc.fs = warc.fs, type("fs", (), {"FileSystem": Systems})
+    try:
+        for uri in ("s3a://bucket/a", "s3n://bucket/a", "s3://bucket/a", "file:/tmp/a", "hdfs://host:1/a"):
+            warc.store(uri)
+    finally:
+        warc.fs = original
+    assert seen == ["s3://bucket/a"] * 3 + ["file:///tmp/a", "hdfs://host:1/a"]
+
+
 def test_small_payloads_are_all_responses(spark):
     pages = spark.createDataFrame([(1, "ab"), (2, "ab"), (3, "abcd"), (4, "abcd")], "page_id long, html string")
     archives, folder = warc.archive(pages, min_bytes=3)
@@ -196,6 +267,50 @@ def test_proximity(spark):
     assert sorted((r.document.id, r.place) for r in found) == [(1, 0), (2, 0)]
 
 
+def near_brute(documents, items, length):
+    out = []
+    for key, text in documents:
+        w, ids = words(text), set()
+        for item, passage in items:
+            p = words(passage)
+            size = min(length, len(p))
+            for a in range(len(p) - size + 1 if p else 0):
+                wanted = set(p[a : a + size])
+                if any(wanted <= set(w[b : b + 2 * size]) for b in range(len(w))):
+                    ids.add(str(item))
+        out.append((key, tuple(sorted(ids))))
+    return out
+
+
+def test_near_matches_and_proximity_share_the_index(spark):
+    rng = random.Random(16)
+    some = [f"v{i}" for i in range(30)]
+    text = lambda n: " ".join(rng.choice(some) for _ in range(n))
+    items = [(i, text(rng.randrange(1, 9))) for i in range(15)]
+    documents = [(i, text(rng.randrange(60))) for i in range(80)]
+    for i in range(20):
+        shuffled = words(items[i % 15][1])
+        rng.shuffle(shuffled)
+        documents.append((100 + i, text(5) + " " + " zz ".join(shuffled) + " " + text(5)))
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    docs = frame(spark, documents)
+    found = decontaminate.contamination(docs, bench, length=4)
+    got = [(r.document.id, tuple(r.near_items)) for r in found.collect()]
+    assert sorted(got) == sorted(near_brute(documents, items, 4))
+    exact = decontaminate.contamination(docs, bench, length=4, nearly=False)
+    names = ["document", "n_words", "n_hit", "items", "contaminated"]
+    key = lambda r: str(r)
+    assert sorted(exact.select(*names).collect(), key=key) == sorted(found.select(*names).collect(), key=key)
+    assert all(r["near_items"] == r["items"] for r in exact.collect())
+    stored = decontaminate.stored_index(docs, bench, length=4)
+    asked = spark.createDataFrame([(1, "v1 v2"), (2, "v3 v4 v5")], "item_id long, text string")
+    known = {r.term for r in stored.vocabulary.collect()}
+    assert {"v1", "v2", "v3", "v4", "v5"} <= known
+    own = decontaminate.proximity(docs, asked, within=6).collect()
+    assert sorted(own, key=key) == sorted(decontaminate.proximity(docs, asked, within=6, stored=stored).collect(), key=key)
+    assert stored.lengths.count() == len(documents)
+
+
 # -- quality -----------------------------------------------------------------
 
 
@@ -405,6 +520,34 @@ def test_long_piece_lists_are_not_broadcast(spark, monkeypatch):
         assert [(r.id, r.text, len(r.wanted)) for r in joined.collect()] == [(1, "a", many)]
 
 
+@pytest.mark.parametrize("hot, batch", [(3, 50), (10_000, 50), (3, 200_000)])
+def test_hot_anchors_are_cut_into_windows(spark, hot, batch, monkeypatch):
+    """A line that many documents share in different surroundings has a piece for each."""
+    rng = random.Random(7)
+    line = "".join(rng.choice("abcdefgh") for _ in range(40))
+    own = lambda n: "".join(rng.choice("abcdefgh") for _ in range(n))
+    rows = [(i, own(30) + line[: rng.randrange(25, 41)] + own(30)) for i in range(60)]
+    rows += [(100 + i, rows[i][1][5:] + own(5)) for i in range(10)]
+    monkeypatch.setattr(suffix, "HOT", hot)
+    monkeypatch.setattr(suffix, "BATCH", batch)
+    found = suffix.remove_repeated(frame(spark, rows), length=20, gram=8).collect()
+    expected = repeats_brute(rows, 20)
+    for r in found:
+        assert (r.n_bytes, r.n_removed, len(r.spans), bytes(r.kept)) == expected[r.doc_id]
+
+
+def test_copies_of_a_passage_are_spread(spark):
+    """Of a piece that all rows repeat, only the first of each batch goes to the anchor's task."""
+    rng = random.Random(9)
+    passage = "".join(rng.choice("abcdefgh") for _ in range(400))
+    rows = [(i, passage) for i in range(600)]
+    documents = frame(spark, rows).select(*suffix.identity("doc_id", "text")).repartition(6)
+    found = suffix.occurrences(documents, 100, 32)
+    counted = found.groupBy("later").count().collect()
+    each = {r.later: r["count"] for r in counted}
+    assert each[True] + each[False] == 600 * (each[False] // 6) and each[False] <= 6 * 10
+
+
 def test_windows_of_a_collection(tmp_path):
     rng = np.random.default_rng(3)
     pieces = [rng.integers(0, 3, n).astype(np.uint8) for n in (20, 30, 8, 25)]
