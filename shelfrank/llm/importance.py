@@ -8,9 +8,12 @@ log p_target / p_raw over its n-grams that speak: those whose target count diffe
 expectation by ``MIN_DEVIANCE`` nats of Poisson deviance and by a factor of ``MIN_FACTOR``.
 Others are noise of the sample, which would otherwise add up in long documents.
 
-Documents are drawn without replacement by Gumbel top-k on ``SHARPNESS`` times the log
-weight. k is the size of the target part: the number of documents whose log weight reaches
-the threshold that best separates the labelled documents. Sampled documents are kept.
+Documents are drawn without replacement by Gumbel top-k: a document's chances follow its
+importance weight, raised to a power (``sharpness``, a column of the result). k is the size of the
+target part: the number of documents whose log weight reaches the threshold that best separates
+the labelled documents. The power is the least power of two with which the draw is expected to
+lose a share of ``MAX_LOSS`` of the labelled good documents; 1 leaves the weights as they are.
+Sampled documents are ``kept``; ``above`` tells which reach the threshold itself.
 
 Nulls: a null text has no n-grams and log weight 0; a null id draws the noise of its text;
 labels that are null, or of unknown documents, are ignored; a document is good if some label
@@ -36,7 +39,6 @@ PAIR_BITS = 16
 SHAPE_BITS = 14
 MIN_DEVIANCE = 9.0
 MIN_FACTOR = 3.0
-SHARPNESS = 20.0
 # the target model and the threshold are fitted on so many labelled documents at most; the
 # raw model counts all documents
 MAX_LABELLED = 50_000
@@ -45,6 +47,8 @@ PSEUDO_COUNT = 0.5
 CACHED_TOKENS = 120_000
 # log weights are binned so finely to find the threshold
 BIN = 0.25
+MAX_LOSS = 0.0005
+SHARPEST = 64
 LOWEST = -50.0
 
 PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
@@ -192,11 +196,39 @@ def threshold(weighed: DataFrame) -> float:
     return float(found["bin"].to_numpy()[errors.argmin()] * BIN)
 
 
-def keys(weighed: DataFrame) -> DataFrame:
-    """``weighed`` with ``key``: tempered log weight plus Gumbel noise from a hash."""
-    bits = F.xxhash64(F.lit(SEED), F.coalesce("id", F.xxhash64("row.text")))
+def tempering(weighed: DataFrame, cut: float) -> int:
+    """The power of the weights: see the module. A document of log weight w is drawn with
+    probability 1 - exp(-exp(s w - c)), with c such that the probabilities add up to k."""
+    found = (
+        weighed.groupBy(F.floor(F.greatest("log_weight", F.lit(LOWEST)) / BIN).alias("bin"))
+        .agg(
+            F.count("*").alias("all"),
+            F.sum(F.coalesce(F.col("good"), F.lit(False)).cast("long")).alias("good"),
+            F.sum((F.col("log_weight") >= cut).cast("long")).alias("above"),
+        )
+        .toPandas()  # at most (highest - LOWEST) / BIN rows
+    )
+    many, good, k = found["all"].to_numpy(), found["good"].to_numpy(), found["above"].sum()
+    if not good.sum() or k >= many.sum():
+        return 1
+    weight, sharpness = found["bin"].to_numpy() * BIN, 1
+    while sharpness < SHARPEST:
+        low, high = -1e6, 1e6
+        for _ in range(100):
+            c = (low + high) / 2
+            left_out = np.exp(-np.exp(np.clip(sharpness * weight - c, -700, 700)))
+            low, high = (c, high) if (many * (1 - left_out)).sum() > k else (low, c)
+        if (good * left_out).sum() <= MAX_LOSS * good.sum():
+            break
+        sharpness *= 2
+    return sharpness
+
+
+def keys(weighed: DataFrame, seed: int = SEED, sharpness: int = 1) -> DataFrame:
+    """``weighed`` with ``key``: ``sharpness`` times the log weight plus Gumbel noise from a hash of the seed and id."""
+    bits = F.xxhash64(F.lit(seed), F.coalesce("id", F.xxhash64("row.text")))
     uniform = (F.shiftrightunsigned(bits, 11).cast("double") + 0.5) / float(1 << 53)
-    return weighed.withColumn("key", F.col("log_weight") * SHARPNESS - F.log(-F.log(uniform)))
+    return weighed.withColumn("key", F.col("log_weight") * sharpness - F.log(-F.log(uniform)))
 
 
 def kth_largest(values: DataFrame, k: int, bins: int = 1024) -> float:
@@ -227,18 +259,29 @@ def kth_largest(values: DataFrame, k: int, bins: int = 1024) -> float:
 
 
 def sample(documents: DataFrame, labels: DataFrame, keep_rows: bool = True) -> DataFrame:
-    """``row, id, log_weight, kept`` for all rows of ``documents``.
+    """``row, id, log_weight, above, kept, sharpness`` for all rows of ``documents``.
 
     ``keep_rows=False`` leaves all columns but the id out of ``row``.
     """
     weighed = weigh(documents, labels)
-    drawn = keys(weighed)
     if not keep_rows:
-        drawn = drawn.select(F.struct(F.col("id").alias("doc_id")).alias("row"), "id", "good", "log_weight", "key")
-    drawn = written(drawn)
-    k = drawn.where(F.col("log_weight") >= threshold(drawn)).count()
-    cut = kth_largest(drawn.select("key"), k) if k else np.inf
-    return drawn.select("row", "id", "log_weight", (F.col("key") >= cut).alias("kept"))
+        row = F.struct(F.col("id").alias("doc_id"), F.xxhash64("row.text").alias("text")).alias("row")
+        weighed = weighed.select(row, "id", "good", "log_weight")
+    weighed = written(weighed)
+    cut = threshold(weighed)
+    above = F.col("log_weight") >= cut
+    k = weighed.where(above).count()
+    sharpness = tempering(weighed, cut)
+    drawn = keys(weighed, sharpness=sharpness)
+    least = kth_largest(drawn.select("key"), k) if k else np.inf
+    return drawn.select(
+        "row",
+        "id",
+        "log_weight",
+        above.alias("above"),
+        (F.col("key") >= least).alias("kept"),
+        F.lit(sharpness).alias("sharpness"),
+    )
 
 
 def keep_good(documents: DataFrame, labels: DataFrame) -> DataFrame:

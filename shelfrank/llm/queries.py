@@ -80,7 +80,7 @@ def op7_positional_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     drawn = importance.sample(documents, labels, keep_rows=False)
-    return drawn.select(F.col("row.doc_id"), "log_weight", "kept")
+    return drawn.select(F.col("row.doc_id"), "log_weight", "above", "kept", "sharpness")
 
 
 def op9_bayesian_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:

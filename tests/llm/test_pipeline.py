@@ -60,7 +60,10 @@ def test_quality_against_brute_force(spark, sf_dir):
     drawn = importance.sample(docs, labels).collect()
     k = sum(w >= cut for w in expected)
     assert sum(r.above for r in drawn) == k
-    keyed = {r.id: r.key for r in importance.keys(importance.weigh(docs, labels)).collect()}
+    sharpness = importance.tempering(weighed, cut)
+    assert {r.sharpness for r in drawn} == {sharpness}
+    keyed = importance.keys(importance.weigh(docs, labels), sharpness=sharpness)
+    keyed = {r.id: r.key for r in keyed.collect()}
     least = sorted(keyed.values(), reverse=True)[k - 1]
     assert {r.id for r in drawn if r.kept} == {i for i, key in keyed.items() if key >= least}
 

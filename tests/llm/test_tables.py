@@ -343,6 +343,39 @@ def test_importance_resampling_separates(spark, graded):
     assert importance.keep_good(frame(spark, rows), marks.limit(0)).count() == len(rows)
 
 
+def test_tempering_is_fitted(spark):
+    """No sharper than needed for the labelled good documents; 1 where the weights do."""
+    near = [(i, i % 2 == 0, 1.0 if i % 2 == 0 else -2.0) for i in range(400)]
+    far = [(i, g, w * 40) for i, g, w in near]
+    schema = "id long, good boolean, log_weight double"
+    found = [importance.tempering(spark.createDataFrame(rows, schema), 0.0) for rows in (near, far)]
+    assert found[1] == 1 and 1 < found[0] <= importance.SHARPEST
+    assert importance.tempering(spark.createDataFrame([], schema), 0.0) == 1
+
+
+def test_inclusion_follows_the_weights(spark):
+    """How often a document is drawn, over many seeds, against draws of numpy's generator."""
+    many, k, seeds = 200, 60, 80
+    weight = np.linspace(-4, 4, many)
+    rows = [(i, f"t{i}", float(w)) for i, w in enumerate(weight)]
+    df = spark.createDataFrame(rows, "id long, text string, log_weight double").withColumn("row", F.struct("text"))
+    keyed = [importance.keys(df, seed).select("id", F.lit(seed).alias("seed"), "key") for seed in range(seeds)]
+    whole = keyed[0]
+    for part in keyed[1:]:
+        whole = whole.union(part)
+    keys = np.empty((seeds, many))
+    for r in whole.collect():
+        keys[r.seed, r.id] = r.key
+    cut = np.sort(keys, axis=1)[:, -k, None]
+    share = (keys >= cut).mean(0)
+    noise = np.random.default_rng(3).gumbel(size=(4000, many)) + weight
+    expected = (noise >= np.sort(noise, axis=1)[:, -k, None]).mean(0)
+    blocks = lambda x: x.reshape(10, -1).mean(1)
+    assert np.abs(blocks(share) - blocks(expected)).max() < 0.05
+    # a weaker document is drawn now and then, a stronger one left out
+    assert 0 < share[: many // 2].mean() < 0.2
+
+
 def test_ngram_model_against_sets(spark, graded):
     rows, _ = graded
     tokens, expected = importance.Tokens(), defaultdict(int)
