@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -39,3 +41,21 @@ def purchase_count(docs: Column) -> Column:
     return F.aggregate(
         docs, F.lit(0).cast("bigint"), lambda total, entry: total + entry["purchase"]
     )
+
+
+def with_runs(df: DataFrame, items: str, same: Callable[[Column, Column], Column], name: str) -> DataFrame:
+    """Add the runs of neighbours in the array ``items`` that are the ``same``, as arrays.
+
+    The starts are a column of their own: an expression used twice is computed once.
+    """
+    starts = F.filter(
+        F.transform(items, lambda _, i: i),
+        lambda i: (i == 0) | ~same(F.get(items, i - 1), F.get(items, i)),
+    )
+    runs = F.transform(
+        "_starts",
+        lambda start, k: F.slice(
+            items, start + 1, F.coalesce(F.get("_starts", k + 1), F.size(items)) - start
+        ),
+    )
+    return df.withColumn("_starts", starts).withColumn(name, runs).drop("_starts")

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shelfrank.operators.skew import spread_join
 from shelfrank.operators.numbering import percentiles_of, placed_in_groups
 
 # fixed values: grades are the fifths of a search's judgments
@@ -49,13 +50,13 @@ def grade(judgments: DataFrame, keys: Sequence[str]) -> DataFrame:
     """
     placed, spans = placed_in_groups(judgments, keys, "judgment", "doc")
     informative = spans.filter(F.col("_high") > F.col("_low"))
-    edges = percentiles_of(placed, informative, keys, "judgment", GRADE_POINTS, "_edges")
+    edges = percentiles_of(placed, informative, keys, "judgment", GRADE_POINTS, "_edges", sized=True)
     value = F.lit(len(GRADE_POINTS) - 1)
     for number in reversed(range(len(GRADE_POINTS) - 1)):
         fits = F.col("judgment") <= F.get("_edges", F.lit(number)) + F.lit(EDGE)
         value = F.when(fits, F.lit(number)).otherwise(value)
     return (
-        placed.join(edges, list(keys))
+        spread_join(placed, edges, keys, "_n", ["doc"])
         .withColumn("grade", value.cast("int"))
         .select(*judgments.columns, "grade")
     )

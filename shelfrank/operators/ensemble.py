@@ -65,7 +65,7 @@ def _by_tree(model: Model) -> list[dict[int, Node]]:
     return [trees[tree] for tree in sorted(trees)]
 
 
-def _value(features: Column, position: int) -> Column:
+def value_at(features: Column, position: int) -> Column:
     """A feature that is NULL, or beyond the array, or of a NULL array counts as 0.
 
     NaN stays NaN: it is above every threshold, so it goes right.
@@ -80,7 +80,7 @@ def tree_column(nodes: dict[int, Node], features: Column, leaf_id: bool = False)
         node = nodes[number]
         if node.is_leaf:
             return F.lit(node.node) if leaf_id else F.lit(float(node.output))
-        return F.when(_value(features, node.feature - 1) <= F.lit(node.threshold), walk(node.left)).otherwise(
+        return F.when(value_at(features, node.feature - 1) <= F.lit(node.threshold), walk(node.left)).otherwise(
             walk(node.right)
         )
 
@@ -135,7 +135,7 @@ def _batch_column(model: Model, features: Column) -> Column:
 
     # whole arrays without NULL, by the same rule as in the expression
     used = max((node.feature for node in model if not node.is_leaf), default=1)
-    return score(F.array(*[_value(features, position) for position in range(used)]))
+    return score(F.array(*[value_at(features, position) for position in range(used)]))
 
 
 def ensemble_column(model: Model, features: Column) -> Column:
@@ -160,7 +160,7 @@ class LinearModel:
     def column(self, features: Column) -> Column:
         total = F.lit(0.0)
         for position, weight in enumerate(self.weights):
-            total = total + F.lit(float(weight)) * _value(features, position)
+            total = total + F.lit(float(weight)) * value_at(features, position)
         return total
 
 

@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from shelfrank.functions import numbers
 from shelfrank.operators import textmatch
 from shelfrank.operators.numbering import dense_ids
+from shelfrank.operators.skew import spread_join
+from shelfrank.operators.textmatch import TextIndex
 from shelfrank.schemas import CHANNELS
 
 TEXT_FIELDS = ["name", "category"]
@@ -107,23 +109,25 @@ DEFAULT = feature_set("lambdamart0")
 
 
 def attach_features(
-    rows: DataFrame, catalog: DataFrame, features: FeatureSet = DEFAULT
+    rows: DataFrame, catalog: DataFrame | TextIndex, features: FeatureSet = DEFAULT
 ) -> DataFrame:
     """Add ``features`` to rows of ``search_term, channel_group,
     customer_avg_ticket, sku``; rows whose document is not in the catalog go.
+
+    With an index of the catalog no text is read.
     """
     missing = [param for param in features.params if param not in rows.columns]
     if missing:
         raise ValueError(f"feature set {features.name!r} needs columns {missing}")
     used, fields = features.doc_columns, features.text_fields
     if fields:
-        docs = textmatch.with_tokens(catalog, fields)
+        index = textmatch.as_index(catalog, fields, "sku", used)
         # a pair is scored once, however many contexts share it
         pairs = rows.select("search_term", "sku").distinct()
-        scored = textmatch.bm25(pairs, docs, fields, carry=used)
-        joined = rows.join(scored, ["search_term", "sku"])
+        joined = rows.join(textmatch.bm25(pairs, index, fields, carry=used), ["search_term", "sku"])
     else:
-        joined = rows.join(catalog.select("sku", *used), "sku")
+        documents = catalog.documents if isinstance(catalog, TextIndex) else catalog
+        joined = rows.join(documents.select("sku", *used), "sku")
     return (
         joined
         .withColumn("features", features.as_array())
@@ -132,7 +136,7 @@ def attach_features(
 
 
 def log_features(
-    judgments: DataFrame, catalog: DataFrame, features: FeatureSet = DEFAULT
+    judgments: DataFrame, catalog: DataFrame | TextIndex, features: FeatureSet = DEFAULT
 ) -> DataFrame:
     """Features of each judged (context, document), paired by document."""
     rows = judgments.withColumnRenamed("doc", "sku")
@@ -156,12 +160,15 @@ def normalise(rows: DataFrame, size: int, keys: Sequence[str] = ("qid",)) -> Dat
     wrong = F.raise_error(F.lit(f"normalise: a row does not have {size} features"))
     rows = rows.withColumn("features", F.when(right, F.col("features")).otherwise(wrong))
     sums = rows.groupBy(*keys).agg(
-        F.array(*[F.sum(F.abs(F.get("features", F.lit(i)))) for i in range(size)]).alias("_sums")
+        F.array(*[F.sum(F.abs(F.get("features", F.lit(i)))) for i in range(size)]).alias("_sums"),
+        F.count("*").alias("_rows"),
     )
     scaled = F.zip_with(
         "features", "_sums", lambda x, s: F.when(s > 0, x / s).otherwise(F.lit(0.0))
     )
-    return rows.join(sums, list(keys)).withColumn("features", scaled).drop("_sums")
+    names = [name for name in ("doc", "sku", "features") if name in rows.columns]
+    joined = spread_join(rows, sums, keys, "_rows", names)
+    return joined.withColumn("features", scaled).drop("_sums")
 
 
 def letor_lines(rows: DataFrame) -> DataFrame:

@@ -94,8 +94,9 @@ def percentiles_of(
     value: str,
     points: Sequence[float],
     name: str = "percentiles",
+    sized: bool = False,
 ) -> DataFrame:
-    """Exact percentiles per group of ``spans``, linearly interpolated.
+    """Exact percentiles per group of ``spans``, linearly interpolated; ``sized`` keeps ``_n``.
 
     A percentile is the value at one or two known places. Places are unique in the whole
     table, so they are looked up by an ordinary join that no hot group can skew.
@@ -118,7 +119,7 @@ def percentiles_of(
         places.join(placed.select("_at", value), "_at")
         .groupBy(*keys)
         .agg(F.max("_n").alias("_n"), *picks)
-        .select(*keys, F.array(*results).alias(name))
+        .select(*keys, F.array(*results).alias(name), *(["_n"] if sized else []))
     )
 
 

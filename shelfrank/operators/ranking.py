@@ -22,6 +22,7 @@ from shelfrank.operators.features import (
     attach_features,
     normalise,
 )
+from shelfrank.operators.textmatch import TextIndex
 
 # fixed values: how the two scores are weighed, and the windows of the two uses
 QUERY_WEIGHT = 0.1
@@ -46,30 +47,44 @@ def ranked(
     return placed.withColumn("pos", F.col("_rank").cast("bigint") - 1).drop("_rank")
 
 
-def first_pass(queries: DataFrame, catalog: DataFrame) -> DataFrame:
-    """``search_term, sku, score`` of all matches: match score plus CTR boost."""
-    docs = textmatch.with_tokens(catalog, TEXT_FIELDS)
-    matched = textmatch.match_cross_fields(queries, docs, TEXT_FIELDS)
-    scored = textmatch.bm25(matched, docs, TEXT_FIELDS, blended=True, carry=["ctr"])
-    # a key is a field of its own without lengths: one document of n holds it
-    total = docs.select(F.count("*").cast("double")).scalar()
-    key_score = textmatch.idf(total, F.lit(1.0))
-    match_score = F.greatest(
-        F.col("match_score"), F.when(F.col("exact"), key_score).otherwise(F.lit(0.0))
-    )
-    return scored.select(
-        "search_term", "sku", stable(match_score + ctr_boost(F.col("ctr"))).alias("score")
+def catalog_index(catalog: DataFrame | TextIndex) -> TextIndex:
+    """The index that searches and text features over a catalog need."""
+    if isinstance(catalog, TextIndex):
+        return catalog
+    carried = [name for name in catalog.columns if name not in ("sku", *TEXT_FIELDS)]
+    return textmatch.index_of(catalog, TEXT_FIELDS, "sku", carried)
+
+
+def first_pass(queries: DataFrame, catalog: DataFrame | TextIndex) -> DataFrame:
+    """``search_term, sku, score`` of all matches: match score plus CTR boost.
+
+    A key that is the whole search text counts as a field of its own.
+    """
+    index = catalog_index(catalog)
+    matched = textmatch.matched_scores(queries, index, TEXT_FIELDS, carry=["ctr"])
+    # without lengths: one document of n holds the key
+    key_score = textmatch.idf(index.total()["n"], F.lit(1.0))
+    equal = textmatch.exact_keys(queries, index, "search_term", ["ctr"])
+    names = ["search_term", "sku"]
+    # at most one row per search; matches are not regrouped for them
+    both = matched.join(equal.select(*names, F.lit(True).alias("exact")), names, "left").withColumn(
+        "match_score", F.when(F.col("exact"), F.greatest("match_score", key_score)).otherwise(F.col("match_score"))
     )
+    only = equal.join(matched.select(*names), names, "left_anti").withColumn("match_score", key_score)
+    scored = both.select(*names, "ctr", "match_score").unionByName(only.select(*names, "ctr", "match_score"))
+    return scored.select(*names, stable(F.col("match_score") + ctr_boost(F.col("ctr"))).alias("score"))
 
 
-def first_pass_topk(queries: DataFrame, catalog: DataFrame, size: int = RESULT_SIZE) -> DataFrame:
+def first_pass_topk(
+    queries: DataFrame, catalog: DataFrame | TextIndex, size: int = RESULT_SIZE
+) -> DataFrame:
     return ranked(first_pass(queries, catalog), ["search_term"], "score", size=size)
 
 
 def rescore(
     top: DataFrame,
     contexts: DataFrame,
-    catalog: DataFrame,
+    catalog: DataFrame | TextIndex,
     model: Model | LinearModel,
     window: int = BATCH_WINDOW,
     features: FeatureSet = DEFAULT,
@@ -102,7 +117,7 @@ def rescore(
 def rescored_window(
     inside: DataFrame,
     keys: Sequence[str],
-    catalog: DataFrame,
+    catalog: DataFrame | TextIndex,
     model: Model | LinearModel,
     features: FeatureSet = DEFAULT,
     query_weight: float = QUERY_WEIGHT,
@@ -124,7 +139,7 @@ def rescored_window(
 
 def search(
     contexts: DataFrame,
-    catalog: DataFrame,
+    catalog: DataFrame | TextIndex,
     model: Model | LinearModel | None = None,
     size: int = RESULT_SIZE,
     window: int = BATCH_WINDOW,

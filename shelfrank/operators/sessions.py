@@ -285,6 +285,11 @@ def visitor_context(hits: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     per_session = hits.groupBy(*by, "fv", "session_id", "channel").agg(
         F.avg(numbers.micros_to_units(F.col("price_micros"))).alias("ticket")
     )
+    return visitors_of(per_session, by)
+
+
+def visitors_of(per_session: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Visitors from their sessions' ``fv, session_id, channel, ticket``."""
     first = F.min_by(F.struct("channel"), "session_id")["channel"]
     return (
         per_session.groupBy(*by, "fv")
@@ -332,10 +337,14 @@ def validation_sets(
     rounded, so two groups may show the same ``customer_avg_ticket``. With
     ``by``, ``visitors`` must be grouped by the same labels.
     """
+    return purchased_sets(rolled_docs(hits, by), visitors, by)
+
+
+def purchased_sets(rolled: DataFrame, visitors: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """The purchased ones of ``rolled_docs`` under their contexts."""
     who = visitors.select(*by, "fv", "raw_ticket", "avg_ticket")
     return (
-        rolled_docs(hits, by)
-        .filter(F.col("purchase") == 1)
+        rolled.filter(F.col("purchase") == 1)
         .join(who, [*by, "fv"], "left")
         .select(
             *by,

@@ -1,18 +1,21 @@
-"""Term matching and BM25 over catalog text.
+"""Term matching and BM25 over catalog text, from a stored index.
 
-Candidates come from the rarest term of a search only; the other terms are
-checked in the row. BM25 is computed per (search, document) pair that is asked
-for, so no list of all documents per common term is ever joined.
+The index holds a posting for every term of every document, with the term's count in each
+field and the fields' lengths, and the terms' document frequencies. It is built once per
+catalog, without a shuffle for the postings; matching, scoring and feature logs join it by
+term and never read a text. Candidates come from the rarest term of a search only; other
+terms are looked up for the candidates, so no list of all documents per common term is joined.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shelfrank.functions.arrays import with_runs
 from shelfrank.functions.text import tokenize
 
 # fixed values: the search server's defaults for BM25
@@ -28,51 +31,128 @@ def with_tokens(docs: DataFrame, fields: Sequence[str]) -> DataFrame:
     return docs.withColumns({token_column(f): tokenize(F.col(f)) for f in fields})
 
 
-def _document_terms(fields: Sequence[str]) -> Column:
-    return F.array_distinct(F.concat(*[F.col(token_column(f)) for f in fields]))
+# -- the index ---------------------------------------------------------------
 
 
-def document_frequencies(docs: DataFrame, fields: Sequence[str]) -> DataFrame:
-    """Per term the number of documents with it, per field and in the fullest field.
+@dataclass(frozen=True)
+class TextIndex:
+    """An inverted index over ``fields``.
 
-    One exchange, combined on the map side, for all fields.
+    ``documents``: key, carried columns, ``len_<field>``. ``postings``: term, ``tf_<field>``
+    and the document's columns. ``terms``: term, ``df`` (documents with it), ``df_<field>`` and
+    ``df_any`` (of its fullest field). ``totals``: one row, the number of documents ``n`` and
+    per field ``n_<field>`` and ``avg_<field>`` over documents in which it is not empty.
     """
-    parts = [
-        docs.select(
-            F.explode(F.array_distinct(token_column(field))).alias("term"),
-            *[F.lit(1 if other == field else 0).alias(f"df_{other}") for other in fields],
-        )
-        for field in fields
-    ]
-    return (
-        reduce(DataFrame.unionAll, parts)
-        .groupBy("term")
-        .agg(*[F.sum(f"df_{f}").alias(f"df_{f}") for f in fields])
-        .withColumn("df_any", F.greatest(*[F.col(f"df_{f}") for f in fields], F.lit(0)))
-    )
 
+    fields: tuple[str, ...]
+    key: str
+    carry: tuple[str, ...]
+    documents: DataFrame
+    postings: DataFrame
+    terms: DataFrame
+    totals: DataFrame
 
-def idf(total: Column, df: Column) -> Column:
-    return F.log(1 + (total - df + 0.5) / (df + 0.5))
+    def total(self) -> Column:
+        return self.totals.select(F.struct("*")).scalar()
 
 
-def tf_part(tf: Column, length: Column, average: Column) -> Column:
-    return tf * (K1 + 1) / (tf + K1 * (1 - B + B * length / average))
+TABLES = ("documents", "postings", "terms", "totals")
 
 
-def field_totals(docs: DataFrame, fields: Sequence[str]) -> Column:
-    """Document counts and average lengths: one scalar subquery, one pass.
+def index_of(
+    docs: DataFrame, fields: Sequence[str], key: str = "sku", carry: Sequence[str] = ()
+) -> TextIndex:
+    """The index of ``docs``, whose texts may have token columns already."""
+    missing = [f for f in fields if token_column(f) not in docs.columns]
+    docs = with_tokens(docs, missing) if missing else docs
+    lengths = [F.size(token_column(f)).alias(f"len_{f}") for f in fields]
+    own = [key, *carry, *(f"len_{f}" for f in fields)]
 
-    A struct of ``n`` and, per field, ``n_<field>`` and ``avg_<field>`` over the
-    documents in which the field is not empty.
-    """
+    def placed_in(number: int) -> Column:
+        field = F.lit(number).alias("field")
+        return F.transform(token_column(fields[number]), lambda w: F.struct(w.alias("term"), field))
+
+    placed = F.concat(*[placed_in(i) for i in range(len(fields))])
+    counted = with_runs(
+        docs.select(key, *carry, *lengths, F.sort_array(placed).alias("_words")),
+        "_words",
+        lambda a, b: a["term"] == b["term"],
+        "_runs",
+    )
+
+    def times(run: Column, number: int) -> Column:
+        # of a single field all words count
+        own = run if len(fields) == 1 else F.filter(run, lambda x: x["field"] == number)
+        return F.size(own).alias(f"tf_{fields[number]}")
+
+    def one(run: Column) -> Column:
+        term = F.get(run, F.lit(0))["term"].alias("term")
+        return F.struct(term, *[times(run, i) for i in range(len(fields))])
+
+    postings = counted.select(*own, F.explode(F.transform("_runs", one)).alias("_p")).select("_p.*", *own)
+    return _with_statistics(fields, key, carry, docs.select(key, *carry, *lengths), postings)
+
+
+def _with_statistics(fields, key, carry, documents: DataFrame, postings: DataFrame) -> TextIndex:
+    has = [F.sum((F.col(f"tf_{f}") > 0).cast("long")).alias(f"df_{f}") for f in fields]
+    terms = (
+        postings.groupBy("term")
+        .agg(F.count("*").alias("df"), *has)
+        .withColumn("df_any", F.greatest(*[F.col(f"df_{f}") for f in fields], F.lit(0)))
+    )
     parts = [F.count("*").cast("double").alias("n")]
     for field in fields:
-        length = F.size(token_column(field))
-        filled = F.when(length > 0, length)
+        filled = F.when(F.col(f"len_{field}") > 0, F.col(f"len_{field}"))
         parts.append(F.count(filled).cast("double").alias(f"n_{field}"))
         parts.append(F.avg(filled).alias(f"avg_{field}"))
-    return docs.agg(F.struct(*parts).alias("totals")).scalar()
+    return TextIndex(tuple(fields), key, tuple(carry), documents, postings, terms, documents.agg(*parts))
+
+
+def write_index(index: TextIndex, path: str) -> TextIndex:
+    """The index as tables under ``path``: postings first, statistics from them."""
+    spark = index.documents.sparkSession
+    index.postings.write.mode("overwrite").parquet(f"{path}/postings")
+    index.documents.write.mode("overwrite").parquet(f"{path}/documents")
+    stored = _with_statistics(
+        index.fields,
+        index.key,
+        index.carry,
+        spark.read.parquet(f"{path}/documents"),
+        spark.read.parquet(f"{path}/postings"),
+    )
+    stored.terms.write.mode("overwrite").parquet(f"{path}/terms")
+    stored.totals.write.mode("overwrite").parquet(f"{path}/totals")
+    return read_index(spark, path, index.fields, index.key, index.carry)
+
+
+def read_index(
+    spark: SparkSession, path: str, fields: Sequence[str], key: str = "sku", carry: Sequence[str] = ()
+) -> TextIndex:
+    tables = (spark.read.parquet(f"{path}/{name}") for name in TABLES)
+    return TextIndex(tuple(fields), key, tuple(carry), *tables)
+
+
+def as_index(
+    docs: DataFrame | TextIndex, fields: Sequence[str], key: str, carry: Sequence[str] = ()
+) -> TextIndex:
+    """``docs`` itself if it is an index that has all that is asked for."""
+    if not isinstance(docs, TextIndex):
+        return index_of(docs, fields, key, carry)
+    lacking = [x for x in fields if x not in docs.fields] + [x for x in carry if x not in docs.carry]
+    if lacking or docs.key != key:
+        raise ValueError(f"the index of {docs.key!r} lacks {lacking}")
+    return docs
+
+
+# -- scores ------------------------------------------------------------------
+
+
+def idf(total: Column, df: Column) -> Column:
+    return F.log(1 + (total - df + 0.5) / (df + 0.5))
+
+
+def tf_part(tf: Column, length: Column, average: Column) -> Column:
+    return tf * (K1 + 1) / (tf + K1 * (1 - B + B * length / average))
 
 
 def query_terms(queries: DataFrame, query: str) -> DataFrame:
@@ -86,131 +166,146 @@ def query_terms(queries: DataFrame, query: str) -> DataFrame:
     )
 
 
-def match_cross_fields(
-    queries: DataFrame,
-    docs: DataFrame,
-    fields: Sequence[str],
-    query: str = "search_term",
-    key: str = "sku",
-    exact_key: bool = True,
+def _part(index: TextIndex, field: str, entry: Column) -> Column:
+    tf, length = F.col(f"tf_{field}").cast("double"), F.col(f"len_{field}").cast("double")
+    return tf_part(tf, length, entry[f"avg_{field}"])
+
+
+def _scores(index: TextIndex, entry: Column, blended: bool) -> list[Column]:
+    """What a posting adds for one term of a search (see ``_weighted``)."""
+    if blended:
+        best = F.greatest(*[_part(index, f, entry) for f in index.fields], F.lit(0.0))
+        return [(entry["times"] * entry["w_any"] * best).alias("match_score")]
+    return [
+        (entry["times"] * entry[f"w_{f}"] * _part(index, f, entry)).alias(f"bm25_{f}") for f in index.fields
+    ]
+
+
+def _weighted(queries: DataFrame, index: TextIndex, query: str) -> DataFrame:
+    """``query, entry``: each term of each search with its weights; ``df`` is NULL if unknown."""
+    total = F.col("_totals")
+    known = {f: F.coalesce(f"df_{f}", F.lit(0)) for f in index.fields}
+    entry = F.struct(
+        "term",
+        "times",
+        "df",
+        *[idf(total[f"n_{f}"], df).alias(f"w_{f}") for f, df in known.items()],
+        idf(total["n"], F.coalesce("df_any", F.lit(0))).alias("w_any"),
+        *[F.coalesce(total[f"avg_{f}"], F.lit(1.0)).alias(f"avg_{f}") for f in index.fields],
+    )
+    return (
+        query_terms(queries, query)
+        .join(index.terms, "term", "left")
+        .withColumn("_totals", index.total())
+        .select(query, entry.alias("entry"))
+    )
+
+
+def matched_scores(
+    queries: DataFrame, docs: DataFrame | TextIndex, fields: Sequence[str], query: str = "search_term",
+    key: str = "sku", carry: Sequence[str] = (),
 ) -> DataFrame:
-    """Documents in which every term of the search occurs in one field or another.
+    """Documents that have every term of a search, with ``match_score``.
 
-    ``docs`` has token columns. With ``exact_key`` a search text equal to the
-    whole key matches as well (``exact`` is then true). Returns
-    ``query, key, exact`` with one row per match.
+    Per term the better field counts, weighted by the document frequency of its fullest
+    field, as a search over several fields scores. A search of one term is answered by its
+    postings alone: no exchange besides that of the join.
     """
-    postings = docs.select(key, F.explode(_document_terms(fields)).alias("term"))
-    frequency = postings.groupBy("term").agg(F.count("*").alias("df"))
+    index = as_index(docs, fields, key, carry)
     searched = (
-        query_terms(queries, query)
-        .join(frequency, "term", "left")
+        _weighted(queries, index, query)
         .groupBy(query)
         .agg(
-            F.min_by("term", F.struct("df", "term")).alias("rarest"),
-            F.count("df").alias("known"),
-            F.array_sort(F.collect_list("term")).alias("terms"),
+            F.min_by("entry", F.struct("entry.df", "entry.term")).alias("rarest"),
+            F.count("entry.df").alias("known"),
+            F.collect_list("entry").alias("entries"),
         )
-        .filter(F.col("known") == F.size("terms"))
-        .select(query, "rarest", "terms")
+        .filter(F.col("known") == F.size("entries"))
+        .select(query, "rarest", F.filter("entries", lambda e: e["term"] != F.col("rarest")["term"]).alias("rest"))
     )
-    candidates = postings.join(searched, postings["term"] == searched["rarest"]).select(
-        query, key, "terms"
+    first = index.postings.join(searched, F.col("term") == F.col("rarest")["term"]).select(
+        query, key, *carry, "rest", *_scores(index, F.col("rarest"), True)
     )
-    alone = candidates.filter(F.size("terms") == 1).select(query, key)
-    content = docs.select(key, _document_terms(fields).alias("_document"))
-    several = (
-        candidates.filter(F.size("terms") > 1)
-        .join(content, key)
-        .filter(F.size(F.array_except("terms", "_document")) == 0)
-        .select(query, key)
+    alone = first.filter(F.size("rest") == 0).select(query, key, *carry, "match_score")
+    several = first.filter(F.size("rest") > 0).select(
+        query, key, F.size("rest").alias("_wanted"), "match_score", F.explode("rest").alias("entry")
     )
-    matched = alone.unionAll(several).withColumn("exact", F.lit(False))
-    if not exact_key:
-        return matched
-    equal = (
-        queries.select(query)
-        .distinct()
-        .join(docs.select(key), F.col(query) == F.col(key).cast("string"))
-        .select(query, key, F.lit(True).alias("exact"))
+    own = ["term", key, *(f"{x}_{f}" for f in index.fields for x in ("tf", "len")), *carry]
+    found = (
+        several.withColumnRenamed("match_score", "_first")
+        .withColumn("term", F.col("entry.term"))
+        .join(index.postings.select(*own), ["term", key])
+        .select(query, key, *carry, "_wanted", "_first", *_scores(index, F.col("entry"), True))
+        .groupBy(query, key, *carry)
+        .agg(
+            F.max("_wanted").alias("_wanted"),
+            F.count("*").alias("_found"),
+            (F.max("_first") + F.sum("match_score")).alias("match_score"),
+        )
+        .filter(F.col("_found") == F.col("_wanted"))
     )
-    return matched.unionAll(equal).groupBy(query, key).agg(F.max("exact").alias("exact"))
+    return alone.unionByName(found.select(*alone.columns))
 
 
-def _weighted_terms(
-    pairs: DataFrame, docs: DataFrame, fields: Sequence[str], query: str
-) -> DataFrame:
-    """Per search text its terms with the inverse document frequency per field."""
-    frequency = document_frequencies(docs, fields)
-    known = [F.coalesce(f"df_{f}", F.lit(0)) for f in fields]
-    total = F.col("_totals")
-    entry = F.struct(
-        "term",
-        "times",
-        *[idf(total[f"n_{f}"], df).alias(f"w_{f}") for f, df in zip(fields, known)],
-        idf(total["n"], F.coalesce("df_any", F.lit(0))).alias("w_any"),
-        *[F.coalesce(total[f"avg_{f}"], F.lit(1.0)).alias(f"avg_{f}") for f in fields],
-    )
+def exact_keys(queries: DataFrame, index: TextIndex, query: str, carry: Sequence[str] = ()) -> DataFrame:
+    """Documents whose whole key is the search text."""
     return (
-        query_terms(pairs, query)
-        .join(frequency, "term", "left")
-        .withColumn("_totals", field_totals(docs, fields))
-        .select(query, entry.alias("entry"))
-        .groupBy(query)
-        .agg(F.array_sort(F.collect_list("entry")).alias("_terms"))
+        queries.select(query)
+        .distinct()
+        .join(index.documents.select(index.key, *carry), F.col(query) == F.col(index.key).cast("string"))
+        .select(query, index.key, *carry)
     )
 
 
-def _frequency(tokens: Column, term: Column) -> Column:
-    return F.size(F.filter(tokens, lambda word: word == term)).cast("double")
+def match_cross_fields(
+    queries: DataFrame,
+    docs: DataFrame | TextIndex,
+    fields: Sequence[str],
+    query: str = "search_term",
+    key: str = "sku",
+    exact_key: bool = True,
+) -> DataFrame:
+    """Documents in which every term of the search occurs in one field or another.
+
+    With ``exact_key`` a search text equal to the whole key matches as well (``exact`` is then
+    true). Returns ``query, key, exact`` with one row per match.
+    """
+    index = as_index(docs, fields, key)
+    matched = matched_scores(queries, index, fields, query, key).select(query, key, F.lit(False).alias("exact"))
+    if not exact_key:
+        return matched
+    equal = exact_keys(queries, index, query).withColumn("exact", F.lit(True))
+    return matched.unionAll(equal).groupBy(query, key).agg(F.max("exact").alias("exact"))
 
 
 def bm25(
     pairs: DataFrame,
-    docs: DataFrame,
+    docs: DataFrame | TextIndex,
     fields: Sequence[str],
     query: str = "search_term",
     key: str = "sku",
-    blended: bool = False,
     carry: Sequence[str] = (),
 ) -> DataFrame:
     """BM25 of each field for given (search, document) pairs.
 
-    Adds ``bm25_<field>`` (0 where no term occurs). With ``blended`` it adds
-    ``match_score`` instead: per term the better field, weighted by the document
-    frequency of its fullest field, as a search over several fields scores.
-    ``carry`` names document columns to add in the same join.
+    Adds ``bm25_<field>`` (0 where no term occurs); pairs of unknown documents go. ``carry``
+    names document columns to add.
     """
-    weighted = _weighted_terms(pairs, docs, fields, query)
-    lengths = {f: F.size(token_column(f)).cast("double") for f in fields}
-
-    def part(field: str, entry: Column) -> Column:
-        tf = _frequency(F.col(token_column(field)), entry["term"])
-        return tf_part(tf, lengths[field], entry[f"avg_{field}"])
-
-    def total(score) -> Column:
-        return F.aggregate(
-            "_terms", F.lit(0.0), lambda acc, entry: acc + entry["times"] * score(entry)
-        )
-
-    if blended:
-        added = {
-            "match_score": total(
-                lambda entry: entry["w_any"]
-                * F.greatest(*[part(f, entry) for f in fields], F.lit(0.0))
-            )
-        }
-    else:
-        added = {
-            f"bm25_{f}": total(lambda entry, f=f: entry[f"w_{f}"] * part(f, entry))
-            for f in fields
-        }
-    tokens = docs.select(key, *carry, *[token_column(f) for f in fields])
-    empty = F.array().cast(weighted.schema["_terms"].dataType)
+    index = as_index(docs, fields, key, carry)
+    terms = _weighted(pairs, index, query).filter(F.col("entry.df").isNotNull())
+    counts = [f"{x}_{f}" for f in index.fields for x in ("tf", "len")]
+    sums = (
+        pairs.select(query, key)
+        .distinct()
+        .join(terms, query)
+        .withColumn("term", F.col("entry.term"))
+        .join(index.postings.select("term", key, *counts), ["term", key])
+        .select(query, key, *_scores(index, F.col("entry"), False))
+        .groupBy(query, key)
+        .agg(*[F.sum(f"bm25_{f}").alias(f"bm25_{f}") for f in index.fields])
+    )
     return (
-        pairs.join(weighted, query, "left")
-        .withColumn("_terms", F.coalesce("_terms", empty))
-        .join(tokens, key)
-        .withColumns(added)
-        .drop("_terms", *[token_column(f) for f in fields])
+        pairs.join(index.documents.select(key, *carry), key)
+        .join(sums, [query, key], "left")
+        .withColumns({f"bm25_{f}": F.coalesce(f"bm25_{f}", F.lit(0.0)) for f in index.fields})
     )

@@ -1,8 +1,8 @@
 """Rankers: LambdaMART, MART, random forest and coordinate ascent.
 
-Rows are ``qid, doc, grade, features``. Boosted trees are grown best first to an exact number
-of leaves (``growing``). A random forest is Spark ML's, whose trees are bounded by depth:
-``leaf`` leaves need ``ceil(log2(leaf))`` levels.
+Rows are ``qid, doc, grade, features``. All trees are grown best first to an exact number of
+leaves (``growing``). A feature that is missing counts as 0, as in scoring; repeated rows count
+each.
 """
 
 from __future__ import annotations
@@ -10,22 +10,25 @@ from __future__ import annotations
 import inspect
 import math
 import random
-from collections.abc import Callable, Iterator, Mapping
+from collections.abc import Callable, Iterator, Mapping, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark import StorageLevel
-from pyspark.ml.functions import array_to_vector
-from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.functions import pandas_udf
 
-from shelfrank.operators.ensemble import LinearModel, Model, Node, tree_column
-from shelfrank.operators.growing import grow, with_bins
-from shelfrank.operators.metrics import DEPTH, MAX_GRADE, err_at_k, gain
-from shelfrank.session import cut_lineage
+from shelfrank.operators.ensemble import LinearModel, Model, Node
+from shelfrank.operators.growing import MOST_TIMES, Tree, grow_all, place_of, with_bins
+from shelfrank.operators.linesearch import REACH, best_on_coordinate
+from shelfrank.operators.metrics import DEPTH, err_at_k, gain
+from shelfrank.operators.numbering import sorted_index
+from shelfrank.operators.skew import spread_join
+from shelfrank.session import cut_lineage, release
+
+# trees after which the tables of earlier ones are let go
+RELEASE_EVERY = 10
 
 # fixed values: ranges that trials draw from, (type, lowest, highest)
 _TREES = {
@@ -42,18 +45,6 @@ SEARCH_SPACE = {
     "coordinate ascent": {"rounds": ("int", 1, 5), "seed": ("int", 1, 1000)},
 }
 
-# bins that stand for "every distinct value is a candidate" (tc = -1)
-ALL_VALUES = 1024
-
-
-def _bins(tc: int) -> int:
-    return ALL_VALUES if tc < 0 else max(tc, 2)
-
-
-def _depth(leaf: int) -> int:
-    return max(1, math.ceil(math.log2(leaf)))
-
-
 def with_document_ids(rows: DataFrame) -> DataFrame:
     """Rows of a training text file have no documents: number them to break ties.
 
@@ -62,37 +53,6 @@ def with_document_ids(rows: DataFrame) -> DataFrame:
     return cut_lineage(rows.withColumn("doc", F.monotonically_increasing_id().cast("string")))
 
 
-# -- trees of Spark ML as node tables ----------------------------------------
-
-
-def _read_tree(tree_model, tree: int, weight: float) -> list[Node]:
-    """Nodes of a fitted Spark ML tree; node 0 is the root."""
-    found: list[Node] = []
-
-    def walk(place) -> int:
-        number = len(found)
-        if place.subtreeDepth() == 0:
-            found.append(Node(tree, number, weight, output=float(place.prediction())))
-            return number
-        found.append(Node(tree, number, weight))
-        left = walk(place.leftChild())
-        right = walk(place.rightChild())
-        split = place.split()
-        found[number] = Node(
-            tree,
-            number,
-            weight,
-            feature=int(split.featureIndex()) + 1,
-            threshold=float(split.threshold()),
-            left=left,
-            right=right,
-        )
-        return number
-
-    walk(tree_model._call_java("rootNode"))
-    return found
-
-
 # -- LambdaMART --------------------------------------------------------------
 
 
@@ -130,14 +90,18 @@ def _swap_factors(gains: Column) -> Column:
     return factors(gains)
 
 
-def lambda_gradients(scored: DataFrame) -> DataFrame:
+def lambda_gradients(scored: DataFrame, sizes: DataFrame | None = None) -> DataFrame:
     """Add gradient ``lam`` and curvature ``w`` of ERR to rows of ``qid, doc, grade, F``.
 
     ERR only sees the first k places, so a swap matters only when one of the two
     documents is among them: every row is compared with its list's k first
     documents and with no other. What a row beyond them adds to the first ones
-    comes back as k sums per list. No list is ever gathered.
+    comes back as k sums per list. No list is ever gathered. ``sizes`` (``qid, n``) are the
+    lists' numbers of rows, by which long lists are spread over tasks; they are counted if
+    not given.
     """
+    if sizes is None:
+        sizes = scored.groupBy("qid").agg(F.count("*").alias("n"))
     order = Window.partitionBy("qid").orderBy(F.desc("F"), F.asc("doc"))
     head = (
         scored.select("qid", "doc", "grade", "F")
@@ -157,7 +121,7 @@ def lambda_gradients(scored: DataFrame) -> DataFrame:
     place = F.coalesce(
         F.array_position(F.transform("head", lambda d: d["doc"]), F.col("doc")) - 1, F.lit(-1)
     ).cast("int")
-    rows = scored.join(heads, "qid").withColumn("place", place)
+    rows = spread_join(scored, heads.join(sizes, "qid"), ["qid"], "n", ["doc"]).withColumn("place", place)
 
     own_gain = gain(F.col("grade"))
 
@@ -204,7 +168,8 @@ def lambda_gradients(scored: DataFrame) -> DataFrame:
     in_head = F.col("place") >= 0
     returned = F.when(in_head, F.get("back_lam", F.col("place")))
     curved = F.when(in_head, F.get("back_w", F.col("place")))
-    return parts.join(back, "qid", "left").select(
+    sent = spread_join(parts, back.join(sizes, "qid"), ["qid"], "n", ["doc"], "left")
+    return sent.select(
         *scored.columns,
         (F.col("lam") - F.coalesce(returned, F.lit(0.0))).alias("lam"),
         (F.col("w") + F.coalesce(curved, F.lit(0.0))).alias("w"),
@@ -223,14 +188,14 @@ def train_lambdamart(
     return _boost(rows, lambda_gradients, trees, leaf, shrinkage, tc, mls)
 
 
-def residuals(scored: DataFrame) -> DataFrame:
+def residuals(scored: DataFrame, sizes: DataFrame | None = None) -> DataFrame:
     """Gradients of the squared error: the grade is to be met."""
     return scored.withColumns({"lam": F.col("grade") - F.col("F"), "w": F.lit(1.0)})
 
 
 def _boost(
     rows: DataFrame,
-    gradients: Callable[[DataFrame], DataFrame],
+    gradients: Callable[[DataFrame, DataFrame], DataFrame],
     trees: int,
     leaf: int,
     shrinkage: float,
@@ -239,46 +204,31 @@ def _boost(
 ) -> list[Node]:
     """Trees of exactly ``leaf`` leaves on the gradients; a leaf's output is a Newton step.
 
-    Bins are made once. A round writes only ``qid, doc`` and the score; the rest of the row
-    stays in the table with the bins.
+    Bins are made once, and stand for the features from then on. A round writes its rows once.
+    Rows of one document are told apart by their place in a common order.
     """
     plain = rows.select("qid", "doc", F.col("grade").cast("double").alias("grade"), "features")
     size = plain.select(F.max(F.size("features"))).first()[0] or 0
-    fixed, thresholds = with_bins(plain, size, tc)
+    ordered = sorted_index(plain, ["qid", "doc", "grade", "features"], "row")
+    fixed, thresholds = with_bins(ordered, max(size, 0), tc)
+    state = fixed.select(
+        "qid", F.struct("doc", "row").alias("doc"), "grade", "bins", F.lit(0.0).alias("F")
+    )
+    sizes = cut_lineage(fixed.groupBy("qid").agg(F.count("*").alias("n")))
     model: list[Node] = []
-    scores = fixed.select("qid", "doc", F.lit(0.0).alias("F"))
-    for tree in range(1, trees + 1):
-        scored = fixed.join(scores, ["qid", "doc"])
-        step = cut_lineage(gradients(scored))
-        grown = grow(step, thresholds, leaf, mls, tree, shrinkage)
-        shape = {node.node: node for node in grown}
-        leaves = step.withColumn("leaf", tree_column(shape, F.col("features"), leaf_id=True))
-        # one row per leaf
-        sums = leaves.groupBy("leaf").agg(F.sum("lam").alias("lam"), F.sum("w").alias("w"))
-        outputs = {
-            row["leaf"]: row["lam"] / row["w"] if row["w"] > 0 else 0.0 for row in sums.collect()
-        }
-        finished = [
-            Node(tree, node.node, shrinkage, output=outputs.get(node.node, 0.0))
-            if node.is_leaf
-            else node
-            for node in grown
-        ]
-        model += finished
-        value = tree_column({node.node: node for node in finished}, F.col("features"))
-        scores = step.select("qid", "doc", (F.col("F") + F.lit(shrinkage) * value).alias("F"))
+    for number in range(1, trees + 1):
+        step = cut_lineage(gradients(state, sizes))
+        tree = Tree(number, shrinkage)
+        nodes, _ = grow_all(step, thresholds, leaf, mls, [tree])
+        model += nodes
+        outputs = {node.node: node.output for node in nodes if node.is_leaf}
+        value = F.lit(shrinkage) * place_of(tree, outputs, tree.inner)
+        state = step.select("qid", "doc", "grade", "bins", (F.col("F") + value).alias("F"))
+        if number % RELEASE_EVERY == 0:
+            release(rows.sparkSession)
     return model
 
 
-# -- pointwise forests -------------------------------------------------------
-
-
-def _points(rows: DataFrame) -> DataFrame:
-    return rows.select(
-        array_to_vector("features").alias("vector"), F.col("grade").cast("double").alias("label")
-    )
-
-
 def train_mart(
     rows: DataFrame,
     trees: int = 10,
@@ -291,6 +241,28 @@ def train_mart(
     return _boost(rows, residuals, trees, leaf, shrinkage, tc, mls)
 
 
+# -- random forest -----------------------------------------------------------
+
+
+def poisson_times(tree: int, seed: int) -> Column:
+    """How often a tree has a row: a Poisson draw of mean 1 from a hash of tree and row."""
+    unit = F.pmod(F.xxhash64(F.lit(seed), F.lit(tree), "qid", "doc", "row"), F.lit(1 << 53)) / F.lit(
+        float(1 << 53)
+    )
+    times, chance, below = F.lit(0), math.exp(-1), 0.0
+    for k in range(MOST_TIMES):
+        below += chance
+        times = times + (unit >= F.lit(below)).cast("int")
+        chance /= k + 1
+    return times
+
+
+def forest_features(tree: int, seed: int, size: int, rate: float) -> list[int]:
+    """The share of the features that a tree may use, drawn by its number."""
+    draw = random.Random(f"{seed} {tree}")
+    return sorted(draw.sample(range(size), max(1, math.ceil(rate * size)))) if size else []
+
+
 def train_random_forest(
     rows: DataFrame,
     trees: int = 10,
@@ -298,22 +270,28 @@ def train_random_forest(
     tc: int = 256,
     mls: int = 1,
     seed: int = 42,
+    bagging: bool = True,
+    feature_rate: float = 1 / 3,
 ) -> list[Node]:
-    """Bagged regression trees on the grade."""
-    fitted = RandomForestRegressor(
-        featuresCol="vector",
-        labelCol="label",
-        numTrees=trees,
-        maxDepth=_depth(leaf),
-        maxBins=_bins(tc),
-        minInstancesPerNode=mls,
-        seed=seed,
-    ).fit(_points(rows))
-    return [
-        node
-        for number, tree in enumerate(fitted.trees, 1)
-        for node in _read_tree(tree, number, 1.0 / trees)
+    """Regression trees on the grade, each on a bootstrap of all rows and some features.
+
+    All trees grow in the same jobs. Without ``bagging`` every tree has every row once.
+    """
+    plain = rows.select("qid", "doc", F.col("grade").cast("double").alias("grade"), "features")
+    size = max(plain.select(F.max(F.size("features"))).first()[0] or 0, 0)
+    ordered = sorted_index(plain, ["qid", "doc", "grade", "features"], "row")
+    fixed, thresholds = with_bins(ordered, size, tc)
+    points = fixed.select("qid", "doc", "row", "bins", F.col("grade").alias("lam"), F.lit(1.0).alias("w"))
+    forest = [
+        Tree(
+            number,
+            1.0 / trees,
+            poisson_times(number, seed) if bagging else None,
+            forest_features(number, seed, size, feature_rate),
+        )
+        for number in range(1, trees + 1)
     ]
+    return grow_all(points, thresholds, leaf, mls, forest)[0]
 
 
 # -- coordinate ascent -------------------------------------------------------
@@ -329,50 +307,38 @@ def train_coordinate_ascent(
     rows: DataFrame,
     size: int,
     rounds: int = 2,
-    steps: tuple[float, ...] = (-1.0, -0.5, -0.1, 0.1, 0.5, 1.0),
     seed: int = 42,
+    order: Sequence[int] | None = None,
+    reach: float = REACH,
 ) -> LinearModel:
     """Linear weights, one coordinate at a time, for the highest mean ERR@10.
 
-    All candidates of a coordinate are ranked in one job: a row carries one score
-    per candidate, and only the first k rows per list and candidate are kept.
+    Each step moves a weight to its exact optimum within ``reach`` (see ``linesearch``).
+    ``order`` lists the coordinates of a round; by default it is drawn anew for each.
     """
     weights = [1.0 / size] * size
     draw = random.Random(seed)
-    kept = rows.select(
-        "qid", "doc", F.col("grade").cast("double").alias("grade"), "features"
-    ).persist(StorageLevel.MEMORY_AND_DISK)
-    best = mean_err(kept, LinearModel(tuple(weights)).column(F.col("features")))
+    kept = cut_lineage(
+        rows.select("qid", "doc", F.col("grade").cast("double").alias("grade"), "features")
+    )
+    lists = kept.select("qid").distinct().count()
+    best = mean_err(kept, LinearModel(tuple(weights)).column(F.col("features"))) * lists
     for _ in range(rounds):
         improved = False
-        coordinates = list(range(size))
-        draw.shuffle(coordinates)
+        coordinates = list(range(size)) if order is None else list(order)
+        if order is None:
+            draw.shuffle(coordinates)
         for coordinate in coordinates:
-            candidates = []
-            for step in steps:
-                changed = list(weights)
-                changed[coordinate] += step
-                scale = sum(abs(weight) for weight in changed)
-                if scale > 0:
-                    candidates.append([weight / scale for weight in changed])
-            scores = F.array(
-                *[LinearModel(tuple(c)).column(F.col("features")) for c in candidates]
-            )
-            spread = kept.select(
-                "qid", "doc", "grade", F.posexplode(scores).alias("candidate", "_score")
-            )
-            lists = err_at_k(
-                spread, ["candidate", "qid"], [F.desc("_score"), F.asc("doc")]
-            )
-            found = lists.groupBy("candidate").agg(F.avg("err").alias("err")).collect()
-            top = max(found, key=lambda row: (row["err"], -row["candidate"]), default=None)
-            if top is not None and top["err"] > best + 1e-12:
-                best = top["err"]
-                weights = candidates[top["candidate"]]
-                improved = True
+            found = best_on_coordinate(kept, weights, coordinate, reach)
+            if found is None or found[1] <= best + 1e-9:
+                continue
+            changed = list(weights)
+            changed[coordinate] += found[0]
+            scale = sum(abs(weight) for weight in changed)
+            if scale > 0:
+                weights, best, improved = [weight / scale for weight in changed], found[1], True
         if not improved:
             break
-    kept.unpersist()
     return LinearModel(tuple(weights))
 
 

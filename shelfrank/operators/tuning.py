@@ -17,6 +17,7 @@ from shelfrank.operators import ranking
 from shelfrank.operators.ensemble import LinearModel, Model
 from shelfrank.operators.features import DEFAULT, FeatureSet
 from shelfrank.operators.sessions import CONTEXT
+from shelfrank.operators.textmatch import TextIndex
 from shelfrank.schemas import TRIALS
 from shelfrank.session import cut_lineage
 
@@ -50,7 +51,7 @@ def draw_parameters(space: Mapping[str, tuple], trials: int, seed: int) -> list[
 def evaluate(
     model: Model | LinearModel | None,
     sets: DataFrame,
-    catalog: DataFrame,
+    catalog: DataFrame | TextIndex,
     size: int = ranking.RESULT_SIZE,
     window: int = ranking.BATCH_WINDOW,
     features: FeatureSet = DEFAULT,
@@ -100,7 +101,7 @@ def evaluate(
 
 
 def first_pass_lists(
-    sets: DataFrame, catalog: DataFrame, size: int = ranking.RESULT_SIZE, window: int = 0
+    sets: DataFrame, catalog: DataFrame | TextIndex, size: int = ranking.RESULT_SIZE, window: int = 0
 ) -> DataFrame:
     """First-pass results of every search text in ``sets``, as a table of its own."""
     terms = sets.select("search_term").distinct()

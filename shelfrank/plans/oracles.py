@@ -377,8 +377,8 @@ CTES["rescored"] = f"""
 SELECT set_name, {_CONTEXT}, sku, final,
        row_number() OVER (PARTITION BY set_name, {_CONTEXT}
                           ORDER BY inside DESC, final DESC, sku) - 1 AS pos
-FROM (SELECT *, CASE WHEN pos < 8 THEN 1 ELSE 0 END AS inside,
-             round(CASE WHEN pos < 8 THEN 0.1 * score + 20 * {_SMALL_MODEL} ELSE score END, 9)
+FROM (SELECT *, CASE WHEN pos < 50 THEN 1 ELSE 0 END AS inside,
+             round(CASE WHEN pos < 50 THEN 0.1 * score + 20 * {_SMALL_MODEL} ELSE score END, 9)
                AS final
       FROM listed_features) x"""
 
@@ -602,6 +602,71 @@ FROM sides_of WINDOW side AS (PARTITION BY goes_left)"""
 )
 
 
+# rows of documents of some kinds lack values or come twice; copies are told apart by a suffix
+_ODD_ROWS = """odd_features AS (
+  SELECT qid, grade, sku || '#' || c.copy AS sku,
+         CASE kind WHEN 0 THEN 0.0 ELSE f1 END AS f1, CASE kind WHEN 0 THEN 0.0 ELSE f2 END AS f2,
+         CASE WHEN kind IN (0, 1) THEN 0.0 ELSE f3 END AS f3,
+         CASE WHEN kind IN (0, 1, 2) THEN 0.0 ELSE f4 END AS f4
+  FROM (SELECT *, CAST(sku AS BIGINT) % 5 AS kind FROM numbered_features) f
+  JOIN (VALUES (1), (2)) c(copy) ON c.copy = 1 OR kind = 3)"""
+_MISSING_TREE = (
+    "WITH " + _ODD_ROWS + ",\n"
+    + _FIRST_TREE.strip().removeprefix("WITH ").replace("numbered_features", "odd_features")
+    .replace("sku AS doc", "split_part(sku, '#', 1) AS doc")
+)
+
+
+def _point_tree(rate: str) -> str:
+    """The first split on the grades themselves; a side's score is ``rate`` times its mean."""
+    tail = _FIRST_TREE[_FIRST_TREE.index("cells AS (") :].replace("round(0.1 *", f"round({rate} *")
+    return (
+        """WITH steps AS MATERIALIZED (
+  SELECT qid, sku, round(f1, 6) AS f1, round(f2, 6) AS f2, round(f3, 6) AS f3, round(f4, 6) AS f4,
+         CAST(grade AS DOUBLE) AS lam, 1.0::DOUBLE AS w FROM numbered_features),
+"""
+        + tail
+    )
+
+
+# one weight of four equal ones moves: ERR between all places where two lines of a list cross
+_LINE_SEARCH = """
+WITH points AS MATERIALIZED (
+  SELECT qid, sku, (pow(2, grade) - 1) / 16 AS gain, round(f1, 6) AS f1, round(f2, 6) AS f2,
+         round(f3, 6) AS f3, round(f4, 6) AS f4 FROM numbered_features),
+moves AS MATERIALIZED (
+  SELECT c.coordinate, qid, sku, gain, 0.25 * (f1 + f2 + f3 + f4) AS at,
+         CASE c.coordinate WHEN 0 THEN f1 WHEN 1 THEN f2 WHEN 2 THEN f3 ELSE f4 END AS slope
+  FROM points, (VALUES (0), (1), (2), (3)) c(coordinate)),
+places AS MATERIALIZED (
+  SELECT DISTINCT a.coordinate, a.qid, (b.at - a.at) / (a.slope - b.slope) AS t
+  FROM moves a JOIN moves b ON b.coordinate = a.coordinate AND b.qid = a.qid AND b.slope < a.slope
+  WHERE abs((b.at - a.at) / (a.slope - b.slope)) < 4
+  UNION SELECT DISTINCT coordinate, qid, -4.0 FROM moves),
+stretches AS MATERIALIZED (
+  SELECT coordinate, qid, t, coalesce(lead(t) OVER (PARTITION BY coordinate, qid ORDER BY t), 4.0) AS until
+  FROM places),
+ranked AS (
+  SELECT s.coordinate, s.qid, s.t, m.gain, row_number() OVER (
+           PARTITION BY s.coordinate, s.qid, s.t
+           ORDER BY m.at + (s.t + s.until) / 2 * m.slope DESC, m.sku) AS place
+  FROM stretches s JOIN moves m ON m.coordinate = s.coordinate AND m.qid = s.qid),
+list_err AS (
+  SELECT coordinate, qid, t, sum(gain * passed / place) AS err FROM (
+    SELECT *, exp(coalesce(sum(ln(1 - gain)) OVER (PARTITION BY coordinate, qid, t ORDER BY place
+                ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)) AS passed
+    FROM ranked WHERE place <= 10) p GROUP BY coordinate, qid, t),
+changes AS (
+  SELECT coordinate, t, sum(change) AS change FROM (
+    SELECT coordinate, t, err - coalesce(lag(err) OVER (PARTITION BY coordinate, qid ORDER BY t), 0) AS change
+    FROM list_err) e GROUP BY coordinate, t),
+running AS (
+  SELECT coordinate, sum(change) OVER (PARTITION BY coordinate ORDER BY t) AS value FROM changes)
+SELECT CAST(coordinate AS BIGINT) AS coordinate,
+       round(max(value) / (SELECT count(DISTINCT qid) FROM points), 6) AS err
+FROM running GROUP BY coordinate"""
+
+
 def _list_columns() -> str:
     return "session_id, query, doc, " + _big("click", "purchase", "list_pos", "last_click")
 
@@ -753,11 +818,11 @@ UNION SELECT search_term, CAST(p_partkey AS VARCHAR) FROM asked
 JOIN part ON CAST(p_partkey AS VARCHAR) = search_term"""
     out["first_pass_topk"] = _query(
         "SELECT search_term, sku, round(score, 6) AS score, CAST(pos AS BIGINT) AS pos "
-        "FROM first_pass WHERE pos < 10"
+        "FROM first_pass WHERE pos < 1000"
     )
     out["rescored_topk"] = _query(
         f"SELECT set_name, {_CONTEXT}, sku, round(final, 6) AS score, CAST(pos AS BIGINT) AS pos "
-        "FROM rescored WHERE pos < 20"
+        "FROM rescored WHERE pos < 1000"
     )
     features = _round("f1", "f2", "f3", "f4")
     out["feature_log"] = _query(
@@ -804,6 +869,11 @@ JOIN part ON CAST(p_partkey AS VARCHAR) = search_term"""
     cut = ", ".join(f"round(CAST(CAST(f{i} AS DECIMAL(18, 6)) AS DOUBLE), 6) AS f{i}" for i in (1, 2, 3, 4))
     out["letor_parsed"] = _query(f"SELECT {_big('qid', 'grade')}, {cut} FROM numbered_features")
     out["lambdamart_first_tree"] = _after("numbered_features", _FIRST_TREE)
+    out["lambdamart_missing"] = _after("numbered_features", _MISSING_TREE)
+    out["mart_first_tree"] = _after("numbered_features", _point_tree("0.1"))
+    out["forest_first_tree"] = _after("numbered_features", _point_tree("1.0"))
+    out["line_search"] = _after("numbered_features", _LINE_SEARCH)
+    out["letor_sparse"] = out["letor_parsed"]
     out["lambda_gradients"] = _after("numbered_features", _GRADIENTS)
     out["err_documents"] = """
 SELECT source, round(sum(gain * passed / place), 6) AS err FROM (
@@ -857,6 +927,10 @@ SELECT trial, rank_val FROM (
   SELECT trial, rank_val, row_number() OVER (ORDER BY rank_val, trial) AS place FROM (
     SELECT CAST(substr(d.source, 4) AS BIGINT) AS trial, round(avg(l.quality), 6) AS rank_val
     FROM documents d JOIN labels l ON l.doc_id = d.doc_id GROUP BY d.source) t) r WHERE place = 1"""
+    out["upsert_catalog_buckets"] = out["upsert_catalog"]
+    # the nested log holds the same sessions
+    for name in ("session_lists", "session_lists_sampled", "visitor_context", "product_channel", "validation_contexts"):
+        out[f"nested_{name}"] = out[name]
     out["dense_list_ids"] = _query(
         f"""SELECT {_CONTEXT}, CAST(row_number() OVER (ORDER BY {_CONTEXT}) - 1 AS BIGINT) AS qid
             FROM event_sets GROUP BY {_CONTEXT}"""

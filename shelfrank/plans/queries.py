@@ -21,6 +21,8 @@ from shelfrank.operators import (
     dbn,
     ensemble,
     features,
+    insession,
+    linesearch,
     metrics,
     ranking,
     sessions,
@@ -29,9 +31,10 @@ from shelfrank.operators import (
     tuning,
 )
 from shelfrank.operators.numbering import dense_ids, group_percentiles
+from shelfrank.plans import workflow
 from shelfrank.schemas import CLICKSTREAM, GRADED, VALIDATION
-from shelfrank.session import cut_lineage
-from shelfrank.sources import adapter, readers, writers
+from shelfrank.session import cut_lineage, scratch_folder
+from shelfrank.sources import adapter, buckets, readers, writers
 
 CONTEXT = sessions.CONTEXT
 
@@ -100,6 +103,15 @@ def event_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut_lineage(catalog.catalog_docs(event_catalog_rows(spark, sf_dir)))
 
 
+def event_index(spark: SparkSession, sf_dir: str) -> textmatch.TextIndex:
+    """The catalog's text index as tables, as it is stored beside a catalog."""
+    return stored_index(ranking.catalog_index(event_catalog(spark, sf_dir)))
+
+
+def stored_index(index: textmatch.TextIndex) -> textmatch.TextIndex:
+    return textmatch.write_index(index, scratch_folder(index.documents.sparkSession))
+
+
 def event_graded(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clicks.grade(clicks.sdbn(event_lists(spark, sf_dir), ["query"]), ["query"])
 
@@ -122,7 +134,7 @@ def evaluation_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
 def feature_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return features.log_features(
         context_graded(spark, sf_dir).select(*CONTEXT, "doc", "grade"),
-        event_catalog(spark, sf_dir),
+        event_index(spark, sf_dir),
     )
 
 
@@ -209,6 +221,34 @@ def q_order_lists(spark, sf_dir):
     return flat(order_lists(spark, sf_dir), *_LIST)
 
 
+def nested_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sessions as a stored log has them, one row each."""
+    return cut_lineage(adapter.nested_event_hits(spark, sf_dir))
+
+
+def q_nested_session_lists(spark, sf_dir):
+    return flat(insession.session_lists(nested_log(spark, sf_dir), 1.0), *_LIST)
+
+
+def q_nested_session_lists_sampled(spark, sf_dir):
+    return flat(insession.session_lists(nested_log(spark, sf_dir), 0.01), *_LIST)
+
+
+def q_nested_visitor_context(spark, sf_dir):
+    visitors = insession.visitor_context(nested_log(spark, sf_dir))
+    return flat(visitors, "fv", "channel_group", "avg_ticket", "raw_ticket")
+
+
+def q_nested_product_channel(spark, sf_dir):
+    return flat(insession.product_channel(nested_log(spark, sf_dir)))
+
+
+def q_nested_validation_contexts(spark, sf_dir):
+    log = nested_log(spark, sf_dir)
+    sets = sessions.purchased_sets(insession.rolled_docs(log), insession.visitor_context(log))
+    return flat(sessions.validation_contexts(sets))
+
+
 def q_list_arrays(spark, sf_dir):
     nested = sessions.nested_lists(event_lists(spark, sf_dir))
     docs = F.col("docs")
@@ -453,6 +493,20 @@ def q_upsert_catalog(spark, sf_dir):
     return flat(catalog.upsert_catalog(old, new, order="name"))
 
 
+def q_upsert_catalog_buckets(spark, sf_dir):
+    """The same loads into a bucketed table, read back by its manifest."""
+    path = scratch_folder(spark)
+    old = adapter.table(spark, sf_dir, "part").select(
+        F.col("p_partkey").cast("string").alias("sku"),
+        F.col("p_name").alias("name"),
+        F.col("p_retailprice").alias("price"),
+    )
+    buckets.upsert(old, path)
+    new = catalog.catalog_docs(event_catalog_rows(spark, sf_dir)).select("sku", "name", "price")
+    buckets.upsert(new, path)
+    return flat(buckets.read_buckets(spark, path))
+
+
 # -- text match and search ---------------------------------------------------
 
 
@@ -460,8 +514,7 @@ def q_bm25_judged(spark, sf_dir):
     pairs = event_graded(spark, sf_dir).select(
         F.col("query").alias("search_term"), F.col("doc").alias("sku")
     )
-    docs = textmatch.with_tokens(event_catalog(spark, sf_dir), features.TEXT_FIELDS)
-    scored = textmatch.bm25(pairs, docs, features.TEXT_FIELDS)
+    scored = textmatch.bm25(pairs, event_index(spark, sf_dir), features.TEXT_FIELDS)
     return flat(
         scored.select(
             F.col("search_term").alias("query"),
@@ -476,12 +529,8 @@ def q_bm25_documents(spark, sf_dir):
     asked = adapter.table(spark, sf_dir, "benchmark").select(
         "item_id", F.col("text").alias("search_term")
     )
-    # tokens of the long texts are read by matching, statistics and scoring
-    docs = cut_lineage(
-        textmatch.with_tokens(
-            adapter.table(spark, sf_dir, "documents").select("doc_id", "text"), ["text"]
-        ).drop("text")
-    )
+    documents = adapter.table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = stored_index(textmatch.index_of(documents, ["text"], "doc_id"))
     pairs = textmatch.match_cross_fields(asked, docs, ["text"], key="doc_id", exact_key=False)
     scored = textmatch.bm25(pairs, docs, ["text"], key="doc_id")
     return flat(
@@ -514,15 +563,13 @@ def q_match_all_terms(spark, sf_dir):
 
 
 def q_first_pass_topk(spark, sf_dir):
-    top = ranking.first_pass_topk(searches(spark, sf_dir), event_catalog(spark, sf_dir), size=10)
+    top = ranking.first_pass_topk(searches(spark, sf_dir), event_index(spark, sf_dir))
     return flat(top, "search_term", "sku", "score", "pos")
 
 
 def q_rescored_topk(spark, sf_dir):
     contexts = evaluation_sets(spark, sf_dir).select("set_name", *CONTEXT).distinct()
-    found = ranking.search(
-        contexts, event_catalog(spark, sf_dir), SMALL_MODEL, size=20, window=8
-    )
+    found = ranking.search(contexts, event_index(spark, sf_dir), SMALL_MODEL)
     return flat(found, "set_name", *CONTEXT, "sku", "score", "pos")
 
 
@@ -556,6 +603,18 @@ def q_letor_parsed(spark, sf_dir):
     return spread_features(readers.parse_letor(lines), "qid", "grade")
 
 
+def q_letor_sparse(spark, sf_dir):
+    """Training text without its zeros, parsed again."""
+    lists = features.training_lists(feature_log(spark, sf_dir), CONTEXT)
+    exact = lists.withColumn("features", F.col("features").cast("array<decimal(18,6)>"))
+    sparse = F.regexp_replace("line", r"\t[0-9]+:0\.0+(?=\t|$)", "")
+    rows = readers.parse_letor(features.letor_lines(exact).select(sparse.alias("value")))
+    whole = F.transform(
+        F.sequence(F.lit(0), F.lit(3)), lambda i: F.coalesce(F.get("features", i), F.lit(0.0))
+    )
+    return spread_features(rows.withColumn("features", whole), "qid", "grade")
+
+
 def q_letor_rows(spark, sf_dir):
     lists = features.training_lists(feature_log(spark, sf_dir), CONTEXT)
     exact = lists.withColumn("features", F.col("features").cast("array<decimal(18,6)>"))
@@ -656,6 +715,44 @@ def q_lambdamart_first_tree(spark, sf_dir):
     return flat(ensemble.score_ensemble(rows, model, name="score"), "qid", "doc", "score")
 
 
+def q_lambdamart_missing(spark, sf_dir):
+    """The first tree on arrays that are NULL, short or hold NULL, and on repeated rows."""
+    lists = features.training_lists(feature_log(spark, sf_dir), CONTEXT)
+    exact = F.transform("features", lambda x: F.round(x, 6))
+    kind = F.pmod(F.col("doc").cast("bigint"), F.lit(5))
+    rows = lists.select("qid", "doc", "grade", exact.alias("features"), kind.alias("kind"))
+    own = F.col("features")
+    odd = (
+        F.when(kind == 0, F.lit(None))
+        .when(kind == 1, F.slice(own, 1, 2))
+        .when(kind == 2, F.concat(F.slice(own, 1, 3), F.array(F.lit(None).cast("double"))))
+        .otherwise(own)
+    )
+    rows = cut_lineage(rows.withColumn("features", odd))
+    rows = rows.unionByName(rows.where("kind = 3")).drop("kind")
+    model = training.train_lambdamart(rows, trees=1, leaf=2, tc=-1)
+    return flat(ensemble.score_ensemble(rows, model, name="score"), "qid", "doc", "score")
+
+
+def _exact_rows(spark, sf_dir):
+    lists = features.training_lists(feature_log(spark, sf_dir), CONTEXT)
+    exact = F.transform("features", lambda x: F.round(x, 6))
+    return cut_lineage(lists.select("qid", "doc", "grade", exact.alias("features")))
+
+
+def q_mart_first_tree(spark, sf_dir):
+    rows = _exact_rows(spark, sf_dir)
+    model = training.train_mart(rows, trees=1, leaf=2, tc=-1)
+    return flat(ensemble.score_ensemble(rows, model, name="score"), "qid", "doc", "score")
+
+
+def q_forest_first_tree(spark, sf_dir):
+    """A forest of one tree of two leaves, on all rows and features."""
+    rows = _exact_rows(spark, sf_dir)
+    model = training.train_random_forest(rows, trees=1, leaf=2, tc=-1, bagging=False, feature_rate=1.0)
+    return flat(ensemble.score_ensemble(rows, model, name="score"), "qid", "doc", "score")
+
+
 def q_lambdamart_scores(spark, sf_dir):
     rows = training_rows(spark, sf_dir)
     return _scored(rows, training.train_lambdamart(rows))
@@ -676,6 +773,15 @@ def q_coordinate_ascent_scores(spark, sf_dir):
     return _scored(rows, training.train_coordinate_ascent(rows, 4))
 
 
+def q_line_search(spark, sf_dir):
+    """The highest mean ERR along each weight of a linear ranker, all weights being equal."""
+    rows = _exact_rows(spark, sf_dir)
+    lists = rows.select("qid").distinct().count()
+    found = [linesearch.best_on_coordinate(rows, [0.25] * 4, c) for c in range(4)]
+    best = [(c, value / lists) for c, (_, value) in enumerate(found)] if lists else []
+    return flat(spark.createDataFrame(best, "coordinate bigint, err double"))
+
+
 # -- metrics -----------------------------------------------------------------
 
 
@@ -695,13 +801,13 @@ def q_err_judgments(spark, sf_dir):
 
 def q_mean_percentile_rank(spark, sf_dir):
     return flat(
-        tuning.evaluate(None, evaluation_sets(spark, sf_dir), event_catalog(spark, sf_dir))
+        tuning.evaluate(None, evaluation_sets(spark, sf_dir), event_index(spark, sf_dir))
     )
 
 
 def q_percentile_rank_full_lists(spark, sf_dir):
     """The metric over complete result lists, which ``evaluate`` does not build."""
-    sets, docs = evaluation_sets(spark, sf_dir), event_catalog(spark, sf_dir)
+    sets, docs = evaluation_sets(spark, sf_dir), event_index(spark, sf_dir)
     keys = ["set_name", *CONTEXT]
     lists = ranking.search(sets.select(*keys).distinct(), docs, None, use_ltr=False)
     return flat(
@@ -711,9 +817,7 @@ def q_percentile_rank_full_lists(spark, sf_dir):
 
 def q_evaluated_model(spark, sf_dir):
     return flat(
-        tuning.evaluate(
-            SMALL_MODEL, evaluation_sets(spark, sf_dir), event_catalog(spark, sf_dir), window=8
-        )
+        tuning.evaluate(SMALL_MODEL, evaluation_sets(spark, sf_dir), event_index(spark, sf_dir))
     )
 
 
@@ -731,7 +835,7 @@ def q_tuned_trials(spark, sf_dir):
     """Two trials of LambdaMART, measured on the training and validation windows."""
     rows = training_rows(spark, sf_dir)
     sets = evaluation_sets(spark, sf_dir)
-    docs = event_catalog(spark, sf_dir)
+    docs = event_index(spark, sf_dir)
 
     def ranks(model):
         found = {row["set_name"]: row["rank"] for row in tuning.evaluate(model, sets, docs).collect()}
@@ -747,6 +851,22 @@ def q_tuned_trials(spark, sf_dir):
     return flat(tuning.trials_frame(spark, done), "trial", "params", "rank_train", "rank_val")
 
 
+def q_workflow_ranks(spark, sf_dir):
+    """The whole job over the nested log, with one trial of few trees: its three ranks."""
+    settings = workflow.Settings(
+        root=scratch_folder(spark),
+        windows=WINDOWS,
+        rate=1.0,
+        iterations=2,
+        trials=1,
+        source=sf_dir,
+        space={"trees": ("int", 2, 2), "leaf": ("int", 4, 4)},
+    )
+    done = workflow.run_workflow(spark, nested_log(spark, sf_dir), settings)
+    names = ("rank_train", "rank_val", "rank_test")
+    return flat(spark.createDataFrame([tuple(float(done[x]) for x in names)], [*names]))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         name.removeprefix("q_"): value

@@ -17,7 +17,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfrank.operators import catalog as products
-from shelfrank.operators import clicks, dbn, features, ranking, sessions, training, tuning
+from shelfrank.operators import (
+    clicks,
+    dbn,
+    features,
+    insession,
+    ranking,
+    sessions,
+    textmatch,
+    training,
+    tuning,
+)
 from shelfrank.operators.ensemble import LinearModel, Model, model_from_frame
 from shelfrank.sources import readers, writers
 
@@ -73,22 +83,41 @@ class Settings:
 
 def build_catalog(spark: SparkSession, hits: DataFrame, settings: Settings) -> DataFrame:
     """Catalog documents of all dates, kept unless a restart is forced."""
+    own = insession if is_nested(hits) else products
     documents = writers.write_catalog(
         spark,
         settings.path("catalog"),
-        lambda: products.catalog_docs(products.catalog_rows(products.product_channel(hits))),
+        lambda: products.catalog_docs(products.catalog_rows(own.product_channel(hits))),
         settings.force_restart,
     )
     return products.from_documents(documents)
 
 
+def build_index(spark: SparkSession, catalog: DataFrame, settings: Settings) -> textmatch.TextIndex:
+    """The catalog's text index beside the catalog, built where the catalog is."""
+    path = settings.path("catalog") + "-index"
+    wanted = ranking.catalog_index(catalog)
+    done = writers.existing_table(spark, f"{path}/totals") is not None
+    if settings.force_restart or not done:
+        return textmatch.write_index(wanted, path)
+    return textmatch.read_index(spark, path, wanted.fields, wanted.key, wanted.carry)
+
+
+def is_nested(log: DataFrame) -> bool:
+    """Whether a log has a row per session, with its pages, rather than a row per hit."""
+    return "hits" in log.columns
+
+
 def build_evaluation_sets(spark: SparkSession, hits: DataFrame, settings: Settings) -> DataFrame:
     """Purchases of all windows in one table."""
 
     def build() -> DataFrame:
         labelled = sessions.temporal_split(hits, settings.windows)
-        visitors = sessions.visitor_context(labelled, by=["set_name"])
-        return sessions.validation_sets(labelled, visitors, by=["set_name"])
+        by = ["set_name"]
+        if is_nested(hits):
+            visitors = insession.visitor_context(labelled, by)
+            return sessions.purchased_sets(insession.rolled_docs(labelled, by), visitors, by)
+        return sessions.validation_sets(labelled, sessions.visitor_context(labelled, by), by)
 
     return writers.rebuild(
         spark, settings.path("evaluation"), build, settings.force_restart
@@ -96,15 +125,16 @@ def build_evaluation_sets(spark: SparkSession, hits: DataFrame, settings: Settin
 
 
 def build_training_set(
-    spark: SparkSession, hits: DataFrame, catalog: DataFrame, settings: Settings
+    spark: SparkSession, hits: DataFrame, catalog: DataFrame | textmatch.TextIndex, settings: Settings
 ) -> DataFrame:
     """Click lists -> judgments -> grades -> features -> numbered lists, and their text file."""
     window = sessions.between_dates(hits, *settings.windows["train"])
     restart = settings.force_restart
+    own = insession if is_nested(hits) else sessions
 
     def lists() -> DataFrame:
-        kept = sessions.session_lists(window, settings.rate)
-        return sessions.train_sets(kept, sessions.visitor_context(window))
+        kept = own.session_lists(window, settings.rate)
+        return sessions.train_sets(kept, own.visitor_context(window))
 
     sets = writers.rebuild(spark, settings.path("clickstream"), lists, restart)
     judged = writers.rebuild(
@@ -126,8 +156,11 @@ def build_training_set(
 
 
 def run_workflow(spark: SparkSession, hits: DataFrame, settings: Settings) -> dict[str, object]:
-    """Run every step; returns the best trial's parameters and the three ranks."""
-    catalog = build_catalog(spark, hits, settings)
+    """Run every step; returns the best trial's parameters and the three ranks.
+
+    ``hits`` has a row per hit, or per session with its pages nested; then no hit is shuffled.
+    """
+    catalog = build_index(spark, build_catalog(spark, hits, settings), settings)
     sets = build_evaluation_sets(spark, hits, settings)
     rows = build_training_set(spark, hits, catalog, settings)
 

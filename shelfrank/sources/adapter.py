@@ -3,6 +3,7 @@
 ``event_hits``     events + part, one product per hit; many small sessions
 ``order_hits``     orders + lineitem, five search terms; very hot search terms
 ``event_sessions`` events as nested visits, one row per visit, built in the row
+``nested_event_hits`` the sessions of ``event_hits`` as nested rows, as a log stores them
 """
 
 from __future__ import annotations
@@ -73,6 +74,19 @@ def event_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def nested_event_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per session; each hit is a page with one product."""
+    product = F.struct("sku", "name", "category", "price_micros", "is_click", "is_impression")
+    page = F.struct("hit_pos", "pagepath", "action_type", F.array(product).alias("product"))
+    pages = F.array_sort(F.collect_list(page))
+    return (
+        event_hits(spark, sf_dir)
+        .groupBy("fv", "session_id", "channel")
+        .agg(F.min("session_date").alias("session_date"), pages.alias("hits"))
+        .withColumn("hits", F.transform("hits", lambda x: x.dropFields("hit_pos")))
+    )
+
+
 def order_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority"

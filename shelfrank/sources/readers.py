@@ -137,16 +137,33 @@ def read_letor(spark: SparkSession, path: str) -> DataFrame:
 
 
 def parse_letor(lines: DataFrame) -> DataFrame:
-    """``grade<TAB>qid:N<TAB>1:v…`` lines (``value``) as ``grade, qid, features``."""
-    parts = F.split("value", "\t")
-    return lines.select(
+    """``grade<TAB>qid:N<TAB>1:v…`` lines (``value``) as ``grade, qid, features``.
+
+    A value stands at the place its number names; numbers that a line leaves out are 0, so an
+    array ends with the line's highest number. What follows a ``#`` is a comment.
+    """
+    parts = F.split(F.rtrim(F.substring_index("value", "#", 1)), "[\t ]+")
+    split = lines.select(
         F.get(parts, F.lit(0)).cast("int").alias("grade"),
         F.split_part(F.get(parts, F.lit(1)), F.lit(":"), F.lit(2)).cast("bigint").alias("qid"),
         F.transform(
             F.slice(parts, F.lit(3), F.size(parts)),
-            lambda part: F.split_part(part, F.lit(":"), F.lit(2)).cast("double"),
-        ).alias("features"),
+            lambda part: F.struct(
+                F.split_part(part, F.lit(":"), F.lit(1)).cast("int").alias("at"),
+                F.split_part(part, F.lit(":"), F.lit(2)).cast("double").alias("x"),
+            ),
+        ).alias("_given"),
+    )
+    named = F.map_from_entries("_given")
+    highest = F.array_max(F.transform("_given", lambda e: e["at"]))
+    spread = F.transform(
+        F.sequence(F.lit(1), highest), lambda i: F.coalesce(F.try_element_at(named, i), F.lit(0.0))
+    )
+    dense = F.aggregate(
+        F.transform("_given", lambda e, i: e["at"] == i + 1), F.lit(True), lambda a, x: a & x
     )
+    features = F.when(dense, F.transform("_given", lambda e: e["x"])).otherwise(spread)
+    return split.select("grade", "qid", features.alias("features"))
 
 
 def read_features(spark: SparkSession, directory: str, name: str) -> FeatureSet:
