@@ -38,8 +38,8 @@ def boilerplate(
     max_ratio: float = MAX_RATIO,
     min_pages: int = MIN_PAGES,
 ) -> DataFrame:
-    """``host, lines``: hashes of the boilerplate lines of each host that has some, each with
-    ``page_ratio``, the share of the host's pages, copies counted each, that contain it. That
+    """``host, lines, page_ratios``: hashes of the boilerplate lines of each host that has some,
+    and beside each the share of the host's pages, copies counted each, that contain it. That
     is reported only: the ratio of different texts decides.
 
     Texts are taken once where the pages are read, before their line hashes are shuffled, and
@@ -67,7 +67,12 @@ def boilerplate(
         frequent.join(totals, "host")
         .where(F.col("found") > F.col("texts") * max_ratio)
         .groupBy("host")
-        .agg(F.collect_set(entry).alias("lines"))
+        .agg(F.collect_set(entry).alias("entries"))
+        .select(
+            "host",
+            F.transform("entries", lambda x: x["line"]).alias("lines"),
+            F.transform("entries", lambda x: x["page_ratio"]).alias("page_ratios"),
+        )
     )
 
 
@@ -92,21 +97,21 @@ def drop_lines(
     )
     split = F.split("text", LINE_END, -1)
     kept = F.filter(
-        split, lambda x: (F.trim(x) == "") | ~F.array_contains(F.col("lines.line"), F.xxhash64(x))
+        split, lambda x: (F.trim(x) == "") | ~F.array_contains(F.col("lines"), F.xxhash64(x))
     )
     own = F.transform(F.filter(split, lambda x: F.trim(x) != ""), lambda x: F.xxhash64(x))
-    dropped = F.filter("lines", lambda x: F.array_contains(own, x["line"]))
+    on_page = F.zip_with("lines", "page_ratios", lambda line, ratio: F.when(F.array_contains(own, line), ratio))
     return (
         rows.join(salted, ["host", "salt"], "left")
         .withColumn("kept", F.when(F.col("lines").isNull(), split).otherwise(kept))
+        # of the text as it was: in the select below the name means the new one to some
+        .withColumn("page_ratio", F.when(F.size("kept") < F.size(split), F.array_max(on_page)))
         .select(
             "row",
             F.array_join("kept", LINE_END).alias("text"),
             F.coalesce(F.size(split), F.lit(0)).cast("long").alias("n_lines"),
             F.coalesce(F.size(split) - F.size("kept"), F.lit(0)).cast("long").alias("n_dropped"),
-            F.when(
-                F.size("kept") < F.size(split), F.array_max(F.transform(dropped, lambda x: x["page_ratio"]))
-            ).alias("page_ratio"),
+            "page_ratio",
         )
     )
 

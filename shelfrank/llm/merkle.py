@@ -167,10 +167,11 @@ def with_next(df: DataFrame, key: str, text: str) -> DataFrame:
     edges = [r["top"] for r in ranges.where((F.col("range") + 1) % block == 0).orderBy("top").collect()]
     blocks = F.array(*[F.lit(x) for x in edges]).cast("array<bigint>")
     known = ranges.select(F.floor(F.col("range") / block).cast("int").alias("block"), "range", "low", "top")
-    placed_rows = rows.withColumn("block", F.size(F.filter(blocks, lambda x: x < F.col("order")))).join(
+    in_block = F.size(F.filter(blocks, lambda x: x < F.col("order")))
+    placed_rows = rows.withColumn("in_block", in_block).join(
         F.broadcast(known),
         on=[
-            F.col("block") == known["block"],
+            F.col("in_block") == F.col("block"),
             F.col("low").isNull() | (F.col("order") > F.col("low")),
             F.col("order") <= F.col("top"),
         ],
