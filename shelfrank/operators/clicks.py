@@ -50,13 +50,13 @@ def grade(judgments: DataFrame, keys: Sequence[str]) -> DataFrame:
     """
     placed, spans = placed_in_groups(judgments, keys, "judgment", "doc")
     informative = spans.filter(F.col("_high") > F.col("_low"))
-    edges = percentiles_of(placed, informative, keys, "judgment", GRADE_POINTS, "_edges", sized=True)
+    edges = percentiles_of(placed, informative, keys, "judgment", GRADE_POINTS, "_edges")
     value = F.lit(len(GRADE_POINTS) - 1)
     for number in reversed(range(len(GRADE_POINTS) - 1)):
         fits = F.col("judgment") <= F.get("_edges", F.lit(number)) + F.lit(EDGE)
         value = F.when(fits, F.lit(number)).otherwise(value)
     return (
-        spread_join(placed, edges, keys, "_n", ["doc"])
+        spread_join(placed, edges, keys, spans.select(*keys, "_n"), ["doc"])
         .withColumn("grade", value.cast("int"))
         .select(*judgments.columns, "grade")
     )

@@ -14,6 +14,7 @@ from shelfrank.operators.numbering import dense_ids
 from shelfrank.operators.skew import spread_join
 from shelfrank.operators.textmatch import TextIndex
 from shelfrank.schemas import CHANNELS
+from shelfrank.session import cut_lineage
 
 TEXT_FIELDS = ["name", "category"]
 
@@ -159,7 +160,7 @@ def normalise(rows: DataFrame, size: int, keys: Sequence[str] = ("qid",)) -> Dat
     right = F.size("features") == size
     wrong = F.raise_error(F.lit(f"normalise: a row does not have {size} features"))
     rows = rows.withColumn("features", F.when(right, F.col("features")).otherwise(wrong))
-    sums = rows.groupBy(*keys).agg(
+    sums = rows.groupBy(*keys).agg(  # one row per list
         F.array(*[F.sum(F.abs(F.get("features", F.lit(i)))) for i in range(size)]).alias("_sums"),
         F.count("*").alias("_rows"),
     )
@@ -167,7 +168,8 @@ def normalise(rows: DataFrame, size: int, keys: Sequence[str] = ("qid",)) -> Dat
         "features", "_sums", lambda x, s: F.when(s > 0, x / s).otherwise(F.lit(0.0))
     )
     names = [name for name in ("doc", "sku", "features") if name in rows.columns]
-    joined = spread_join(rows, sums, keys, "_rows", names)
+    sums = cut_lineage(sums)
+    joined = spread_join(rows, sums.drop("_rows"), keys, sums.select(*keys, "_rows"), names)
     return joined.withColumn("features", scaled).drop("_sums")
 
 

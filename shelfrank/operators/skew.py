@@ -15,27 +15,27 @@ def spread_join(
     rows: DataFrame,
     side: DataFrame,
     keys: Sequence[str],
-    size: str,
+    sizes: DataFrame,
     by: Sequence[str],
     how: str = "inner",
     rows_per_part: int = ROWS_PER_PART,
 ) -> DataFrame:
-    """``rows`` joined with ``side``, which has one row per key and its number of rows (``size``).
+    """``rows`` joined with ``side``, which has one row per key.
 
+    ``sizes`` has the keys and, as its last column, their numbers of rows; it is read twice.
     Only keys of more than ``rows_per_part`` rows are split: their rows go to several tasks by
     a hash of the columns ``by``, and their row of ``side`` goes to each of these. The list of
     these keys is broadcast; there are at most ``MOST_HEAVY``, since keys of less than that
-    share of all rows are not split. ``size`` is left out of the result.
+    share of all rows are not split.
     """
-    total = side.agg(F.sum(size).alias("n")).scalar()
+    size = sizes.columns[-1]
+    total = sizes.agg(F.sum(size).alias("n")).scalar()
     most = F.greatest(F.lit(rows_per_part), F.ceil(total / MOST_HEAVY))
-    parts = side.withColumn("_parts", F.greatest(F.ceil(F.col(size) / most), F.lit(1)).cast("int")).drop(size)
-    heavy = parts.filter(F.col("_parts") > 1).select(*keys, "_parts")
-    salted = (
-        rows.join(F.broadcast(heavy), list(keys), "left")
-        .withColumn("_salt", F.pmod(F.xxhash64(*by), F.coalesce("_parts", F.lit(1))).cast("int"))
-        .drop("_parts")
-    )
-    each = F.explode(F.sequence(F.lit(0), F.col("_parts") - 1)).alias("_salt")
-    others = [name for name in parts.columns if name not in ("_parts", *keys)]
-    return salted.join(parts.select(*keys, *others, each), [*keys, "_salt"], how).drop("_salt")
+    parts = F.ceil(F.col(size) / most).cast("int").alias("_parts")
+    heavy = F.broadcast(sizes.select(*keys, parts).filter(F.col("_parts") > 1))
+    own = F.coalesce("_parts", F.lit(1))
+    salt = F.pmod(F.xxhash64(*by), own).cast("int")
+    salted = rows.join(heavy, list(keys), "left").withColumn("_salt", salt).drop("_parts")
+    each = F.explode(F.sequence(F.lit(0), own - 1))
+    copies = side.join(heavy, list(keys), "left").withColumn("_salt", each).drop("_parts")
+    return salted.join(copies, [*keys, "_salt"], how).drop("_salt")

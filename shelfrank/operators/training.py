@@ -101,7 +101,7 @@ def lambda_gradients(scored: DataFrame, sizes: DataFrame | None = None) -> DataF
     not given.
     """
     if sizes is None:
-        sizes = scored.groupBy("qid").agg(F.count("*").alias("n"))
+        sizes = cut_lineage(scored.groupBy("qid").agg(F.count("*").alias("n")))
     order = Window.partitionBy("qid").orderBy(F.desc("F"), F.asc("doc"))
     head = (
         scored.select("qid", "doc", "grade", "F")
@@ -121,7 +121,7 @@ def lambda_gradients(scored: DataFrame, sizes: DataFrame | None = None) -> DataF
     place = F.coalesce(
         F.array_position(F.transform("head", lambda d: d["doc"]), F.col("doc")) - 1, F.lit(-1)
     ).cast("int")
-    rows = spread_join(scored, heads.join(sizes, "qid"), ["qid"], "n", ["doc"]).withColumn("place", place)
+    rows = spread_join(scored, heads, ["qid"], sizes, ["doc"]).withColumn("place", place)
 
     own_gain = gain(F.col("grade"))
 
@@ -168,7 +168,7 @@ def lambda_gradients(scored: DataFrame, sizes: DataFrame | None = None) -> DataF
     in_head = F.col("place") >= 0
     returned = F.when(in_head, F.get("back_lam", F.col("place")))
     curved = F.when(in_head, F.get("back_w", F.col("place")))
-    sent = spread_join(parts, back.join(sizes, "qid"), ["qid"], "n", ["doc"], "left")
+    sent = spread_join(parts, back, ["qid"], sizes, ["doc"], "left")
     return sent.select(
         *scored.columns,
         (F.col("lam") - F.coalesce(returned, F.lit(0.0))).alias("lam"),
