@@ -46,7 +46,9 @@ def purchase_count(docs: Column) -> Column:
 def with_runs(df: DataFrame, items: str, same: Callable[[Column, Column], Column], name: str) -> DataFrame:
     """Add the runs of neighbours in the array ``items`` that are the ``same``, as arrays.
 
-    The starts are a column of their own: an expression used twice is computed once.
+    The starts are a column of their own: an expression used twice is computed once. Unnest what
+    is made of runs by ``explode_outer``: for ``explode`` the planner infers a filter on the
+    array's size, and pushes it below these columns, which puts the starts into every element.
     """
     starts = F.filter(
         F.transform(items, lambda _, i: i),

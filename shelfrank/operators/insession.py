@@ -83,8 +83,8 @@ def rolled(sessions: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 def rolled_docs(sessions: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """``rolled`` as rows, like ``sessions.rolled_docs`` over the exploded log."""
     return rolled(sessions, by).select(
-        *by, "session_id", "fv", "channel", F.explode("docs").alias("_doc")
-    ).select(*by, "session_id", "fv", "channel", "_doc.*")
+        *by, "session_id", "fv", "channel", F.explode_outer("docs").alias("_doc")
+    ).where("_doc IS NOT NULL").select(*by, "session_id", "fv", "channel", "_doc.*")
 
 
 def session_lists(
@@ -114,7 +114,7 @@ def session_lists(
         lambda docs: F.exists(docs, lambda x: x["click"] == 1)
         & (F.size(F.filter(docs, lambda x: x["purchase"] == 1)) <= 1),
     )
-    lists = by_query.select("session_id", "fv", "channel", F.explode(F.transform(wanted, cut)).alias("_list"))
+    lists = by_query.select("session_id", "fv", "channel", F.explode_outer(F.transform(wanted, cut)).alias("_list"))
     clicked = F.transform("_list", lambda x, i: F.when(x["click"] == 1, i + 1).otherwise(0))
     return (
         lists.where(F.size("_list").between(min_docs, max_docs))
@@ -213,6 +213,5 @@ def product_channel(sessions: DataFrame) -> DataFrame:
         )
 
     grouped = with_runs(rows, "_products", same, "_runs")
-    return grouped.select("session_id", "channel", F.explode(F.transform("_runs", one)).alias("_v")).select(
-        "session_id", "channel", "_v.*"
-    )
+    rows = grouped.select("session_id", "channel", F.explode_outer(F.transform("_runs", one)).alias("_v"))
+    return rows.where("_v IS NOT NULL").select("session_id", "channel", "_v.*")

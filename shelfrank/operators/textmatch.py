@@ -89,7 +89,8 @@ def index_of(
         term = F.get(run, F.lit(0))["term"].alias("term")
         return F.struct(term, *[times(run, i) for i in range(len(fields))])
 
-    postings = counted.select(*own, F.explode(F.transform("_runs", one)).alias("_p")).select("_p.*", *own)
+    rows = counted.select(*own, F.explode_outer(F.transform("_runs", one)).alias("_p"))
+    postings = rows.where("_p IS NOT NULL").select("_p.*", *own)
     return _with_statistics(fields, key, carry, docs.select(key, *carry, *lengths), postings)
 
 
