@@ -245,6 +245,11 @@ class ArraySums:
         looked = [x for pair in pairs for x in pair[:2]] or [k << LEAF_BITS for k in wanted]
         return {key: self.best(key, trees[key >> LEAF_BITS]) for key in looked}
 
+    def roots(self, rows, trees, places) -> dict[int, tuple]:
+        """The best splits of whole trees, whose sums are known."""
+        keys = [p << LEAF_BITS for p in places]
+        return {k: self.best(k, trees[k >> LEAF_BITS]) if k in self.sums else None for k in keys}
+
     def best(self, key: int, tree: Tree) -> tuple | None:
         left = self.sums[key].cumsum(axis=2)
         whole = left[:, :, -1:]
@@ -302,6 +307,9 @@ class TableSums:
         }
         return {key: found.get(key) for key in looked}
 
+    def roots(self, rows, trees, places) -> dict[int, tuple]:
+        return self.look(rows, trees, {p: [0] for p in places}, [])
+
     def best(self, table: DataFrame, trees: Sequence[Tree]) -> DataFrame:
         ranged = table.withColumn("range", F.floor(F.col("bin") / RANGE))
         inside = Window.partitionBy("leaf", "feature", "range").orderBy("bin").rowsBetween(
@@ -392,31 +400,37 @@ def grow_all(
 def _grow(rows, thresholds: Thresholds, leaves: int, least: int, trees: Sequence[Tree], scale: Scale) -> None:
     kind = TableSums if thresholds.values is None else ArraySums
     store = kind(thresholds, scale, least)
-    lam, squares, w = scale.measures()
-    measured = []
-    for place, tree in enumerate(trees):
-        times = F.lit(1).cast("long") if tree.times is None else tree.times.cast("long")
-        for name, value in zip(MEASURES, (lam, squares, w, F.lit(1)), strict=True):
-            measured.append(F.sum(value * times).alias(f"{name}{place}"))
-    whole = rows.agg(*measured).first()
-    for place, tree in enumerate(trees):
-        tree.known[0] = Leaf(tuple(int(whole[f"{x}{place}"] or 0) for x in MEASURES))
+    roots = {place: [0] for place in range(len(trees))}
+    if kind is ArraySums and thresholds.size:
+        for tree in trees:
+            tree.known[0] = Leaf((0, 0, 0, 0))
+        # a feature's sums add up to those of the tree
+        store.look(rows, trees, roots, [])
+        for place, tree in enumerate(trees):
+            whole = store.sums[place << LEAF_BITS][:, 0].sum(axis=1)
+            tree.known[0] = Leaf(tuple(int(x) for x in whole))
+    else:
+        _count_roots(rows, trees, scale)
     while True:
         wanted: dict[int, list[int]] = {}
         pairs: list[tuple[int, int, int]] = []
+        roots_asked: list[int] = []
         for place, tree in enumerate(trees):
             asked = [] if tree.finished else next_leaves(tree, leaves, least, scale)
             base = place << LEAF_BITS
             if asked == [0]:
-                wanted[place] = [0]
+                roots_asked.append(place)
             for parent in sorted({tree.known[n].parent for n in asked} - {-1}):
                 children = tree.known[parent].left, tree.known[parent].right
                 small, big = sorted(children, key=lambda n: (tree.known[n].sums[3], n))
                 wanted.setdefault(place, []).append(small)
                 pairs.append((base + small, base + big, base + parent))
-        if not wanted:
+        if not wanted and not roots_asked:
             return
-        for key, split in store.look(rows, trees, wanted, pairs).items():
+        found = store.roots(rows, trees, roots_asked) if roots_asked else {}
+        if wanted:
+            found |= store.look(rows, trees, wanted, pairs)
+        for key, split in found.items():
             tree, number = trees[key >> LEAF_BITS], key & ((1 << LEAF_BITS) - 1)
             leaf = tree.known[number]
             leaf.looked = True
@@ -428,6 +442,18 @@ def _grow(rows, thresholds: Thresholds, leaves: int, least: int, trees: Sequence
             tree.known[leaf.right] = Leaf(tuple(a - b for a, b in zip(leaf.sums, low, strict=True)), number)
 
 
+def _count_roots(rows: DataFrame, trees: Sequence[Tree], scale: Scale) -> None:
+    lam, squares, w = scale.measures()
+    measured = []
+    for place, tree in enumerate(trees):
+        times = F.lit(1).cast("long") if tree.times is None else tree.times.cast("long")
+        for name, value in zip(MEASURES, (lam, squares, w, F.lit(1)), strict=True):
+            measured.append(F.sum(value * times).alias(f"{name}{place}"))
+    whole = rows.agg(*measured).first()
+    for place, tree in enumerate(trees):
+        tree.known[0] = Leaf(tuple(int(whole[f"{x}{place}"] or 0) for x in MEASURES))
+
+
 def nodes_of(tree: Tree, scale: Scale) -> list[Node]:
     found, todo = [], [0]
     while todo:

@@ -2,7 +2,7 @@
 
 The index holds a posting for every term of every document, with the term's count in each
 field and the fields' lengths, and the terms' document frequencies. It is built once per
-catalog, without a shuffle for the postings; matching, scoring and feature logs join it by
+catalog; matching, scoring and feature logs join it by
 term and never read a text. Candidates come from the rarest term of a search only; other
 terms are looked up for the candidates, so no list of all documents per common term is joined.
 """
@@ -15,7 +15,6 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfrank.functions.arrays import with_runs
 from shelfrank.functions.text import tokenize
 
 # fixed values: the search server's defaults for BM25
@@ -51,14 +50,13 @@ class TextIndex:
     postings: DataFrame
     terms: DataFrame
     totals: DataFrame
+    # postings, and one more row without a term for each document
+    entries: DataFrame | None = None
 
     def total(self) -> Column:
         return self.totals.select(F.struct("*")).scalar()
 
 
-TABLES = ("documents", "postings", "terms", "totals")
-
-
 def index_of(
     docs: DataFrame, fields: Sequence[str], key: str = "sku", carry: Sequence[str] = ()
 ) -> TextIndex:
@@ -68,33 +66,33 @@ def index_of(
     lengths = [F.size(token_column(f)).alias(f"len_{f}") for f in fields]
     own = [key, *carry, *(f"len_{f}" for f in fields)]
 
-    def placed_in(number: int) -> Column:
+    none = F.lit(None).cast("string")
+
+    def words_of(number: int) -> Column:
         field = F.lit(number).alias("field")
         return F.transform(token_column(fields[number]), lambda w: F.struct(w.alias("term"), field))
 
-    placed = F.concat(*[placed_in(i) for i in range(len(fields))])
-    counted = with_runs(
-        docs.select(key, *carry, *lengths, F.sort_array(placed).alias("_words")),
-        "_words",
-        lambda a, b: a["term"] == b["term"],
-        "_runs",
+    if len(fields) == 1:
+        words = F.concat(token_column(fields[0]), F.array(none))
+        term, counts = F.col("_w"), [F.count("*")]
+    else:
+        own_row = F.array(F.struct(none.alias("term"), F.lit(-1).alias("field")))
+        words = F.concat(*[words_of(i) for i in range(len(fields))], own_row)
+        term, counts = F.col("_w.term"), [F.sum((F.col("_w.field") == i).cast("int")) for i in range(len(fields))]
+    # a document's words are counted where it is read; only the counts are dealt out
+    entries = (
+        docs.select(key, *carry, *lengths, F.explode_outer(words).alias("_w"))
+        .groupBy(term.alias("term"), *own)
+        .agg(*(n.cast("int").alias(f"tf_{f}") for n, f in zip(counts, fields, strict=True)))
+        .select("term", *(f"tf_{f}" for f in fields), *own)
     )
+    postings = entries.where("term IS NOT NULL")
+    return _with_statistics(fields, key, carry, docs.select(key, *carry, *lengths), postings, entries)
 
-    def times(run: Column, number: int) -> Column:
-        # of a single field all words count
-        own = run if len(fields) == 1 else F.filter(run, lambda x: x["field"] == number)
-        return F.size(own).alias(f"tf_{fields[number]}")
-
-    def one(run: Column) -> Column:
-        term = F.get(run, F.lit(0))["term"].alias("term")
-        return F.struct(term, *[times(run, i) for i in range(len(fields))])
 
-    rows = counted.select(*own, F.explode_outer(F.transform("_runs", one)).alias("_p"))
-    postings = rows.where("_p IS NOT NULL").select("_p.*", *own)
-    return _with_statistics(fields, key, carry, docs.select(key, *carry, *lengths), postings)
-
-
-def _with_statistics(fields, key, carry, documents: DataFrame, postings: DataFrame) -> TextIndex:
+def _with_statistics(
+    fields, key, carry, documents: DataFrame, postings: DataFrame, entries: DataFrame | None = None
+) -> TextIndex:
     has = [F.sum((F.col(f"tf_{f}") > 0).cast("long")).alias(f"df_{f}") for f in fields]
     terms = (
         postings.groupBy("term")
@@ -106,20 +104,22 @@ def _with_statistics(fields, key, carry, documents: DataFrame, postings: DataFra
         filled = F.when(F.col(f"len_{field}") > 0, F.col(f"len_{field}"))
         parts.append(F.count(filled).cast("double").alias(f"n_{field}"))
         parts.append(F.avg(filled).alias(f"avg_{field}"))
-    return TextIndex(tuple(fields), key, tuple(carry), documents, postings, terms, documents.agg(*parts))
+    totals = documents.agg(*parts)
+    return TextIndex(tuple(fields), key, tuple(carry), documents, postings, terms, totals, entries)
 
 
 def write_index(index: TextIndex, path: str) -> TextIndex:
-    """The index as tables under ``path``: postings first, statistics from them."""
-    spark = index.documents.sparkSession
-    index.postings.write.mode("overwrite").parquet(f"{path}/postings")
-    index.documents.write.mode("overwrite").parquet(f"{path}/documents")
+    """The index as tables under ``path``; texts are read once, statistics come from postings."""
+    spark = index.postings.sparkSession
+    index.entries.write.mode("overwrite").parquet(f"{path}/entries")
+    entries = spark.read.parquet(f"{path}/entries")
+    lengths = [f"len_{f}" for f in index.fields]
     stored = _with_statistics(
         index.fields,
         index.key,
         index.carry,
-        spark.read.parquet(f"{path}/documents"),
-        spark.read.parquet(f"{path}/postings"),
+        entries.where("term IS NULL").select(index.key, *index.carry, *lengths),
+        entries.where("term IS NOT NULL"),
     )
     stored.terms.write.mode("overwrite").parquet(f"{path}/terms")
     stored.totals.write.mode("overwrite").parquet(f"{path}/totals")
@@ -129,8 +129,10 @@ def write_index(index: TextIndex, path: str) -> TextIndex:
 def read_index(
     spark: SparkSession, path: str, fields: Sequence[str], key: str = "sku", carry: Sequence[str] = ()
 ) -> TextIndex:
-    tables = (spark.read.parquet(f"{path}/{name}") for name in TABLES)
-    return TextIndex(tuple(fields), key, tuple(carry), *tables)
+    entries, terms, totals = (spark.read.parquet(f"{path}/{x}") for x in ("entries", "terms", "totals"))
+    documents = entries.where("term IS NULL").select(key, *carry, *(f"len_{f}" for f in fields))
+    postings = entries.where("term IS NOT NULL")
+    return TextIndex(tuple(fields), key, tuple(carry), documents, postings, terms, totals, entries)
 
 
 def as_index(

@@ -24,7 +24,7 @@ from shelfrank.operators.growing import MOST_TIMES, Tree, grow_all, place_of, wi
 from shelfrank.operators.linesearch import REACH, best_on_coordinate
 from shelfrank.operators.metrics import DEPTH, err_at_k, gain
 from shelfrank.operators.numbering import sorted_index
-from shelfrank.operators.skew import spread_join
+from shelfrank.operators.skew import ROWS_PER_PART, spread_join
 from shelfrank.session import cut_lineage, release
 
 # trees after which the tables of earlier ones are let go
@@ -90,7 +90,9 @@ def _swap_factors(gains: Column) -> Column:
     return factors(gains)
 
 
-def lambda_gradients(scored: DataFrame, sizes: DataFrame | None = None) -> DataFrame:
+def lambda_gradients(
+    scored: DataFrame, sizes: DataFrame | None = None, spread: bool = True
+) -> DataFrame:
     """Add gradient ``lam`` and curvature ``w`` of ERR to rows of ``qid, doc, grade, F``.
 
     ERR only sees the first k places, so a swap matters only when one of the two
@@ -98,9 +100,9 @@ def lambda_gradients(scored: DataFrame, sizes: DataFrame | None = None) -> DataF
     documents and with no other. What a row beyond them adds to the first ones
     comes back as k sums per list. No list is ever gathered. ``sizes`` (``qid, n``) are the
     lists' numbers of rows, by which long lists are spread over tasks; they are counted if
-    not given.
+    not given. Without ``spread`` no list is longer than what goes to one task.
     """
-    if sizes is None:
+    if spread and sizes is None:
         sizes = cut_lineage(scored.groupBy("qid").agg(F.count("*").alias("n")))
     order = Window.partitionBy("qid").orderBy(F.desc("F"), F.asc("doc"))
     head = (
@@ -121,7 +123,11 @@ def lambda_gradients(scored: DataFrame, sizes: DataFrame | None = None) -> DataF
     place = F.coalesce(
         F.array_position(F.transform("head", lambda d: d["doc"]), F.col("doc")) - 1, F.lit(-1)
     ).cast("int")
-    rows = spread_join(scored, heads, ["qid"], sizes, ["doc"]).withColumn("place", place)
+
+    def with_list(rows: DataFrame, side: DataFrame, how: str) -> DataFrame:
+        return spread_join(rows, side, ["qid"], sizes, ["doc"], how) if spread else rows.join(side, "qid", how)
+
+    rows = with_list(scored, heads, "inner").withColumn("place", place)
 
     own_gain = gain(F.col("grade"))
 
@@ -168,8 +174,7 @@ def lambda_gradients(scored: DataFrame, sizes: DataFrame | None = None) -> DataF
     in_head = F.col("place") >= 0
     returned = F.when(in_head, F.get("back_lam", F.col("place")))
     curved = F.when(in_head, F.get("back_w", F.col("place")))
-    sent = spread_join(parts, back, ["qid"], sizes, ["doc"], "left")
-    return sent.select(
+    return with_list(parts, back, "left").select(
         *scored.columns,
         (F.col("lam") - F.coalesce(returned, F.lit(0.0))).alias("lam"),
         (F.col("w") + F.coalesce(curved, F.lit(0.0))).alias("w"),
@@ -188,14 +193,14 @@ def train_lambdamart(
     return _boost(rows, lambda_gradients, trees, leaf, shrinkage, tc, mls)
 
 
-def residuals(scored: DataFrame, sizes: DataFrame | None = None) -> DataFrame:
+def residuals(scored: DataFrame, sizes: DataFrame | None = None, spread: bool = True) -> DataFrame:
     """Gradients of the squared error: the grade is to be met."""
     return scored.withColumns({"lam": F.col("grade") - F.col("F"), "w": F.lit(1.0)})
 
 
 def _boost(
     rows: DataFrame,
-    gradients: Callable[[DataFrame, DataFrame], DataFrame],
+    gradients: Callable[[DataFrame, DataFrame, bool], DataFrame],
     trees: int,
     leaf: int,
     shrinkage: float,
@@ -215,9 +220,10 @@ def _boost(
         "qid", F.struct("doc", "row").alias("doc"), "grade", "bins", F.lit(0.0).alias("F")
     )
     sizes = cut_lineage(fixed.groupBy("qid").agg(F.count("*").alias("n")))
+    spread = (sizes.agg(F.max("n")).first()[0] or 0) > ROWS_PER_PART
     model: list[Node] = []
     for number in range(1, trees + 1):
-        step = cut_lineage(gradients(state, sizes))
+        step = cut_lineage(gradients(state, sizes, spread))
         tree = Tree(number, shrinkage)
         nodes, _ = grow_all(step, thresholds, leaf, mls, [tree])
         model += nodes
