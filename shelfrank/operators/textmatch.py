@@ -205,16 +205,23 @@ def _weighted(queries: DataFrame, index: TextIndex, query: str) -> DataFrame:
 
 
 def matched_scores(
-    queries: DataFrame, docs: DataFrame | TextIndex, fields: Sequence[str], query: str = "search_term",
-    key: str = "sku", carry: Sequence[str] = (),
+    queries: DataFrame,
+    docs: DataFrame | TextIndex,
+    fields: Sequence[str],
+    query: str = "search_term",
+    key: str = "sku",
+    carry: Sequence[str] = (),
+    blended: bool = True,
 ) -> DataFrame:
     """Documents that have every term of a search, with ``match_score``.
 
     Per term the better field counts, weighted by the document frequency of its fullest
-    field, as a search over several fields scores. A search of one term is answered by its
-    postings alone: no exchange besides that of the join.
+    field, as a search over several fields scores. Without ``blended`` each field has its
+    score instead, ``bm25_<field>``. A search of one term is answered by its postings alone:
+    no exchange besides that of the join.
     """
     index = as_index(docs, fields, key, carry)
+    scores = ["match_score"] if blended else [f"bm25_{f}" for f in index.fields]
     searched = (
         _weighted(queries, index, query)
         .groupBy(query)
@@ -227,23 +234,29 @@ def matched_scores(
         .select(query, "rarest", F.filter("entries", lambda e: e["term"] != F.col("rarest")["term"]).alias("rest"))
     )
     first = index.postings.join(searched, F.col("term") == F.col("rarest")["term"]).select(
-        query, key, *carry, "rest", *_scores(index, F.col("rarest"), True)
+        query, key, *carry, "rest", *_scores(index, F.col("rarest"), blended)
     )
-    alone = first.filter(F.size("rest") == 0).select(query, key, *carry, "match_score")
+    alone = first.filter(F.size("rest") == 0).select(query, key, *carry, *scores)
     several = first.filter(F.size("rest") > 0).select(
-        query, key, F.size("rest").alias("_wanted"), "match_score", F.explode("rest").alias("entry")
+        query,
+        key,
+        F.size("rest").alias("_wanted"),
+        *(F.col(x).alias(f"_first_{x}") for x in scores),
+        F.explode("rest").alias("entry"),
     )
     own = ["term", key, *(f"{x}_{f}" for f in index.fields for x in ("tf", "len")), *carry]
     found = (
-        several.withColumnRenamed("match_score", "_first")
-        .withColumn("term", F.col("entry.term"))
+        several.withColumn("term", F.col("entry.term"))
         .join(index.postings.select(*own), ["term", key])
-        .select(query, key, *carry, "_wanted", "_first", *_scores(index, F.col("entry"), True))
+        .select(
+            query, key, *carry, "_wanted", *(f"_first_{x}" for x in scores),
+            *_scores(index, F.col("entry"), blended),
+        )
         .groupBy(query, key, *carry)
         .agg(
             F.max("_wanted").alias("_wanted"),
             F.count("*").alias("_found"),
-            (F.max("_first") + F.sum("match_score")).alias("match_score"),
+            *((F.max(f"_first_{x}") + F.sum(x)).alias(x) for x in scores),
         )
         .filter(F.col("_found") == F.col("_wanted"))
     )

@@ -531,8 +531,7 @@ def q_bm25_documents(spark, sf_dir):
     )
     documents = adapter.table(spark, sf_dir, "documents").select("doc_id", "text")
     docs = stored_index(textmatch.index_of(documents, ["text"], "doc_id"))
-    pairs = textmatch.match_cross_fields(asked, docs, ["text"], key="doc_id", exact_key=False)
-    scored = textmatch.bm25(pairs, docs, ["text"], key="doc_id")
+    scored = textmatch.matched_scores(asked, docs, ["text"], key="doc_id", blended=False)
     return flat(
         scored.join(asked, "search_term").select(
             "item_id", "doc_id", F.col("bm25_text").alias("score")
