@@ -347,7 +347,7 @@ def document_spans(
     found = chosen.mapInPandas(spans, "kind string, good boolean, hash long, features array<double>")
     order = Window.partitionBy("kind", "good").orderBy("hash", "features")
     kept = found.withColumn("n", F.row_number().over(order)).where(F.col("n") <= each).collect()
-    x = np.array([r["features"] for r in kept], float).reshape(len(kept), -1)
+    x = np.array([r["features"] for r in kept], float)  # nothing to stack where no span was found
     return x, np.array([r["good"] for r in kept], float), np.array([r["kind"] for r in kept], object)
 
 
