@@ -72,14 +72,15 @@ def odd_conversations():
     rows += [(c, t, "user", f"copy {t}") for c in range(1000, 1080) for t in range(4)]
     rows += [(c, 0, "system", "the same") for c in range(2000, 2060, 5)]
     rows += [(c, 1, "user", f"own {c}") for c in range(2000, 2060, 5)]
-    rows += [(c, t, "user", f"{t % 3}") for c in (5000, 5005) for t in range(1500)]
+    rows += [(c, t, "user", f"{t % 3}") for c in (5000, 5005) for t in range(150)]
     rows += [(None, 0, "user", "nobody's"), (7000, None, None, None), (7000, 0, "", ""), (7000, 0, "", "")]
     rows += [(7005, 1, None, "x" * 100_000), (7005, None, "user", ""), (7005, 2**40, "a", "b")]
     return rows
 
 
 @pytest.mark.parametrize("light", [None, 3])
-def test_trie(spark, light):
+def test_trie(spark, light, monkeypatch):
+    monkeypatch.setattr(prefix_trie, "BLOCK", 64)
     rows = odd_conversations()
     assert trie(spark, rows, light=light) == trie_brute(rows)
 
