@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 ROWS_PER_PART = 250_000  # rows of one key that go to one task
+ROWS_PER_TASK = 250_000  # rows that one task joins and sorts
 MOST_HEAVY = 100_000  # keys that are broadcast at most
 
 
@@ -39,3 +40,13 @@ def spread_join(
     each = F.explode(F.sequence(F.lit(0), own - 1))
     copies = side.join(heavy, list(keys), "left").withColumn("_salt", each).drop("_parts")
     return salted.join(copies, [*keys, "_salt"], how).drop("_salt")
+
+
+def tasks_for(table: DataFrame, rows_per_task: int = ROWS_PER_TASK) -> int:
+    """Tasks among which the rows of a stored table are dealt, so that a task's share stays the same.
+
+    Merged by bytes, as the planner does it, a task gets as many rows as compress well. Counting
+    a table of files reads their footers only.
+    """
+    least = table.sparkSession.sparkContext.defaultParallelism
+    return max(least, -(-table.count() // rows_per_task))

@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shelfrank.operators.skew import tasks_for
 from shelfrank.schemas import CHANNELS
 
 _SHOP = "/google+redesign/shop/"
@@ -97,6 +98,9 @@ def order_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
     term = F.replace(
         F.lower(F.substring("o_orderpriority", 3, 40)), F.lit(" "), F.lit("+")
     )
+    # what follows per session stays in the tasks of this join, so their number goes by the rows
+    tasks = tasks_for(items)
+    items, orders = items.repartition(tasks, "l_orderkey"), orders.repartition(tasks, "o_orderkey")
     return items.join(orders, items.l_orderkey == orders.o_orderkey).select(
         F.col("o_custkey").alias("fv"),
         F.col("o_orderkey").alias("session_id"),

@@ -6,8 +6,9 @@ import io
 import pytest
 from pyspark.sql import functions as F
 
-from shelfrank.operators import catalog, clicks, sessions, textmatch
+from shelfrank.operators import catalog, clicks, sessions, skew, textmatch
 from shelfrank.plans import queries
+from shelfrank.sources import adapter
 
 PATH = "/google+redesign/shop/"
 
@@ -120,3 +121,27 @@ def test_common_terms_are_not_joined(spark):
     asked = spark.createDataFrame([("common words word7",)], "search_term string")
     found = textmatch.match_cross_fields(asked, tokens, ["name", "category"]).collect()
     assert [r["sku"] for r in found] == ["k7"]
+
+
+def test_order_sessions_are_dealt_by_rows(spark, tmp_path, monkeypatch):
+    """The step of join, sums and windows per session has as many tasks as its rows ask for."""
+    row = F.col("id")
+    spark.range(300).select(
+        row.alias("o_orderkey"),
+        (row % 7).alias("o_custkey"),
+        F.lit("1998-02-06").cast("timestamp").alias("o_orderdate"),
+        F.lit("1-URGENT").alias("o_orderpriority"),
+    ).write.parquet(f"{tmp_path}/orders.parquet")
+    spark.range(1200).select(
+        (row % 300).alias("l_orderkey"),
+        row.alias("l_partkey"),
+        F.floor(row / 300).cast("int").alias("l_linenumber"),
+        F.lit(30.0).alias("l_extendedprice"),
+        F.lit(3.0).alias("l_quantity"),
+        F.when(row < 300, "R").otherwise("A").alias("l_returnflag"),
+    ).write.parquet(f"{tmp_path}/lineitem.parquet")
+    monkeypatch.setattr(adapter, "tasks_for", lambda t: skew.tasks_for(t, 100), raising=False)
+    rolled = sessions.rolled_docs(adapter.order_hits(spark, str(tmp_path)))
+    assert rolled.rdd.getNumPartitions() == 12
+    assert rolled.count() == 1200
+    assert sessions.session_lists(adapter.order_hits(spark, str(tmp_path)), 1.0, 1).count() == 300
