@@ -4,7 +4,8 @@ The index holds a posting for every term of every document, with the term's coun
 field and the fields' lengths, and the terms' document frequencies. It is built once per
 catalog; matching, scoring and feature logs join it by
 term and never read a text. Candidates come from the rarest term of a search only; other
-terms are looked up for the candidates, so no list of all documents per common term is joined.
+terms are looked up among the candidate's own postings, which are gathered once per document and
+only of terms that are asked for, so no list of all documents per common term is joined.
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfrank.functions.text import tokenize
+from shelfrank.session import scratch_folder
 
 # fixed values: the search server's defaults for BM25
 K1 = 1.2
@@ -169,18 +171,19 @@ def query_terms(queries: DataFrame, query: str) -> DataFrame:
     )
 
 
-def _part(index: TextIndex, field: str, entry: Column) -> Column:
-    tf, length = F.col(f"tf_{field}").cast("double"), F.col(f"len_{field}").cast("double")
-    return tf_part(tf, length, entry[f"avg_{field}"])
+def _part(index: TextIndex, field: str, entry: Column, posting: Column | None) -> Column:
+    tf = F.col(f"tf_{field}") if posting is None else posting[f"tf_{field}"]
+    return tf_part(tf.cast("double"), F.col(f"len_{field}").cast("double"), entry[f"avg_{field}"])
 
 
-def _scores(index: TextIndex, entry: Column, blended: bool) -> list[Column]:
-    """What a posting adds for one term of a search (see ``_weighted``)."""
+def _scores(index: TextIndex, entry: Column, blended: bool, posting: Column | None = None) -> list[Column]:
+    """What a posting, by default the row's own, adds for one term of a search (see ``_weighted``)."""
     if blended:
-        best = F.greatest(*[_part(index, f, entry) for f in index.fields], F.lit(0.0))
+        best = F.greatest(*[_part(index, f, entry, posting) for f in index.fields], F.lit(0.0))
         return [(entry["times"] * entry["w_any"] * best).alias("match_score")]
     return [
-        (entry["times"] * entry[f"w_{f}"] * _part(index, f, entry)).alias(f"bm25_{f}") for f in index.fields
+        (entry["times"] * entry[f"w_{f}"] * _part(index, f, entry, posting)).alias(f"bm25_{f}")
+        for f in index.fields
     ]
 
 
@@ -222,7 +225,7 @@ def matched_scores(
     """
     index = as_index(docs, fields, key, carry)
     scores = ["match_score"] if blended else [f"bm25_{f}" for f in index.fields]
-    searched = (
+    entries = (
         _weighted(queries, index, query)
         .groupBy(query)
         .agg(
@@ -233,34 +236,69 @@ def matched_scores(
         .filter(F.col("known") == F.size("entries"))
         .select(query, "rarest", F.filter("entries", lambda e: e["term"] != F.col("rarest")["term"]).alias("rest"))
     )
-    first = index.postings.join(searched, F.col("term") == F.col("rarest")["term"]).select(
-        query, key, *carry, "rest", *_scores(index, F.col("rarest"), blended)
+    searched = _written_searches(entries)
+    alone = (
+        index.postings.join(searched.filter("NOT _more"), F.col("term") == F.col("rarest")["term"])
+        .select(query, key, *carry, *_scores(index, F.col("rarest"), blended))
     )
-    alone = first.filter(F.size("rest") == 0).select(query, key, *carry, *scores)
-    several = first.filter(F.size("rest") > 0).select(
-        query,
-        key,
-        F.size("rest").alias("_wanted"),
-        *(F.col(x).alias(f"_first_{x}") for x in scores),
-        F.explode("rest").alias("entry"),
+    several = searched.filter("_more").select(query, "rarest", "rest")
+    own = [key, *carry, *(f"len_{f}" for f in index.fields)]
+    held = _held(index, several, own)
+
+    def found(entry: Column) -> Column:
+        return F.get(F.filter("_held", lambda x: x["term"] == entry["term"]), 0)
+
+    candidates = held.select(*own, "_held", F.explode("_first").alias("_hit")).join(
+        several, F.col("_hit.term") == F.col("rarest.term")
     )
-    own = ["term", key, *(f"{x}_{f}" for f in index.fields for x in ("tf", "len")), *carry]
-    found = (
-        several.withColumn("term", F.col("entry.term"))
-        .join(index.postings.select(*own), ["term", key])
-        .select(
-            query, key, *carry, "_wanted", *(f"_first_{x}" for x in scores),
-            *_scores(index, F.col("entry"), blended),
-        )
-        .groupBy(query, key, *carry)
-        .agg(
-            F.max("_wanted").alias("_wanted"),
-            F.count("*").alias("_found"),
-            *((F.max(f"_first_{x}") + F.sum(x)).alias(x) for x in scores),
-        )
-        .filter(F.col("_found") == F.col("_wanted"))
+    lacking = F.array_except(F.col("rest.term"), F.col("_held.term"))
+    matched = candidates.filter(F.size(lacking) == 0).withColumn(
+        "_pairs", F.transform("rest", lambda e: F.struct(e.alias("entry"), found(e).alias("posting")))
+    )
+
+    def others(number: int) -> Column:
+        def added(total: Column, pair: Column) -> Column:
+            return total + _scores(index, pair["entry"], blended, pair["posting"])[number]
+
+        return F.aggregate("_pairs", F.lit(0.0), added)
+
+    firsts = _scores(index, F.col("rarest"), blended, F.col("_hit"))
+    total = [first + others(number) for number, first in enumerate(firsts)]
+    return alone.unionByName(
+        matched.select(query, key, *carry, *(t.alias(x) for t, x in zip(total, scores, strict=True)))
+    )
+
+
+def _written_searches(searched: DataFrame) -> DataFrame:
+    """Searches as a table, those of several terms (``_more``) apart: often they are few."""
+    searched = searched.withColumn("_more", F.size("rest") > 0)
+    path = f"{scratch_folder(searched.sparkSession)}/searches"
+    searched.write.partitionBy("_more").parquet(path)
+    return searched.sparkSession.read.schema(searched.schema).parquet(path)
+
+
+def _held(index: TextIndex, several: DataFrame, own: Sequence[str]) -> DataFrame:
+    """Per document with the rarest term of a search: its postings of all terms asked for
+    (``_held``), and those of them that are the rarest of a search (``_first``).
+    """
+    asked = F.concat(
+        F.array(F.struct(F.col("rarest.term").alias("term"), F.lit(True).alias("rarest"))),
+        F.transform("rest", lambda e: F.struct(e["term"].alias("term"), F.lit(False).alias("rarest"))),
+    )
+    terms = (
+        several.select(F.explode(asked).alias("_asked"))
+        .groupBy("_asked.term")
+        .agg(F.max("_asked.rarest").alias("_rarest"))
+    )
+    posting = F.struct("term", *(f"tf_{f}" for f in index.fields), "_rarest")
+    return (
+        index.postings.filter(F.col(index.key).isNotNull())
+        .join(terms, "term")
+        .groupBy(*own)
+        .agg(F.collect_list(posting).alias("_held"))
+        .withColumn("_first", F.filter("_held", lambda x: x["_rarest"]))
+        .filter(F.size("_first") > 0)
     )
-    return alone.unionByName(found.select(*alone.columns))
 
 
 def exact_keys(queries: DataFrame, index: TextIndex, query: str, carry: Sequence[str] = ()) -> DataFrame:

@@ -2,6 +2,7 @@
 
 import contextlib
 import io
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -145,3 +146,27 @@ def test_order_sessions_are_dealt_by_rows(spark, tmp_path, monkeypatch):
     assert rolled.rdd.getNumPartitions() == 12
     assert rolled.count() == 1200
     assert sessions.session_lists(adapter.order_hits(spark, str(tmp_path)), 1.0, 1).count() == 300
+
+
+def test_matches_are_not_gathered_per_search(spark):
+    """A candidate is checked in its own row: no sums by search and document of candidates."""
+    docs = spark.range(600).select(
+        F.concat(F.lit("k"), F.col("id").cast("string")).alias("sku"),
+        F.concat_ws(" ", F.lit("a"), F.concat(F.lit("b"), F.col("id") % 2), F.concat(F.lit("c"), F.col("id") % 3)).alias("name"),
+        F.concat(F.lit("t"), F.col("id") % 5).alias("category"),
+    )
+    index = textmatch.index_of(docs, ["name", "category"])
+    asked = spark.createDataFrame([("a b1 c2 t4",), ("b1 t4",), ("c2",), ("b1 c9",)], "search_term string")
+    scored = textmatch.matched_scores(asked, index, ["name", "category"])
+    found = {}
+    for r in scored.collect():
+        found.setdefault(r["search_term"], set()).add(r["sku"])
+    assert found == {
+        "a b1 c2 t4": {f"k{i}" for i in range(600) if i % 2 == 1 and i % 3 == 2 and i % 5 == 4},
+        "b1 t4": {f"k{i}" for i in range(600) if i % 2 == 1 and i % 5 == 4},
+        "c2": {f"k{i}" for i in range(600) if i % 3 == 2},
+    }
+    text = io.StringIO()
+    with contextlib.redirect_stdout(text):
+        scored.explain()
+    assert not re.search(r"Aggregate\(keys=\[search_term#\d+, sku#\d+", text.getvalue())
