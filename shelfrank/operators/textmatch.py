@@ -16,6 +16,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shelfrank.functions.arrays import with_runs
 from shelfrank.functions.text import tokenize
 from shelfrank.session import scratch_folder
 
@@ -63,33 +64,66 @@ def index_of(
     docs: DataFrame, fields: Sequence[str], key: str = "sku", carry: Sequence[str] = ()
 ) -> TextIndex:
     """The index of ``docs``, whose texts may have token columns already."""
-    missing = [f for f in fields if token_column(f) not in docs.columns]
-    docs = with_tokens(docs, missing) if missing else docs
-    lengths = [F.size(token_column(f)).alias(f"len_{f}") for f in fields]
     own = [key, *carry, *(f"len_{f}" for f in fields)]
+    # only the few documents whose key comes again meet others; the rest are counted where they are read
+    repeated = _written(docs.groupBy(F.col(key).alias("_key")).agg(F.count("*").alias("_n")).where("_n > 1"))
+    again = F.col(key).eqNullSafe(F.col("_key"))
+    counts = [f"tf_{f}" for f in fields]
+    merged = (
+        _counted(docs.join(repeated, again, "left_semi"), fields, own)
+        .groupBy("term", *own)
+        .agg(*(F.sum(x).cast("int").alias(x) for x in counts))
+    )
+    entries = _counted(docs.join(repeated, again, "left_anti"), fields, own).unionByName(merged)
+    lengths = [f"len_{f}" for f in fields]
+    documents = _with_lengths(docs, fields).select(key, *carry, *lengths)
+    postings = entries.where("term IS NOT NULL")
+    return _with_statistics(fields, key, carry, documents, postings, entries)
+
 
-    none = F.lit(None).cast("string")
+def _written(df: DataFrame) -> DataFrame:
+    """``df`` as a table of its own: the planner knows how small it is."""
+    path = f"{scratch_folder(df.sparkSession)}/rows"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
-    def words_of(number: int) -> Column:
-        field = F.lit(number).alias("field")
-        return F.transform(token_column(fields[number]), lambda w: F.struct(w.alias("term"), field))
 
+def _with_lengths(docs: DataFrame, fields: Sequence[str]) -> DataFrame:
+    missing = [f for f in fields if token_column(f) not in docs.columns]
+    docs = with_tokens(docs, missing) if missing else docs
+    return docs.withColumns({f"len_{f}": F.size(token_column(f)) for f in fields})
+
+
+def _counted(docs: DataFrame, fields: Sequence[str], own: Sequence[str]) -> DataFrame:
+    """The distinct terms of each row with their counts, and one row without a term."""
+    docs = _with_lengths(docs, fields)
     if len(fields) == 1:
-        words = F.concat(token_column(fields[0]), F.array(none))
-        term, counts = F.col("_w"), [F.count("*")]
+        words = F.array_sort(token_column(fields[0]))
     else:
-        own_row = F.array(F.struct(none.alias("term"), F.lit(-1).alias("field")))
-        words = F.concat(*[words_of(i) for i in range(len(fields))], own_row)
-        term, counts = F.col("_w.term"), [F.sum((F.col("_w.field") == i).cast("int")) for i in range(len(fields))]
-    # a document's words are counted where it is read; only the counts are dealt out
-    entries = (
-        docs.select(key, *carry, *lengths, F.explode_outer(words).alias("_w"))
-        .groupBy(term.alias("term"), *own)
-        .agg(*(n.cast("int").alias(f"tf_{f}") for n, f in zip(counts, fields, strict=True)))
-        .select("term", *(f"tf_{f}" for f in fields), *own)
-    )
-    postings = entries.where("term IS NOT NULL")
-    return _with_statistics(fields, key, carry, docs.select(key, *carry, *lengths), postings, entries)
+        words = F.array_sort(F.concat(*[_numbered(token_column(f), i) for i, f in enumerate(fields)]))
+
+    def same(a: Column, b: Column) -> Column:
+        return a == b if len(fields) == 1 else a["term"] == b["term"]
+
+    def entry(run: Column) -> Column:
+        first = F.get(run, 0)
+        if len(fields) == 1:
+            return F.struct(first.alias("term"), F.size(run).alias(f"tf_{fields[0]}"))
+        counts = [_count_of(run, i).alias(f"tf_{f}") for i, f in enumerate(fields)]
+        return F.struct(first["term"].alias("term"), *counts)
+
+    none = F.struct(F.lit(None).cast("string").alias("term"), *(F.lit(0).alias(f"tf_{f}") for f in fields))
+    runs = with_runs(docs.select(*own, words.alias("_words")), "_words", same, "_runs")
+    each = F.explode_outer(F.concat(F.transform("_runs", entry), F.array(none))).alias("_entry")
+    return runs.select(*own, each).select("_entry.*", *own)
+
+
+def _numbered(tokens: str, field: int) -> Column:
+    return F.transform(tokens, lambda w: F.struct(w.alias("term"), F.lit(field).alias("field")))
+
+
+def _count_of(run: Column, field: int) -> Column:
+    return F.size(F.filter(run, lambda w: w["field"] == field))
 
 
 def _with_statistics(

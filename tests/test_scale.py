@@ -170,3 +170,24 @@ def test_matches_are_not_gathered_per_search(spark):
     with contextlib.redirect_stdout(text):
         scored.explain()
     assert not re.search(r"Aggregate\(keys=\[search_term#\d+, sku#\d+", text.getvalue())
+
+
+def test_counts_are_not_dealt_out(spark):
+    """Words are counted where a document is read; only rows of a repeated key meet."""
+    rows = [(i, f"w{i} x x") for i in range(50)]
+    docs = spark.createDataFrame(rows, "sku bigint, name string")
+    entries = textmatch.index_of(docs, ["name"]).entries
+    assert {(r["sku"], r["term"], r["tf_name"]) for r in entries.filter("term IS NOT NULL").collect()} == {
+        x for i in range(50) for x in ((i, f"w{i}", 1), (i, "x", 2))
+    }
+    entries.collect()
+    assert not re.search(r"(?<!Broadcast)Exchange", plan(entries).split("== Initial Plan ==")[0])
+    odd = [(1, "a b b"), (1, "b a c"), (1, "a"), (None, "a"), (None, "a"), (2, None), (3, "")]
+    counted = textmatch.index_of(spark.createDataFrame(odd, "sku bigint, name string"), ["name"]).entries
+    expected = [(1, "a", 2, 3), (1, "b", 3, 3), (1, "c", 1, 3), (1, "a", 1, 1), (None, "a", 2, 1)]
+    found = counted.filter("term IS NOT NULL").select("sku", "term", "tf_name", "len_name")
+    assert sorted(map(str, map(tuple, found.collect()))) == sorted(map(str, expected))
+    alone = counted.filter("term IS NULL").select("sku", "len_name")
+    assert sorted(map(str, map(tuple, alone.collect()))) == sorted(
+        map(str, [(1, 3), (1, 1), (None, 1), (2, 0), (3, 0)])
+    )
