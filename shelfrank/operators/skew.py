@@ -48,5 +48,4 @@ def tasks_for(table: DataFrame, rows_per_task: int = ROWS_PER_TASK) -> int:
     Merged by bytes, as the planner does it, a task gets as many rows as compress well. Counting
     a table of files reads their footers only.
     """
-    least = table.sparkSession.sparkContext.defaultParallelism
-    return max(least, -(-table.count() // rows_per_task))
+    return -(-table.count() // rows_per_task)

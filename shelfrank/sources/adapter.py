@@ -98,9 +98,11 @@ def order_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
     term = F.replace(
         F.lower(F.substring("o_orderpriority", 3, 40)), F.lit(" "), F.lit("+")
     )
-    # what follows per session stays in the tasks of this join, so their number goes by the rows
-    tasks = tasks_for(items)
-    items, orders = items.repartition(tasks, "l_orderkey"), orders.repartition(tasks, "o_orderkey")
+    # what follows per session stays in the tasks of this join, so their number goes by the rows;
+    # with a share for each core or less, the planner chooses
+    if (tasks := tasks_for(items)) > spark.sparkContext.defaultParallelism:
+        items = items.repartition(tasks, "l_orderkey")
+        orders = orders.repartition(tasks, "o_orderkey")
     return items.join(orders, items.l_orderkey == orders.o_orderkey).select(
         F.col("o_custkey").alias("fv"),
         F.col("o_orderkey").alias("session_id"),
